@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["model", "business"]
+MODULES = ["model", "business", "history"]
 
 
 def load_all():

@@ -285,3 +285,58 @@ CTES["q_rfm_base"] = f"""
 SELECT customer_id, date_diff('day', max(order_date), DATE '{AS_OF_SALES}') AS recency_days, count(DISTINCT order_id) AS frequency,
   sum(revenue) AS monetary
 FROM f_sales f JOIN d_customer c ON f.customer_key = c.customer_key GROUP BY ALL"""
+
+# ---- two states of the dimensions -------------------------------------------------------------------
+FIRST_LOADS = "2024-02-02 00:00:00"
+RUN_CAMPAIGN1, RUN_CAMPAIGN2 = "2023-11-01 00:00:00", CHANGE_TS
+
+CTES["c1_customers"] = f"""
+SELECT customer_id, {CUSTOMER_ATTRS}, source_system FROM s_customers WHERE source_load_timestamp <= TIMESTAMP '{FIRST_LOADS}'"""
+CTES["c2_customers"] = f"""
+SELECT customer_id, customer_name, email, phone, segment,
+  CASE WHEN segment = 'MACHINERY' THEN CASE tier WHEN 'Standard' THEN 'Bronze' WHEN 'Bronze' THEN 'Silver' WHEN 'Silver' THEN 'Gold'
+       ELSE 'Platinum' END ELSE tier END AS tier,
+  status, lifetime_value, email_valid, phone_valid, source_system FROM s_customers WHERE status <> 'Churned'"""
+CTES["c1_campaigns"] = f"""
+SELECT campaign_id, {CAMPAIGN_ATTRS}, source_system FROM s_campaigns WHERE source_load_timestamp <= TIMESTAMP '{FIRST_LOADS}'"""
+CTES["c2_campaigns"] = f"""
+SELECT campaign_id, campaign_name, campaign_type, status, objective, start_date, end_date,
+  CAST(CASE WHEN campaign_type = 'Conversion' THEN budget * 1.1 ELSE budget END AS {MONEY}) AS budget, duration_days, source_system
+FROM s_campaigns WHERE status <> 'Paused'"""
+
+
+def _versions(entity: str, attrs: str, run1: str, run2: str) -> None:
+    key, ident, names = f"{entity}_key", f"{entity}_id", [a.strip() for a in attrs.split(",")]
+    one, two, src = f"d1_{entity}", f"d2_{entity}", f"c2_{entity}s"
+    same = " AND ".join(f"d.{a} IS NOT DISTINCT FROM s.{a}" for a in names)
+    s_attrs = ", ".join(f"s.{a}" for a in names)
+    d_attrs = ", ".join(f"d.{a}" for a in names)
+    CTES[one] = f"""
+SELECT {dense(ident)} AS {key}, {ident}, {attrs}, source_system, TIMESTAMP '{run1}' AS valid_from, TIMESTAMP '{OPEN_END}' AS valid_to,
+  TRUE AS is_current, 1 AS version_number, TIMESTAMP '{run1}' AS created_timestamp, TIMESTAMP '{run1}' AS updated_timestamp
+FROM c1_{entity}s"""
+    CTES[two] = f"""
+SELECT d.{key}, d.{ident}, {d_attrs}, d.source_system, d.valid_from,
+  CASE WHEN s.{ident} IS NOT NULL AND NOT ({same}) THEN TIMESTAMP '{run2}' ELSE d.valid_to END AS valid_to,
+  s.{ident} IS NULL OR ({same}) AS is_current, d.version_number, d.created_timestamp,
+  CASE WHEN s.{ident} IS NOT NULL AND NOT ({same}) THEN TIMESTAMP '{run2}' ELSE d.updated_timestamp END AS updated_timestamp
+FROM {one} d LEFT JOIN {src} s ON d.{ident} = s.{ident}
+UNION ALL
+SELECT (SELECT max({key}) FROM {one}) + row_number() OVER (ORDER BY substr(md5(s.{ident}), 1, 3), s.{ident}), s.{ident}, {s_attrs}, s.source_system,
+  TIMESTAMP '{run2}', TIMESTAMP '{OPEN_END}', TRUE, coalesce(d.version_number, 0) + 1,
+  coalesce(d.created_timestamp, TIMESTAMP '{run2}'), TIMESTAMP '{run2}'
+FROM {src} s LEFT JOIN {one} d ON d.{ident} = s.{ident} WHERE d.{ident} IS NULL OR NOT ({same})"""
+
+
+_versions("customer", CUSTOMER_ATTRS, RUN_TS, RUN_TS2)
+_versions("campaign", CAMPAIGN_ATTRS, RUN_CAMPAIGN1, RUN_CAMPAIGN2)
+
+CTES["c2_channels"] = """
+SELECT channel_id, channel_name, channel_type, CASE WHEN cost_structure = 'CPC' THEN 'Partner' ELSE category END AS category,
+  cost_structure, source_system FROM s_channels"""
+CTES["d2_channel"] = f"""
+SELECT channel_key, d.channel_id, s.channel_name, s.channel_type, s.category AS current_category,
+  CASE WHEN s.category IS DISTINCT FROM d.current_category THEN d.current_category ELSE d.previous_category END AS previous_category,
+  CASE WHEN s.category IS DISTINCT FROM d.current_category THEN TIMESTAMP '{RUN_TS2}' ELSE d.category_changed_date END AS category_changed_date,
+  s.cost_structure, s.source_system, d.created_timestamp, TIMESTAMP '{RUN_TS2}' AS updated_timestamp
+FROM d_channel d JOIN c2_channels s ON d.channel_id = s.channel_id"""

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .expressions import date_key
+from .expressions import date_key, day
 
 
-def dim_date(spark: SparkSession, start: str = "2020-01-01", end: str = "2030-12-31") -> DataFrame:
-    """One row per day, ISO weeks and weekdays (Monday = 1), fiscal year = calendar year."""
-    days = spark.range(1).select(
-        F.explode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"))).alias("full_date"))
+def dim_date(spark: SparkSession, start: str | Column = "2020-01-01", end: str | Column = "2030-12-31") -> DataFrame:
+    """One row per day, ISO weeks and weekdays (Monday = 1), fiscal year = calendar year.
+
+    The bounds may be scalar subqueries over the facts.
+    """
+    days = spark.range(1).select(F.explode(F.sequence(day(start), day(end))).alias("full_date"))
     d = F.col("full_date")
     iso_day = F.weekday(d) + 1
     return days.select(
