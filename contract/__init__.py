@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["model", "business", "history"]
+MODULES = ["model", "business", "history", "loads"]
 
 
 def load_all():
