@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["model", "business", "history", "loads"]
+MODULES = ["model", "business", "history", "loads", "shapes"]
 
 
 def load_all():

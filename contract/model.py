@@ -45,9 +45,14 @@ def product_margin(spark, sf):
     return silver.product_margin(silver_table(spark, sf, "products"))
 
 
-@query("dim_date", CTES["d_date"], text="full_date")
+@query("dim_date", """
+SELECT * FROM d_date WHERE year BETWEEN (SELECT year(min(o_orderdate)) FROM orders) AND (SELECT year(max(ts)) FROM events)""", text="full_date")
 def dim_date(spark, sf):
-    return cal.dim_date(spark, *plans.CALENDAR)
+    """Whole years from the first order to the last event."""
+    first = entities.table(spark, sf, "orders").agg(F.trunc(F.to_date(F.min("o_orderdate")), "year")).scalar()
+    last = entities.table(spark, sf, "events").agg(
+        F.date_sub(F.add_months(F.trunc(F.to_date(F.max("ts")), "year"), 12), 1)).scalar()
+    return cal.dim_date(spark, first, last)
 
 
 SCD2_TEXT = "valid_from valid_to created_timestamp updated_timestamp"
