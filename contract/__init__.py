@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["model", "business", "history", "loads", "shapes", "quality"]
+MODULES = ["model", "business", "history", "loads", "shapes", "quality", "validation"]
 
 
 def load_all():

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .. import session
 from ..functions import calendar as cal, silver
@@ -40,18 +41,21 @@ def silver_table(spark: SparkSession, sf_dir: str, name: str, run_ts: str = RUN_
 
 @dataclass
 class Star:
-    """Lazy plans of the star over one source folder; `tables` overrides a plan with a written table."""
+    """Lazy plans of the star over one source folder; a table in `written` is read from its (path, schema)."""
 
     spark: SparkSession
     sf_dir: str
     run_ts: str = RUN_TS
-    tables: dict[str, DataFrame] = field(default_factory=dict)
+    written: dict[str, tuple[str, T.StructType]] = field(default_factory=dict)
 
     def silver(self, name: str) -> DataFrame:
         return self._get(f"silver_{name}", lambda: silver_table(self.spark, self.sf_dir, name, self.run_ts))
 
     def _get(self, name: str, plan) -> DataFrame:
-        return self.tables[name] if name in self.tables else plan()
+        if name in self.written:
+            path, schema = self.written[name]
+            return self.spark.read.schema(schema).parquet(path)
+        return plan()
 
     @cached_property
     def dim_date(self) -> DataFrame:
@@ -117,44 +121,46 @@ def month_of(column: str):
 
 
 # table, partition column source, sort columns
-LAYOUT: list[tuple[str, str | None, list[str]]] = [
-    ("dim_date", None, []),
-    ("dim_campaign", None, []), ("dim_customer", None, []), ("dim_product", None, []), ("dim_channel", None, []),
-    ("fact_performance", "performance_date", ["date_key"]), ("fact_sales", "order_date", ["date_key"]),
-    ("fact_campaign_daily", None, []),
-]
+DIMENSIONS: list[tuple[str, str | None, list[str]]] = [
+    ("dim_date", None, []), ("dim_campaign", None, []), ("dim_customer", None, []), ("dim_product", None, []), ("dim_channel", None, [])]
+FACTS: list[tuple[str, str | None, list[str]]] = [
+    ("fact_sales", "order_date", ["date_key"]), ("fact_performance", "performance_date", ["date_key"]), ("fact_campaign_daily", None, [])]
 
 
-def materialise(spark: SparkSession, sf_dir: str, root: str, run_ts: str = RUN_TS, only=None) -> Star:
+def materialise(spark: SparkSession, sf_dir: str, root: str, run_ts: str = RUN_TS, concurrency: int = 4) -> Star:
     """Write the star below `root`, dimensions first, so that facts look keys up in written tables.
 
-    Facts are partitioned by month and sorted by day: date filters prune
-    folders, then row groups.
+    Tables of one stage are independent jobs from `concurrency` driver
+    threads. Facts are partitioned by month and sorted by day: date filters
+    prune folders, then row groups.
     """
     star = Star(spark, sf_dir, run_ts)
-    for name, dated, sort_by in LAYOUT:
+
+    def write(entry) -> tuple[str, tuple[str, T.StructType]]:
+        name, dated, sort_by = entry
         path = f"{root}/{name}"
-        if only is None or name in only:
-            df = getattr(star, name)
-            if dated:
-                df = df.withColumn("month_key", month_of(dated))
-                sinks.write_new(df, path, ["month_key"], sort_by)
-            else:
-                sinks.write_new(df, path)
-            star.tables[name] = spark.read.parquet(path)
-            star.__dict__.pop(name, None)
+        df = getattr(star, name)
+        if dated:
+            df = df.withColumn("month_key", month_of(dated))
+            sinks.write_new(df, path, ["month_key"], sort_by)
+            df = df.select(*[c for c in df.columns if c != "month_key"], "month_key")
+        else:
+            sinks.write_new(df, path)
+        return name, (path, df.schema)
+
+    for stage in (DIMENSIONS, FACTS):
+        with ThreadPoolExecutor(max_workers=concurrency) as pool:
+            done = dict(pool.map(write, stage))
+        star = Star(spark, sf_dir, run_ts, {**star.written, **done})
     return star
 
 
-_ROOTS: dict[tuple[str, str], str] = {}
+_WRITTEN: dict[tuple[str, str], dict] = {}
 
 
 def gold(spark: SparkSession, sf_dir: str) -> Star:
     """The written star of a source folder, built on first use by this application in the shared folder."""
     app = (spark.sparkContext.applicationId, sf_dir)
-    if app not in _ROOTS:
-        root = session.scratch_path(spark, "gold")
-        materialise(spark, sf_dir, root)
-        _ROOTS[app] = root
-    tables = {name: spark.read.parquet(f"{_ROOTS[app]}/{name}") for name, _, _ in LAYOUT}
-    return Star(spark, sf_dir, RUN_TS, tables)
+    if app not in _WRITTEN:
+        _WRITTEN[app] = materialise(spark, sf_dir, session.scratch_path(spark, "gold")).written
+    return Star(spark, sf_dir, RUN_TS, _WRITTEN[app])
