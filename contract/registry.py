@@ -18,12 +18,12 @@ from .ctes import CTES
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
-_NAMES = re.compile(r"\b(" + "|".join(sorted(CTES, key=len, reverse=True)) + r")\b")
+_WORD = re.compile(r"\b[a-z][a-z0-9_]*\b")
 
 
 def _needed(sql: str, seen: list[str]) -> list[str]:
-    for name in _NAMES.findall(sql):
-        if name not in seen:
+    for name in _WORD.findall(sql):
+        if name in CTES and name not in seen:
             _needed(CTES[name], seen)
             if name not in seen:
                 seen.append(name)

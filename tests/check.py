@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime
 import decimal
-import math
 import os
 import sys
 import time
@@ -31,8 +30,7 @@ def canonical(rows, columns):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     out = []
     for row in rows:
-        out.append(tuple(f"{row[i]:.6f}" if isinstance(row[i], float) and math.isfinite(row[i]) else repr(row[i])
-                         for i in order))
+        out.append(tuple(repr(row[i]) for i in order))
     return sorted(out)
 
 
