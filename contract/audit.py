@@ -179,9 +179,9 @@ def aud_pipeline_perf(spark, sf):
 
 @query("aud_long_running", f"""
 SELECT execution_id, pipeline_name, layer, environment, execution_start, date_sub('minute', execution_start, TIMESTAMP '{RUN_NOW}') AS running_for_minutes,
-  rows_processed, executed_by FROM a_runs WHERE execution_status = 'RUNNING' AND {hours('execution_start', RUN_NOW, 24)}""", text="execution_start")
+  rows_processed, executed_by FROM a_runs WHERE execution_status = 'RUNNING' AND {hours("execution_start", RUN_NOW, 96)}""", text="execution_start")
 def aud_long_running(spark, sf):
-    return au.long_running(logs.runs(spark, sf), RUN_NOW)
+    return au.long_running(logs.runs(spark, sf), RUN_NOW, 96)
 
 
 @query("aud_lineage_flow", f"""
