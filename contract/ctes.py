@@ -51,7 +51,7 @@ def modified(key: str) -> str:
 
 def dense(ident: str) -> str:
     """Rank in the order of the surrogate keys."""
-    return f"row_number() OVER (ORDER BY substr(md5({ident}), 1, 3), {ident})"
+    return f"row_number() OVER (ORDER BY substr(md5({ident}), 1, 4), {ident})"
 
 
 TAIL = f"source_system, last_modified_timestamp, load_timestamp AS source_load_timestamp, TIMESTAMP '{RUN_TS}' AS load_timestamp"
@@ -322,7 +322,7 @@ SELECT d.{key}, d.{ident}, {d_attrs}, d.source_system, d.valid_from,
   CASE WHEN s.{ident} IS NOT NULL AND NOT ({same}) THEN TIMESTAMP '{run2}' ELSE d.updated_timestamp END AS updated_timestamp
 FROM {one} d LEFT JOIN {src} s ON d.{ident} = s.{ident}
 UNION ALL
-SELECT (SELECT max({key}) FROM {one}) + row_number() OVER (ORDER BY substr(md5(s.{ident}), 1, 3), s.{ident}), s.{ident}, {s_attrs}, s.source_system,
+SELECT (SELECT max({key}) FROM {one}) + row_number() OVER (ORDER BY substr(md5(s.{ident}), 1, 4), s.{ident}), s.{ident}, {s_attrs}, s.source_system,
   TIMESTAMP '{run2}', TIMESTAMP '{OPEN_END}', TRUE, coalesce(d.version_number, 0) + 1,
   coalesce(d.created_timestamp, TIMESTAMP '{run2}'), TIMESTAMP '{run2}'
 FROM {src} s LEFT JOIN {one} d ON d.{ident} = s.{ident} WHERE d.{ident} IS NULL OR NOT ({same})"""

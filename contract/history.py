@@ -67,7 +67,7 @@ def win_row_number(spark, sf):
 SELECT performance_id, p.campaign_id, campaign_key FROM s_performance p JOIN d2_campaign d ON p.campaign_id = d.campaign_id AND is_current""")
 def lookup_inner(spark, sf):
     p = silver_table(spark, sf, "performance").select("performance_id", "campaign_id")
-    return lookups.lookup_inner(p, states.campaign_v2(spark, sf), "campaign_id", "campaign_key")
+    return lookups.lookup_inner(p, states.campaign_history(spark, sf), "campaign_id", "campaign_key")
 
 
 @query("lookup_left_nullable", """
@@ -75,7 +75,7 @@ SELECT order_line_id, s.campaign_id, coalesce(campaign_key, -1) AS campaign_key
 LEFT JOIN d2_campaign d ON s.campaign_id = d.campaign_id AND is_current""")
 def lookup_left_nullable(spark, sf):
     s = silver_table(spark, sf, "sales").select("order_line_id", "campaign_id")
-    return lookups.lookup_left(s, states.campaign_v2(spark, sf), "campaign_id", "campaign_key", lookups.UNKNOWN_KEY)
+    return lookups.lookup_left(s, states.campaign_history(spark, sf), "campaign_id", "campaign_key", lookups.UNKNOWN_KEY)
 
 
 @query("lookup_with_orphans", """
@@ -105,7 +105,7 @@ SELECT campaign_key, campaign_id, budget, version_number FROM d2_campaign
 WHERE valid_from <= TIMESTAMP '2024-01-15 00:00:00' AND TIMESTAMP '2024-01-15 00:00:00' < valid_to""", "budget")
 def asof_dimension(spark, sf):
     """The dimension at the very instant of the change: only the new versions."""
-    return lookups.asof_dimension(states.campaign_v2(spark, sf), CHANGE_TS).select("campaign_key", "campaign_id", "budget", "version_number")
+    return lookups.asof_dimension(states.campaign_history(spark, sf), CHANGE_TS).select("campaign_key", "campaign_id", "budget", "version_number")
 
 
 @query("fact_asof_lookup", """
@@ -113,7 +113,7 @@ SELECT performance_id, campaign_key, version_number, d.budget FROM s_performance
 ON p.campaign_id = d.campaign_id AND valid_from <= CAST(performance_date AS TIMESTAMP) AND CAST(performance_date AS TIMESTAMP) < valid_to""", "budget")
 def fact_asof_lookup(spark, sf):
     p = silver_table(spark, sf, "performance").select("performance_id", "campaign_id", "performance_date")
-    return lookups.fact_asof_lookup(p, states.campaign_v2(spark, sf), "campaign_id", "performance_date", "campaign_key",
+    return lookups.fact_asof_lookup(p, states.campaign_history(spark, sf), "campaign_id", "performance_date", "campaign_key",
                                     ["version_number", "budget"]).select("performance_id", "campaign_key", "version_number", "budget")
 
 
@@ -136,7 +136,7 @@ def semi_exists(spark, sf):
 SELECT customer_key, customer_id, tier, valid_from, valid_to, is_current, version_number FROM d2_customer
 WHERE customer_id = (SELECT min(customer_id) FROM d2_customer WHERE version_number = 2)""", text="valid_from valid_to")
 def self_version_history(spark, sf):
-    dim = states.customer_v2(spark, sf)
+    dim = states.customer_history(spark, sf)
     changed = dim.where("version_number = 2").agg(F.min("customer_id")).scalar()
     return scd.version_history(dim, "customer_id", changed).select(
         "customer_key", "customer_id", "tier", "valid_from", "valid_to", "is_current", "version_number")
@@ -219,7 +219,7 @@ def scd2_smart(spark, sf):
        text="valid_from valid_to")
 def scd2_repair(spark, sf):
     """An append-only dimension whose old versions all stayed current, repaired."""
-    broken = states.customer_v2(spark, sf).select("customer_key", "customer_id", "tier", "valid_from", "version_number").withColumns({
+    broken = states.customer_history(spark, sf).select("customer_key", "customer_id", "tier", "valid_from", "version_number").withColumns({
         "valid_to": F.lit("9999-12-31 23:59:59").cast("timestamp_ntz"), "is_current": F.lit(True)})
     return scd.scd2_repair(broken, "customer_id").select(
         "customer_key", "customer_id", "tier", "valid_from", "valid_to", "is_current", "version_number")
@@ -252,7 +252,7 @@ def _audit_sql() -> str:
 
 @query("dimension_audit", _audit_sql(), text="valid_from valid_to")
 def dimension_audit(spark, sf):
-    return scd.dimension_audit(states.customer_v2(spark, sf), "customer_id", "customer_key", _TRACK, "DIM_CUSTOMER")
+    return scd.dimension_audit(states.customer_history(spark, sf), "customer_id", "customer_key", _TRACK, "DIM_CUSTOMER")
 
 
 @query("q_tier_migration", """
@@ -260,7 +260,7 @@ SELECT from_tier, to_tier, count(*) AS customers FROM (
   SELECT lag(tier) OVER (PARTITION BY customer_id ORDER BY version_number) AS from_tier, tier AS to_tier FROM d2_customer)
 WHERE from_tier IS NOT NULL AND from_tier <> to_tier GROUP BY ALL""")
 def q_tier_migration(spark, sf):
-    return scd.tier_moves(states.customer_v2(spark, sf), "customer_id", "tier").groupBy("from_tier", "to_tier").agg(
+    return scd.tier_moves(states.customer_history(spark, sf), "customer_id", "tier").groupBy("from_tier", "to_tier").agg(
         F.count(F.lit(1)).alias("customers"))
 
 

@@ -433,7 +433,7 @@ def filter_conditions(spark, sf):
 
 @query("filter_current", "SELECT customer_key, customer_id, version_number FROM d2_customer WHERE is_current")
 def filter_current(spark, sf):
-    return current(states.customer_v2(spark, sf)).select("customer_key", "customer_id", "version_number")
+    return current(states.customer_history(spark, sf)).select("customer_key", "customer_id", "version_number")
 
 
 @query("calendar_of_data", """

@@ -196,7 +196,7 @@ def issues(spark, sf) -> DataFrame:
 
 
 def dimension_changes(spark, sf) -> DataFrame:
-    audit = scd.dimension_audit(states.customer_v2(spark, sf), "customer_id", "customer_key", ["tier", "segment", "status", "lifetime_value"], "DIM_CUSTOMER")
+    audit = scd.dimension_audit(states.customer_history(spark, sf), "customer_id", "customer_key", ["tier", "segment", "status", "lifetime_value"], "DIM_CUSTOMER")
     return audit.withColumn("audit_timestamp", F.when(F.col("operation_type") == "EXPIRE", F.col("valid_to")).otherwise(F.col("valid_from")))
 
 

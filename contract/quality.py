@@ -30,7 +30,7 @@ def tables(spark, sf) -> q.Tables:
         "bronze_events_json": lambda: raw_events(spark, sf),
         "customer_geography": lambda: entities.table(spark, sf, "customer").select("c_custkey", F.col("c_nationkey").alias("nation_key")),
         "geography": lambda: entities.table(spark, sf, "nation").select(F.col("n_nationkey").alias("nation_key")),
-        "dim_customer_history": lambda: states.customer_v2(spark, sf)}
+        "dim_customer_history": lambda: states.customer_history(spark, sf)}
 
     def all_views():
         return [star.v_campaign("2024-01-31"), star.v_customer, star.v_product, star.v_channel, star.v_calendar,

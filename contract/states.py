@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemark import session
 from tidemark.operators import scd
 from tidemark.plans.star import CAMPAIGN_COLUMNS, CHANNEL_COLUMNS, CUSTOMER_COLUMNS, Star, silver_table
 
@@ -54,6 +55,15 @@ def customer_v2(spark, sf) -> DataFrame:
     return scd.scd2_incremental(customer_v1(spark, sf), customers_after(spark, sf), "customer_id", "customer_key", RUN_TS2)
 
 
+def customer_history(spark, sf) -> DataFrame:
+    """The customer dimension after both loads, as a written table."""
+    return session.written_once(spark, f"dim_customer_history|{sf}", lambda: customer_v2(spark, sf))
+
+
+def campaign_history(spark, sf) -> DataFrame:
+    return session.written_once(spark, f"dim_campaign_history|{sf}", lambda: campaign_v2(spark, sf))
+
+
 def campaign_v1(spark, sf) -> DataFrame:
     return scd.scd2_initial(campaigns_before(spark, sf), "campaign_id", "campaign_key", RUN_CAMPAIGN1)
 

@@ -18,9 +18,10 @@ def summary(df: DataFrame, value: str, digits: int = 2) -> DataFrame:
 
 
 def distribution(df: DataFrame, column: str, name: str | None = None) -> DataFrame:
-    """Value counts with their percent of the total; the window runs over the counts only."""
-    g = df.groupBy(F.col(column).alias(name or column)).agg(F.count(F.lit(1)).alias("count"))
-    return g.withColumn("percentage", F.round(percent("count", F.sum("count").over(W.partitionBy())), 2))
+    """Value counts with their percent of the total; the total is a scalar, so many values need no single task."""
+    total = df.agg(F.count("*")).scalar()
+    g = df.groupBy(F.col(column).alias(name or column)).agg(F.count("*").alias("count"))
+    return g.withColumn("percentage", F.round(percent("count", total), 2))
 
 
 def distinct_counts(df: DataFrame, columns: Sequence[str], approximate: bool = False) -> DataFrame:

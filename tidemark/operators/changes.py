@@ -15,10 +15,25 @@ def dedupe_latest(df: DataFrame, keys: Sequence[str], order: Sequence[Column | s
 
     The filter on row_number = 1 becomes a window group limit, so every map
     task sends at most one row per key: a hot key costs no more than others.
+    A hash leads the partition key, so the sort compares longs, and texts with
+    a common prefix only where hashes meet.
     """
     rest = list(order) or [F.col(c).desc_nulls_last() for c in df.columns if c not in (*keys, newest)]
-    window = W.partitionBy(*keys).orderBy(F.col(newest).desc_nulls_last(), *rest)
-    return df.withColumn("_rn", F.row_number().over(window)).where(F.col("_rn") == 1).drop("_rn")
+    window = W.partitionBy("_kh", *keys).orderBy(F.col(newest).desc_nulls_last(), *rest)
+    return df.withColumn("_kh", F.xxhash64(*keys)).withColumn("_rn", F.row_number().over(window)).where(
+        F.col("_rn") == 1).drop("_kh", "_rn")
+
+
+def repeated_rows(df: DataFrame) -> DataFrame:
+    """Rows that occur more than once, each once with its count `copies`.
+
+    A first pass shuffles 8 bytes per row: only rows whose hash repeats are
+    then compared in full, so wide rows do not cross the network.
+    """
+    hashed = df.withColumn("_h", F.xxhash64(*df.columns))
+    suspects = hashed.groupBy("_h").agg(F.count("*").alias("_n")).where("_n > 1").select("_h")
+    return hashed.join(suspects, "_h", "left_semi").drop("_h").groupBy(*df.columns).agg(
+        F.count("*").alias("copies")).where("copies > 1")
 
 
 def same(a: str, b: str, columns: Sequence[str]) -> Column:

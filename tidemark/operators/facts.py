@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.expressions import (MONEY, RATIO, average_ratio, percent, percent_or_zero, ratio, ratio_or_zero, ts)
-from .lookups import current, join_calendar, lookup_inner, lookup_left, orphans
+from .lookups import current, join_calendar, lookup_inner, lookup_left, orphan_count
 
 
 def fact_performance(silver: DataFrame, dim_campaign: DataFrame, dim_channel: DataFrame, dim_date: DataFrame,
@@ -68,7 +68,7 @@ def fact_orphans(silver: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     """Rows a fact load drops, one row per failing foreign key."""
     out = None
     for column, dim in dims.items():
-        part = orphans(silver, current(dim), column).groupBy(F.lit(column).alias("foreign_key_column")).agg(
-            F.count(F.lit(1)).alias("orphaned_record_count"))
+        part = orphan_count(silver, current(dim), column, name="orphaned_record_count").select(
+            F.lit(column).alias("foreign_key_column"), "orphaned_record_count")
         out = part if out is None else out.unionByName(part)
     return out

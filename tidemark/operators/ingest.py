@@ -82,7 +82,7 @@ def ingest_table(spark: SparkSession, source: DataFrame, target: VersionedTable,
     if not target.exists():
         target.publish(dedupe_latest(fresh, keys, newest=column) if keys and column else fresh)
     elif chosen == "incremental_merge":
-        target.publish(upsert(target.read(), fresh, keys, newest=column))
+        target.publish(upsert(target.read(), fresh, keys, newest=column, source_rows=rows))
     elif chosen == "incremental_append":
         target.append(fresh)
     else:

@@ -12,7 +12,7 @@ def _bucket(keys: Sequence[str], digits: int) -> Column:
     return F.substring(F.md5(text), 1, digits)
 
 
-def surrogate_key(df: DataFrame, keys: Sequence[str], name: str, start: int | Column = 0, digits: int = 3) -> DataFrame:
+def surrogate_key(df: DataFrame, keys: Sequence[str], name: str, start: int | Column = 0, digits: int = 4) -> DataFrame:
     """Number the rows start+1, start+2, ... in the order (hash prefix of the keys, keys).
 
     The keys are unique (one row per natural key), so the md5 prefix spreads

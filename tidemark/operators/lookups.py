@@ -55,6 +55,17 @@ def orphans(df: DataFrame, parent: DataFrame, column: str, parent_column: str |
     return df.where(F.col(column).isNotNull()).join(keys, column, "left_anti")
 
 
+def orphan_count(df: DataFrame, parent: DataFrame, column: str, parent_column: str | None = None, name: str = "actual") -> DataFrame:
+    """How many rows have a foreign key without parent.
+
+    Rows are counted per key on the map side first, so the join sees each key
+    once and a hot key costs no more than a rare one.
+    """
+    keys = parent.select(F.col(parent_column or column).alias(column))
+    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("_n"))
+    return counts.join(keys, column, "left_anti").agg(F.coalesce(F.sum("_n"), F.lit(0)).alias(name))
+
+
 def semi_exists(df: DataFrame, mapping: DataFrame, on: Sequence[str]) -> DataFrame:
     return df.join(mapping, list(on), "left_semi")
 

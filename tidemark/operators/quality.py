@@ -233,13 +233,15 @@ def ri_log(links: Sequence[tuple[str, DataFrame, str, str, DataFrame, str]], run
     return reduce(DataFrame.unionByName, parts)
 
 
-def profile_columns(df: DataFrame, table: str, columns: Sequence[str] | None = None, accuracy: int = 10000) -> DataFrame:
+def profile_columns(df: DataFrame, table: str, columns: Sequence[str] | None = None, accuracy: int = 10000,
+                    approximate: bool = False) -> DataFrame:
     """Per column: rows, distinct, nulls, min, max, avg, median, deviation, five most frequent values.
 
     One pass gives the numeric measures of all columns (the median is a
     mergeable sketch). A second pass counts (column, value) pairs with
     map-side combine, which yields exact distinct counts and the top values
-    without a distinct per column or a list of all values.
+    without a distinct per column or a list of all values. `approximate`
+    replaces the second pass by sketches in the first.
     """
     columns = list(columns or df.columns)
     numeric = [c for c in columns if isinstance(df.schema[c].dataType, T.NumericType)]
@@ -251,21 +253,26 @@ def profile_columns(df: DataFrame, table: str, columns: Sequence[str] | None = N
         stats.append(F.struct(
             F.lit(c).alias("column_name"), F.lit(df.schema[c].dataType.simpleString()).alias("data_type"),
             F.count(F.lit(1)).alias("row_count"), (F.count(F.lit(1)) - F.count(c)).alias("null_count"),
+            *([F.approx_count_distinct(c).alias("distinct_count"),
+               F.to_json(F.transform(F.approx_top_k(F.col(c).cast("string"), 5), lambda s: s["item"])).alias("top_5_values")] if approximate else []),
             F.min(c).cast("string").alias("min_value"), F.max(c).cast("string").alias("max_value"),
             (F.avg(n) if is_num else nothing).alias("avg_value"),
             (F.percentile_approx(n, 0.5, accuracy) if is_num else nothing).alias("median_value"),
             (F.stddev(n) if is_num else nothing).alias("std_dev")))
     wide = df.agg(F.array(*stats).alias("_s")).select(F.inline("_s"))
+    shaped = [
+        F.lit(table).alias("table_name"), "column_name", "data_type", "row_count", F.coalesce("distinct_count", F.lit(0)).alias("distinct_count"),
+        "null_count", F.round(F.col("null_count") * 100.0 / F.col("row_count"), 2).alias("null_percentage"),
+        "min_value", "max_value", F.round("avg_value", 4).alias("avg_value"), "median_value", F.round("std_dev", 4).alias("std_dev"), "top_5_values"]
+    if approximate:
+        return wide.select(*shaped)
     pairs = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("v")) for c in columns])).alias("_p"))
     counts = pairs.select("_p.*").where(F.col("v").isNotNull()).groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("n"))
     distinct = counts.groupBy("column_name").agg(F.count(F.lit(1)).alias("distinct_count"))
     w = W.partitionBy("column_name").orderBy(F.desc("n"), "v")
     top = counts.withColumn("_r", F.row_number().over(w)).where("_r <= 5").groupBy("column_name").agg(
         F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("_r", "v"))), lambda s: s["v"])).alias("top_5_values"))
-    return wide.join(distinct, "column_name", "left").join(top, "column_name", "left").select(
-        F.lit(table).alias("table_name"), "column_name", "data_type", "row_count", F.coalesce("distinct_count", F.lit(0)).alias("distinct_count"),
-        "null_count", F.round(F.col("null_count") * 100.0 / F.col("row_count"), 2).alias("null_percentage"),
-        "min_value", "max_value", F.round("avg_value", 4).alias("avg_value"), "median_value", F.round("std_dev", 4).alias("std_dev"), "top_5_values")
+    return wide.join(distinct, "column_name", "left").join(top, "column_name", "left").select(*shaped)
 
 
 def schema_check(actual: T.StructType, expected: T.StructType) -> list[tuple[str, str]]:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.expressions import OPEN_END, all_of, any_of, ts
+from ..session import cut_lineage
 from .changes import dedupe_latest, same
 from .keys import max_key, surrogate_key
 from .neighbors import next_value
@@ -40,13 +41,18 @@ def scd2_initial(source: DataFrame, natural: str, key: str, run_ts, valid_from=N
 
 
 def scd2_incremental(target: DataFrame, source: DataFrame, natural: str, key: str, run_ts, *,
-                     track: Sequence[str] | None = None, close_deleted: bool = False) -> DataFrame:
+                     track: Sequence[str] | None = None, close_deleted: bool = False,
+                     stage: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """The whole dimension after one load.
 
     Old versions pass through untouched. Current versions meet the source in
     one full outer join on the natural key; each match yields one row, or two
     when a tracked column changed: the closed version and the new one. Rows
     missing from the source stay open unless `close_deleted`.
+
+    New rows are numbered after the join. `stage` may write the joined rows
+    (session.cut_lineage does), so that numbering them does not repeat the
+    join.
     """
     attributes = [c for c in source.columns if c != natural]
     tracked = list(track or [c for c in attributes if c != "source_system"])
@@ -82,7 +88,7 @@ def scd2_incremental(target: DataFrame, source: DataFrame, natural: str, key: st
     closing = (kind == "C") | ((kind == "D") & F.lit(close_deleted))
     rows = F.when(kind == "N", F.array(opened())).when(kind == "C", F.array(kept(closing), opened())).otherwise(
         F.array(kept(closing)))
-    loaded = both.select(F.inline(rows)).select(*target.columns)
+    loaded = stage(both.select(F.inline(rows)).select(*target.columns))
     settled = loaded.where(F.col(key).isNotNull())
     fresh = loaded.where(F.col(key).isNull()).drop(key)
     numbered = surrogate_key(fresh, [natural], key, start=max_key(target, key)).select(*target.columns)
@@ -93,7 +99,7 @@ def scd2_load(target: DataFrame | None, source: DataFrame, natural: str, key: st
     """Initial load on an empty target, else the incremental one."""
     if target is None or target.isEmpty():
         return scd2_initial(source, natural, key, run_ts)
-    return scd2_incremental(target, source, natural, key, run_ts, **options)
+    return scd2_incremental(target, source, natural, key, run_ts, **{"stage": cut_lineage, **options})
 
 
 def collapse_batch(source: DataFrame, natural: str, newest: str = "last_modified_timestamp") -> DataFrame:

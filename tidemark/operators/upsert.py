@@ -22,23 +22,31 @@ def ensure_unique(source: DataFrame, keys: Sequence[str], newest: str | None, st
     return dedupe_latest(source, keys, newest=newest) if newest else source
 
 
+BROADCAST_ROWS = 200_000
+
+
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], *, update: Sequence[str] | None = None,
-           newest: str | None = None, strict: bool = False) -> DataFrame:
-    """The target after the merge, as one full outer join on the keys.
+           newest: str | None = None, strict: bool = False, source_rows: int | None = None) -> DataFrame:
+    """The target after the merge.
 
     `update` lists the columns a match overwrites (default: every source
     column but the keys); columns not listed keep the target's value. Columns
     the source lacks stay null on insert. `newest` picks the latest of several
     source rows per key; `strict` raises instead. Both sides then hold one row
-    per key.
+    per key, so no join partition can be hot.
+
+    In general one full outer join on the keys. When the caller has counted
+    the source (`source_rows`) and it is small, the source is broadcast
+    instead and the target is neither shuffled nor sorted.
     """
     src = ensure_unique(source, keys, newest, strict)
     updated = set(update if update is not None else [c for c in source.columns if c not in keys])
+    small = source_rows is not None and source_rows <= BROADCAST_ROWS
     t = target.withColumn("_t", F.lit(True)).alias("t")
     s = src.withColumn("_s", F.lit(True)).alias("s")
-    matched_or_new = F.col("s._s").isNotNull()
-    existing = F.col("t._t").isNotNull()
-    joined = t.join(s, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys], "full_outer")
+    same_key = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys]
+    joined = t.join(F.broadcast(s), same_key, "left") if small else t.join(s, same_key, "full_outer")
+    from_source, existing = F.col("s._s").isNotNull(), F.col("t._t").isNotNull()
     out = []
     for c in target.columns:
         if c in keys:
@@ -46,11 +54,18 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], *, update:
         elif c not in source.columns:
             expr = F.col(f"t.{c}")
         elif c in updated:
-            expr = F.when(matched_or_new, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}"))
+            expr = F.when(from_source, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}"))
         else:
             expr = F.when(existing, F.col(f"t.{c}")).otherwise(F.col(f"s.{c}"))
         out.append(expr.cast(target.schema[c].dataType).alias(c))
-    return joined.select(*out)
+    merged = joined.select(*out)
+    if not small:
+        return merged
+    # keys of the source found in the target: at most source_rows, as the target has one row per key
+    known = target.select(*keys).join(F.broadcast(src.select(*keys)), list(keys), "left_semi")
+    inserted = src.join(known, list(keys), "left_anti").select(*[
+        (F.col(c) if c in source.columns else F.lit(None)).cast(target.schema[c].dataType).alias(c) for c in target.columns])
+    return merged.unionByName(inserted)
 
 
 def replace_keys(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.expressions import any_of, elapsed, percent, ratio, ts
-from ..operators.lookups import orphans
+from ..operators.changes import repeated_rows
+from ..operators.lookups import orphan_count
 from ..operators.neighbors import next_value
 from ..operators.quality import Check, Tables
 from ..operators.scd import dimension_audit
@@ -63,7 +64,7 @@ def _fact_orphans(t: Tables) -> DataFrame:
     links = [("fact_performance", "campaign_key", "dim_campaign"), ("fact_performance", "channel_key", "dim_channel"),
              ("fact_performance", "date_key", "dim_date"), ("fact_sales", "customer_key", "dim_customer"),
              ("fact_sales", "product_key", "dim_product"), ("fact_sales", "campaign_key", "dim_campaign"), ("fact_sales", "date_key", "dim_date")]
-    parts = [_count(orphans(t[f], t[d], k)) for f, k, d in links]
+    parts = [orphan_count(t[f], t[d], k) for f, k, d in links]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -132,7 +133,7 @@ CHECKS: list[Check] = [
         t, "bronze_campaigns", "bronze_customers", "bronze_performance").agg(
         F.count_if(elapsed("HOUR", "newest", _now(t)) > 24).alias("actual"))),
     Check("B4", "Bronze No Duplicate Rows", B, "UNIQUENESS", "HIGH",
-          frame=lambda t: _repeated(t["bronze_sales"], *t["bronze_sales"].columns)),
+          frame=lambda t: _count(repeated_rows(t["bronze_sales"]))),
     Check("B5", "Bronze Load Timestamps Present", B, "COMPLETENESS", "HIGH", "bronze_performance",
           violates=lambda t: F.col("load_timestamp").isNull()),
     Check("B6", "Bronze Valid Date Formats", B, "VALIDITY", "MEDIUM", "bronze_campaigns_json",
@@ -157,7 +158,7 @@ CHECKS: list[Check] = [
         elapsed("HOUR", F.min("newest"), F.max("newest")).alias("actual"))),
 
     Check("S1", "Silver RI - Performance to Campaigns", S, "CONSISTENCY", "CRITICAL",
-          frame=lambda t: _count(orphans(t["silver_performance"], t["silver_campaigns"], "campaign_id"))),
+          frame=lambda t: orphan_count(t["silver_performance"], t["silver_campaigns"], "campaign_id")),
     Check("S2", "Silver Business Logic - Clicks <= Impressions", S, "ACCURACY", "HIGH", "silver_performance",
           violates=lambda t: F.col("clicks") > F.col("impressions")),
     Check("S3", "Silver CTR Calculation", S, "ACCURACY", "MEDIUM", "silver_performance",
@@ -184,9 +185,10 @@ CHECKS: list[Check] = [
     Check("S15", "Silver Load Timestamp Consistency", S, "TIMELINESS", "LOW", "silver_performance",
           violates=lambda t: ~F.col("source_load_timestamp").between(_now(t) - F.make_dt_interval(F.lit(7)), _now(t))),
     Check("S16", "Silver Geography Lookup", S, "CONSISTENCY", "MEDIUM",
-          frame=lambda t: _count(orphans(t["customer_geography"], t["geography"], "nation_key"))),
+          frame=lambda t: orphan_count(t["customer_geography"], t["geography"], "nation_key")),
     Check("S17", "Silver Channel Attribution", S, "COMPLETENESS", "MEDIUM",
-          frame=lambda t: _count(orphans(t["silver_campaigns"], t["silver_performance"].where(F.col("channel_id").isNotNull()), "campaign_id"))),
+          frame=lambda t: orphan_count(
+              t["silver_campaigns"], t["silver_performance"].where(F.col("channel_id").isNotNull()), "campaign_id")),
     Check("S18", "Silver Cost-Revenue Relationship", S, "ACCURACY", "MEDIUM", "silver_performance",
           violates=lambda t: (F.col("revenue") > 0) & (F.col("cost") == 0)),
     Check("S19", "Silver Aggregate Totals Match", S, "CONSISTENCY", "MEDIUM",

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .. import session
 from ..functions import calendar as cal, silver
+from ..functions.expressions import clean_id
 from ..operators import facts, scd
 from ..operators.changes import dedupe_latest
 from ..sources import entities, sinks
@@ -32,11 +33,16 @@ _SALES_TIES = ["order_id", "customer_id", "product_id", "campaign_id", "order_da
 
 
 def silver_table(spark: SparkSession, sf_dir: str, name: str, run_ts: str = RUN_TS) -> DataFrame:
-    """One cleansed entity, one row per natural key."""
-    out = silver.SILVER[name](entities.BRONZE[name](spark, sf_dir), run_ts)
+    """One cleansed entity, one row per natural key.
+
+    Duplicates go before the cleansing: only survivors get derived columns,
+    and those columns do not travel through the exchange.
+    """
+    bronze = entities.BRONZE[name](spark, sf_dir)
     if name == "sales":
-        out = dedupe_latest(out, ["order_line_id"], [F.col(c).desc_nulls_last() for c in _SALES_TIES])
-    return out
+        keyed = bronze.withColumn("order_line_id", clean_id("order_line_id"))
+        bronze = dedupe_latest(keyed, ["order_line_id"], [F.col(c).desc_nulls_last() for c in _SALES_TIES])
+    return silver.SILVER[name](bronze, run_ts)
 
 
 @dataclass

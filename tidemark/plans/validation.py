@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.expressions import any_of, day, elapsed, mean2, percent, ratio, ts
-from ..operators.lookups import orphans
+from ..operators.lookups import orphan_count
 
 PASS, FAIL = "✅ PASS", "❌ FAIL"
 
@@ -43,9 +43,9 @@ def duplicates(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
 
 
 def missing_parents(links: Sequence[tuple[str, DataFrame, DataFrame, str]]) -> DataFrame:
-    return _union([orphans(child, parent, column).agg(
-        F.lit(f"{name} - Orphaned {column}").alias("check_name"), F.count(F.lit(1)).alias("orphan_count"),
-        verdict(F.count(F.lit(1)) == 0).alias("status")) for name, child, parent, column in links])
+    return _union([orphan_count(child, parent, column, name="orphan_count").select(
+        F.lit(f"{name} - Orphaned {column}").alias("check_name"), "orphan_count",
+        verdict(F.col("orphan_count") == 0).alias("status")) for name, child, parent, column in links])
 
 
 def business_rules(t: Mapping[str, DataFrame]) -> DataFrame:

@@ -5,8 +5,10 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 # AQE splits skewed join partitions even where that costs one more exchange:
 # a hot customer or campaign must not pin a stage to one task.
@@ -79,6 +81,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
                         f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+_WRITTEN: dict[tuple[str, str], tuple[str, StructType]] = {}
+
+
+def written_once(spark: SparkSession, name: str, plan: Callable[[], DataFrame]) -> DataFrame:
+    """A table several queries of this application read: written on first use in the shared folder."""
+    key = (spark.sparkContext.applicationId, name)
+    if key not in _WRITTEN:
+        df, path = plan(), scratch_path(spark, name.split("|")[0])
+        df.write.parquet(path)
+        _WRITTEN[key] = (path, df.schema)
+    path, schema = _WRITTEN[key]
+    return spark.read.schema(schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder; survives the loss of executors."""
     shared_dir(df.sparkSession)

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .tables import balanced
+
 _LOAD = "timestamp_ntz'2024-02-01 00:00:00' + make_dt_interval(cast({key} % 3 as int)) AS load_timestamp"
 _MODIFIED = "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(cast({key} % 28 as int)) AS last_modified_timestamp"
 _SOURCE = "'erp' AS source_system"
@@ -115,7 +117,7 @@ def performance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").join(
+    lines = balanced(table(spark, sf_dir, "lineitem")).join(
         table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate"),
         F.col("l_orderkey") == F.col("o_orderkey"))
     priced = lines.selectExpr(

@@ -46,6 +46,18 @@ def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) ->
         *partition_by).parquet(path)
 
 
+def merge_partitions(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str], partition: str, newest: str | None = None) -> None:
+    """Merge into a partitioned table, rewriting only the partitions the source touches.
+
+    For keys that never change their partition, such as facts by event month.
+    The touched partition values are a short list; they prune the read of the
+    target and are replaced in one commit.
+    """
+    touched = [r[0] for r in source.select(partition).distinct().collect()]
+    current = spark.read.parquet(path).where(F.col(partition).isin(touched))
+    replace_partitions(upsert(current, source, list(keys), newest=newest), path, [partition])
+
+
 class VersionedTable:
     """A Parquet table kept as numbered versions below one root.
 
