@@ -233,6 +233,13 @@ def ri_log(links: Sequence[tuple[str, DataFrame, str, str, DataFrame, str]], run
     return reduce(DataFrame.unionByName, parts)
 
 
+def _frequent(column: str, n: int = 5) -> Column:
+    """The most frequent values by sketch; nulls count as a value there and are left out."""
+    found = F.call_function("approx_top_k", F.col(column).cast("string"), F.lit(n + 1))
+    values = F.transform(F.filter(found, lambda s: s["item"].isNotNull()), lambda s: s["item"])
+    return F.to_json(F.slice(values, 1, n))
+
+
 def profile_columns(df: DataFrame, table: str, columns: Sequence[str] | None = None, accuracy: int = 10000,
                     approximate: bool = False) -> DataFrame:
     """Per column: rows, distinct, nulls, min, max, avg, median, deviation, five most frequent values.
@@ -254,7 +261,7 @@ def profile_columns(df: DataFrame, table: str, columns: Sequence[str] | None = N
             F.lit(c).alias("column_name"), F.lit(df.schema[c].dataType.simpleString()).alias("data_type"),
             F.count(F.lit(1)).alias("row_count"), (F.count(F.lit(1)) - F.count(c)).alias("null_count"),
             *([F.approx_count_distinct(c).alias("distinct_count"),
-               F.to_json(F.transform(F.approx_top_k(F.col(c).cast("string"), 5), lambda s: s["item"])).alias("top_5_values")] if approximate else []),
+               _frequent(c).alias("top_5_values")] if approximate else []),
             F.min(c).cast("string").alias("min_value"), F.max(c).cast("string").alias("max_value"),
             (F.avg(n) if is_num else nothing).alias("avg_value"),
             (F.percentile_approx(n, 0.5, accuracy) if is_num else nothing).alias("median_value"),
