@@ -2,7 +2,7 @@
 
 b_* bronze entities, s_* cleansed, d_* dimensions, f_* facts, v_* views,
 a_* audit logs. `rnd` rounds half up: Spark divides exact decimals, so the
-double quotient is nudged by 1e-9 before rounding.
+double quotient is widened by a few units in its last place before rounding.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ CALENDAR_START, CALENDAR_END = "1995-01-01", "2030-12-31"
 
 
 def rnd(x: str, n: int) -> str:
-    return f"round(({x}) + 1e-9 * sign({x}), {n}) + 0.0"
+    return f"round(({x}) * (1 + 1e-14), {n}) + 0.0"
 
 
 def q4(x: str) -> str:

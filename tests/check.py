@@ -52,8 +52,9 @@ def compare(spark, con, sf_dir: str, key: str, fn, sql: str | None):
             return f"uncast check columns {odd}", len(got)
     a, b = canonical(got, df.columns), canonical(want, columns)
     if a != b:
-        only_a = [x for x in a if x not in set(b)][:2]
-        only_b = [x for x in b if x not in set(a)][:2]
+        in_a, in_b = set(a), set(b)
+        only_a = [x for x in a if x not in in_b][:2]
+        only_b = [x for x in b if x not in in_a][:2]
         return f"rows {len(a)} vs {len(b)}; columns {sorted(columns)}\n   spark {only_a}\n   check {only_b}", len(got)
     return None, len(got)
 
