@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES: list[str] = ["exact_dedup"]
+MODULES: list[str] = ["exact_dedup", "ngram_join"]
 
 
 def registered():
