@@ -1,4 +1,8 @@
-"""The corpus pipeline: documents to token ids, stage by stage."""
+"""The corpus pipeline: `documents` to token ids.
+
+Quality rules, exact de-duplication, near de-duplication, mixing of sources, encoding. Every stage takes all that the
+one before kept, as a written table; all but the last return the columns of the input, whatever those are called.
+"""
 
 from __future__ import annotations
 
@@ -7,17 +11,48 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark import session
-from tidemark.llm import common, exact_dedup
+from tidemark.llm import bpe, common, exact_dedup, mixing, ngram_join, quality_rules
+
+USED = ("doc_id", "text", "lang", "source")
+
+
+def _filtered(docs: DataFrame, work: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """`work` on `docs`, with columns it does not use under names that clash with nothing, and the same columns after."""
+    common.tune(docs.sparkSession)
+    inner = {c: c if c in USED else f"_column_{k}" for k, c in enumerate(docs.columns)}
+    out = work(docs.select(*[F.col(f"`{c}`").alias(inner[c]) for c in docs.columns]))
+    return out.select(*[F.col(inner[c]).alias(c) for c in docs.columns])
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the fertility rules reject go."""
+    return _filtered(docs, lambda d: quality_rules.quality_rules(d).where("kept"))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of equal texts stays, that of the smallest doc_id."""
+    return _filtered(docs, exact_dedup.keep_first)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked by 0.8 or more of their shingles of five words stays, that of the smallest doc_id."""
+    return _filtered(docs, lambda d: ngram_join.keep_one(d, n=5, percent=80))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents repeated to the sources' target weights, in global random order."""
+    return _filtered(docs, mixing.mix_sources)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document in place of its text."""
     common.tune(spark)
-    return exact_dedup.keep_first(docs)
+    return bpe.encode_texts(docs)
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [("exact_dedup", drop_copies)]
-ORACLE_SQL = None
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality_rules", quality), ("exact_dedup", drop_copies), ("ngram_jaccard_join", drop_near_copies), ("mixing", mix), ("bpe_encoding", encode)]
+ORACLE_SQL = None  # no SQL for fertility; tested against a brute-force version
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
