@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES: list[str] = ["exact_dedup", "ngram_join", "quality_rules", "mixing", "bpe", "token_files"]
+MODULES: list[str] = ["exact_dedup", "ngram_join", "quality_rules", "mixing", "bpe", "token_files", "url_filter"]
 
 
 def registered():
