@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import importlib
 
-MODULES: list[str] = ["exact_dedup", "ngram_join", "quality_rules", "mixing", "bpe", "token_files", "url_filter"]
+MODULES: list[str] = ["exact_dedup", "ngram_join", "quality_rules", "mixing", "bpe", "token_files", "url_filter",
+                      "quality_classifier"]
 
 
 def registered():
