@@ -8,9 +8,10 @@ prefix filtering with a rare-first order:
 * Documents with equal sets are one node from the start.
 * A node posts the shingles of its prefix (the rarest n - ceil(t n) + 1): two nodes that link share one of them.
   Shingles posted once are dropped.
-* Candidate pairs on a shared posting pass the length filter, the positional filter, and the suffix filter (both sets
-  split by hash ranges; the differences of the parts' sizes bound the intersection). Pairs that remain are verified
-  once, on whole texts.
+* Candidate pairs on a shared posting pass the length filter, the positional filter, and the suffix filter in two
+  forms: the parities of hash parts differ in no more places than the sets have different shingles, which is told by
+  a few XORs while the posting lists meet; and the sizes of parts differ by no more than that. Pairs that remain are
+  verified once, on whole texts.
 
 Groups of near copies must not become all their pairs. Only what links join matters, so two passes first verify each
 posting list against one of its members and contract what was found; pairs of nodes known to be in one component are
@@ -33,8 +34,10 @@ from .components import components
 COUNTERS = 1 << 20   # of the frequency table; 4 bytes each
 BLOCK = 1 << 12      # counters summed at a time
 PARTS = 16           # hash ranges of the suffix filter
+LANES = 4            # 64-bit words of part parities
 STARS = 2            # passes against one member of each posting list
 _BITS = 64 - int(np.log2(PARTS))
+_LANES = [f"lane{k}" for k in range(LANES)]
 
 
 class Shingler:
@@ -114,7 +117,7 @@ def _sign(id_column: str, text: str, n: int, percent: int, shared):
         shingler, frequency = Shingler(n), shared.value
         shift = np.uint64(64 - int(np.log2(len(frequency))))
         for batch in batches:
-            sizes, digests, prefixes, parts = [], [], [], []
+            sizes, digests, prefixes, parts, lanes = [], [], [], [], []
             for found in shingler.sets(common.texts(batch.column(text))):
                 size = len(found)
                 sizes.append(size)
@@ -122,12 +125,15 @@ def _sign(id_column: str, text: str, n: int, percent: int, shared):
                 order = np.argsort(frequency[found >> shift], kind="stable")[:size - -(-percent * size // 100) + 1]
                 prefixes.append(found[order].view(np.int64))
                 parts.append(np.bincount(found >> np.uint64(_BITS), minlength=PARTS))
-            lengths = np.cumsum([0] + [len(p) for p in prefixes])
+                odd = np.bincount(found & np.uint64(64 * LANES - 1), minlength=64 * LANES) & 1
+                lanes.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
+            lengths, lanes = np.cumsum([0] + [len(p) for p in prefixes]), np.stack(lanes)
             yield pa.RecordBatch.from_arrays([
                 batch.column(id_column), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
                 pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(np.concatenate(prefixes))),
-                pa.FixedSizeListArray.from_arrays(pa.array(np.concatenate(parts).astype(np.int32)), PARTS).cast(pa.list_(pa.int32()))],
-                names=["doc_id", "n_shingles", "digest", "prefix", "parts"])
+                pa.FixedSizeListArray.from_arrays(pa.array(np.concatenate(parts).astype(np.int32)), PARTS).cast(pa.list_(pa.int32())),
+                *[pa.array(lanes[:, k]) for k in range(LANES)]],
+                names=["doc_id", "n_shingles", "digest", "prefix", "parts", *_LANES])
     return run
 
 
@@ -158,7 +164,8 @@ class _Join:
     def __init__(self, docs: DataFrame, signs: DataFrame, reps: DataFrame, n: int, percent: int):
         self.n, self.percent = n, percent
         nodes = signs.where("n_shingles > 0").join(reps.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
-        posted = nodes.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("size"), F.posexplode("prefix").alias("pos", "token"))
+        posted = nodes.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("size"), *_LANES,
+                              F.posexplode("prefix").alias("pos", "token"))
         shared = posted.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("token")
         self.postings = common.staged(posted.join(shared, "token"), "join-postings")
         mine = self.postings.select(F.col("node").alias("doc_id")).distinct()
@@ -177,12 +184,14 @@ class _Join:
         return common.staged(now.join(mixed, "token", "left_semi"), "join-mixed")
 
     def possible(self, x: str, y: str):
-        """Length and positional filter on two postings of one token."""
+        """Length, positional and parity filter on two postings of one token."""
         size = F.col(f"{x}.size") + F.col(f"{y}.size")
         need = self.need(size)
         rest = F.least(*[F.col(f"{k}.size") - F.col(f"{k}.pos") for k in (x, y)])
         smaller, larger = (f(F.col(f"{x}.size"), F.col(f"{y}.size")) for f in (F.least, F.greatest))
-        return (100 * smaller >= self.percent * larger) & (rest >= need) & (F.col(f"{x}.root") != F.col(f"{y}.root"))
+        apart = sum(F.bit_count(F.col(f"{x}.{k}").bitwiseXOR(F.col(f"{y}.{k}"))) for k in _LANES)
+        return ((100 * smaller >= self.percent * larger) & (rest >= need) & (F.col(f"{x}.root") != F.col(f"{y}.root"))
+                & (apart <= size - 2 * need))
 
     def need(self, sizes):
         """Intersection that a union of sets of these sizes together asks for."""
@@ -192,7 +201,7 @@ class _Join:
         postings = self.rooted()
         rank = F.xxhash64("node", F.lit(turn))
         lead = common.staged(postings.groupBy("token").agg(
-            F.min(F.struct(rank.alias("rank"), "node", "size", "pos", "root")).alias("y")).select("token", "y.*"), "join-leads")
+            F.min(F.struct(rank.alias("rank"), "node", "size", "pos", "root", *_LANES)).alias("y")).select("token", "y.*"), "join-leads")
         return (postings.alias("x").join(lead.alias("y"), "token").where(self.possible("x", "y"))
                 .select(F.col("y.node").alias("a"), F.col("x.node").alias("b")))
 
@@ -240,7 +249,8 @@ def similar_groups(df: DataFrame, id_column: str = "doc_id", text_column: str =
     docs = df.select(F.col(f"`{id_column}`").cast("long").alias("doc_id"), F.col(f"`{text_column}`").alias("text"))
     shared = spark.sparkContext.broadcast(frequencies(docs, "text", n, counters))
     signs = common.staged(docs.mapInArrow(_sign("doc_id", "text", n, percent, shared),
-                                          "doc_id long, n_shingles long, digest binary, prefix array<long>, parts array<int>"), "join-signs")
+                                          "doc_id long, n_shingles long, digest binary, prefix array<long>, parts array<int>, "
+                                          + ", ".join(f"{k} long" for k in _LANES)), "join-signs")
     sets = signs.where("n_shingles > 0 and doc_id is not null")
     reps = common.staged(sets.groupBy("digest").agg(F.min("doc_id").alias("node")), "join-reps")
     join = _Join(docs, signs, reps, n, percent)
