@@ -174,9 +174,10 @@ def judged(found: DataFrame, lang_column: str = "lang", band: float = BAND) -> D
         reach = band * F.greatest(high - mid, LEAST_SPREAD * mid)
         return mid - reach if low else F.greatest(mid + reach, F.lit(FALLBACK_SHARE))
 
-    bands = found.where(~F.col("base_failed")).groupBy(F.col(lang).alias("b_lang"), F.col(short).alias("b_short")).agg(
+    # written first: Spark then knows the size of this small table and need not deal the documents out by language
+    bands = common.staged(found.where(~F.col("base_failed")).groupBy(F.col(lang).alias("b_lang"), F.col(short).alias("b_short")).agg(
         lines("chars_per_token", True).alias("b_chars"), lines("token_entropy", True).alias("b_entropy"),
-        lines("byte_fallback_share", False).alias("b_fallback"))
+        lines("byte_fallback_share", False).alias("b_fallback")), "quality-bands")
     within = ((F.col("chars_per_token") >= F.col("b_chars")) & (F.col("token_entropy") >= F.col("b_entropy"))
               & (F.col("byte_fallback_share") <= F.col("b_fallback")))
     joined = found.join(bands, (F.col(lang) == F.col("b_lang")) & (F.col(short) == F.col("b_short")), "left")
