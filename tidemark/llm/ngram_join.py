@@ -117,6 +117,8 @@ def _sign(id_column: str, text: str, n: int, percent: int, shared):
         shingler, frequency = Shingler(n), shared.value
         shift = np.uint64(64 - int(np.log2(len(frequency))))
         for batch in batches:
+            if not batch.num_rows:
+                continue
             sizes, digests, prefixes, parts, lanes = [], [], [], [], []
             for found in shingler.sets(common.texts(batch.column(text))):
                 size = len(found)

@@ -158,8 +158,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", held_out:
     """Weights learnt from labelled rows outside the held-out fold; all zero without any."""
     rows = (labelled_sample(docs, labels, label, held_out, sample).select("text", "label", F.md5(F.col("doc_id").cast("string")).alias("turn"))
             .withColumn("epoch", F.explode(F.sequence(F.lit(1), F.lit(epochs)))).repartition(1).sortWithinPartitions("epoch", "turn", "label"))
-    (_, weights), = rows.select("text", "label").mapInArrow(_train(bits, options), "seen long, weights binary").collect()
-    return np.frombuffer(weights, np.float32)
+    learnt = rows.select("text", "label").mapInArrow(_train(bits, options), "seen long, weights binary").collect()
+    return np.frombuffer(learnt[0].weights, np.float32) if learnt else np.zeros((1 << bits) + 1, np.float32)
 
 
 def _score(shared, bits: int, text: str):

@@ -202,29 +202,32 @@ class LabelModel:
         p0, p1 = ((1 - self.prior) * self._class(self.weights[0]), self.prior * self._class(self.weights[1]))
         return p1 / (p0 + p1 + 1e-300)
 
-    def fit(self, counts: np.ndarray, rates: np.ndarray, prior: float, edges: int = EDGES, rounds: int = 30) -> LabelModel:
-        """counts: of each combination in all documents; rates: first guess of each voter's rate of hits for both classes."""
-        self.prior = float(np.clip(prior, 1e-3, 0.5))
+    def fit(self, counts: np.ndarray, rates: np.ndarray, prior: float, edges: int = EDGES, rounds: int = 12) -> LabelModel:
+        """counts: of each combination in all documents; rates: first guess of each voter's rate of hits for both classes.
+
+        A pair of voters gets a term where that alone raises the likelihood most, and by more than the term costs.
+        """
         clipped = np.clip(rates, 1e-4, 1 - 1e-4)
-        self.weights = self.start = [np.log(r / (1 - r)) for r in clipped]
-        self.weights = list(self.weights)
-        if counts.sum() == 0:
-            return self
-        self._run(counts, rounds)
-        post, n = self.posterior(), self.votes.shape[1]
-        model = (1 - self.prior) * self._class(self.weights[0]) + self.prior * self._class(self.weights[1])
-        gap = {}
-        for i in range(n):
-            for j in range(i):
-                both = self.votes[:, i] * self.votes[:, j]
-                seen, thought = counts @ both / counts.sum(), model @ both
-                gap[j, i] = abs(seen - thought) / np.sqrt(thought * (1 - thought) / counts.sum() + 1e-12)
-        self.pairs = sorted(gap, key=gap.get, reverse=True)[:edges]
-        self.weights = [np.append(w, np.zeros(len(self.pairs))) for w in self.weights]
-        self.start = [np.append(w, np.zeros(len(self.pairs))) for w in self.start]
-        self._run(counts, rounds)
+        logits, prior = np.log(clipped / (1 - clipped)), float(np.clip(prior, 1e-3, 0.5))
+        n, total = self.votes.shape[1], counts.sum()
+        if not total:
+            rounds = 0
+        plain = self._fitted(counts, logits, prior, [], rounds)
+        gain = {(j, i): self._fitted(counts, logits, prior, [(j, i)], rounds) - plain for i in range(n) for j in range(i)} if rounds else {}
+        best = sorted((p for p in gain if gain[p] > np.log(total)), key=gain.get, reverse=True)[:edges]
+        self._fitted(counts, logits, prior, best, 2 * rounds)
         return self
 
+    def _fitted(self, counts: np.ndarray, logits: np.ndarray, prior: float, pairs: list[tuple[int, int]], rounds: int) -> float:
+        """Fit with these pairs; the log likelihood."""
+        self.pairs, self.prior = pairs, prior
+        self.start = [np.append(w, np.zeros(len(pairs))) for w in logits]
+        self.weights = list(self.start)
+        if rounds:
+            self._run(counts, rounds)
+        p = (1 - self.prior) * self._class(self.weights[0]) + self.prior * self._class(self.weights[1])
+        return float(counts @ np.log(p + 1e-300))
+
 
 def _mine(batches):
     def rows():
@@ -299,8 +302,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, cut: float = CUT, held_ou
     ids = (docs.where(F.col("doc_id").isNotNull() & (common.fold(docs, "doc_id", held_out[0]) != held_out[1]))
            .select("doc_id").orderBy(turn, "doc_id").limit(sample))
     learnt = docs.join(F.broadcast(ids), "doc_id").select("text", turn.alias("turn")).repartition(1).sortWithinPartitions("turn")  # `sample` ids
-    (weights,), = learnt.select("text").mapInArrow(_learn(lexicon, context.broadcast(model.posterior()), bits, LEARNING), "weights binary").collect()
-    scored = docs.mapInArrow(_score(context.broadcast(np.frombuffer(weights, np.float32)), bits), "doc_id long, score double")
+    rows = learnt.select("text").mapInArrow(_learn(lexicon, context.broadcast(model.posterior()), bits, LEARNING), "weights binary").collect()
+    weights = np.frombuffer(rows[0].weights, np.float32) if rows else np.zeros((1 << bits) + 1, np.float32)
+    scored = docs.mapInArrow(_score(context.broadcast(weights), bits), "doc_id long, score double")
     return scored.select("doc_id", (common.fold(scored, "doc_id", held_out[0]) == held_out[1]).alias("held_out"), "score",
                          (F.col("score") >= cut).cast("int").alias("predicted"))
 
