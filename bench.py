@@ -62,7 +62,7 @@ def main() -> None:
     newest = target.agg(F.max("order_date")).scalar()
     few = changed.where(F.col("order_date") > F.date_sub(newest, 25))
     n = few.count()
-    timed("upsert_increment", lambda: drain(upsert(target, few, ["order_line_id"], source_rows=n)))
+    timed("upsert_increment", lambda: drain(upsert(target, few, ["order_line_id"])))
     spark.stop()
     print(json.dumps({
         "metric": "total_query_time", "value": round(sum(spent.values()), 3), "unit": "sec", "queries": spent, "sf": SF_DIR.rsplit("sf", 1)[-1],

@@ -13,7 +13,6 @@ CHANGE_TS = "2024-01-15 00:00:00"
 OPEN_END = "9999-12-31 23:59:59"
 AS_OF_SALES = "2001-08-01"
 AS_OF = "2024-01-31"
-CALENDAR_START, CALENDAR_END = "1995-01-01", "2030-12-31"
 
 
 def rnd(x: str, n: int) -> str:
@@ -54,13 +53,18 @@ def dense(ident: str) -> str:
     return f"row_number() OVER (ORDER BY substr(md5({ident}), 1, 4), {ident})"
 
 
+def padded(key: str, width: int) -> str:
+    """At least `width` digits, never fewer than the key has."""
+    return f"lpad({key}::VARCHAR, greatest({width}, length({key}::VARCHAR))::INTEGER, '0')"
+
+
 TAIL = f"source_system, last_modified_timestamp, load_timestamp AS source_load_timestamp, TIMESTAMP '{RUN_TS}' AS load_timestamp"
 MONEY = "DECIMAL(18,2)"
 
 CTES: dict[str, str] = {}
 
 CTES["b_customers"] = f"""
-SELECT 'CUST-' || lpad(c_custkey::VARCHAR, 8, '0') AS customer_id,
+SELECT 'CUST-' || {padded('c_custkey', 8)} AS customer_id,
   CASE WHEN c_custkey % 41 = 0 THEN NULL ELSE c_name END AS customer_name,
   CASE WHEN c_custkey % 29 = 0 THEN NULL WHEN c_custkey % 17 = 0 THEN ' User' || c_custkey || '.Example.com '
        ELSE ' User' || c_custkey || '@Example.com ' END AS email,
@@ -75,7 +79,7 @@ FROM customer"""
 
 CTES["b_products"] = f"""
 SELECT *, CAST(unit_price - margin AS {MONEY}) AS cost FROM (
-SELECT 'PROD-' || lpad(p_partkey::VARCHAR, 6, '0') AS product_id, 'sku-' || p_partkey AS sku, p_name AS product_name,
+SELECT 'PROD-' || {padded('p_partkey', 6)} AS product_id, 'sku-' || p_partkey AS sku, p_name AS product_name,
   p_type AS category, CASE WHEN p_size % 13 = 0 THEN NULL ELSE 'Size ' || p_size END AS subcategory, p_brand AS brand,
   CAST(CAST(p_retailprice AS {MONEY}) - 880 + p_partkey % 250 AS {MONEY}) AS unit_price,
   CAST(20 + p_partkey % 45 AS DECIMAL(18,4)) AS margin_percent,
@@ -86,7 +90,7 @@ SELECT 'PROD-' || lpad(p_partkey::VARCHAR, 6, '0') AS product_id, 'sku-' || p_pa
 FROM part)"""
 
 CTES["b_campaigns"] = f"""
-SELECT 'CPG-' || lpad(s_suppkey::VARCHAR, 6, '0') AS campaign_id,
+SELECT 'CPG-' || {padded('s_suppkey', 6)} AS campaign_id,
   CASE WHEN s_suppkey % 33 = 5 THEN NULL ELSE 'Campaign ' || s_suppkey END AS campaign_name,
   ['Awareness','Lead Generation','Conversion','Retention','Brand','Promotion'][CAST(s_suppkey % 6 AS INT) + 1] AS campaign_type,
   DATE '2023-11-01' + CAST(s_suppkey % 90 AS INT) AS start_date,
@@ -98,7 +102,7 @@ SELECT 'CPG-' || lpad(s_suppkey::VARCHAR, 6, '0') AS campaign_id,
 FROM supplier"""
 
 CTES["b_channels"] = f"""
-SELECT 'CH-' || lpad(n_nationkey::VARCHAR, 2, '0') AS channel_id, n_name AS channel_name,
+SELECT 'CH-' || {padded('n_nationkey', 2)} AS channel_id, n_name AS channel_name,
   ['Email','Paid Search','Display','Social','Direct','Organic Search','Video','Affiliate'][n_nationkey % 8 + 1] AS channel_type,
   CASE WHEN n_nationkey % 9 = 4 THEN NULL WHEN n_regionkey IN (0, 4) THEN 'Owned' WHEN n_regionkey = 1 THEN 'Earned' ELSE 'Paid' END AS category,
   CASE WHEN n_regionkey = 0 THEN 'Fixed' WHEN n_regionkey = 1 THEN 'Free' ELSE 'CPC' END AS cost_structure,
@@ -107,7 +111,7 @@ FROM nation"""
 
 CTES["b_performance"] = f"""
 SELECT 'PERF-' || strftime(performance_date, '%Y%m%d') || '-' || campaign || '-' || channel AS performance_id,
-  'CPG-' || lpad(campaign::VARCHAR, 6, '0') AS campaign_id, 'CH-' || lpad(channel::VARCHAR, 2, '0') AS channel_id,
+  'CPG-' || {padded('campaign', 6)} AS campaign_id, 'CH-' || {padded('channel', 2)} AS channel_id,
   performance_date, impressions, clicks, cost, conversions, revenue,
   'erp' AS source_system, CAST(performance_date AS TIMESTAMP) AS last_modified_timestamp, {load('campaign')}
 FROM (
@@ -120,10 +124,10 @@ FROM (
   FROM events GROUP BY 1, 2, 3)"""
 
 CTES["b_sales"] = f"""
-SELECT 'ORD-' || lpad(l_orderkey::VARCHAR, 10, '0') AS order_id,
-  'ORD-' || lpad(l_orderkey::VARCHAR, 10, '0') || '-' || lpad(l_linenumber::VARCHAR, 3, '0') AS order_line_id,
-  'CUST-' || lpad(o_custkey::VARCHAR, 8, '0') AS customer_id, 'PROD-' || lpad(l_partkey::VARCHAR, 6, '0') AS product_id,
-  CASE WHEN l_linenumber = 7 THEN NULL ELSE 'CPG-' || lpad(l_suppkey::VARCHAR, 6, '0') END AS campaign_id,
+SELECT 'ORD-' || {padded('l_orderkey', 10)} AS order_id,
+  'ORD-' || {padded('l_orderkey', 10)} || '-' || {padded('l_linenumber', 3)} AS order_line_id,
+  'CUST-' || {padded('o_custkey', 8)} AS customer_id, 'PROD-' || {padded('l_partkey', 6)} AS product_id,
+  CASE WHEN l_linenumber = 7 THEN NULL ELSE 'CPG-' || {padded('l_suppkey', 6)} END AS campaign_id,
   CAST(o_orderdate AS DATE) AS order_date, o_orderdate + to_hours(CAST(8 + l_orderkey % 14 AS INT)) AS order_timestamp,
   quantity, unit_price, discount_amount, tax_amount, line_total, CAST(line_total + tax_amount AS {MONEY}) AS revenue,
   'erp' AS source_system, l_shipdate AS last_modified_timestamp, {load('l_orderkey')}
@@ -192,7 +196,9 @@ SELECT CAST(strftime(full_date, '%Y%m%d') AS INT) AS date_key, full_date, year(f
   day(full_date) AS day_of_month, isodow(full_date) AS day_of_week, dayname(full_date) AS day_name,
   substr(dayname(full_date), 1, 3) AS day_short_name, isodow(full_date) >= 6 AS is_weekend, FALSE AS is_holiday,
   CAST(NULL AS VARCHAR) AS holiday_name, year(full_date) AS fiscal_year, quarter(full_date) AS fiscal_quarter, month(full_date) AS fiscal_month
-FROM (SELECT CAST(unnest(generate_series(DATE '{CALENDAR_START}', DATE '{CALENDAR_END}', INTERVAL 1 DAY)) AS DATE) AS full_date)"""
+FROM (SELECT CAST(unnest(generate_series(
+    date_trunc('year', least((SELECT min(o_orderdate) FROM orders), (SELECT min(ts) FROM events))),
+    date_trunc('year', greatest((SELECT max(o_orderdate) FROM orders), (SELECT max(ts) FROM events))) + INTERVAL 1 YEAR - INTERVAL 1 DAY, INTERVAL 1 DAY)) AS DATE) AS full_date)"""
 
 SCD2_TAIL = (f"TIMESTAMP '{RUN_TS}' AS valid_from, TIMESTAMP '{OPEN_END}' AS valid_to, TRUE AS is_current, 1 AS version_number, "
              f"TIMESTAMP '{RUN_TS}' AS created_timestamp, TIMESTAMP '{RUN_TS}' AS updated_timestamp")

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from ..functions.expressions import mean, percent, ratio
+from ..functions.expressions import all_of, mean, percent, ratio
 
 
 def summary(df: DataFrame, value: str, digits: int = 2) -> DataFrame:
@@ -26,9 +26,10 @@ def distribution(df: DataFrame, column: str, name: str | None = None) -> DataFra
 
 def distinct_counts(df: DataFrame, columns: Sequence[str], approximate: bool = False) -> DataFrame:
     """Distinct values per column, and of all columns together; `approximate` uses mergeable sketches."""
-    joint = F.concat_ws("→", *columns)
     count = F.approx_count_distinct if approximate else F.count_distinct
-    return df.agg(*[count(F.col(c)).alias(f"distinct_{c}") for c in columns], count(joint).alias("distinct_together"))
+    complete = F.when(all_of([F.col(c).isNotNull() for c in columns]), F.struct(*columns))  # a null makes no joint value
+    together = F.approx_count_distinct(complete) if approximate else F.count_distinct(*columns)
+    return df.agg(*[count(F.col(c)).alias(f"distinct_{c}") for c in columns], together.alias("distinct_together"))
 
 
 def conditional_counts(df: DataFrame, by: Sequence[str], conditions: dict[str, Column]) -> DataFrame:

@@ -6,6 +6,7 @@ import time
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -70,6 +71,8 @@ def ingest_table(spark: SparkSession, source: DataFrame, target: VersionedTable,
         chosen, fresh = "replace", source
     else:
         fresh = watermark_filter(source, config.incremental_column, mark or "1990-01-01 00:00:00")
+        if mark is None:  # rows without a time are loaded once, by the first run
+            fresh = source.where(F.col(config.incremental_column).isNull() | (F.col(config.incremental_column) > ts("1990-01-01 00:00:00")))
     column = config.incremental_column
     stats = fresh.agg(F.count(F.lit(1)), F.max(column).cast("string") if column else F.lit(None).cast("string")).first()
     rows, newest = stats[0], stats[1]
@@ -77,12 +80,12 @@ def ingest_table(spark: SparkSession, source: DataFrame, target: VersionedTable,
         return chosen, 0, mark
     if column and newest:
         # rows landing while this load runs stay for the next one
-        fresh = fresh.where(F.col(column) <= ts(newest))
+        fresh = fresh.where(F.col(column).isNull() | (F.col(column) <= ts(newest)))
     keys = config.primary_key
     if not target.exists():
         target.publish(dedupe_latest(fresh, keys, newest=column) if keys and column else fresh)
     elif chosen == "incremental_merge":
-        target.publish(upsert(target.read(), fresh, keys, newest=column, source_rows=rows))
+        target.publish(upsert(target.read(), fresh, keys, newest=column))
     elif chosen == "incremental_append":
         target.append(fresh)
     else:
@@ -98,7 +101,7 @@ def multi_table_ingest(spark: SparkSession, configs: Iterable[TableConfig], read
     threads. Returns the log, which is also appended to <root>/_log.
     """
     state = WatermarkState(spark, f"{root}/_watermarks")
-    configs = list(configs)
+    configs, saving = list(configs), Lock()
 
     def one(config: TableConfig) -> tuple:
         start = time.time()
@@ -107,14 +110,15 @@ def multi_table_ingest(spark: SparkSession, configs: Iterable[TableConfig], read
             mark = state.get(config.table_name)
             target = VersionedTable(spark, f"{root}/{config.table_name}")
             mode, rows, newest = ingest_table(spark, read(config.table_name), target, config, mark)
+            if newest and newest != mark:  # at once: a driver lost later must not load this table again
+                with saving:
+                    state.set_all([(config.table_name, config.incremental_column, newest, run_id, run_ts)])
             return (run_id, config.table_name, mode, "SUCCESS", rows, mark, newest, None, None, time.time() - start)
         except Exception as e:
-            return (run_id, config.table_name, None, "FAILED", 0, mark, mark, "CRITICAL", str(e)[:5000], time.time() - start)
+            return (run_id, config.table_name, None, "FAILED", 0, mark, mark, "CRITICAL", str(e), time.time() - start)
 
     with ThreadPoolExecutor(max_workers=max(1, concurrency)) as pool:
         rows = list(pool.map(one, configs))
-    columns = {c.table_name: c.incremental_column for c in configs}
-    state.set_all([(r[1], columns[r[1]], r[6], run_id, run_ts) for r in rows if r[3] == "SUCCESS" and r[6] and r[6] != r[5]])
     log = spark.createDataFrame([(*r, None) for r in rows], LOG_SCHEMA).withColumn("logged_at", ts(run_ts)).coalesce(1)
     VersionedTable(spark, f"{root}/_log").append(log)
     return log

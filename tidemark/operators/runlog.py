@@ -36,7 +36,7 @@ class RunLog:
         except Exception as e:
             error = e
         end = datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None)
-        self._add((ident, pipeline, layer, environment, start, end, "FAILED" if error else "SUCCESS", rows, str(error)[:5000] if error else None))
+        self._add((ident, pipeline, layer, environment, start, end, "FAILED" if error else "SUCCESS", rows, str(error) if error else None))
         if error and reraise:
             raise error
         return rows

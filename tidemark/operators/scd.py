@@ -11,7 +11,7 @@ from ..session import cut_lineage
 from .changes import dedupe_latest, same
 from .keys import max_key, surrogate_key
 from .neighbors import next_value
-from .upsert import upsert
+from .upsert import ensure_unique, upsert
 
 SCD2_COLUMNS = ["valid_from", "valid_to", "is_current", "version_number", "created_timestamp", "updated_timestamp"]
 
@@ -20,6 +20,7 @@ def scd1(target: DataFrame | None, source: DataFrame, natural: str, key: str, ru
     """Overwrite in place; created_timestamp is kept, updated_timestamp set, new rows get the next keys."""
     stamped = source.withColumn("updated_timestamp", ts(run_ts))
     if target is None:
+        stamped = ensure_unique(stamped.where(F.col(natural).isNotNull()), [natural], None, strict=False)
         return surrogate_key(stamped.withColumn("created_timestamp", ts(run_ts)), [natural], key)
     merged = upsert(target, stamped, [natural])
     known = merged.where(F.col(key).isNotNull())
@@ -30,6 +31,7 @@ def scd1(target: DataFrame | None, source: DataFrame, natural: str, key: str, ru
 def scd2_initial(source: DataFrame, natural: str, key: str, run_ts, valid_from=None) -> DataFrame:
     """Every row is version 1, current, open ended."""
     now = ts(run_ts)
+    source = ensure_unique(source.where(F.col(natural).isNotNull()), [natural], None, strict=False)
     return surrogate_key(source, [natural], key).withColumns({
         "valid_from": ts(valid_from) if valid_from is not None else now,
         "valid_to": ts(OPEN_END),
@@ -41,7 +43,7 @@ def scd2_initial(source: DataFrame, natural: str, key: str, run_ts, valid_from=N
 
 
 def scd2_incremental(target: DataFrame, source: DataFrame, natural: str, key: str, run_ts, *,
-                     track: Sequence[str] | None = None, close_deleted: bool = False,
+                     track: Sequence[str] | None = None, close_deleted: bool = False, newest: str | None = None,
                      stage: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """The whole dimension after one load.
 
@@ -50,13 +52,16 @@ def scd2_incremental(target: DataFrame, source: DataFrame, natural: str, key: st
     when a tracked column changed: the closed version and the new one. Rows
     missing from the source stay open unless `close_deleted`.
 
-    New rows are numbered after the join. `stage` may write the joined rows
+    Several source rows of one key collapse to the latest by `newest` (or to
+    one by their values), rows without a key are left out: there is never more
+    than one current version. New rows are numbered after the join. `stage` may write the joined rows
     (session.cut_lineage does), so that numbering them does not repeat the
     join.
     """
     attributes = [c for c in source.columns if c != natural]
     tracked = list(track or [c for c in attributes if c != "source_system"])
     now = ts(run_ts)
+    source = ensure_unique(source.where(F.col(natural).isNotNull()), [natural], newest, strict=False)
     history = target.where(~F.col("is_current"))
     d = target.where(F.col("is_current")).withColumn("_old", F.lit(True)).alias("d")
     s = source.withColumn("_new", F.lit(True)).alias("s")
@@ -135,6 +140,7 @@ def scd3(target: DataFrame | None, source: DataFrame, natural: str, key: str, tr
     """current_<tracked>, previous_<tracked>, <tracked>_changed_date; the previous value survives unchanged runs."""
     cur, prev, when = f"current_{tracked}", f"previous_{tracked}", f"{tracked}_changed_date"
     now = ts(run_ts)
+    source = ensure_unique(source.where(F.col(natural).isNotNull()), [natural], None, strict=False)  # before the shift: one row decides
     renamed = source.withColumnRenamed(tracked, cur)
     if target is None:
         out = renamed.withColumns({

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.expressions import all_of, any_of
 from .changes import dedupe_latest
 
 
@@ -14,39 +15,45 @@ class DuplicateSourceKeys(ValueError):
 
 
 def ensure_unique(source: DataFrame, keys: Sequence[str], newest: str | None, strict: bool) -> DataFrame:
+    """One row per key: the newest, or the largest of the other columns where no time is named; `strict` raises instead."""
     if strict:
-        doubled = source.groupBy(*keys).count().where("count > 1").limit(1).count()
-        if doubled:
+        if not source.groupBy(*keys).count().where("count > 1").isEmpty():
             raise DuplicateSourceKeys(f"source holds several rows for one of {list(keys)}")
         return source
-    return dedupe_latest(source, keys, newest=newest) if newest else source
+    if newest:
+        return dedupe_latest(source, keys, newest=newest)
+    rest = [c for c in source.columns if c not in keys]
+    return dedupe_latest(source, keys, [F.col(c).desc_nulls_last() for c in rest[1:]] or [F.lit(0)], newest=rest[0] if rest else keys[0])
 
 
-BROADCAST_ROWS = 200_000
+def without_key(source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose key has a null: a merge leaves them out, the load may park them."""
+    return source.where(any_of([F.col(k).isNull() for k in keys]))
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], *, update: Sequence[str] | None = None,
-           newest: str | None = None, strict: bool = False, source_rows: int | None = None) -> DataFrame:
+           newest: str | None = None, strict: bool = False) -> DataFrame:
     """The target after the merge.
 
     `update` lists the columns a match overwrites (default: every source
     column but the keys); columns not listed keep the target's value. Columns
-    the source lacks stay null on insert. `newest` picks the latest of several
-    source rows per key; `strict` raises instead. Both sides then hold one row
-    per key, so no join partition can be hot.
+    the source lacks stay null on insert, columns only the source has are
+    added. With `newest` an older source row never replaces a newer target
+    row. Several source rows of a key collapse to the latest (`strict` raises
+    instead), and rows without a key are left out; see `without_key`.
 
-    In general one full outer join on the keys. When the caller has counted
-    the source (`source_rows`) and it is small, the source is broadcast
-    instead and the target is neither shuffled nor sorted.
+    One full outer join on the keys, one row per key on both sides: no join
+    partition can be hot, and AQE broadcasts where a side is small.
     """
-    src = ensure_unique(source, keys, newest, strict)
+    src = ensure_unique(source.where(all_of([F.col(k).isNotNull() for k in keys])), keys, newest, strict)
     updated = set(update if update is not None else [c for c in source.columns if c not in keys])
-    small = source_rows is not None and source_rows <= BROADCAST_ROWS
     t = target.withColumn("_t", F.lit(True)).alias("t")
     s = src.withColumn("_s", F.lit(True)).alias("s")
-    same_key = [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys]
-    joined = t.join(F.broadcast(s), same_key, "left") if small else t.join(s, same_key, "full_outer")
+    joined = t.join(s, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys], "full_outer")
     from_source, existing = F.col("s._s").isNotNull(), F.col("t._t").isNotNull()
+    if newest and newest in target.columns:
+        stale = existing & (F.col(f"t.{newest}") > F.col(f"s.{newest}"))
+        from_source = from_source & ~F.coalesce(stale, F.col(f"s.{newest}").isNull() & F.col(f"t.{newest}").isNotNull(), F.lit(False))
     out = []
     for c in target.columns:
         if c in keys:
@@ -58,14 +65,8 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], *, update:
         else:
             expr = F.when(existing, F.col(f"t.{c}")).otherwise(F.col(f"s.{c}"))
         out.append(expr.cast(target.schema[c].dataType).alias(c))
-    merged = joined.select(*out)
-    if not small:
-        return merged
-    # keys of the source found in the target: at most source_rows, as the target has one row per key
-    known = target.select(*keys).join(F.broadcast(src.select(*keys)), list(keys), "left_semi")
-    inserted = src.join(known, list(keys), "left_anti").select(*[
-        (F.col(c) if c in source.columns else F.lit(None)).cast(target.schema[c].dataType).alias(c) for c in target.columns])
-    return merged.unionByName(inserted)
+    added = [F.when(from_source, F.col(f"s.{c}")).alias(c) for c in source.columns if c not in target.columns]
+    return joined.select(*out, *added)
 
 
 def replace_keys(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:

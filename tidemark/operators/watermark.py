@@ -26,15 +26,13 @@ def hwm_lookup(target: DataFrame, column: str, default: str = "1990-01-01 00:00:
 
 def watermark_filter(source: DataFrame, column: str, mark, *, default: str = DEFAULT_WATERMARK,
                      full_reload: bool = False, lookback_days: int = 0, from_date: str | None = None,
-                     start_date: str | None = None, end_date: str | None = None,
-                     row_limit: int | None = None) -> DataFrame:
+                     start_date: str | None = None, end_date: str | None = None) -> DataFrame:
     """Rows strictly after the mark.
 
     `mark` is a scalar (a literal predicate that reaches the file scan) or a
     Column such as a scalar subquery. Overrides: `full_reload` ignores the
     mark, `lookback_days` moves it back (load the result by upsert),
-    `from_date` replaces it, `start_date`/`end_date` give an explicit window,
-    and `row_limit` is for trial runs.
+    `from_date` replaces it, and `start_date`/`end_date` give an explicit window.
     """
     if full_reload:
         out = source
@@ -49,7 +47,7 @@ def watermark_filter(source: DataFrame, column: str, mark, *, default: str = DEF
         if lookback_days:
             base = base - F.make_dt_interval(F.lit(lookback_days))
         out = source.where(F.col(column) > base)
-    return out.limit(row_limit) if row_limit else out
+    return out
 
 
 def target_mark(target: DataFrame, column: str, default: str = DEFAULT_WATERMARK) -> Column:

@@ -59,7 +59,7 @@ def log_counts(checks: DataFrame, log: DataFrame, runs: DataFrame, lineage: Data
     return (row(checks, "AUDIT.DATA_QUALITY_CHECKS", F.count_if("is_active"))
             .unionByName(row(log, "AUDIT.DATA_QUALITY_LOG", F.count_if(_is("PASS"))))
             .unionByName(row(runs, "AUDIT.PIPELINE_EXECUTION_LOG", F.count_if(_is("SUCCESS", "execution_status"))))
-            .unionByName(row(lineage, "AUDIT.DATA_LINEAGE", F.count_distinct(F.concat_ws("→", "source_table", "target_table")))))
+            .unionByName(row(lineage, "AUDIT.DATA_LINEAGE", F.count_distinct("source_table", "target_table"))))
 
 
 def missing_entries(catalog: DataFrame, loads: DataFrame, silver: DataFrame, as_of) -> DataFrame:

@@ -6,7 +6,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from .. import session
 from ..functions import calendar as cal, silver
@@ -17,7 +17,6 @@ from ..sources import entities, sinks
 from . import views
 
 RUN_TS = "2024-02-05 00:00:00"
-CALENDAR = ("1995-01-01", "2030-12-31")
 
 CAMPAIGN_COLUMNS = ["campaign_id", "campaign_name", "campaign_type", "status", "objective", "start_date", "end_date",
                     "budget", "duration_days", "source_system"]
@@ -45,6 +44,16 @@ def silver_table(spark: SparkSession, sf_dir: str, name: str, run_ts: str = RUN_
     return silver.SILVER[name](bronze, run_ts)
 
 
+def calendar_bounds(spark: SparkSession, sf_dir: str) -> tuple[Column, Column]:
+    """Whole years around all days the facts can have, as scalar subqueries."""
+    orders = entities.table(spark, sf_dir, "orders").agg(F.to_date(F.min("o_orderdate")).alias("lo"), F.to_date(F.max("o_orderdate")).alias("hi"))
+    events = entities.table(spark, sf_dir, "events").agg(F.to_date(F.min("ts")).alias("lo"), F.to_date(F.max("ts")).alias("hi"))
+    both = orders.unionByName(events)
+    first = both.agg(F.trunc(F.min("lo"), "year")).scalar()
+    last = both.agg(F.date_sub(F.add_months(F.trunc(F.max("hi"), "year"), 12), 1)).scalar()
+    return first, last
+
+
 @dataclass
 class Star:
     """Lazy plans of the star over one source folder; a table in `written` is read from its (path, schema)."""
@@ -65,7 +74,7 @@ class Star:
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return self._get("dim_date", lambda: cal.dim_date(self.spark, *CALENDAR))
+        return self._get("dim_date", lambda: cal.dim_date(self.spark, *calendar_bounds(self.spark, self.sf_dir)))
 
     @cached_property
     def dim_campaign(self) -> DataFrame:

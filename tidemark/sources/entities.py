@@ -9,20 +9,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .tables import balanced
-
 _LOAD = "timestamp_ntz'2024-02-01 00:00:00' + make_dt_interval(cast({key} % 3 as int)) AS load_timestamp"
 _MODIFIED = "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(cast({key} % 28 as int)) AS last_modified_timestamp"
 _SOURCE = "'erp' AS source_system"
 
 
+def padded(key: str, width: int) -> str:
+    """A key as text of at least `width` digits; lpad alone would cut longer ones."""
+    return f"lpad(cast({key} AS string), greatest({width}, length(cast({key} AS string))), '0')"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").selectExpr(
-        "concat('CUST-', lpad(c_custkey, 8, '0')) AS customer_id",
+        f"concat('CUST-', {padded('c_custkey', 8)}) AS customer_id",
         "CASE WHEN c_custkey % 41 = 0 THEN NULL ELSE c_name END AS customer_name",
         "CASE WHEN c_custkey % 29 = 0 THEN NULL"
         " WHEN c_custkey % 17 = 0 THEN concat(' User', c_custkey, '.Example.com ')"
@@ -44,7 +47,7 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
         "cast(20 + p_partkey % 45 AS decimal(18,4)) AS margin_percent",
     ).withColumn("margin", F.expr("cast(round(unit_price * (20 + p_partkey % 45) * 0.01, 2) AS decimal(18,2))"))
     return priced.selectExpr(
-        "concat('PROD-', lpad(p_partkey, 6, '0')) AS product_id",
+        f"concat('PROD-', {padded('p_partkey', 6)}) AS product_id",
         "concat('sku-', p_partkey) AS sku",
         "p_name AS product_name", "p_type AS category",
         "CASE WHEN p_size % 13 = 0 THEN NULL ELSE concat('Size ', p_size) END AS subcategory",
@@ -66,7 +69,7 @@ def _pick(labels: list[str], index: str) -> str:
 
 def campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "supplier").selectExpr(
-        "concat('CPG-', lpad(s_suppkey, 6, '0')) AS campaign_id",
+        f"concat('CPG-', {padded('s_suppkey', 6)}) AS campaign_id",
         "CASE WHEN s_suppkey % 33 = 5 THEN NULL ELSE concat('Campaign ', s_suppkey) END AS campaign_name",
         f"{_pick(CAMPAIGN_TYPES, 's_suppkey')} AS campaign_type",
         "date_add(date'2023-11-01', cast(s_suppkey % 90 AS int)) AS start_date",
@@ -80,7 +83,7 @@ def campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def channels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "nation").selectExpr(
-        "concat('CH-', lpad(n_nationkey, 2, '0')) AS channel_id",
+        f"concat('CH-', {padded('n_nationkey', 2)}) AS channel_id",
         "n_name AS channel_name",
         f"{_pick(CHANNEL_TYPES, 'n_nationkey')} AS channel_type",
         "CASE WHEN n_nationkey % 9 = 4 THEN NULL WHEN n_regionkey IN (0, 4) THEN 'Owned'"
@@ -109,15 +112,15 @@ def performance(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return daily.selectExpr(
         "concat('PERF-', date_format(performance_date, 'yyyyMMdd'), '-', campaign, '-', channel) AS performance_id",
-        "concat('CPG-', lpad(campaign, 6, '0')) AS campaign_id",
-        "concat('CH-', lpad(channel, 2, '0')) AS channel_id",
+        f"concat('CPG-', {padded('campaign', 6)}) AS campaign_id",
+        f"concat('CH-', {padded('channel', 2)}) AS channel_id",
         "performance_date", "impressions", "clicks", "cost", "conversions", "revenue",
         _SOURCE, "cast(performance_date AS timestamp_ntz) AS last_modified_timestamp", _LOAD.format(key="campaign"),
     )
 
 
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = balanced(table(spark, sf_dir, "lineitem")).join(
+    lines = table(spark, sf_dir, "lineitem").join(
         table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate"),
         F.col("l_orderkey") == F.col("o_orderkey"))
     priced = lines.selectExpr(
@@ -133,11 +136,11 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("tax_amount", F.expr(
         "cast(round(line_total * cast(l_tax AS decimal(18,2)), 2) AS decimal(18,2))"))
     return priced.selectExpr(
-        "concat('ORD-', lpad(l_orderkey, 10, '0')) AS order_id",
-        "concat('ORD-', lpad(l_orderkey, 10, '0'), '-', lpad(l_linenumber, 3, '0')) AS order_line_id",
-        "concat('CUST-', lpad(o_custkey, 8, '0')) AS customer_id",
-        "concat('PROD-', lpad(l_partkey, 6, '0')) AS product_id",
-        "CASE WHEN l_linenumber = 7 THEN NULL ELSE concat('CPG-', lpad(l_suppkey, 6, '0')) END AS campaign_id",
+        f"concat('ORD-', {padded('l_orderkey', 10)}) AS order_id",
+        f"concat('ORD-', {padded('l_orderkey', 10)}, '-', {padded('l_linenumber', 3)}) AS order_line_id",
+        f"concat('CUST-', {padded('o_custkey', 8)}) AS customer_id",
+        f"concat('PROD-', {padded('l_partkey', 6)}) AS product_id",
+        f"CASE WHEN l_linenumber = 7 THEN NULL ELSE concat('CPG-', {padded('l_suppkey', 6)}) END AS campaign_id",
         "cast(o_orderdate AS date) AS order_date",
         "o_orderdate + make_dt_interval(0, cast(8 + l_orderkey % 14 AS int)) AS order_timestamp",
         "quantity", "unit_price", "discount_amount", "tax_amount", "line_total",

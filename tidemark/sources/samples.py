@@ -19,7 +19,7 @@ def _pick(salt: str, labels: list[str]) -> Column:
 
 
 def _ident(prefix: str, value: Column, width: int) -> Column:
-    return F.concat(F.lit(prefix), F.lpad(value.cast("string"), width, "0"))
+    return F.concat(F.lit(prefix), F.lpad(value.cast("string"), F.greatest(F.lit(width), F.length(value.cast("string"))), F.lit("0")))
 
 
 def _money(salt: str, low: int, high: int) -> Column:

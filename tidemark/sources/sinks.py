@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -50,20 +51,23 @@ def merge_partitions(spark: SparkSession, path: str, source: DataFrame, keys: Se
     """Merge into a partitioned table, rewriting only the partitions the source touches.
 
     For keys that never change their partition, such as facts by event month.
-    The touched partition values are a short list; they prune the read of the
-    target and are replaced in one commit.
+    The touched partition values prune the read of the target by a semi-join
+    and are replaced in one commit.
     """
-    touched = [r[0] for r in source.select(partition).distinct().collect()]
-    current = spark.read.parquet(path).where(F.col(partition).isin(touched))
+    touched = source.select(partition).distinct()
+    current = spark.read.parquet(path).join(touched, partition, "left_semi")
     replace_partitions(upsert(current, source, list(keys), newest=newest), path, [partition])
 
 
 class VersionedTable:
-    """A Parquet table kept as numbered versions below one root.
-
-    A load writes the next version in full and then publishes it by one small
-    pointer file, so a reader never sees half a table, a load may read the
-    version it replaces, and a failed load changes nothing.
+    """A Parquet table kept as folders below one root.
+
+    A load writes a folder of its own and then publishes it by one small
+    pointer file, named by the version and listing the folders that make it
+    up. A reader never sees half a load, a load may read the version it
+    replaces, a failed load changes nothing, and of two writers of the same
+    version the second fails without touching what the first wrote. An append
+    adds a folder and copies nothing.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -80,32 +84,49 @@ class VersionedTable:
         fs, folder = self._fs(), self._path("_published")
         if not fs.exists(folder):
             return 0
-        return max((int(f.getPath().getName()) for f in fs.listStatus(folder)), default=0)
+        names = [f.getPath().getName() for f in fs.listStatus(folder)]
+        return max((int(n) for n in names if n.isdigit()), default=0)
 
     def exists(self) -> bool:
         return self.version() > 0
 
-    def read(self, version: int | None = None) -> DataFrame | None:
+    def folders(self, version: int | None = None) -> list[str]:
         v = version or self.version()
-        return self.spark.read.parquet(f"{self.root}/v{v}") if v else None
+        return [r.value for r in self.spark.read.text(f"{self.root}/_published/{v}").collect()] if v else []
 
-    def publish(self, df: DataFrame, partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()) -> int:
-        v = self.version() + 1
+    def read(self, version: int | None = None) -> DataFrame | None:
+        listed = self.folders(version)
+        return self.spark.read.option("mergeSchema", len(listed) > 1).parquet(*[f"{self.root}/{f}" for f in listed]) if listed else None
+
+    def _publish(self, version: int, folders: list[str]) -> int:
+        """The pointer appears whole, under a name that must not exist."""
+        fs, draft = self._fs(), self._path("_published", f".draft-{uuid.uuid4().hex}")
+        out = fs.create(draft, False)
+        out.write(bytearray("\n".join(folders), "utf-8"))
+        out.close()
+        target = self._path("_published", str(version))
+        if fs.exists(target) or not fs.rename(draft, target):
+            fs.delete(draft, False)
+            raise FileExistsError(f"version {version} of {self.root} was published by another load")
+        return version
+
+    def _write(self, df: DataFrame, version: int, partition_by: Sequence[str], sort_by: Sequence[str]) -> str:
+        folder = f"v{version}-{uuid.uuid4().hex[:12]}"
         out = spread(df, partition_by)
         if sort_by:
             out = out.sortWithinPartitions(*partition_by, *sort_by)
-        # an unpublished leftover of a failed load may be overwritten
-        out.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{self.root}/v{v}")
-        self._fs().create(self._path("_published", str(v)), False).close()
-        return v
+        out.write.partitionBy(*partition_by).parquet(f"{self.root}/{folder}")
+        return folder
+
+    def publish(self, df: DataFrame, partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()) -> int:
+        v = self.version() + 1
+        return self._publish(v, [self._write(df, v, partition_by, sort_by)])
 
     def append(self, df: DataFrame, partition_by: Sequence[str] = ()) -> int:
-        """Add rows to the published version; the first append creates it."""
-        v = self.version()
-        if not v:
-            return self.publish(df, partition_by)
-        write_append(df.select(*self.read().columns), f"{self.root}/v{v}", partition_by=partition_by)
-        return v
+        """The next version: the folders of this one and the new rows; columns new to the table are kept."""
+        v = self.version() + 1
+        before = self.folders(v - 1) if v > 1 else []
+        return self._publish(v, [*before, self._write(df, v, partition_by, ())])
 
 
 MODES = ("initial", "replace", "truncate_insert", "incremental_append", "incremental_merge")

@@ -15,16 +15,6 @@ def scan_table(spark: SparkSession, name: str, columns: Sequence[str] | None = N
     return df.select(*columns) if columns else df
 
 
-def balanced(df: DataFrame) -> DataFrame:
-    """A scan with fewer splits than the session has cores, spread evenly; any other scan unchanged.
-
-    For small inputs in few large files, where one exchange of the raw columns
-    costs less than computing on a few cores.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def load_parquet_by_name(spark: SparkSession, path: str, pattern: str, target: T.StructType) -> DataFrame:
     """Files matching a glob, matched to the target schema by column name whatever the case.
 
