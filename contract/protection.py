@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from tidemark import session
 from tidemark.operators import protect as p, quality as q
 from tidemark.plans.star import gold, silver_table
 from tidemark.sources import entities, tables
@@ -137,22 +138,36 @@ def secured_view(spark, sf):
 
 # ---- schema and file gates -------------------------------------------------------------------------
 @query("schema_check", """
-SELECT t AS table_name, 0 AS problems, n AS total_rows FROM (
-  SELECT 'orders' AS t, count(*) AS n FROM orders UNION ALL SELECT 'lineitem', count(*) FROM lineitem UNION ALL SELECT 'events', count(*) FROM events)""")
+SELECT 'orders' AS table_name, NULL AS column_name, 'ok' AS problem, (SELECT count(*) FROM orders) AS total_rows
+UNION ALL SELECT 'lineitem', 'l_tax_code', 'missing', (SELECT count(*) FROM lineitem)
+UNION ALL SELECT 'events', 'value', 'double instead of string', (SELECT count(*) FROM events)""")
 def schema_check(spark, sf):
-    """Tables written by one load and checked against the schema they were read with."""
-    rows = []
-    for name in ("orders", "lineitem", "events"):
-        df = entities.table(spark, sf, name)
-        path = session.scratch_path(spark, name)
-        df.write.parquet(path)
-        back = spark.read.parquet(path)
-        rows.append(back.agg(F.lit(name).alias("table_name"), F.lit(len(q.schema_check(back.schema, df.schema))).alias("problems"), F.count("*").alias("total_rows")))
-    return rows[0].unionByName(rows[1]).unionByName(rows[2])
-
-
-@query("file_checks")
+    """Schemas of three tables against expected ones: as it should be, with a column too few, with one of another type."""
+    plans = {n: entities.table(spark, sf, n) for n in ("orders", "lineitem", "events")}
+    expected = {
+        "orders": plans["orders"].schema,
+        "lineitem": T.StructType([*plans["lineitem"].schema.fields, T.StructField("l_tax_code", T.StringType())]),
+        "events": T.StructType([T.StructField("value", T.StringType()) if f.name == "value" else f for f in plans["events"].schema.fields])}
+    parts = []
+    for name, df in plans.items():
+        for column, problem in q.schema_check(df.schema, expected[name]) or [(None, "ok")]:
+            parts.append(df.agg(F.count("*").alias("total_rows")).select(
+                F.lit(name).alias("table_name"), F.lit(column).cast("string").alias("column_name"), F.lit(problem).alias("problem"), "total_rows"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+_FILES = ("orders", "lineitem", "events", "customer", "part", "supplier", "nation", "region")
+
+
+@query("file_checks", " UNION ALL ".join(
+    f"SELECT '{n}.parquet' AS file_name, (SELECT count(*) FROM {n}) > 0 AS has_rows, true AS name_ok, true AS readable" for n in _FILES))
 def file_checks(spark, sf):
-    """The given files as landing files: size, name, age, readable."""
-    listed = tables.file_checks(spark, sf, "*.parquet", r"^[a-z]+\.parquet$", "2024-02-01", recent_days=36500)
-    return listed.withColumn("readable", F.lit(tables.parquet_readable(spark, f"{sf}/orders.parquet")))
+    """The given tables as landing files: name, rows, readable footer."""
+    parts = []
+    for n in _FILES:
+        path = f"{sf}/{n}.parquet"
+        readable = tables.parquet_readable(spark, path)
+        rows = spark.read.parquet(path).agg((F.count("*") > 0).alias("has_rows")) if readable else spark.range(1).select(F.lit(False).alias("has_rows"))
+        name = F.lit(path.rsplit("/", 1)[-1])
+        parts.append(rows.select(name.alias("file_name"), "has_rows", name.rlike(r"^[a-z]+\.parquet$").alias("name_ok"), F.lit(readable).alias("readable")))
+    return reduce(DataFrame.unionByName, parts)

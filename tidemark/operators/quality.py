@@ -224,7 +224,8 @@ def ri_log(links: Sequence[tuple[str, DataFrame, str, str, DataFrame, str]], run
     parts = []
     for fact_name, fact, column, dim_name, dim, key in links:
         keys = dim.select(F.col(key).alias(column))
-        lost = fact.where(F.col(column).isNotNull()).join(keys, column, "left_anti").groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
+        counts = fact.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
+        lost = counts.join(keys, column, "left_anti")
         sample = lost.orderBy(column).limit(5).agg(F.array_sort(F.collect_list(F.col(column).cast("string")))).scalar()
         parts.append(lost.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("orphaned_record_count")).select(
             ts(run_ts).alias("check_timestamp"), F.lit(fact_name).alias("fact_table"), F.lit(dim_name).alias("dimension_table"),
