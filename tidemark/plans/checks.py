@@ -11,6 +11,7 @@ from ..operators.neighbors import next_value
 from ..operators.quality import Check, Tables
 from ..operators.scd import dimension_audit
 
+# Allowed states and tracked columns here, names, layers, categories and severities of the checks below.
 ALLOWED_STATUS = ["Active", "Paused", "Completed", "Planned", "Cancelled"]
 TRACKED = ["customer_name", "email", "phone", "segment", "tier", "status", "lifetime_value"]
 

@@ -7,9 +7,14 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.expressions import day, rank_of, time_key
 from ..operators.lookups import current
 
+# Tiers in rank order, channel types of each class, lower bounds and labels of the bands.
 TIERS = ["Platinum", "Gold", "Silver", "Bronze"]
 PAID_TYPES = ["Paid Search", "Display", "Social"]
 OWNED_TYPES = ["Email", "Organic Search", "Direct"]
+BUDGET_BANDS, BUDGET_REST = [(100000, "High Budget"), (50000, "Medium Budget")], "Low Budget"
+VALUE_BANDS, VALUE_REST = [(20000, "VIP"), (10000, "Premium"), (5000, "Standard")], "Basic"
+MARGIN_BANDS, MARGIN_REST = [(50, "High Margin"), (30, "Medium Margin")], "Low Margin"
+PRICE_BANDS, PRICE_REST = [(200, "Premium"), (100, "Mid-Range")], "Budget"
 
 
 def banded(value: str, bands: list[tuple[float, str]], rest: str):
@@ -32,7 +37,7 @@ def campaign(dim: DataFrame, as_of) -> DataFrame:
         F.col("objective").alias("campaign_objective"), F.col("updated_timestamp").alias("effective_timestamp"),
         (F.datediff("end_date", "start_date") + 1).alias("campaign_duration_days"),
         status.alias("campaign_period_status"),
-        banded("budget", [(100000, "High Budget"), (50000, "Medium Budget")], "Low Budget").alias("budget_category"))
+        banded("budget", BUDGET_BANDS, BUDGET_REST).alias("budget_category"))
 
 
 def customer(dim: DataFrame) -> DataFrame:
@@ -43,7 +48,7 @@ def customer(dim: DataFrame) -> DataFrame:
         F.col("status").alias("customer_status"), F.col("lifetime_value").alias("customer_lifetime_value"),
         F.col("updated_timestamp").alias("effective_timestamp"),
         rank_of("tier", TIERS).alias("tier_rank"),
-        banded("lifetime_value", [(20000, "VIP"), (10000, "Premium"), (5000, "Standard")], "Basic").alias("value_category"),
+        banded("lifetime_value", VALUE_BANDS, VALUE_REST).alias("value_category"),
         (F.col("status") == "Active").alias("is_active_customer"))
 
 
@@ -55,8 +60,8 @@ def product(dim: DataFrame) -> DataFrame:
         F.col("unit_price").alias("product_price"), F.col("cost").alias("product_cost"),
         F.col("margin").alias("product_margin"), F.col("margin_percent").alias("product_margin_percent"),
         "product_status", F.col("updated_timestamp").alias("effective_timestamp"),
-        banded("margin_percent", [(50, "High Margin"), (30, "Medium Margin")], "Low Margin").alias("margin_category"),
-        banded("unit_price", [(200, "Premium"), (100, "Mid-Range")], "Budget").alias("price_tier"))
+        banded("margin_percent", MARGIN_BANDS, MARGIN_REST).alias("margin_category"),
+        banded("unit_price", PRICE_BANDS, PRICE_REST).alias("price_tier"))
 
 
 def channel(dim: DataFrame) -> DataFrame:
