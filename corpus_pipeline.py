@@ -16,11 +16,25 @@ from tidemark.llm import bpe, common, exact_dedup, mixing, ngram_join, quality_r
 USED = ("doc_id", "text", "lang", "source")
 
 
+_LEFT: list[str] = []
+
+
+def _tidy(spark: SparkSession, docs: DataFrame) -> None:
+    """Remove what earlier stages had staged: their results are written by now, unless `docs` still reads from it."""
+    names = [p.rsplit("/", 1)[-1] for p in _LEFT]
+    if names and not any(n in f for f in docs.inputFiles() for n in names):
+        common.remove(spark, *_LEFT)
+        _LEFT.clear()
+
+
 def _filtered(docs: DataFrame, work: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """`work` on `docs`, with columns it does not use under names that clash with nothing, and the same columns after."""
-    common.tune(docs.sparkSession)
+    spark = common.tune(docs.sparkSession)
+    _tidy(spark, docs)
     inner = {c: c if c in USED else f"_column_{k}" for k, c in enumerate(docs.columns)}
+    before = set(common.staged_paths(spark))
     out = work(docs.select(*[F.col(f"`{c}`").alias(inner[c]) for c in docs.columns]))
+    _LEFT.extend(p for p in common.staged_paths(spark) if p not in before)
     return out.select(*[F.col(inner[c]).alias(c) for c in docs.columns])
 
 
@@ -46,7 +60,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document in place of its text."""
-    common.tune(spark)
+    _tidy(common.tune(spark), docs)
     return bpe.encode_texts(docs)
 
 

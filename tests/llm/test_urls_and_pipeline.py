@@ -50,7 +50,7 @@ def test_url_plan_has_no_python(spark):
 @pytest.fixture(scope="module")
 def corpus(spark, tmp_path_factory):
     good = [prose(60 + k % 90, 300 + k) for k in range(120)]
-    texts = good + [good[k] + "  " for k in range(10)] + [near(good[k], k, 1) for k in range(20, 40)] + [" | ".join(prose(80, k).split()) for k in range(5)]
+    texts = good + [good[k].replace(" ", " \n") for k in range(10)] + [near(good[k], k, 1) for k in range(20, 40)] + [" | ".join(prose(80, k).split()) for k in range(5)]
     texts += [None, "", "short text", BASE[4]]
     rows = [(k, t, "en" if k % 7 else None, f"s{k % 3}", len(t or ""), "extra", k, True) for k, t in enumerate(texts)]
     folder = str(tmp_path_factory.mktemp("corpus"))

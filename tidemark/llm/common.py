@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark import session
 
 # A batch handed to Python holds at most this much, so that a task's memory does not follow the length of the texts.
-BATCH_BYTES = "8m"
+BATCH_BYTES = "4m"
 # Distinct words a worker remembers before it starts afresh.
 MEMO_WORDS = 300_000
 
@@ -57,7 +57,29 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = session.scratch_path(spark, name)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    _STAGED.setdefault(spark.sparkContext.applicationId, []).append(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_at = path
+    return out
+
+
+_STAGED: dict[str, list[str]] = {}
+
+
+def staged_paths(spark: SparkSession) -> list[str]:
+    """Staged tables of this application that have not been removed."""
+    return list(_STAGED.get(spark.sparkContext.applicationId, []))
+
+
+def remove(spark: SparkSession, *tables: DataFrame | str | None) -> None:
+    """Delete staged tables, given themselves or by path, that nothing reads any more."""
+    known = _STAGED.get(spark.sparkContext.applicationId, [])
+    for table in tables:
+        path = table if isinstance(table, str) else getattr(table, "staged_at", None)
+        if path in known:
+            known.remove(path)
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def without(df: DataFrame, *names: str) -> DataFrame:

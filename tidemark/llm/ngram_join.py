@@ -164,15 +164,17 @@ class _Join:
     """State of one join: postings, node tables, pairs tested and components so far."""
 
     def __init__(self, docs: DataFrame, signs: DataFrame, reps: DataFrame, n: int, percent: int):
-        self.n, self.percent = n, percent
+        self.n, self.percent, self.spark = n, percent, docs.sparkSession
         nodes = signs.where("n_shingles > 0").join(reps.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
-        posted = nodes.select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("size"), *_LANES,
-                              F.posexplode("prefix").alias("pos", "token"))
+        posted = nodes.select(F.col("doc_id").alias("node"), F.posexplode("prefix").alias("pos", "token"))
         shared = posted.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("token")
-        self.postings = common.staged(posted.join(shared, "token"), "join-postings")
-        mine = self.postings.select(F.col("node").alias("doc_id")).distinct()
+        kept = common.staged(posted.join(shared, "token"), "join-kept")  # few postings are shared: the rest of a node joins them now
+        mine = kept.select(F.col("node").alias("doc_id")).distinct()
         self.nodes = common.staged(signs.where("n_shingles > 0").join(mine, "doc_id", "left_semi")
-                                   .select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("size"), "parts"), "join-nodes")
+                                   .select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("size"), "parts", *_LANES), "join-nodes")
+        self.postings = common.staged(kept.join(self.nodes.drop("parts"), "node"), "join-postings")
+        common.remove(self.spark, kept)
+        mine = self.nodes.select(F.col("node").alias("doc_id"))
         self.texts = common.staged(docs.join(mine, "doc_id", "left_semi").select(F.col("doc_id").alias("node"), "text"), "join-texts")
         self.tested: DataFrame | None = None
         self.roots: DataFrame | None = None
@@ -183,7 +185,9 @@ class _Join:
             return self.postings.withColumn("root", F.col("node"))
         now = common.staged(self.postings.join(self.roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "join-rooted")
         mixed = now.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("token")
-        return common.staged(now.join(mixed, "token", "left_semi"), "join-mixed")
+        out = common.staged(now.join(mixed, "token", "left_semi"), "join-mixed")
+        common.remove(self.spark, now)
+        return out
 
     def possible(self, x: str, y: str):
         """Length, positional and parity filter on two postings of one token."""
@@ -200,24 +204,32 @@ class _Join:
         return F.floor((self.percent * sizes + 99 + self.percent) / (100 + self.percent)).cast("long")
 
     def star(self, turn: int) -> DataFrame:
+        """Pairs of a member of each posting list and all others, untested and staged."""
         postings = self.rooted()
         rank = F.xxhash64("node", F.lit(turn))
         lead = common.staged(postings.groupBy("token").agg(
             F.min(F.struct(rank.alias("rank"), "node", "size", "pos", "root", *_LANES)).alias("y")).select("token", "y.*"), "join-leads")
-        return (postings.alias("x").join(lead.alias("y"), "token").where(self.possible("x", "y"))
-                .select(F.col("y.node").alias("a"), F.col("x.node").alias("b")))
+        pairs = self.untested(postings.alias("x").join(lead.alias("y"), "token").where(self.possible("x", "y")))
+        common.remove(self.spark, lead, postings)
+        return pairs
 
     def rest(self) -> DataFrame:
+        """All pairs that share a posting and are in different components, untested and staged."""
         postings = self.rooted()
-        return (postings.alias("x").join(postings.alias("y"), "token").where(F.col("x.root") < F.col("y.root"))
-                .where(self.possible("x", "y")).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")))
-
-    def test(self, pairs: DataFrame) -> None:
-        """Verify new pairs and take their links into the components."""
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        pairs = self.untested(postings.alias("x").join(postings.alias("y"), "token").where(F.col("x.root") < F.col("y.root"))
+                              .where(self.possible("x", "y")))
+        common.remove(self.spark, postings)
+        return pairs
+
+    def untested(self, met: DataFrame) -> DataFrame:
+        a, b = F.col("x.node"), F.col("y.node")
+        pairs = met.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
         if self.tested is not None:
             pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
-        pairs = common.staged(pairs, "join-pairs")
+        return common.staged(pairs, "join-pairs")
+
+    def test(self, pairs: DataFrame) -> None:
+        """Verify new (staged) pairs and take their links into the components."""
         a, b = (self.nodes.select(F.col("node").alias(k), F.col("size").alias(f"size_{k}"), F.col("parts").alias(f"parts_{k}")) for k in "ab")
         apart = F.aggregate(F.zip_with("parts_a", "parts_b", lambda p, q: F.abs(p - q)), F.lit(0), lambda s, d: s + d)
         sizes = F.col("size_a") + F.col("size_b")
@@ -232,12 +244,15 @@ class _Join:
             links = links.join(olds["a"], "a", "left").join(olds["b"], "b", "left").select(
                 F.coalesce("a2", "a").alias("a"), F.coalesce("b2", "b").alias("b"))
         new = components(links)
+        common.remove(self.spark, found)
         if self.roots is None:
             self.roots = new
         else:
+            before = self.roots
             moved = self.roots.join(new.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left")
             fresh = new.join(self.roots.select("node"), "node", "left_anti")
             self.roots = common.staged(moved.select("node", F.coalesce("top", "root").alias("root")).union(fresh), "join-roots")
+            common.remove(self.spark, before, new)
 
 
 def similar_groups(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", n: int = 5, percent: int = 80,
@@ -259,6 +274,7 @@ def similar_groups(df: DataFrame, id_column: str = "doc_id", text_column: str =
     for turn in range(stars):
         join.test(join.star(turn))
     join.test(join.rest())
+    common.remove(spark, join.postings, join.nodes, join.texts)
     # rows of one id are one node even where their texts differ
     same = sets.select("digest", "doc_id").join(reps, "digest").where("doc_id <> node").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
     twice = same.join(sets.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("doc_id").alias("a")), "a", "left_semi")
@@ -283,4 +299,24 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op4_ngram_jaccard_join": op4_ngram_jaccard_join}
-ORACLE: dict[str, str] = {}
+ORACLE = {"op4_ngram_jaccard_join": r"""
+WITH RECURSIVE split AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x20\x09-\x0D]+') AS words FROM documents),
+grams AS (
+    SELECT doc_id, unnest(list_distinct(
+        CASE WHEN len(words) >= 3 THEN list_transform(range(1, len(words) - 1), lambda i: words[i] || ' ' || words[i + 1] || ' ' || words[i + 2])
+             WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END)) AS gram FROM split),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+pairs AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS met FROM grams a JOIN grams b ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (
+    SELECT x, y FROM pairs JOIN sizes p ON x = p.doc_id JOIN sizes q ON y = q.doc_id WHERE 100 * met >= 90 * (p.n + q.n - met)),
+ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reached AS (
+    SELECT x AS doc_id, x AS root FROM ways
+    UNION
+    SELECT w.y, r.root FROM reached r JOIN ways w ON r.doc_id = w.x)
+SELECT d.doc_id, CAST(coalesce(s.n, 0) AS BIGINT) AS n_shingles, coalesce(r.root, d.doc_id) AS component_id
+FROM documents d LEFT JOIN sizes s ON d.doc_id = s.doc_id
+LEFT JOIN (SELECT doc_id, min(root) AS root FROM reached GROUP BY doc_id) r ON d.doc_id = r.doc_id"""}
