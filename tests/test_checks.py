@@ -126,5 +126,6 @@ def test_entry(spark):
     assert contract.entry(spark).count() > 0
 
 
-def test_every_query_but_two_has_check_sql():
-    assert set(contract.queries()) - set(contract.oracle_sql()) == {"sample_fraction", "file_checks"}
+def test_every_query_has_check_sql():
+    queries, oracle = contract.load_all()
+    assert set(queries) == set(oracle)
