@@ -7,8 +7,8 @@ word has its count's share, unseen words together that of half a count. So each
 words, and the network adds what the words before say about the next.
 
 Training is truncated back-propagation through time in numpy: a first model from a bounded sample, then every split
-goes on from it with its share of the training documents, and the weights are averaged by the tokens they saw. Texts
-are read whole: the state is carried from window to window and starts anew at each document. Scoring packs documents
+goes on from it with all its training documents, and the weights are averaged by the tokens they saw. Texts are read
+whole: the state is carried from window to window and starts anew at each document. Scoring packs documents
 of any length into lanes, so a batch is one matrix product a step.
 
 Counts of frequent words (at most FREQUENT, those that make up at least that share of all tokens) travel to the tasks;
@@ -33,10 +33,10 @@ REST = 24             # rest classes
 STATE = 16            # units
 LANES = 512           # documents side by side when scoring
 SCORE_BYTES = 24 << 20   # of text packed into lanes together
-STRETCH = 512         # tokens of a text after which training starts from an empty state
+TRAIN_LANES = 256     # documents side by side when training
+TRAIN_BYTES = 8 << 20    # of text packed into lanes together
 WINDOW = 24           # steps between truncations
-FIRST = 1_500         # documents of the first model's sample, at most
-SHARE = 16            # afterwards, one training document of so many is learnt from, in every split
+FIRST = 1_500         # documents of the first model's sample, at most; every split learns from all its own afterwards
 RATE = 4e-3
 HELD_OUT = (5, 1)
 END = b" "            # stands for the end of a text; no word has a space
@@ -184,14 +184,13 @@ class Net:
         own[order] = logp
         return np.add.reduceat(own, np.cumsum(lengths) - lengths) if len(flat) else np.zeros(len(lengths))
 
-    def train(self, symbols: np.ndarray, lengths: np.ndarray, adam: dict, lanes: int = 96, window: int = WINDOW, rate: float = RATE) -> None:
-        """One pass over the texts, an update after each window of all lanes; long texts are dealt out in stretches."""
-        cut = np.concatenate([np.append(np.full((n - 1) // STRETCH, STRETCH), (n - 1) % STRETCH + 1) for n in lengths.tolist()])
-        flat, all_before, starts, busy, _ = self.lanes(symbols, cut, lanes)
+    def train(self, symbols: np.ndarray, lengths: np.ndarray, adam: dict, lanes: int = TRAIN_LANES, window: int = WINDOW, rate: float = RATE) -> None:
+        """One pass over whole texts, an update after each window of all lanes; where few lanes are left, after several."""
+        flat, all_before, starts, busy, _ = self.lanes(symbols, lengths, lanes)
         h, s, n_lanes = np.zeros((len(starts), self.h), np.float32), self.h, len(starts)
-        for t0 in range(0, len(busy), window):
+        for t0, t1 in blocks(busy, window, n_lanes * window // 2):
             kept, states, places = [], [], []
-            for t, n in enumerate(busy[t0:t0 + window], t0):
+            for t, n in enumerate(busy[t0:t1], t0):
                 at = starts[:n] + t
                 before = all_before[at]
                 h, memory = self.step(before, h[:n], keep=True)
@@ -204,6 +203,8 @@ class Net:
             for k in range(len(states) - 1, -1, -1):
                 before, (old, z, r, n, hn) = kept[k]
                 m = len(before)
+                if (k + 1) % window == 0:
+                    back[:] = 0
                 d = d_out[bounds[k]:bounds[k + 1]] + back[:m]
                 dn = d * (1 - z) * (1 - n * n)
                 dz, dr = d * (old - n) * z * (1 - z), dn * hn * r * (1 - r)
@@ -230,6 +231,16 @@ class Net:
             self.p[k] += (rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.99 ** t)) + 1e-6)).astype(np.float32)
 
 
+def blocks(busy: list[int], window: int, least: int):
+    """(first, end) of the steps between updates: whole windows, as many as it takes to see `least` tokens."""
+    first = tokens = 0
+    for t in range(0, len(busy), window):
+        tokens += sum(busy[t:t + window])
+        if tokens >= least or t + window >= len(busy):
+            yield first, min(t + window, len(busy))
+            first, tokens = t + window, 0
+
+
 def packed(lengths: np.ndarray, lanes: int):
     """(token order, places where texts begin, lane starts, lane sizes) of lanes of whole texts, longest lane first."""
     lanes = max(1, min(lanes, len(lengths)))
@@ -314,7 +325,7 @@ def _train(shared, start, key: str):
     def run(batches):
         v = shared.value
         net, symbols, adam, tokens = Net(v, None if start is None else {k: w.copy() for k, w in start.value.items()}), Symbols(v), {}, 0
-        for batch in batches:
+        for batch in gathered(batches, TRAIN_BYTES):
             flat, lengths = symbols.read(common.texts(batch.column("text")))
             net.train(symbols.symbol.values[flat], lengths, adam)
             tokens += len(flat)
@@ -387,7 +398,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return common.staged(docs.select("text").mapInArrow(_count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "lm-counts")
 
 
-def score_texts(docs: DataFrame, held_out: tuple[int, int] = HELD_OUT, frequent: int = FREQUENT, first: int = FIRST, share: int = SHARE) -> DataFrame:
+def score_texts(docs: DataFrame, held_out: tuple[int, int] = HELD_OUT, frequent: int = FREQUENT, first: int = FIRST) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row of `docs` (doc_id, text).
 
     A null or empty text is its end alone. Rows with the same text get the same scores; repeated ids stay apart. Where
@@ -413,8 +424,7 @@ def score_texts(docs: DataFrame, held_out: tuple[int, int] = HELD_OUT, frequent:
         sample = docs.join(F.broadcast(ids), "doc_id").repartition(1).sortWithinPartitions("turn")  # `first` ids
         like = Net(v).p
         start = averaged(sample.select("text").mapInArrow(_train(shared, None, "name"), "name string, w binary"), like) or like
-        mine = training.where(F.conv(F.substring(turn, 1, 8), 16, 10).cast("long") % share == 0)
-        more = averaged(mine.select("text").mapInArrow(_train(shared, context.broadcast(start), "name"), "name string, w binary"), like)
+        more = averaged(training.select("text").mapInArrow(_train(shared, context.broadcast(start), "name"), "name string, w binary"), like)
         weights = context.broadcast(more or start)
     shared = context.broadcast(v)
     rows = common.staged(docs.mapInArrow(_read(shared, weights), "doc_id long, rid long, n_tokens long, known long, logs double, lm double, rare array<binary>"),
