@@ -36,3 +36,21 @@ def test_training_carries_the_state_through_a_long_text():
     fed = np.concatenate(fed)
     assert len(fed) == lengths.sum() and (fed == net.end).sum() == 2  # once before each text
     assert all(np.isfinite(w).all() for w in net.p.values())
+
+
+def test_every_frequent_word_has_a_softmax_entry_that_context_moves():
+    counts = {b"w%d" % k: 4000 - k for k in range(3000)} | {recurrent_lm.END: 50}
+    v = recurrent_lm.Vocabulary(counts, sum(counts.values()), len(counts) + 3)
+    v.set_rest([(b"ly", 4, 2), (b"", 1, 1)])
+    net = recurrent_lm.Net(v)
+    assert all(v.symbol[w] < v.n_explicit for w in counts) and v.n_explicit == len(counts)
+    assert net.classes * net.size >= v.n_explicit and net.classes <= net.size == 55  # about the root
+    net.p = {k: w.astype(np.float64) for k, w in net.p.items()}
+    states, symbols = np.random.default_rng(3).normal(size=(2, net.h)), np.arange(v.n_explicit + v.rest)
+    one, two = (net.outputs(np.repeat(s[None], len(symbols), 0), symbols) for s in states)
+    assert abs(np.exp(one).sum() - 1) < 1e-9 and abs(np.exp(two).sum() - 1) < 1e-9
+    word = v.symbol[b"w2500"]
+    block = symbols[:v.n_explicit][net.class_of[:v.n_explicit] == net.class_of[word]]
+    share = lambda logp: logp[word] - np.log(np.exp(logp[block]).sum())
+    assert abs(share(one) - share(two)) > 1e-3  # within its class, too
+    assert v.rest_class(b"early") == 0 and v.rest_tokens[0] == 4 and v.rest_tokens.sum() == 5

@@ -1,9 +1,10 @@
 """Language-model scoring with a small gated recurrent network.
 
-Counts of all words of the training documents come first, summed by Spark. The most frequent words are symbols of the
+Counts of all words of the training documents come first, summed by Spark. All frequent words are symbols of the
 network; every other word is seen as its rest class, told by its last letters. The output is factored: a class, then a
-word of the class. Classes of frequent words have a softmax over their words given the state; within a rest class a
-word has its count's share, unseen words together that of half a count. So each text has a proper probability over all
+word of the class. Frequent words are dealt by count to about as many classes as each has words, with a softmax over
+their words given the state; within a rest class a word has its count's share, unseen words together that of half a
+count. So each text has a proper probability over all
 words, and the network adds what the words before say about the next.
 
 Training is truncated back-propagation through time in numpy: a first model from a bounded sample, then every split
@@ -18,6 +19,7 @@ the others, none of which can be hot, are joined to the documents that use them.
 from __future__ import annotations
 
 import heapq
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -27,17 +29,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from . import common
 
 FREQUENT = 200_000    # a word with at least 1 / FREQUENT of all tokens is frequent, so there are no more than these
-EXPLICIT = 768        # symbols with a softmax of their own
-CLASS_WORDS = 32      # of each class
 REST = 24             # rest classes
 STATE = 16            # units
 LANES = 512           # documents side by side when scoring
 SCORE_BYTES = 24 << 20   # of text packed into lanes together
-TRAIN_LANES = 256     # documents side by side when training
+TRAIN_LANES = 512     # documents side by side when training
 TRAIN_BYTES = 8 << 20    # of text packed into lanes together
 WINDOW = 24           # steps between truncations
 FIRST = 1_500         # documents of the first model's sample, at most; every split learns from all its own afterwards
 RATE = 4e-3
+CHUNK = 1 << 16       # weights sent together
 HELD_OUT = (5, 1)
 END = b" "            # stands for the end of a text; no word has a space
 
@@ -50,7 +51,8 @@ def tail(word: bytes) -> bytes:
 class Vocabulary:
     """Counts of frequent words, symbols, rest classes and the totals of those."""
 
-    def __init__(self, counts: dict[bytes, int], total: int, distinct: int, explicit: int = EXPLICIT, rest: int = REST):
+    def __init__(self, counts: dict[bytes, int], total: int, distinct: int, explicit: int | None = None, rest: int = REST):
+        explicit = len(counts) + 1 if explicit is None else explicit  # all, and the end of a text
         self.counts, self.total, self.distinct = counts, total, distinct
         ranked = sorted(counts, key=lambda w: (-counts[w], w))
         self.symbol = {w: k for k, w in enumerate(ranked[:explicit])}
@@ -61,13 +63,25 @@ class Vocabulary:
         masses: dict[bytes, int] = {}
         for w in ranked[explicit:]:
             masses[tail(w)] = masses.get(tail(w), 0) + counts[w]
-        self.tails = {t: k for k, t in enumerate(sorted(masses, key=lambda t: (-masses[t], t))[:rest - 1])}
         self.rest = rest
         self.rest_tokens, self.rest_words = np.zeros(rest), np.zeros(rest)
+        self._classes(masses)
         self.explicit_counts = np.zeros(self.n_explicit)
         for w, k in self.symbol.items():
             self.explicit_counts[k] = counts.get(w, 0)
 
+    def _classes(self, masses: dict[bytes, int]) -> None:
+        """The endings with the most tokens have rest classes of their own."""
+        self.tails = {t: k for k, t in enumerate(sorted(masses, key=lambda t: (-masses[t], t))[:self.rest - 1])}
+
+    def set_rest(self, endings: list[tuple[bytes, int, int]]) -> None:
+        """(ending, tokens, words) of all words that are no symbols."""
+        self._classes({t: n for t, n, _ in endings})
+        for t, n, words in endings:
+            k = self.tails.get(t, self.rest - 1)
+            self.rest_tokens[k] += n
+            self.rest_words[k] += words
+
     def rest_class(self, word: bytes) -> int:
         return self.tails.get(tail(word), self.rest - 1)
 
@@ -84,8 +98,9 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 class Net:
     """Gated recurrent network with class-factored output; all weights in `p`."""
 
-    def __init__(self, vocabulary: Vocabulary, p: dict[str, np.ndarray] | None = None, state: int = STATE, size: int = CLASS_WORDS):
+    def __init__(self, vocabulary: Vocabulary, p: dict[str, np.ndarray] | None = None, state: int = STATE, size: int | None = None):
         n, r = vocabulary.n_explicit, vocabulary.rest
+        size = size or max(1, math.isqrt(max(0, n - 1)) + 1)
         self.h, self.size, self.n = state, size, n
         self.classes = -(-n // size)
         self.end = vocabulary.symbol.get(END, 0)
@@ -224,11 +239,21 @@ class Net:
     def _update(self, grads: dict, tokens: int, adam: dict, rate: float) -> None:
         adam["t"] = t = adam.get("t", 0) + 1
         for k, g in grads.items():
-            g = np.clip(g / tokens, -1, 1)
+            g /= tokens
+            np.clip(g, -1, 1, out=g)
             m, v = adam.setdefault(k, (np.zeros_like(g), np.zeros_like(g)))
-            m += 0.1 * (g - m)
-            v += 0.01 * (g * g - v)
-            self.p[k] += (rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.99 ** t)) + 1e-6)).astype(np.float32)
+            m *= 0.9
+            m += 0.1 * g
+            v *= 0.99
+            g *= g
+            g *= 0.01
+            v += g
+            np.divide(v, 1 - 0.99 ** t, out=g)
+            np.sqrt(g, out=g)
+            g += 1e-6
+            np.divide(m, g, out=g)
+            g *= rate / (1 - 0.9 ** t)
+            self.p[k] += g
 
 
 def blocks(busy: list[int], window: int, least: int):
@@ -307,17 +332,18 @@ def _count(batches):
         yield rows()
 
 
-def _rest(shared):
+def _endings(shared):
     def run(batches):
         v = shared.value
-        tokens, words = np.zeros(v.rest, np.int64), np.zeros(v.rest, np.int64)
+        sums: dict[bytes, list[int]] = {}  # by at most two bytes
         for batch in batches:
             for w, n in zip(batch.column("word").to_pylist(), batch.column("n").to_pylist()):
                 if w not in v.symbol:
-                    k = v.rest_class(w)
-                    tokens[k] += n
-                    words[k] += 1
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(v.rest)), pa.array(tokens), pa.array(words)], names=["class", "tokens", "words"])
+                    own = sums.setdefault(tail(w), [0, 0])
+                    own[0] += n
+                    own[1] += 1
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.binary()), pa.array([x for x, _ in sums.values()], pa.int64()),
+                                          pa.array([x for _, x in sums.values()], pa.int64())], names=["ending", "tokens", "words"])
     return run
 
 
@@ -330,8 +356,12 @@ def _train(shared, start, key: str):
             net.train(symbols.symbol.values[flat], lengths, adam)
             tokens += len(flat)
         if tokens:
-            parts = {k: w.astype(np.float64) * tokens for k, w in net.p.items()} | {"": np.array([float(tokens)])}
-            yield pa.RecordBatch.from_arrays([pa.array(list(parts)), pa.array([w.tobytes() for w in parts.values()], pa.binary())], names=[key, "w"])
+            for k, w in net.p.items():
+                w = w.reshape(-1)
+                for i in range(0, len(w), CHUNK):
+                    part = (w[i:i + CHUNK].astype(np.float64) * tokens).tobytes()
+                    yield pa.RecordBatch.from_arrays([pa.array([f"{k} {i}"]), pa.array([part], pa.binary())], names=[key, "w"])
+            yield pa.RecordBatch.from_arrays([pa.array([""]), pa.array([np.array([float(tokens)]).tobytes()], pa.binary())], names=[key, "w"])
     return run
 
 
@@ -348,7 +378,8 @@ def _sum(batches):
 def averaged(rows: DataFrame, like: dict[str, np.ndarray]) -> dict[str, np.ndarray] | None:
     """Weights averaged by tokens over all splits; only their sums reach the driver."""
     sums = {r.name: np.frombuffer(r.w) for r in rows.repartition("name").mapInArrow(_sum, "name string, w binary").collect()}
-    return {k: (sums[k] / sums[""][0]).reshape(w.shape).astype(np.float32) for k, w in like.items()} if "" in sums else None
+    whole = lambda k, size: np.concatenate([sums[f"{k} {i}"] for i in range(0, size, CHUNK)] or [np.zeros(0)])
+    return {k: (whole(k, w.size) / sums[""][0]).reshape(w.shape).astype(np.float32) for k, w in like.items()} if "" in sums else None
 
 
 def gathered(batches, size: int = SCORE_BYTES):
@@ -415,9 +446,9 @@ def score_texts(docs: DataFrame, held_out: tuple[int, int] = HELD_OUT, frequent:
     v = Vocabulary({bytes(r.word): r.n for r in common_words.collect()}, total, distinct)
     weights = None
     if total:
-        rest = counts.mapInArrow(_rest(context.broadcast(v)), "class long, tokens long, words long")
-        for r in rest.groupBy("class").agg(F.sum("tokens").alias("tokens"), F.sum("words").alias("words")).collect():
-            v.rest_tokens[r["class"]], v.rest_words[r["class"]] = r.tokens, r.words
+        endings = counts.mapInArrow(_endings(context.broadcast(v)), "ending binary, tokens long, words long")
+        endings = endings.groupBy("ending").agg(F.sum("tokens").alias("tokens"), F.sum("words").alias("words"))
+        v.set_rest([(bytes(r.ending), r.tokens, r.words) for r in endings.collect()])  # at most 65,793
         shared = context.broadcast(v)
         turn = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
         ids = training.where("doc_id is not null").select("doc_id", turn.alias("turn")).orderBy("turn").limit(first)
