@@ -57,3 +57,26 @@ def sample_by_hash(df: DataFrame, keys: Sequence[str], fraction: float) -> DataF
     slots = 16 ** 6
     key = F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys])
     return df.where(F.conv(F.substring(F.md5(key), 1, 6), 16, 10).cast("long") < int(fraction * slots))
+
+
+def exact_cuts(df: DataFrame, columns: Sequence[str], cuts: Sequence[tuple[int, int]], buckets: int = 256) -> DataFrame:
+    """(column_name, cuts): the smallest value of each column that k of n parts of its rows do not exceed, for each (k, n).
+
+    Exact at every size: values are counted, dealt to buckets in order, and
+    the counts summed within each bucket and over the buckets before it.
+    Bucket bounds come from a sketch of the distinct values, which decides only
+    how even the buckets are. Nulls are left out; values are doubles.
+    """
+    pairs = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")) for c in columns])))
+    counts = pairs.where(F.col("v").isNotNull()).groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("n"))
+    bounds = counts.groupBy("column_name").agg(
+        F.percentile_approx("v", [k / buckets for k in range(1, buckets)], 10000).alias("_bounds"), F.sum("n").alias("_total"))
+    dealt = counts.join(F.broadcast(bounds), "column_name").withColumn("_bucket", F.size(F.filter("_bounds", lambda b: b < F.col("v")))).drop("_bounds")
+    totals = dealt.groupBy("column_name", "_bucket").agg(F.sum("n").alias("_n"))
+    w = W.partitionBy("column_name").orderBy("_bucket").rowsBetween(W.unboundedPreceding, 0)
+    before = totals.select("column_name", "_bucket", (F.sum("_n").over(w) - F.col("_n")).alias("_before"))
+    w = W.partitionBy("column_name", "_bucket").orderBy("v").rowsBetween(W.unboundedPreceding, 0)
+    ranked = dealt.withColumn("_inside", F.sum("n").over(w)).join(F.broadcast(before), ["column_name", "_bucket"])
+    reached = F.col("_before") + F.col("_inside")
+    return ranked.groupBy("column_name").agg(
+        F.array(*[F.min(F.when(reached * n >= F.col("_total") * k, F.col("v"))) for k, n in cuts]).alias("cuts"))

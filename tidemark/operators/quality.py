@@ -10,6 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
 
 from ..functions.expressions import ts
+from .aggregates import exact_cuts
 
 RESULT_COLUMNS = ["check_id", "actual_value", "expected_value", "check_status"]
 
@@ -245,11 +246,11 @@ def profile_columns(df: DataFrame, table: str, columns: Sequence[str] | None = N
                     approximate: bool = False) -> DataFrame:
     """Per column: rows, distinct, nulls, min, max, avg, median, deviation, five most frequent values.
 
-    One pass gives the numeric measures of all columns (the median is a
-    mergeable sketch). A second pass counts (column, value) pairs with
+    One pass gives the numeric measures of all columns but the median, which
+    is exact and comes from counts of values. Another pass counts (column, value) pairs with
     map-side combine, which yields exact distinct counts and the top values
     without a distinct per column or a list of all values. `approximate`
-    replaces the second pass by sketches in the first.
+    replaces both by sketches in the first.
     """
     columns = list(columns or df.columns)
     numeric = [c for c in columns if isinstance(df.schema[c].dataType, T.NumericType)]
@@ -265,7 +266,7 @@ def profile_columns(df: DataFrame, table: str, columns: Sequence[str] | None = N
                _frequent(c).alias("top_5_values")] if approximate else []),
             F.min(c).cast("string").alias("min_value"), F.max(c).cast("string").alias("max_value"),
             (F.avg(n) if is_num else nothing).alias("avg_value"),
-            (F.percentile_approx(n, 0.5, accuracy) if is_num else nothing).alias("median_value"),
+            (F.percentile_approx(n, 0.5, accuracy) if is_num and approximate else nothing).alias("median_value"),
             (F.stddev(n) if is_num else nothing).alias("std_dev")))
     wide = df.agg(F.array(*stats).alias("_s")).select(F.inline("_s"))
     shaped = [
@@ -280,6 +281,9 @@ def profile_columns(df: DataFrame, table: str, columns: Sequence[str] | None = N
     w = W.partitionBy("column_name").orderBy(F.desc("n"), "v")
     top = counts.withColumn("_r", F.row_number().over(w)).where("_r <= 5").groupBy("column_name").agg(
         F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("_r", "v"))), lambda s: s["v"])).alias("top_5_values"))
+    if numeric:
+        medians = exact_cuts(df, numeric, [(1, 2)]).select("column_name", F.col("cuts")[0].alias("median_value"))
+        wide = wide.drop("median_value").join(medians, "column_name", "left")
     return wide.join(distinct, "column_name", "left").join(top, "column_name", "left").select(*shaped)
 
 

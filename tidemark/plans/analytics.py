@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.expressions import day, mean2, percent, rank_of, ratio
+from ..operators.aggregates import exact_cuts
 from . import views
 from .star import Star
 
@@ -419,22 +420,20 @@ def score_by_cuts(value: str, cuts: Column, ascending: bool = True) -> Column:
 def rfm(star: Star, as_of, at_risk_days: int = 180, lost_days: int = 365) -> DataFrame:
     """Recency, frequency and monetary scores (1-5) and a segment per customer.
 
-    Scores come from the quintile cut points of the whole table. These are
-    one mergeable sketch per measure (exact up to 10,000 customers, rank error
-    below 0.01 % beyond), so no customer list is sorted in one task; equal
-    values always get equal scores.
+    Scores come from the exact quintile cut points of the whole table, found
+    from counts of values in ordered buckets, so no customer list is sorted in
+    one task; equal values always get equal scores.
     """
     per_key = star.fact_sales.groupBy("customer_key").agg(
         F.max("order_date").alias("last_order"), F.count_distinct("order_id").alias("frequency"),
         F.sum("revenue").cast("decimal(18,2)").alias("monetary"))
     base = per_key.withColumn("recency_days", F.datediff(day(as_of), "last_order"))
-    cuts = base.agg(F.struct(*[
-        F.percentile_approx(F.col(c).cast("double"), [0.2, 0.4, 0.6, 0.8], 10000).alias(c)
-        for c in ("recency_days", "frequency", "monetary")])).scalar()
+    quintiles = exact_cuts(base, ["recency_days", "frequency", "monetary"], [(1, 5), (2, 5), (3, 5), (4, 5)])
+    cuts = quintiles.agg(F.map_from_entries(F.collect_list(F.struct("column_name", "cuts")))).scalar()  # three rows
     scored = base.withColumn("_cuts", cuts).withColumns({
-        "r_score": score_by_cuts("recency_days", F.col("_cuts.recency_days"), ascending=False),
-        "f_score": score_by_cuts("frequency", F.col("_cuts.frequency")),
-        "m_score": score_by_cuts("monetary", F.col("_cuts.monetary"))})
+        "r_score": score_by_cuts("recency_days", F.col("_cuts")["recency_days"], ascending=False),
+        "f_score": score_by_cuts("frequency", F.col("_cuts")["frequency"]),
+        "m_score": score_by_cuts("monetary", F.col("_cuts")["monetary"])})
     r, f, m = F.col("recency_days"), F.col("f_score"), F.col("m_score")
     segment = (F.when(r > lost_days, "Lost").when(r >= at_risk_days, "At Risk")
                .when((F.col("r_score") >= 4) & (f >= 4) & (m >= 4), "Champions")
