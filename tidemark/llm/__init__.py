@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 MODULES: list[str] = ["exact_dedup", "ngram_join", "quality_rules", "mixing", "bpe", "token_files", "url_filter",
-                      "quality_classifier", "toxicity", "recurrent_lm", "spelling", "alignment"]
+                      "quality_classifier", "toxicity", "recurrent_lm", "spelling", "alignment", "neighbours"]
 
 
 def registered():
