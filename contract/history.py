@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 from tidemark import session
 from tidemark.operators import changes, keys, lookups, retention, scd, upsert as up
 from tidemark.plans.star import CAMPAIGN_COLUMNS, CUSTOMER_COLUMNS, PRODUCT_COLUMNS, Star, gold, silver_table
-from tidemark.sources.sinks import VersionedTable
+from tidemark.sources.sinks import VersionedTable, load_dimension
 
 from . import states
 from .ctes import (CAMPAIGN_ATTRS, CHANGE_TS, CUSTOMER_ATTRS, FIRST_LOADS, PRODUCT_ATTRS, RUN_TS, RUN_TS2, dense)
 from .registry import query
 
+BALANCE = "load string, rows_read long, rows_loaded long, rows_collapsed long, rows_rejected long"
 SCD2_TEXT = "valid_from valid_to created_timestamp updated_timestamp"
 
 
@@ -211,10 +212,25 @@ def scd2_smart(spark, sf):
     """Loads into a table that is empty at first: the initial branch, then the incremental one."""
     table = VersionedTable(spark, session.scratch_path(spark, "dim_campaign"))
     for source, ts in ((states.campaigns_before, "2023-11-01 00:00:00"), (states.campaigns_after, CHANGE_TS)):
-        table.publish(scd.scd2_load(table.read(), source(spark, sf), "campaign_id", "campaign_key", ts))
+        load_dimension(table, source(spark, sf), "campaign_id", lambda t, s: scd.scd2_load(t, s, "campaign_id", "campaign_key", ts), ts)
     return table.read()
 
 
+@query("dimension_balance", f"""
+SELECT '{CHANGE_TS}' AS load, count(*) AS rows_read, count(DISTINCT k) AS rows_loaded, count(k) - count(DISTINCT k) AS rows_collapsed,
+  count(*) - count(k) AS rows_rejected, count(*) - count(k) AS kept_apart, count(DISTINCT k) AS in_dimension
+FROM (SELECT CASE WHEN c_custkey % 3 <> 0 THEN c_custkey // 2 END AS k FROM customer)""")
+def dimension_balance(spark, sf):
+    """A dimension load with a null in a third of the keys and two rows for many others: what became of them."""
+    from tidemark.sources.entities import table as given
+    rows = given(spark, sf, "customer").select(F.when(F.col("c_custkey") % 3 != 0, F.expr("c_custkey div 2")).alias("customer_id"), "c_name", "c_mktsegment")
+    table = VersionedTable(spark, session.scratch_path(spark, "dim_balance"))
+    load_dimension(table, rows, "customer_id", lambda t, s: scd.scd2_load(t, s, "customer_id", "customer_key", CHANGE_TS), CHANGE_TS)
+    [b] = table.balances()
+    apart, inside = table.rejected().agg(F.count("*")).scalar(), table.read().agg(F.count("*")).scalar()
+    return spark.createDataFrame([(b.load, b.read, b.loaded, b.collapsed, b.rejected)], BALANCE).withColumns({"kept_apart": apart, "in_dimension": inside})
+
+
 @query("scd2_repair", "SELECT customer_key, customer_id, tier, valid_from, valid_to, is_current, version_number FROM d2_customer",
        text="valid_from valid_to")
 def scd2_repair(spark, sf):
@@ -266,15 +282,18 @@ def q_tier_migration(spark, sf):
 
 # ---- retention -------------------------------------------------------------------------------------
 @query("archive_old", """
-SELECT 'archive' AS part, count(*) AS row_total, min(ts) AS oldest, max(ts) AS newest FROM events WHERE ts < TIMESTAMP '2024-01-31' - INTERVAL 14 DAY
-UNION ALL SELECT 'keep', count(*), min(ts), max(ts) FROM events WHERE ts >= TIMESTAMP '2024-01-31' - INTERVAL 14 DAY""",
-       text="oldest newest")
+SELECT CASE WHEN ts < TIMESTAMP '2024-01-31' - INTERVAL 14 DAY THEN 'archive' ELSE 'keep' END AS part, event_id, event_type, ts FROM events""", text="ts")
 def archive_old(spark, sf):
+    """Events appended week by week, then archived by age: both sides as read back."""
     from tidemark.sources.entities import table
-    parts = retention.split_by_age(table(spark, sf, "events"), "ts", 14, "2024-01-31")
-    named = [p.agg(F.lit(n).alias("part"), F.count(F.lit(1)).alias("row_total"), F.min("ts").alias("oldest"), F.max("ts").alias("newest"))
-             for n, p in zip(("archive", "keep"), parts)]
-    return named[0].unionByName(named[1])
+    events, t = table(spark, sf, "events"), VersionedTable(spark, session.scratch_path(spark, "events"))
+    weeks = [None, "2024-01-08", "2024-01-15", "2024-01-22", None]
+    for lo, hi in zip(weeks[:-1], weeks[1:]):
+        after = F.col("ts") >= F.lit(lo).cast("timestamp_ntz") if lo else F.lit(True)
+        t.append(events.where(after & (F.col("ts") < F.lit(hi).cast("timestamp_ntz")) if hi else after))
+    retention.archive(t, "ts", 14, "2024-01-31")
+    sides = [df.select(F.lit(n).alias("part"), "event_id", "event_type", "ts") for n, df in (("archive", t.archived()), ("keep", t.read()))]
+    return sides[0].unionByName(sides[1])
 
 
 def _retention(layer: str, days: int, table: str, column: str) -> str:
@@ -286,8 +305,12 @@ def _retention(layer: str, days: int, table: str, column: str) -> str:
     _retention("raw", 7, "events", "ts"), _retention("bronze", 14, "b_performance", "last_modified_timestamp"),
     _retention("silver", 30, "s_performance", "last_modified_timestamp")]))
 def retention_by_layer(spark, sf):
+    """Three tables, one merged by key, archived by the days of their layer; what both sides then hold."""
     from tidemark.sources import entities
-    return retention.retention_by_layer({
-        "raw": (entities.table(spark, sf, "events"), "ts"),
-        "bronze": (entities.performance(spark, sf), "last_modified_timestamp"),
-        "silver": (silver_table(spark, sf, "performance"), "last_modified_timestamp")}, "2024-01-31")
+    layers = {}
+    for layer, rows, column in (("raw", entities.table(spark, sf, "events"), "ts"), ("bronze", entities.performance(spark, sf), "last_modified_timestamp"),
+                                ("silver", silver_table(spark, sf, "performance"), "last_modified_timestamp")):
+        t = VersionedTable(spark, session.scratch_path(spark, f"layer-{layer}"))
+        t.merge(rows, ["performance_id"], column) if layer == "silver" else t.publish(rows)
+        layers[layer] = t, column
+    return retention.archive_layers(layers, "2024-01-31")

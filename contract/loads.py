@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F, types as T
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from tidemark import session
 from tidemark.functions import calendar as cal, silver
@@ -257,11 +259,74 @@ def _log_sql() -> str:
     return "\nUNION ALL ".join(rows)
 
 
-@query("multi_table_ingest", _sized(["orders", "events", "lineitem"]))
+@query("multi_table_ingest", """
+SELECT 'orders' AS table_name, CAST(o_orderkey AS VARCHAR) AS row_key, CAST(o_totalprice AS DOUBLE) AS amount FROM orders
+UNION ALL SELECT 'events', CAST(event_id AS VARCHAR), value FROM events
+UNION ALL SELECT 'lineitem', l_orderkey || '-' || l_linenumber, CAST(l_extendedprice AS DOUBLE) FROM lineitem""")
 def multi_table_ingest(spark, sf):
-    """What the tables hold after three runs: every source row once."""
-    root, configs = _ingested(spark, sf)
-    return infer.row_counts({c.table_name: sinks.VersionedTable(spark, f"{root}/{c.table_name}").read() for c in configs[:3]})
+    """What the tables hold after three runs: every source row once, with its key and a value."""
+    root, _ = _ingested(spark, sf)
+    t = {n: sinks.VersionedTable(spark, f"{root}/{n}").read() for n in ("orders", "events", "lineitem")}
+    parts = [(t["orders"], F.col("o_orderkey").cast("string"), "o_totalprice"), (t["events"], F.col("event_id").cast("string"), "value"),
+             (t["lineitem"], F.concat_ws("-", "l_orderkey", "l_linenumber"), "l_extendedprice")]
+    out = [df.select(F.lit(n).alias("table_name"), key.alias("row_key"), F.col(v).cast("double").alias("amount"))
+           for n, (df, key, v) in zip(t, parts)]
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
+# ---- rows without a key ----------------------------------------------------------------------------
+CUT = "1995-01-01 00:00:00"
+_KEYLESS = "CASE WHEN o_orderkey % 3 <> 0 THEN o_orderkey // 2 END AS order_id, o_custkey, o_orderdate, o_totalprice"
+
+
+def _keyless(spark, sf):
+    """Orders up to a day and then all of them, with a null in a third of the keys and some keys given twice: merged."""
+    root = session.scratch_path(spark, "keyless")
+    rows = entities.table(spark, sf, "orders").select(
+        F.when(F.col("o_orderkey") % 3 != 0, F.expr("o_orderkey div 2")).alias("order_id"), "o_custkey", "o_orderdate", "o_totalprice")
+    early = rows.where(F.col("o_orderdate") < F.lit(CUT).cast("timestamp_ntz"))
+    config = ingest.TableConfig("orders", "o_orderdate", ("order_id",))
+    for run, source in (("run-1", early), ("run-2", rows), ("run-3", rows)):
+        log = ingest.multi_table_ingest(spark, [config], lambda _: source, root, run, RUN_TS)
+        if log.where("status <> 'SUCCESS'").count():
+            raise AssertionError(log.first()["error_message"])
+    return sinks.VersionedTable(spark, f"{root}/orders")
+
+
+def _balanced(run: str, when: str) -> str:
+    return (f"SELECT '{run}' AS load, count(*) AS rows_read, count(DISTINCT order_id) AS rows_loaded, count(order_id) - count(DISTINCT order_id) AS rows_collapsed, "
+            f"count(*) - count(order_id) AS rows_rejected FROM (SELECT {_KEYLESS} FROM orders) WHERE {when}")
+
+
+@query("load_balance", f"{_balanced('run-1', f'o_orderdate < TIMESTAMP {chr(39)}{CUT}{chr(39)}')} UNION ALL {_balanced('run-2', f'o_orderdate >= TIMESTAMP {chr(39)}{CUT}{chr(39)}')}")
+def load_balance(spark, sf):
+    """Rows read by each load, and what became of them: read = loaded + collapsed + rejected. A run without news has none."""
+    balances = _keyless(spark, sf).balances()
+    if any(b.read != b.loaded + b.collapsed + b.rejected for b in balances):
+        raise AssertionError(balances)
+    return spark.createDataFrame([(b.load, b.read, b.loaded, b.collapsed, b.rejected) for b in balances],
+                                 "load string, rows_read long, rows_loaded long, rows_collapsed long, rows_rejected long")
+
+
+@query("rejected_rows", f"""
+SELECT 'rejected' AS part, order_id, o_custkey, CAST(o_totalprice AS DOUBLE) AS amount, 'null key: order_id' AS rejected_for,
+  CASE WHEN o_orderdate < TIMESTAMP '{CUT}' THEN 'run-1' ELSE 'run-2' END AS rejected_by FROM (SELECT {_KEYLESS} FROM orders) WHERE order_id IS NULL
+UNION ALL
+SELECT 'loaded', order_id, NULL, CAST(o_totalprice AS DOUBLE), NULL, NULL FROM (
+  SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY o_orderdate DESC, o_custkey DESC, o_totalprice DESC) AS place
+  FROM (SELECT {_KEYLESS} FROM orders) WHERE order_id IS NOT NULL) WHERE place = 1""")
+def rejected_rows(spark, sf):
+    """Rows that two loads could not take, with reason and load, beside the merged rows: the newest of each key."""
+    t = _keyless(spark, sf)
+    rejected = t.rejected().select(F.lit("rejected").alias("part"), "order_id", "o_custkey", F.col("o_totalprice").cast("double").alias("amount"),
+                                   "rejected_for", "rejected_by")
+    latest = Window.partitionBy("order_id")
+    none = F.lit(None).cast("string")
+    loaded = t.read().select(F.lit("loaded").alias("part"), "order_id", F.lit(None).cast(rejected.schema["o_custkey"].dataType).alias("o_custkey"),
+                             F.col("o_totalprice").cast("double").alias("amount"), none.alias("rejected_for"), none.alias("rejected_by"))
+    if not loaded.withColumn("n", F.count("*").over(latest)).where("n > 1").isEmpty():
+        raise AssertionError("a key was loaded twice")
+    return rejected.unionByName(loaded)
 
 
 @query("ingest_log", _log_sql())
@@ -326,24 +391,21 @@ def hwm_lookup(spark, sf):
     return wm.hwm_lookup(s, "order_timestamp").unionByName(wm.hwm_lookup(s.where("quantity < 0"), "order_timestamp"))
 
 
-_EVENT_COUNT = "SELECT '{0}' AS override, count(*) AS row_total FROM events {1}"
+_CHOSEN = "SELECT '{0}' AS override, event_id FROM events {1}"
 
 
 @query("reload_window", " UNION ALL ".join([
-    _EVENT_COUNT.format("increment", f"WHERE ts > TIMESTAMP '{MARK}'"), _EVENT_COUNT.format("full_reload", ""),
-    _EVENT_COUNT.format("lookback", f"WHERE ts > TIMESTAMP '{MARK}' - INTERVAL 3 DAY"),
-    _EVENT_COUNT.format("from_date", "WHERE ts > TIMESTAMP '2024-01-10'"),
-    _EVENT_COUNT.format("window", "WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-12'")]))
+    _CHOSEN.format("increment", f"WHERE ts > TIMESTAMP '{MARK}'"), _CHOSEN.format("full_reload", ""),
+    _CHOSEN.format("lookback", f"WHERE ts > TIMESTAMP '{MARK}' - INTERVAL 3 DAY"),
+    _CHOSEN.format("from_date", "WHERE ts > TIMESTAMP '2024-01-10'"),
+    _CHOSEN.format("window", "WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-12'")]))
 def reload_window(spark, sf):
+    """The events each override chooses."""
     e = entities.table(spark, sf, "events")
     options = {"increment": {}, "full_reload": {"full_reload": True}, "lookback": {"lookback_days": 3},
                "from_date": {"from_date": "2024-01-10"}, "window": {"start_date": "2024-01-05", "end_date": "2024-01-12"}}
-    parts = [wm.watermark_filter(e, "ts", MARK, **o).agg(F.lit(n).alias("override"), F.count(F.lit(1)).alias("row_total"))
-             for n, o in options.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    parts = [wm.watermark_filter(e, "ts", MARK, **o).select(F.lit(n).alias("override"), "event_id") for n, o in options.items()]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query("watermark_gap", """

@@ -156,18 +156,12 @@ def schema_check(spark, sf):
     return reduce(DataFrame.unionByName, parts)
 
 
-_FILES = ("orders", "lineitem", "events", "customer", "part", "supplier", "nation", "region")
+_FILES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
 @query("file_checks", " UNION ALL ".join(
-    f"SELECT '{n}.parquet' AS file_name, (SELECT count(*) FROM {n}) > 0 AS has_rows, true AS name_ok, true AS readable" for n in _FILES))
+    f"SELECT '{n}.parquet' AS file_name, (SELECT count(*) FROM {n}) AS n_rows, true AS not_empty, true AS name_ok, true AS is_recent, true AS readable" for n in _FILES))
 def file_checks(spark, sf):
-    """The given tables as landing files: name, rows, readable footer."""
-    parts = []
-    for n in _FILES:
-        path = f"{sf}/{n}.parquet"
-        readable = tables.parquet_readable(spark, path)
-        rows = spark.read.parquet(path).agg((F.count("*") > 0).alias("has_rows")) if readable else spark.range(1).select(F.lit(False).alias("has_rows"))
-        name = F.lit(path.rsplit("/", 1)[-1])
-        parts.append(rows.select(name.alias("file_name"), "has_rows", name.rlike(r"^[a-z]+\.parquet$").alias("name_ok"), F.lit(readable).alias("readable")))
-    return reduce(DataFrame.unionByName, parts)
+    """Every file of the given folder as a landing file: rows, size, name, age since the start of 2024, readable footer."""
+    checked = tables.file_checks(spark, sf, r"^([a-z]+|part-[0-9]+)\.parquet$", "2024-01-01", 1, "*.parquet")
+    return checked.select("file_name", "n_rows", "not_empty", "name_ok", "is_recent", "readable")

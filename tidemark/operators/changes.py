@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from ..functions.expressions import all_of
+from ..functions.expressions import all_of, any_of
 
 
 def dedupe_latest(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str] = (),
@@ -16,11 +16,14 @@ def dedupe_latest(df: DataFrame, keys: Sequence[str], order: Sequence[Column | s
     The filter on row_number = 1 becomes a window group limit, so every map
     task sends at most one row per key: a hot key costs no more than others.
     A hash leads the partition key, so the sort compares longs, and texts with
-    a common prefix only where hashes meet.
+    a common prefix only where hashes meet. Rows with a null in their key are
+    no copies of each other: each stays, under a number of its own, so that
+    they are spread over all tasks.
     """
     rest = list(order) or [F.col(c).desc_nulls_last() for c in df.columns if c not in (*keys, newest)]
     window = W.partitionBy("_kh", *keys).orderBy(F.col(newest).desc_nulls_last(), *rest)
-    return df.withColumn("_kh", F.xxhash64(*keys)).withColumn("_rn", F.row_number().over(window)).where(
+    keyless = any_of([F.col(k).isNull() for k in keys])
+    return df.withColumn("_kh", F.when(keyless, F.monotonically_increasing_id()).otherwise(F.xxhash64(*keys))).withColumn("_rn", F.row_number().over(window)).where(
         F.col("_rn") == 1).drop("_kh", "_rn")
 
 

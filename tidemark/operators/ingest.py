@@ -14,7 +14,6 @@ from ..functions.expressions import ts
 from ..sources.sinks import VersionedTable, load
 from .changes import dedupe_latest
 from .infer import NO_KEY, NO_TIME
-from .upsert import upsert
 from .watermark import watermark_filter
 
 LOG_SCHEMA = T.StructType([
@@ -63,29 +62,53 @@ class WatermarkState:
             self.table.append(df.withColumn("run_ts", ts(F.col("run_ts").cast("timestamp_ntz"))).coalesce(1))
 
 
+def untimed(source: DataFrame, target: VersionedTable, config: TableConfig) -> DataFrame:
+    """Rows without a change time that the target has neither taken nor rejected: no mark tells which of them are new.
+
+    Compared as a multiset, so that a repeated row counts as often as it comes. Of the rows of a key the one counts that
+    a merge would take, and it gives way to any row of its key that has a time.
+    """
+    column, keys = config.incremental_column, list(config.primary_key)
+    new, held, refused = source.where(F.col(column).isNull()), target.read(), target.rejected()
+    if keys:
+        new = dedupe_latest(new, keys, newest=column)
+    for known in (held, refused):
+        if known is not None:
+            new = new.exceptAll(known.where(F.col(column).isNull()).select(*[F.col(c).cast(source.schema[c].dataType).alias(c) for c in source.columns]))
+    if held is not None and keys:
+        new = new.join(held.where(F.col(column).isNotNull()).select(*keys), keys, "left_anti")
+    return new
+
+
 def ingest_table(spark: SparkSession, source: DataFrame, target: VersionedTable, config: TableConfig, mark: str | None,
-                 mode: str | None = None) -> tuple[str, int, str | None]:
-    """Load one table; (mode used, rows read, new mark). The mark is the largest source value seen."""
+                 mode: str | None = None, load_id: str = "") -> tuple[str, int, str | None]:
+    """Load one table; (mode used, rows read, new mark). The mark is the largest source value seen.
+
+    A keyed table is merged, from the first load on: what is written is what is new, rows without a key are kept as the
+    table's rejects. Rows without a time are taken by the load that first sees them.
+    """
     chosen = mode or ("incremental_merge" if config.primary_key else "incremental_append")
     if config.incremental_column is None:
         chosen, fresh = "replace", source
     else:
         fresh = watermark_filter(source, config.incremental_column, mark or "1990-01-01 00:00:00")
-        if mark is None:  # rows without a time are loaded once, by the first run
-            fresh = source.where(F.col(config.incremental_column).isNull() | (F.col(config.incremental_column) > ts("1990-01-01 00:00:00")))
     column = config.incremental_column
     stats = fresh.agg(F.count(F.lit(1)), F.max(column).cast("string") if column else F.lit(None).cast("string")).first()
     rows, newest = stats[0], stats[1]
+    late = untimed(source, target, config) if column and not source.where(F.col(column).isNull()).isEmpty() else None
+    rows += late.count() if late is not None else 0
     if rows == 0 and target.exists():
         return chosen, 0, mark
     if column and newest:
         # rows landing while this load runs stay for the next one
-        fresh = fresh.where(F.col(column).isNull() | (F.col(column) <= ts(newest)))
+        fresh = fresh.where(F.col(column) <= ts(newest))
+    if late is not None:
+        fresh = fresh.unionByName(late)
     keys = config.primary_key
-    if not target.exists():
-        target.publish(dedupe_latest(fresh, keys, newest=column) if keys and column else fresh)
-    elif chosen == "incremental_merge":
-        target.publish(upsert(target.read(), fresh, keys, newest=column))
+    if keys and column and (not target.exists() or chosen == "incremental_merge"):
+        target.merge(fresh, keys, column, load=load_id, read=rows)
+    elif not target.exists():
+        target.publish(fresh)
     elif chosen == "incremental_append":
         target.append(fresh)
     else:
@@ -109,7 +132,7 @@ def multi_table_ingest(spark: SparkSession, configs: Iterable[TableConfig], read
         try:
             mark = state.get(config.table_name)
             target = VersionedTable(spark, f"{root}/{config.table_name}")
-            mode, rows, newest = ingest_table(spark, read(config.table_name), target, config, mark)
+            mode, rows, newest = ingest_table(spark, read(config.table_name), target, config, mark, load_id=run_id)
             if newest and newest != mark:  # at once: a driver lost later must not load this table again
                 with saving:
                     state.set_all([(config.table_name, config.incremental_column, newest, run_id, run_ts)])

@@ -32,11 +32,10 @@ def lookup_inner(df: DataFrame, dim: DataFrame, natural: str, key: str) -> DataF
 
 def lookup_left(df: DataFrame, dim: DataFrame, natural: str, key: str, unknown: int | None = None) -> DataFrame:
     """Optional lookup: the key is null, or `unknown`, where nothing matches."""
-    # rows without a natural key match nothing; each gets a key of its own to join on, else all would meet in one partition
-    apart = F.concat(F.lit("\x00"), F.xxhash64(*df.columns).cast("string"))
-    on = df.withColumn("_on", F.coalesce(F.col(natural).cast("string"), apart))
-    keys = _keys_of(dim, natural, key).select(F.col(natural).cast("string").alias("_nk"), key)
-    out = on.join(keys, F.col("_on") == F.col("_nk"), "left").drop("_on", "_nk")
+    # rows without a natural key match nothing; a number of their own spreads them, where all would meet in one partition
+    apart = df.withColumn("_apart", F.when(F.col(natural).isNull(), F.monotonically_increasing_id()).otherwise(F.lit(0)))
+    keys = _keys_of(dim, natural, key).select(F.col(natural).alias("_nk"), key, F.lit(0).cast("bigint").alias("_one"))
+    out = apart.join(keys, (F.col(natural) == F.col("_nk")) & (F.col("_apart") == F.col("_one")), "left").drop("_apart", "_nk", "_one")
     return out if unknown is None else out.withColumn(key, F.coalesce(key, F.lit(unknown)))
 
 

@@ -32,7 +32,7 @@ def without_key(source: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], *, update: Sequence[str] | None = None,
-           newest: str | None = None, strict: bool = False) -> DataFrame:
+           newest: str | None = None, strict: bool = False, unique: bool = False) -> DataFrame:
     """The target after the merge.
 
     `update` lists the columns a match overwrites (default: every source
@@ -40,12 +40,14 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], *, update:
     the source lacks stay null on insert, columns only the source has are
     added. With `newest` an older source row never replaces a newer target
     row. Several source rows of a key collapse to the latest (`strict` raises
-    instead), and rows without a key are left out; see `without_key`.
+    instead), and rows without a key are left out; see `without_key`, and
+    `VersionedTable.merge`, which keeps them. `unique` says that the source
+    has one row for each key and none without.
 
     One full outer join on the keys, one row per key on both sides: no join
     partition can be hot, and AQE broadcasts where a side is small.
     """
-    src = ensure_unique(source.where(all_of([F.col(k).isNotNull() for k in keys])), keys, newest, strict)
+    src = source if unique else ensure_unique(source.where(all_of([F.col(k).isNotNull() for k in keys])), keys, newest, strict)
     updated = set(update if update is not None else [c for c in source.columns if c not in keys])
     t = target.withColumn("_t", F.lit(True)).alias("t")
     s = src.withColumn("_s", F.lit(True)).alias("s")

@@ -1,14 +1,14 @@
-"""Writing tables: append, refresh, daily replace, staged swap, load modes."""
+"""Writing tables: append, refresh, daily replace, merge of touched partitions, load modes."""
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.upsert import upsert
 from ..operators.watermark import high_water_mark, watermark_filter
+from .versions import READER, REASON, Balance, VersionedTable, spread
 
 
 def rename_map(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
@@ -22,11 +22,6 @@ def calculator(df: DataFrame, calculations: Mapping[str, str], keep_input: bool
     return df.withColumns(added) if keep_input else df.select(*[c.alias(n) for n, c in added.items()])
 
 
-def spread(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
-    """Even output files: AQE splits hot partition values and merges small ones."""
-    return df.hint("rebalance", *partition_by) if partition_by else df.hint("rebalance")
-
-
 def write_append(df: DataFrame, path: str, mapping: Mapping[str, str] | None = None,
                  partition_by: Sequence[str] = ()) -> None:
     out = rename_map(df, mapping) if mapping else df
@@ -59,76 +54,6 @@ def merge_partitions(spark: SparkSession, path: str, source: DataFrame, keys: Se
     replace_partitions(upsert(current, source, list(keys), newest=newest), path, [partition])
 
 
-class VersionedTable:
-    """A Parquet table kept as folders below one root.
-
-    A load writes a folder of its own and then publishes it by one small
-    pointer file, named by the version and listing the folders that make it
-    up. A reader never sees half a load, a load may read the version it
-    replaces, a failed load changes nothing, and of two writers of the same
-    version the second fails without touching what the first wrote. An append
-    adds a folder and copies nothing.
-    """
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
-
-    def _fs(self):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-
-    def _path(self, *parts):
-        return self.spark._jvm.org.apache.hadoop.fs.Path("/".join([self.root, *parts]))
-
-    def version(self) -> int:
-        fs, folder = self._fs(), self._path("_published")
-        if not fs.exists(folder):
-            return 0
-        names = [f.getPath().getName() for f in fs.listStatus(folder)]
-        return max((int(n) for n in names if n.isdigit()), default=0)
-
-    def exists(self) -> bool:
-        return self.version() > 0
-
-    def folders(self, version: int | None = None) -> list[str]:
-        v = version or self.version()
-        return [r.value for r in self.spark.read.text(f"{self.root}/_published/{v}").collect()] if v else []
-
-    def read(self, version: int | None = None) -> DataFrame | None:
-        listed = self.folders(version)
-        return self.spark.read.option("mergeSchema", len(listed) > 1).parquet(*[f"{self.root}/{f}" for f in listed]) if listed else None
-
-    def _publish(self, version: int, folders: list[str]) -> int:
-        """The pointer appears whole, under a name that must not exist."""
-        fs, draft = self._fs(), self._path("_published", f".draft-{uuid.uuid4().hex}")
-        out = fs.create(draft, False)
-        out.write(bytearray("\n".join(folders), "utf-8"))
-        out.close()
-        target = self._path("_published", str(version))
-        if fs.exists(target) or not fs.rename(draft, target):
-            fs.delete(draft, False)
-            raise FileExistsError(f"version {version} of {self.root} was published by another load")
-        return version
-
-    def _write(self, df: DataFrame, version: int, partition_by: Sequence[str], sort_by: Sequence[str]) -> str:
-        folder = f"v{version}-{uuid.uuid4().hex[:12]}"
-        out = spread(df, partition_by)
-        if sort_by:
-            out = out.sortWithinPartitions(*partition_by, *sort_by)
-        out.write.partitionBy(*partition_by).parquet(f"{self.root}/{folder}")
-        return folder
-
-    def publish(self, df: DataFrame, partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()) -> int:
-        v = self.version() + 1
-        return self._publish(v, [self._write(df, v, partition_by, sort_by)])
-
-    def append(self, df: DataFrame, partition_by: Sequence[str] = ()) -> int:
-        """The next version: the folders of this one and the new rows; columns new to the table are kept."""
-        v = self.version() + 1
-        before = self.folders(v - 1) if v > 1 else []
-        return self._publish(v, [*before, self._write(df, v, partition_by, ())])
-
-
 MODES = ("initial", "replace", "truncate_insert", "incremental_append", "incremental_merge")
 
 
@@ -139,7 +64,7 @@ def load(table: VersionedTable, source: DataFrame, mode: str, *, keys: Sequence[
     initial: create, error if present. replace: new rows and new schema.
     truncate_insert: new rows, the schema kept. incremental_append: rows after
     the mark are added. incremental_merge: rows after the mark are merged by
-    key (appended where there is no key).
+    key (appended where there is no key), and only they are written.
     """
     if mode not in MODES:
         raise ValueError(f"mode {mode!r} is none of {MODES}")
@@ -159,7 +84,17 @@ def load(table: VersionedTable, source: DataFrame, mode: str, *, keys: Sequence[
         fresh = watermark_filter(source, watermark, mark if mark is not None else high_water_mark(current, watermark))
     if mode == "incremental_append" or not keys:
         return table.append(fresh)
-    return table.publish(upsert(current, fresh, list(keys), newest=watermark))
+    table.merge(fresh, keys, watermark, load=mode)
+    return table.version()
+
+
+def load_dimension(table: VersionedTable, source: DataFrame, natural: str, how: Callable[[DataFrame | None, DataFrame], DataFrame], load: str) -> Balance:
+    """Publish the dimension `how(before, source)`; rows without a natural key and the balance of the load appear with it."""
+    rows, keyed, distinct = source.agg(F.count(F.lit(1)), F.count(natural), F.count_distinct(natural)).first()
+    balance = Balance(load, rows, distinct, keyed - distinct, rows - keyed)
+    refused = source.where(F.col(natural).isNull()).withColumns({REASON: F.lit(f"null key: {natural}"), READER: F.lit(load)})
+    table.publish(how(table.read(), source), rejected=refused if balance.rejected else None, balance=balance)
+    return balance
 
 
 def create_if_not_exists(table: VersionedTable, source: DataFrame) -> bool:

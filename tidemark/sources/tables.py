@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.watermark import watermark_filter
 
@@ -74,21 +74,34 @@ def config_read(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(*[F.trim(c).alias(c) for c in raw.columns])
 
 
-def file_checks(spark: SparkSession, path: str, pattern: str, name_regex: str, as_of: str, recent_days: int = 1) -> DataFrame:
-    """Landing files: size, name pattern, age. Only the file listing is read, not the contents."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path).select(
-        F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"), "length", "modificationTime")
+FOOTER_BYTES = 1 << 20  # a Parquet file without rows is no more than its footer
+
+
+def file_checks(spark: SparkSession, path: str, name_regex: str, as_of: str, recent_days: int = 1, pattern: str = "*") -> DataFrame:
+    """Every file below a landing folder: rows, size, name pattern, age, and whether it can be read as Parquet.
+
+    Files are counted from their footers, all in one job, and an unreadable one is a value, not a failure. A file that
+    gives no row is readable if it is small and bounded by the format's marks: an empty table. A file without a byte
+    has no age.
+    """
+    def uri(column: str) -> Column:
+        return F.regexp_replace(column, r"^(\w+):/+", "$1:/")
+
+    everything = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(path)
+    # the listing itself: a reader passes over files without a byte
+    names = spark.createDataFrame([(f,) for f in everything.inputFiles()], "path string").select(uri("path").alias("path"))
+    listed = everything.select(uri("_metadata.file_path").alias("path"), "length", "modificationTime", "content")
+    rows = (spark.read.schema("_none string").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).option("ignoreCorruptFiles", "true")
+            .parquet(path).groupBy(uri("_metadata.file_path").alias("path")).agg(F.count(F.lit(1)).alias("n_rows")))
+    mark = F.lit(bytearray(b"PAR1"))
+    whole = listed.where(F.col("length") <= FOOTER_BYTES).select(
+        "path", ((F.substring("content", 1, 4) == mark) & (F.substring("content", -4, 4) == mark)).alias("_whole"))
     age = F.datediff(F.lit(as_of).cast("date"), F.to_date("modificationTime"))
-    return files.select(
-        "file_name", F.col("length").alias("bytes"),
-        (F.col("length") > 0).alias("not_empty"),
-        F.col("file_name").rlike(name_regex).alias("name_ok"),
-        (age <= recent_days).alias("is_recent"))
-
-
-def parquet_readable(spark: SparkSession, path: str) -> bool:
-    """Whether the footers below a path can be read as Parquet."""
-    try:
-        return len(spark.read.parquet(path).columns) > 0
-    except Exception:
-        return False
+    name = F.url_decode(F.replace(F.regexp_extract("path", r"[^/]+$", 0), F.lit("+"), F.lit("%2B")))
+    size = F.coalesce("length", F.lit(0))
+    return names.join(listed.drop("content"), "path", "left").join(rows, "path", "left").join(whole, "path", "left").select(
+        name.alias("file_name"), "path", F.coalesce("n_rows", F.lit(0)).alias("n_rows"), size.alias("bytes"),
+        (size > 0).alias("not_empty"),
+        name.rlike(name_regex).alias("name_ok"),
+        F.coalesce(age <= recent_days, F.lit(False)).alias("is_recent"),
+        (F.col("n_rows").isNotNull() | F.coalesce("_whole", F.lit(False))).alias("readable"))
