@@ -334,3 +334,25 @@ def test_json_vocabulary_is_read_from_a_path(tmp_path):
         spec = json.load(f)
     path.write_text(json.dumps(spec), encoding="utf-8")
     assert bpe.Codec(str(path)).encode("hello there") == bpe.codec().encode("hello there")
+
+
+def test_near_copies_around_several_centres_make_few_pairs(spark, monkeypatch):
+    centres = [near(BASE[4], 50 + c, 30) for c in range(5)]
+    rows = [(k, near(centres[k % 5], 1000 + k, 1 + k % 4)) for k in range(2000)]
+    made, untested = [], ngram_join._Join.untested
+
+    def counted(self, met):
+        pairs = untested(self, met)
+        made.append(pairs.count())
+        return pairs
+    monkeypatch.setattr(ngram_join._Join, "untested", counted)
+    found = ngram_join.similar_groups(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), n=3, percent=90).collect()
+    assert {r.doc_id: r.component_id for r in found} == {k: k % 5 for k, _ in rows}
+    assert sum(made) <= 20 * len(rows)  # all pairs of a centre's copies would be 400,000
+
+
+def test_similar_groups_of_no_rows_and_a_long_text(spark, empty):
+    assert ngram_join.similar_groups(empty, n=3, percent=90).collect() == []
+    long = prose(300_000, 9)
+    got = ngram_join.similar_groups(spark.createDataFrame([(1, long), (2, long + " end"), (3, "short text here")], "doc_id long, text string"), n=3, percent=90)
+    assert sorted((r.doc_id, r.component_id) for r in got.collect()) == [(1, 1), (2, 1), (3, 3)]

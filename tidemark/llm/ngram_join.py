@@ -13,10 +13,12 @@ prefix filtering with a rare-first order:
   a few XORs while the posting lists meet; and the sizes of parts differ by no more than that. Pairs that remain are
   verified once, on whole texts.
 
-Groups of near copies must not become all their pairs. Only what links join matters, so two passes first verify each
-posting list against one of its members and contract what was found; pairs of nodes known to be in one component are
-then left out, and all other pairs are verified. No link between different components can be missed, and a posting
-list, however long, costs its length in the first passes.
+Groups of near copies must not become all their pairs. Only what links join matters: every member of a posting list has
+a slot in it, by its hash, and rounds compare the members of the first few slots, then of the next eight times as many,
+with all that come after them. Between rounds the links found are contracted; pairs of nodes known to be in one component
+are left out, and lists whose remaining members are in one component are done. The rounds go on until every pair of
+slots has met or is known to be joined, so no link between different components can be missed, and each pair meets once
+in a list.
 """
 
 from __future__ import annotations
@@ -35,7 +37,7 @@ COUNTERS = 1 << 20   # of the frequency table; 4 bytes each
 BLOCK = 1 << 12      # counters summed at a time
 PARTS = 16           # hash ranges of the suffix filter
 LANES = 4            # 64-bit words of part parities
-STARS = 2            # passes against one member of each posting list
+SLOTS, WIDER = 1, 8  # of a posting list that the first round compares with the rest; how many times more the next does
 _BITS = 64 - int(np.log2(PARTS))
 _LANES = [f"lane{k}" for k in range(LANES)]
 
@@ -167,8 +169,10 @@ class _Join:
         self.n, self.percent, self.spark = n, percent, docs.sparkSession
         nodes = signs.where("n_shingles > 0").join(reps.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
         posted = nodes.select(F.col("doc_id").alias("node"), F.posexplode("prefix").alias("pos", "token"))
-        shared = posted.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("token")
-        kept = common.staged(posted.join(shared, "token"), "join-kept")  # few postings are shared: the rest of a node joins them now
+        shared = posted.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        slot = F.pmod(F.xxhash64("node", "token"), F.col("n")).alias("slot")
+        # few postings are shared: the rest of a node joins them now
+        kept = common.staged(posted.join(shared, "token").select("token", "node", "pos", slot), "join-kept")
         mine = kept.select(F.col("node").alias("doc_id")).distinct()
         self.nodes = common.staged(signs.where("n_shingles > 0").join(mine, "doc_id", "left_semi")
                                    .select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("size"), "parts", *_LANES), "join-nodes")
@@ -179,15 +183,17 @@ class _Join:
         self.tested: DataFrame | None = None
         self.roots: DataFrame | None = None
 
-    def rooted(self) -> DataFrame:
-        """Postings with their node's component, of tokens whose nodes are not all in one."""
-        if self.roots is None:
-            return self.postings.withColumn("root", F.col("node"))
-        now = common.staged(self.postings.join(self.roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "join-rooted")
+    def open(self, lo: int) -> bool:
+        """Leave the postings from slot `lo` on, with their node's component, of tokens whose nodes are not all in one."""
+        rows = self.postings.where(F.col("slot") >= lo).drop("root")
+        rows = rows.withColumn("root", F.col("node")) if self.roots is None else (
+            rows.join(self.roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
+        now = common.staged(rows, "join-rooted")
         mixed = now.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("token")
         out = common.staged(now.join(mixed, "token", "left_semi"), "join-mixed")
-        common.remove(self.spark, now)
-        return out
+        common.remove(self.spark, now, self.postings)
+        self.postings = out
+        return not out.isEmpty()
 
     def possible(self, x: str, y: str):
         """Length, positional and parity filter on two postings of one token."""
@@ -203,23 +209,11 @@ class _Join:
         """Intersection that a union of sets of these sizes together asks for."""
         return F.floor((self.percent * sizes + 99 + self.percent) / (100 + self.percent)).cast("long")
 
-    def star(self, turn: int) -> DataFrame:
-        """Pairs of a member of each posting list and all others, untested and staged."""
-        postings = self.rooted()
-        rank = F.xxhash64("node", F.lit(turn))
-        lead = common.staged(postings.groupBy("token").agg(
-            F.min(F.struct(rank.alias("rank"), "node", "size", "pos", "root", *_LANES)).alias("y")).select("token", "y.*"), "join-leads")
-        pairs = self.untested(postings.alias("x").join(lead.alias("y"), "token").where(self.possible("x", "y")))
-        common.remove(self.spark, lead, postings)
-        return pairs
-
-    def rest(self) -> DataFrame:
-        """All pairs that share a posting and are in different components, untested and staged."""
-        postings = self.rooted()
-        pairs = self.untested(postings.alias("x").join(postings.alias("y"), "token").where(F.col("x.root") < F.col("y.root"))
-                              .where(self.possible("x", "y")))
-        common.remove(self.spark, postings)
-        return pairs
+    def met(self, lo: int, hi: int) -> DataFrame:
+        """Pairs of members of slots from `lo` to before `hi` with all that come after them in a list, untested and staged."""
+        lead = self.postings.where((F.col("slot") >= lo) & (F.col("slot") < hi)).alias("y")
+        later = F.struct("x.slot", "x.node") > F.struct("y.slot", "y.node")
+        return self.untested(self.postings.alias("x").join(lead, "token").where(later & self.possible("x", "y")))
 
     def untested(self, met: DataFrame) -> DataFrame:
         a, b = F.col("x.node"), F.col("y.node")
@@ -256,7 +250,7 @@ class _Join:
 
 
 def similar_groups(df: DataFrame, id_column: str = "doc_id", text_column: str = "text", n: int = 5, percent: int = 80,
-                   counters: int = COUNTERS, stars: int = STARS) -> DataFrame:
+                   counters: int = COUNTERS) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of `df`.
 
     Texts null or without words have no shingles, link with nothing and are their own component. Rows that share an id
@@ -271,14 +265,17 @@ def similar_groups(df: DataFrame, id_column: str = "doc_id", text_column: str =
     sets = signs.where("n_shingles > 0 and doc_id is not null")
     reps = common.staged(sets.groupBy("digest").agg(F.min("doc_id").alias("node")), "join-reps")
     join = _Join(docs, signs, reps, n, percent)
-    for turn in range(stars):
-        join.test(join.star(turn))
-    join.test(join.rest())
+    lo, hi = 0, SLOTS
+    while join.open(lo):
+        pairs = join.met(lo, hi)
+        if not pairs.isEmpty():
+            join.test(pairs)
+        lo, hi = hi, hi * WIDER
     common.remove(spark, join.postings, join.nodes, join.texts)
     # rows of one id are one node even where their texts differ
     same = sets.select("digest", "doc_id").join(reps, "digest").where("doc_id <> node").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
     twice = same.join(sets.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("doc_id").alias("a")), "a", "left_semi")
-    roots = join.roots
+    roots = join.roots if join.roots is not None else spark.createDataFrame([], "node long, root long")
     if not (twice := common.staged(twice, "join-twice")).isEmpty():
         roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(twice))
     named = reps.join(roots, "node", "left").select("digest", F.coalesce("root", "node").alias("component_id"))
