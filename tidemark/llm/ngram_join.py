@@ -176,7 +176,7 @@ class _Join:
         mine = kept.select(F.col("node").alias("doc_id")).distinct()
         self.nodes = common.staged(signs.where("n_shingles > 0").join(mine, "doc_id", "left_semi")
                                    .select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("size"), "parts", *_LANES), "join-nodes")
-        self.postings = common.staged(kept.join(self.nodes.drop("parts"), "node"), "join-postings")
+        self.postings = common.staged(kept.join(self.nodes.drop("parts"), "node").withColumn("root", F.col("node")), "join-postings")
         common.remove(self.spark, kept)
         mine = self.nodes.select(F.col("node").alias("doc_id"))
         self.texts = common.staged(docs.join(mine, "doc_id", "left_semi").select(F.col("doc_id").alias("node"), "text"), "join-texts")
@@ -185,9 +185,9 @@ class _Join:
 
     def open(self, lo: int) -> bool:
         """Leave the postings from slot `lo` on, with their node's component, of tokens whose nodes are not all in one."""
-        rows = self.postings.where(F.col("slot") >= lo).drop("root")
-        rows = rows.withColumn("root", F.col("node")) if self.roots is None else (
-            rows.join(self.roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
+        if self.roots is None:  # every node is its own component, and every token has two nodes or more
+            return not self.postings.isEmpty()
+        rows = self.postings.where(F.col("slot") >= lo).drop("root").join(self.roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
         now = common.staged(rows, "join-rooted")
         mixed = now.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("token")
         out = common.staged(now.join(mixed, "token", "left_semi"), "join-mixed")
@@ -267,9 +267,7 @@ def similar_groups(df: DataFrame, id_column: str = "doc_id", text_column: str =
     join = _Join(docs, signs, reps, n, percent)
     lo, hi = 0, SLOTS
     while join.open(lo):
-        pairs = join.met(lo, hi)
-        if not pairs.isEmpty():
-            join.test(pairs)
+        join.test(join.met(lo, hi))
         lo, hi = hi, hi * WIDER
     common.remove(spark, join.postings, join.nodes, join.texts)
     # rows of one id are one node even where their texts differ
