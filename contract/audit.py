@@ -192,13 +192,16 @@ def aud_lineage_flow(spark, sf):
     return au.lineage_flow(logs.lineage(spark, sf), LOAD_DAY)
 
 
+_TO_SILVER = "source_layer = 'BRONZE' AND target_layer = 'SILVER'"
+
+
 @query("aud_lineage_gaps", f"""
 SELECT b.table_name AS bronze_table, b.load_timestamp AS bronze_load_time, 'Missing Silver lineage' AS issue,
   date_sub('hour', b.load_timestamp, TIMESTAMP '{LOAD_NOW}') AS hours_since_load
 FROM a_loads b
-WHERE {since('b.load_timestamp', LOAD_DAY, 1)} AND b.load_status = 'SUCCESS' AND b.load_timestamp > ALL (
-  SELECT max(l.load_timestamp) FROM a_lineage l WHERE l.source_layer = 'BRONZE' AND l.target_layer = 'SILVER' AND l.source_table = b.table_name
-  HAVING count(*) > 0)""", text="bronze_load_time")
+WHERE {since('b.load_timestamp', LOAD_DAY, 1)} AND b.load_status = 'SUCCESS'
+  AND NOT EXISTS (SELECT 1 FROM a_lineage l WHERE {_TO_SILVER} AND l.source_table = b.table_name AND l.load_timestamp >= b.load_timestamp)""",
+       text="bronze_load_time")
 def aud_lineage_gaps(spark, sf):
     return au.lineage_gaps(logs.loads(spark, sf), logs.lineage(spark, sf), LOAD_DAY, LOAD_NOW)
 
@@ -206,15 +209,12 @@ def aud_lineage_gaps(spark, sf):
 @query("aud_reconcile", f"""
 SELECT table_name AS bronze_table, target_table AS silver_table, bronze_records, silver_records, abs(bronze_records - coalesce(silver_records, 0)) AS variance,
   match_pct, CASE WHEN match_pct >= 99 THEN '✅ Good' WHEN match_pct >= 95 THEN '⚠️ Check' ELSE '❌ Issue' END AS status
-FROM (SELECT *, {rate('coalesce(silver_records, 0)', 'bronze_records')} AS match_pct FROM (
-  SELECT table_name, coalesce(side, lone) AS target_table, bronze_records, CAST(sum(moved) FILTER (side IS NOT NULL) AS BIGINT) AS silver_records
-  FROM (SELECT *, CAST(sum(arrived) OVER (PARTITION BY table_name) AS BIGINT) AS bronze_records,
-      bool_or(arrived IS NOT NULL) OVER (PARTITION BY table_name) AS known, count(side) OVER (PARTITION BY table_name) AS sides, CAST(NULL AS VARCHAR) AS lone
-    FROM (SELECT table_name, CAST(NULL AS VARCHAR) AS side, records_loaded AS arrived, 0 AS moved FROM a_loads
-          WHERE {since('load_timestamp', LOAD_DAY, 1)} AND load_status = 'SUCCESS'
-          UNION ALL
-          SELECT source_table, target_table, NULL, target_record_count FROM a_lineage WHERE {since('load_timestamp', LOAD_DAY, 1)}))
-  WHERE known AND (side IS NOT NULL OR sides = 0) GROUP BY ALL))""")
+FROM (
+  SELECT *, {rate('coalesce(silver_records, 0)', 'bronze_records')} AS match_pct
+  FROM (SELECT table_name, CAST(sum(records_loaded) AS BIGINT) AS bronze_records FROM a_loads
+        WHERE {since('load_timestamp', LOAD_DAY, 1)} AND load_status = 'SUCCESS' GROUP BY table_name) b
+  LEFT JOIN (SELECT source_table, target_table, CAST(sum(target_record_count) AS BIGINT) AS silver_records FROM a_lineage
+             WHERE {since('load_timestamp', LOAD_DAY, 1)} AND {_TO_SILVER} GROUP BY source_table, target_table) s ON b.table_name = s.source_table)""")
 def aud_reconcile(spark, sf):
     return au.reconcile(logs.loads(spark, sf), logs.lineage(spark, sf), LOAD_DAY)
 

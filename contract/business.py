@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tidemark.plans import analytics as an
-from tidemark.plans.star import gold, silver_table
+from tidemark.plans.star import gold, silver_table, stored_silver
 
 from .ctes import AS_OF, AS_OF_SALES, div, pct, rnd
 from .registry import query
@@ -254,7 +254,7 @@ SELECT order_date, count(DISTINCT order_id) AS total_orders, count(*) AS total_l
   sum(revenue) AS total_revenue, {rnd(div('sum(revenue)', 'count(*)'), 2)} AS avg_line_value
 FROM s_sales WHERE order_date >= DATE '{AS_OF_SALES}' - 30 GROUP BY ALL""", "total_revenue", "order_date")
 def q_daily_sales_silver(spark, sf):
-    return an.daily_sales_silver(silver_table(spark, sf, "sales"), AS_OF_SALES)
+    return an.daily_sales_silver(stored_silver(spark, sf).silver("sales"), AS_OF_SALES)
 
 
 @query("q_top_campaigns_silver", f"""
@@ -262,7 +262,7 @@ SELECT campaign_name, campaign_type, count(*) AS days_running, sum(cost) AS tota
 FROM s_performance f JOIN s_campaigns c ON f.campaign_id = c.campaign_id GROUP BY ALL HAVING sum(cost) > 1000
 ORDER BY roas DESC NULLS LAST, campaign_name, campaign_type LIMIT 10""", "total_cost total_revenue")
 def q_top_campaigns_silver(spark, sf):
-    return an.top_campaigns_silver(silver_table(spark, sf, "performance"), silver_table(spark, sf, "campaigns"))
+    return an.top_campaigns_silver(stored_silver(spark, sf).silver("performance"), stored_silver(spark, sf).silver("campaigns"))
 
 
 @query("q_channels_silver", f"""
@@ -270,14 +270,14 @@ SELECT channel_name, channel_type, count(*) AS days_active, {total('impressions'
   {CTR} AS ctr, sum(cost) AS total_cost, sum(revenue) AS total_revenue, {ROAS} AS roas
 FROM s_performance f JOIN s_channels c ON f.channel_id = c.channel_id GROUP BY ALL""", "total_cost total_revenue")
 def q_channels_silver(spark, sf):
-    return an.channels_silver(silver_table(spark, sf, "performance"), silver_table(spark, sf, "channels"))
+    return an.channels_silver(stored_silver(spark, sf).silver("performance"), stored_silver(spark, sf).silver("channels"))
 
 
 @query("q_customers_by_ltv", """
 SELECT customer_id, customer_name, email, segment, tier, lifetime_value FROM s_customers
 ORDER BY lifetime_value DESC, customer_id LIMIT 20""", "lifetime_value")
 def q_customers_by_ltv(spark, sf):
-    return an.customers_by_ltv(silver_table(spark, sf, "customers"))
+    return an.customers_by_ltv(stored_silver(spark, sf).silver("customers"))
 
 
 @query("q_campaigns_by_budget", """
@@ -285,21 +285,21 @@ SELECT campaign_id, campaign_name, campaign_type, status, budget, start_date, en
   date_diff('day', start_date, end_date) AS duration_days FROM s_campaigns ORDER BY budget DESC, campaign_id LIMIT 10""",
        "budget", "start_date end_date")
 def q_campaigns_by_budget(spark, sf):
-    return an.campaigns_by_budget(silver_table(spark, sf, "campaigns"))
+    return an.campaigns_by_budget(stored_silver(spark, sf).silver("campaigns"))
 
 
 @query("q_campaign_status", f"""
 SELECT status, count(*) AS campaign_count, sum(budget) AS total_budget, {rnd(div('sum(budget)', 'count(*)'), 2)} AS avg_budget
 FROM s_campaigns GROUP BY ALL""", "total_budget")
 def q_campaign_status(spark, sf):
-    return an.campaign_status(silver_table(spark, sf, "campaigns"))
+    return an.campaign_status(stored_silver(spark, sf).silver("campaigns"))
 
 
 @query("q_products_by_margin", """
 SELECT product_id, product_name, category, brand, unit_price, cost, margin, margin_percent FROM s_products
 WHERE product_status = 'Active' ORDER BY margin_percent DESC, product_id LIMIT 10""", "unit_price cost margin margin_percent")
 def q_products_by_margin(spark, sf):
-    return an.products_by_margin(silver_table(spark, sf, "products"))
+    return an.products_by_margin(stored_silver(spark, sf).silver("products"))
 
 
 @query("q_category_profit", f"""
@@ -307,7 +307,7 @@ SELECT category, count(*) AS product_count, {rnd(div('sum(unit_price)', 'count(*
   {rnd(div('sum(margin_percent)', 'count(*)'), 2)} AS avg_margin_pct
 FROM s_products WHERE product_status = 'Active' GROUP BY ALL""")
 def q_category_profit(spark, sf):
-    return an.category_profit(silver_table(spark, sf, "products"))
+    return an.category_profit(stored_silver(spark, sf).silver("products"))
 
 
 @query("q_top_selling_products", f"""
@@ -315,14 +315,14 @@ SELECT f.product_id, product_name, category, count(*) AS order_count, {total('qu
 FROM s_sales f JOIN s_products p ON f.product_id = p.product_id GROUP BY ALL ORDER BY total_revenue DESC, f.product_id LIMIT 10""",
        "total_revenue")
 def q_top_selling_products(spark, sf):
-    return an.top_selling_products(silver_table(spark, sf, "sales"), silver_table(spark, sf, "products"))
+    return an.top_selling_products(stored_silver(spark, sf).silver("sales"), stored_silver(spark, sf).silver("products"))
 
 
 @query("q_silver_daily_volume", """
 SELECT CAST(source_load_timestamp AS DATE) AS load_date, count(*) AS records_loaded FROM s_performance GROUP BY ALL
 ORDER BY load_date DESC LIMIT 7""", text="load_date")
 def q_silver_daily_volume(spark, sf):
-    loaded = silver_table(spark, sf, "performance").select("source_load_timestamp").withColumnRenamed(
+    loaded = stored_silver(spark, sf).silver("performance").select("source_load_timestamp").withColumnRenamed(
         "source_load_timestamp", "load_timestamp")
     return an.silver_daily_volume(loaded)
 

@@ -118,6 +118,16 @@ def fact_asof_lookup(spark, sf):
                                     ["version_number", "budget"]).select("performance_id", "campaign_key", "version_number", "budget")
 
 
+@query("asof_merge", """
+SELECT performance_id, campaign_key, version_number, d.budget FROM s_performance p JOIN d2_campaign d
+ON p.campaign_id = d.campaign_id AND valid_from <= CAST(performance_date AS TIMESTAMP) AND CAST(performance_date AS TIMESTAMP) < valid_to""", "budget")
+def asof_merge(spark, sf):
+    """The same versions, found by merging rows and versions in order of time."""
+    p = silver_table(spark, sf, "performance").select("performance_id", "campaign_id", "performance_date")
+    return lookups.asof_merge(p, states.campaign_history(spark, sf), "campaign_id", "performance_date", "campaign_key",
+                              ["version_number", "budget"]).select("performance_id", "campaign_key", "version_number", "budget")
+
+
 @query("anti_orphans", """
 SELECT order_line_id, campaign_id FROM s_sales WHERE campaign_id IS NOT NULL AND campaign_id NOT IN (SELECT campaign_id FROM c2_campaigns)""")
 def anti_orphans(spark, sf):

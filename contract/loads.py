@@ -141,7 +141,8 @@ def _config_sql() -> str:
 
 @query("infer_table_config", _config_sql())
 def infer_table_config(spark, sf):
-    return infer.infer_table_config(spark, given(spark, sf), KEYS)
+    """Change columns and keys found on the data, without being told which columns may be keys."""
+    return infer.infer_table_config(spark, given(spark, sf))
 
 
 @query("config_read", f"""

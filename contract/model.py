@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions import calendar as cal, silver
+from tidemark.operators import facts
 from tidemark.plans import star as plans, views
 from tidemark.plans.star import Star, gold, silver_table
 from tidemark.sources import entities
@@ -81,20 +82,23 @@ def dim_channel(spark, sf):
 @query("fact_performance", "SELECT * FROM f_performance", "cost revenue ctr cpc cpa roas conversion_rate",
        "performance_date load_timestamp")
 def fact_performance(spark, sf):
-    return Star(spark, sf).fact_performance
+    star = gold(spark, sf)
+    return facts.fact_performance(star.silver("performance"), star.dim_campaign, star.dim_channel, star.dim_date, star.run_ts)
 
 
 @query("fact_sales", "SELECT * FROM f_sales",
        "unit_price discount_amount tax_amount line_total revenue discount_percent",
        "order_timestamp order_date load_timestamp")
 def fact_sales(spark, sf):
-    return Star(spark, sf).fact_sales
+    star = gold(spark, sf)
+    return facts.fact_sales(star.silver("sales"), star.dim_customer, star.dim_product, star.dim_campaign, star.dim_date, star.run_ts)
 
 
 @query("fact_campaign_daily", "SELECT * FROM f_campaign_daily",
        "total_cost total_revenue avg_ctr avg_cpc total_roas total_ctr total_cpc", "load_timestamp")
 def fact_campaign_daily(spark, sf):
-    return Star(spark, sf).fact_campaign_daily
+    star = gold(spark, sf)
+    return facts.fact_campaign_daily(star.silver("performance"), star.dim_campaign, star.dim_date, star.run_ts)
 
 
 @query("view_dim_campaign", "SELECT * FROM v_campaign", "campaign_budget",

@@ -217,3 +217,49 @@ def test_file_checks_name_the_broken_file(spark, tmp_path):
     assert not got["mixed", "part-8.parquet"].readable and not got["mixed", "part-8.parquet"].not_empty
     odd = [r for (d, n), r in got.items() if d == "mixed" and "odd" in n]
     assert len(odd) == 1 and odd[0].readable and odd[0].n_rows == 1 and not odd[0].name_ok and odd[0].is_recent
+
+
+def test_asof_merge_costs_rows_plus_versions(spark, tmp_path):
+    from tidemark.operators import lookups
+    many = 100_000
+    versions = spark.range(many).select(F.lit("hot").alias("id"), F.col("id").alias("key"),
+                                        F.timestamp_seconds(F.col("id") * 600).cast("timestamp_ntz").alias("valid_from"),
+                                        F.timestamp_seconds(F.col("id") * 600 + 600).cast("timestamp_ntz").alias("valid_to"))
+    events = spark.range(40_000).select(F.col("id").alias("event"), F.lit("hot").alias("id"),
+                                        F.timestamp_seconds(F.pmod(F.xxhash64("id"), F.lit(many * 600))).cast("timestamp_ntz").alias("at"))
+    # a gap, a version of no length, and a key whose only version began long before
+    rare = frame(spark, [("rare", -1, "1990-01-01 00:00:00", "9999-12-31 00:00:00")], "id string, key long, valid_from string, valid_to string")
+    rare = rare.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("valid_from", "valid_to")})
+    dim = versions.where("key % 100 <> 7").unionByName(rare)
+    dim = dim.unionByName(versions.where("key = 50").withColumns({"key": F.lit(-5).cast("long"), "valid_to": F.col("valid_from")}))
+    late = frame(spark, [(-1, "rare", "2024-05-05 00:00:00"), (-2, "none", "2024-05-05 00:00:00"), (-3, None, "2024-05-05 00:00:00"), (-4, "hot", None),
+                         (-5, "rare", "1980-01-01 00:00:00")], "event long, id string, at string").withColumn("at", F.col("at").cast("timestamp_ntz"))
+    fact = events.unionByName(late)
+    assert lookups.fact_asof_lookup(fact, dim, "id", "at", "key").columns == ["event", "id", "at", "key"]
+    got = {r.event: r.key for r in lookups.fact_asof_lookup(fact, dim, "id", "at", "key").collect()}
+    want = {r.event: r.k for r in events.select("event", F.expr(f"pmod(xxhash64(event), {many * 600}) div 600").alias("k")).collect() if r.k % 100 != 7}
+    assert got == want | {-1: -1}
+    plan = lookups.asof_merge(fact, dim, "id", "at", "key")._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join " in line]
+    assert len(joins) == 1 and "_b" in joins[0] and "valid" not in joins[0]  # only on key and bucket: rows never meet versions
+
+
+def test_keys_are_found_on_the_data(spark):
+    from tidemark.operators import infer
+    rows = [(k // 4, k % 4, k % 3, "x", None if k == 5 else k, float(k)) for k in range(400)]
+    df = frame(spark, rows, "order_id long, line int, part int, flag string, almost long, price double")
+    assert infer.minimal_keys(df)[0] == ("order_id", "line")
+    assert all("almost" not in s and "price" not in s for s in infer.minimal_keys(df))
+    assert infer.minimal_keys(df.unionByName(df.limit(1))) == [] and infer.minimal_keys(df.limit(0)) == []
+    assert infer.minimal_keys(df.withColumn("id", F.monotonically_increasing_id()))[0] == ("id",)
+    given = {n: spark.read.parquet(f"/root/testdata/sf0.01/{n}.parquet") for n in ("lineitem", "nation")}
+    assert "lineitem" not in infer.discover_keys(given)  # its lines repeat numbers
+    given["lineitem"] = given["lineitem"].dropDuplicates(["l_orderkey", "l_linenumber"])
+    assert infer.discover_keys(given) == {"lineitem": ["l_orderkey", "l_linenumber"], "nation": ["n_nationkey"]}
+
+
+def test_reports_on_stored_silver_prune_months(spark):
+    from tidemark.plans import analytics, star
+    stored = star.stored_silver(spark, "/root/testdata/sf0.001")
+    plan = analytics.daily_sales_silver(stored.silver("sales"), "2001-08-01")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month_key" in plan and "Window" not in plan

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -68,6 +70,52 @@ def key_uniqueness(tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[
     return out.withColumn("is_key", (F.col("duplicate_keys") == 0) & (F.col("null_rows") == 0))
 
 
+SKETCH_ERROR = 0.02
+SKETCHES = 64   # of one pass
+CHANCE = 10     # pairs of rows that would meet if columns were independent: with fewer, being unique is no evidence
+IDENTIFYING = (T.IntegerType, T.LongType, T.ShortType, T.ByteType, T.StringType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def minimal_keys(df: DataFrame, most: int = 3) -> list[tuple[str, ...]]:
+    """All sets of up to `most` columns that are unique and have no null and no unique part, the likeliest first.
+
+    Level by level: a set is looked at if none of its parts is a key and its columns' distinct values, multiplied, reach
+    the number of rows; a sketch over all rows then tells sets that are far from unique, many sets a pass; what is left
+    is counted exactly. Sets with so many possible combinations that rows drawn at random would hardly ever meet are left
+    out: that they are unique says nothing. Measures (fractions) identify nothing and are left out. Likelier is a set of fewer columns, then
+    one whose columns have fewer possible combinations, whole numbers before texts and times, columns further left first.
+    """
+    columns = [f.name for f in df.schema.fields if isinstance(f.dataType, IDENTIFYING)]
+    if not columns:
+        return []
+    one = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count(c).alias(f"_c_{c}") for c in columns],
+                 *[F.approx_count_distinct(c, SKETCH_ERROR).alias(f"_d_{c}") for c in columns]).first()
+    rows, enough = one["_n"], one["_n"] * (1 - 4 * SKETCH_ERROR)
+    if not rows:
+        return []
+    distinct = {c: one[f"_d_{c}"] for c in columns if one[f"_c_{c}"] == rows}
+    whole = {f.name for f in df.schema.fields if isinstance(f.dataType, IDENTIFYING[:4])}
+    found: list[tuple[str, ...]] = []
+    for size in range(1, most + 1):
+        sets = [s for s in itertools.combinations(distinct, size) if not any(set(k) <= set(s) for k in found)
+                and enough <= math.prod(distinct[c] for c in s) and (size == 1 or math.prod(distinct[c] for c in s) <= rows * rows / (2 * CHANCE))]
+        if size > 1:
+            seen: dict[tuple[str, ...], int] = {}
+            for at in range(0, len(sets), SKETCHES):
+                part = sets[at:at + SKETCHES]
+                seen.update(zip(part, df.agg(*[F.approx_count_distinct(F.xxhash64(*s), SKETCH_ERROR).alias(f"_{k}") for k, s in enumerate(part)]).first()))
+            sets = [s for s in sets if seen[s] >= enough]
+        found += [s for s in sets if df.groupBy(*s).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").isEmpty()]
+    place = {c: k for k, c in enumerate(df.columns)}
+    return sorted(found, key=lambda s: (len(s), math.prod(distinct[c] for c in s) if len(s) > 1 else rows, sum(c not in whole for c in s), [place[c] for c in s]))
+
+
+def discover_keys(tables: Mapping[str, DataFrame], most: int = 2) -> dict[str, list[str]]:
+    """The likeliest key of each table that has one."""
+    found = {name: minimal_keys(df, most) for name, df in tables.items()}
+    return {name: list(keys[0]) for name, keys in found.items() if keys}
+
+
 def primary_keys(uniqueness: DataFrame) -> DataFrame:
     return uniqueness.where("is_key").select("table_name", F.col("key_columns").alias("primary_key"))
 
@@ -82,8 +130,12 @@ def rank_time_columns(candidates: DataFrame) -> DataFrame:
         "table_name", F.col("column_name").alias("incremental_column"))
 
 
-def infer_table_config(spark: SparkSession, tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str]]) -> DataFrame:
-    """(table_name, incremental_column, primary_key), columns with nulls and keys with duplicates rejected."""
+def infer_table_config(spark: SparkSession, tables: Mapping[str, DataFrame], keys: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
+    """(table_name, incremental_column, primary_key), columns with nulls and keys with duplicates rejected.
+
+    Keys are those proposed in `keys`, or found on the data.
+    """
+    keys = keys if keys is not None else discover_keys(tables)
     names = spark.createDataFrame([(n,) for n in tables], "table_name string")
     usable = time_column_null_profile(tables).where((F.col("null_rows") == 0) & (F.col("total_rows") > 0))
     best = rank_time_columns(usable.select("table_name", "column_name"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.expressions import all_of, date_key, ts
 
@@ -88,13 +88,48 @@ def asof_dimension(dim: DataFrame, moment: str, natural: str | None = None, valu
     return out.where(F.col(natural) == value) if natural else out
 
 
+MET_VERSIONS = 32   # of one key, up to which a row may meet all of them
+
+
+def asof_merge(fact: DataFrame, dim: DataFrame, natural: str, event_time: str, key: str, attributes: Sequence[str] = (),
+               bucket: str = "day") -> DataFrame:
+    """Join each fact row to the version valid at its event time, at the cost of rows plus versions.
+
+    Events and versions go as one stream, by key and time bucket, in order of time: an event takes the last version
+    that began before it. The last version of each bucket is carried to the buckets after it by a pass over one row for
+    each key and bucket, so a key is spread over its buckets. Versions of a key do not overlap; of several that begin
+    at one moment the one that ends last counts.
+    """
+    moment, carried = F.col(event_time).cast("timestamp_ntz"), [key, "valid_from", "valid_to", *attributes]
+    events = fact.select(F.col(natural).alias("_nk"), moment.alias("_at"), F.lit(1).alias("_kind"), F.struct(*[F.col(c) for c in fact.columns]).alias("_row"),
+                         F.lit(None).cast(dim.select(F.struct(*carried).alias("v")).schema["v"].dataType).alias("_version"))
+    versions = dim.where(F.col(natural).isNotNull()).select(
+        F.col(natural).alias("_nk"), F.col("valid_from").cast("timestamp_ntz").alias("_at"), F.lit(0).alias("_kind"),
+        F.lit(None).cast(events.schema["_row"].dataType).alias("_row"), F.struct(*carried).alias("_version"))
+    stream = events.where(F.col("_nk").isNotNull() & F.col("_at").isNotNull()).unionByName(versions).withColumn("_b", F.date_trunc(bucket, "_at"))
+    ends = F.when(F.col("_kind") == 0, F.col("_version.valid_to"))
+    inside = W.partitionBy("_nk", "_b").orderBy("_at", "_kind", ends).rowsBetween(W.unboundedPreceding, W.currentRow)
+    rows = stream.withColumn("_last", F.last("_version", ignorenulls=True).over(inside)).where("_kind = 1")
+    edges = stream.groupBy("_nk", "_b").agg(F.max(F.when(F.col("_kind") == 0, F.struct("_at", F.col("_version.valid_to").alias("_end"), "_version"))).alias("_edge"))
+    before = W.partitionBy("_nk").orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
+    edges = edges.select(F.col("_nk").alias("_ek"), F.col("_b").alias("_eb"), F.last("_edge._version", ignorenulls=True).over(before).alias("_carried"))
+    met = rows.join(edges.where("_carried IS NOT NULL"), (F.col("_nk") == F.col("_ek")) & (F.col("_b") == F.col("_eb")), "left").withColumn(
+        "_v", F.coalesce("_last", "_carried"))
+    return met.where(F.col("_at") < F.col("_v.valid_to")).select("_row.*", *[F.col(f"_v.{c}").alias(c) for c in (key, *attributes)])
+
+
 def fact_asof_lookup(fact: DataFrame, dim: DataFrame, natural: str, event_time: str, key: str,
                      attributes: Sequence[str] = ()) -> DataFrame:
     """Join each fact row to the version valid at its event time.
 
-    Equality on the natural key carries the join; the range is a residual
-    condition, so there is no nested loop.
+    Where no key has more than a few versions, equality on the natural key
+    carries the join and the range is a residual condition; beyond that a row
+    would meet all versions of its key, and both sides are merged in order of
+    time instead. Both give the same rows for versions that do not overlap.
     """
+    most = dim.groupBy(natural).count().agg(F.max("count")).first()[0]
+    if (most or 0) > MET_VERSIONS:
+        return asof_merge(fact, dim, natural, event_time, key, attributes)
     d = dim.select(F.col(natural).alias("_nk"), key, "valid_from", "valid_to", *attributes)
     moment = F.col(event_time).cast("timestamp_ntz")
     return fact.join(d, all_of([F.col(natural) == F.col("_nk"), valid_at(moment)]), "inner").drop(

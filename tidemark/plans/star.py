@@ -136,6 +136,9 @@ def month_of(column: str):
 
 
 # table, partition column source, sort columns
+SILVER: list[tuple[str, str | None, list[str]]] = [
+    ("silver_sales", "order_date", ["order_date"]), ("silver_performance", "performance_date", ["performance_date"]), ("silver_campaigns", None, []),
+    ("silver_channels", None, []), ("silver_customers", None, []), ("silver_products", None, [])]
 DIMENSIONS: list[tuple[str, str | None, list[str]]] = [
     ("dim_date", None, []), ("dim_campaign", None, []), ("dim_customer", None, []), ("dim_product", None, []), ("dim_channel", None, [])]
 FACTS: list[tuple[str, str | None, list[str]]] = [
@@ -143,18 +146,23 @@ FACTS: list[tuple[str, str | None, list[str]]] = [
 
 
 def materialise(spark: SparkSession, sf_dir: str, root: str, run_ts: str = RUN_TS, concurrency: int = 4) -> Star:
-    """Write the star below `root`, dimensions first, so that facts look keys up in written tables.
+    """Write the star below `root`: silver, dimensions, and facts that look keys up in written tables.
 
     Tables of one stage are independent jobs from `concurrency` driver
-    threads. Facts are partitioned by month and sorted by day: date filters
-    prune folders, then row groups.
+    threads. Sales, performance and facts are partitioned by month and sorted
+    by day: date filters prune folders, then row groups.
     """
-    star = Star(spark, sf_dir, run_ts)
+    return _written(Star(spark, sf_dir, run_ts), root, (SILVER, DIMENSIONS, FACTS), concurrency)
+
+
+def _written(star: Star, root: str, stages, concurrency: int = 4) -> Star:
+    """The star with the tables of some stages written and read from there."""
+    spark = star.spark
 
     def write(entry) -> tuple[str, tuple[str, T.StructType]]:
         name, dated, sort_by = entry
         path = f"{root}/{name}"
-        df = getattr(star, name)
+        df = star.silver(name.removeprefix("silver_")) if name.startswith("silver_") else getattr(star, name)
         if dated:
             df = df.withColumn("month_key", month_of(dated))
             sinks.write_new(df, path, ["month_key"], sort_by)
@@ -163,19 +171,27 @@ def materialise(spark: SparkSession, sf_dir: str, root: str, run_ts: str = RUN_T
             sinks.write_new(df, path)
         return name, (path, df.schema)
 
-    for stage in (DIMENSIONS, FACTS):
+    for stage in stages:
         with ThreadPoolExecutor(max_workers=concurrency) as pool:
             done = dict(pool.map(write, stage))
-        star = Star(spark, sf_dir, run_ts, {**star.written, **done})
+        star = Star(spark, star.sf_dir, star.run_ts, {**star.written, **done})
     return star
 
 
-_WRITTEN: dict[tuple[str, str], dict] = {}
+_STORED: dict[tuple[str, str, bool], dict] = {}
+
+
+def stored_silver(spark: SparkSession, sf_dir: str) -> Star:
+    """A source folder with its silver tables written, on first use by this application, in the shared folder."""
+    key = (spark.sparkContext.applicationId, sf_dir, False)
+    if key not in _STORED:
+        _STORED[key] = _written(Star(spark, sf_dir, RUN_TS), session.scratch_path(spark, "silver"), (SILVER,)).written
+    return Star(spark, sf_dir, RUN_TS, _STORED[key])
 
 
 def gold(spark: SparkSession, sf_dir: str) -> Star:
-    """The written star of a source folder, built on first use by this application in the shared folder."""
-    app = (spark.sparkContext.applicationId, sf_dir)
-    if app not in _WRITTEN:
-        _WRITTEN[app] = materialise(spark, sf_dir, session.scratch_path(spark, "gold")).written
-    return Star(spark, sf_dir, RUN_TS, _WRITTEN[app])
+    """The written star of a source folder, silver included, built on first use by this application in the shared folder."""
+    key = (spark.sparkContext.applicationId, sf_dir, True)
+    if key not in _STORED:
+        _STORED[key] = _written(stored_silver(spark, sf_dir), session.scratch_path(spark, "gold"), (DIMENSIONS, FACTS)).written
+    return Star(spark, sf_dir, RUN_TS, _STORED[key])
