@@ -206,6 +206,41 @@ def test_token_files(docs, spark, tmp_path):
     assert column.has_offset_index and column.compression == "ZSTD"
 
 
+def test_token_files_read_by_id_skip_pages_and_say_their_encodings(spark, tmp_path, empty):
+    path = str(tmp_path / "ids")
+    rows = [(k, prose(60, k)) for k in range(4000)]
+    token_files.write_token_files(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), path, layout={"parquet.page.row.count.limit": "100"})
+    files = [f for f in (tmp_path / "ids").glob("*.parquet") if pq.ParquetFile(f).metadata.num_rows]
+    for f in files:
+        group = pq.ParquetFile(f).metadata.row_group(0)
+        ids, doc = group.column(4), group.column(0)
+        assert any("DICTIONARY" in e for e in ids.encodings) and doc.has_column_index and doc.has_offset_index
+        assert any("DELTA" in e or "DICTIONARY" in e for e in doc.encodings)
+    one = spark.read.schema(token_files.COLUMNS).parquet(path).where("doc_id = 1234")
+    assert one.collect()[0].n_tokens == len(token_files.tokenizer().encode(rows[1234][1], add_special_tokens=False).ids) + 1
+    # rows that the reader hands on: those of the id's page, not of its row group
+    scan = one._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+    assert 1 <= scan.metrics().apply("numOutputRows").value() <= 100
+    assert token_files.checksums(spark, _written(spark, empty, tmp_path / "none")).collect() == []
+
+
+def _written(spark, df, path):
+    token_files.write_token_files(df, str(path))
+    return str(path)
+
+
+def test_token_memo_is_bounded_in_bytes(monkeypatch):
+    own = token_files.WordEncoder()
+    monkeypatch.setattr(token_files, "MEMO_BYTES", 10_000)
+    for k in range(5):
+        own.encode([" ".join(f"w{k}x{j}" for j in range(200)).encode()], 2)
+        assert own.held < 100_000
+    own.encode([b"q" * 50_000], 2)
+    assert own.held > 10_000
+    own.encode([b"a"], 2)
+    assert own.held < 1_000
+
+
 def test_mixing_rates_and_order(spark):
     rows = [(k, prose(5, k), "big" if k % 4 else "small") for k in range(2000)] + [(5000, None, None), (5001, "", None)]
     frame = spark.createDataFrame(rows, "doc_id long, text string, source string")

@@ -30,6 +30,8 @@ END_ID = 2
 LAYOUT = {"parquet.block.size": str(32 << 20), "parquet.page.size": str(256 << 10), "parquet.page.row.count.limit": "4000",
           "parquet.enable.dictionary": "true", "parquet.dictionary.page.size": str(1 << 20), "parquet.writer.version": "v2", "compression": "zstd"}
 _CHUNK = 10_000  # new words handed to the library at once
+MEMO_BYTES = 192 << 20  # of words and ids that a worker remembers before it starts afresh
+WORD_BYTES = 160        # of a remembered word besides its letters and ids
 
 
 @lru_cache(maxsize=2)
@@ -53,7 +55,7 @@ class WordEncoder:
         self._reset()
 
     def _reset(self) -> None:
-        self.words = common.Words(self._encode)
+        self.words, self.held = common.Words(self._encode), 0
         self.ids, self.ends = common.Growing(np.int32), common.Growing(np.int64)
         self.ends.extend([0])
 
@@ -64,10 +66,12 @@ class WordEncoder:
             lengths = np.fromiter(map(len, found), np.int64, len(found))
             self.ids.extend(np.fromiter((i for x in found for i in x), np.int32, int(lengths.sum())))
             self.ends.extend(self.ends.values[-1] + np.cumsum(lengths))
+            self.held += 4 * int(lengths.sum())
+        self.held += sum(map(len, new)) + WORD_BYTES * len(new)
 
     def encode(self, texts: list[bytes], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, each with its end, and the places where texts end)"""
-        if len(self.words) > common.MEMO_WORDS:
+        if self.held > MEMO_BYTES:
             self._reset()
         flat, offsets = self.words.numbers([t.split() for t in texts])
         starts, lengths = self.ends.values[flat], np.diff(self.ends.values)[flat] if len(flat) else np.zeros(0, np.int64)
@@ -78,9 +82,15 @@ class WordEncoder:
         return np.insert(ids, bounds, end_id), bounds + np.arange(1, len(texts) + 1)
 
 
+@lru_cache(maxsize=1)
+def remembered(path: str | None = None) -> WordEncoder:
+    """A worker's encoder: the words it has seen outlive its tasks."""
+    return WordEncoder(path)
+
+
 def _encode(path: str | None, end_id: int):
     def run(batches):
-        own, number, at = WordEncoder(path), TaskContext.get().partitionId(), 0
+        own, number, at = remembered(path), TaskContext.get().partitionId(), 0
         for batch in batches:
             if not batch.num_rows:
                 continue
