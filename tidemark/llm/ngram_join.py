@@ -37,6 +37,7 @@ COUNTERS = 1 << 20   # of the frequency table; 4 bytes each
 BLOCK = 1 << 12      # counters summed at a time
 PARTS = 16           # hash ranges of the suffix filter
 LANES = 4            # 64-bit words of part parities
+SENT_IDS = 200_000   # rows of ids that may be broadcast; more are joined by key
 SLOTS, WIDER = 1, 8  # of a posting list that the first round compares with the rest; how many times more the next does
 _BITS = 64 - int(np.log2(PARTS))
 _LANES = [f"lane{k}" for k in range(LANES)]
@@ -162,6 +163,11 @@ def _verify(n: int, percent: int):
     return run
 
 
+def _sent(rows: DataFrame) -> DataFrame:
+    """A staged table of ids, to be broadcast where it is counted to be small."""
+    return F.broadcast(rows) if rows.count() <= SENT_IDS else rows
+
+
 class _Join:
     """State of one join: postings, node tables, pairs tested and components so far."""
 
@@ -185,9 +191,11 @@ class _Join:
 
     def open(self, lo: int) -> bool:
         """Leave the postings from slot `lo` on, with their node's component, of tokens whose nodes are not all in one."""
-        if self.roots is None:  # every node is its own component, and every token has two nodes or more
+        if not lo:  # every node is its own component, and every token has two nodes or more
             return not self.postings.isEmpty()
-        rows = self.postings.where(F.col("slot") >= lo).drop("root").join(self.roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        rows = self.postings.where(F.col("slot") >= lo)
+        if self.roots is not None:
+            rows = rows.drop("root").join(_sent(self.roots), "node", "left").withColumn("root", F.coalesce("root", "node"))
         now = common.staged(rows, "join-rooted")
         mixed = now.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("token")
         out = common.staged(now.join(mixed, "token", "left_semi"), "join-mixed")
@@ -227,8 +235,10 @@ class _Join:
         a, b = (self.nodes.select(F.col("node").alias(k), F.col("size").alias(f"size_{k}"), F.col("parts").alias(f"parts_{k}")) for k in "ab")
         apart = F.aggregate(F.zip_with("parts_a", "parts_b", lambda p, q: F.abs(p - q)), F.lit(0), lambda s, d: s + d)
         sizes = F.col("size_a") + F.col("size_b")
-        close = pairs.join(a, "a").join(b, "b").where(apart <= sizes - 2 * self.need(sizes)).select("a", "b").distinct()
-        ta, tb = (self.texts.select(F.col("node").alias(k), F.col("text").alias(f"text_{k}")) for k in "ab")
+        close = common.staged(pairs.join(a, "a").join(b, "b").where(apart <= sizes - 2 * self.need(sizes)).select("a", "b").distinct(), "join-close")
+        asked = common.staged(close.select(F.col("a").alias("node")).union(close.select("b")).distinct(), "join-asked")
+        few = common.staged(self.texts.join(_sent(asked), "node", "left_semi"), "join-few")  # only these texts are dealt out again
+        ta, tb = (few.select(F.col("node").alias(k), F.col("text").alias(f"text_{k}")) for k in "ab")
         found = common.staged(close.join(tb, "b").join(ta, "a").select("a", "b", "text_a", "text_b")
                               .mapInArrow(_verify(self.n, self.percent), "a long, b long, linked boolean"), "join-found")
         self.tested = pairs if self.tested is None else self.tested.union(pairs)
@@ -238,7 +248,7 @@ class _Join:
             links = links.join(olds["a"], "a", "left").join(olds["b"], "b", "left").select(
                 F.coalesce("a2", "a").alias("a"), F.coalesce("b2", "b").alias("b"))
         new = components(links)
-        common.remove(self.spark, found)
+        common.remove(self.spark, found, close, asked, few)
         if self.roots is None:
             self.roots = new
         else:
@@ -267,7 +277,9 @@ def similar_groups(df: DataFrame, id_column: str = "doc_id", text_column: str =
     join = _Join(docs, signs, reps, n, percent)
     lo, hi = 0, SLOTS
     while join.open(lo):
-        join.test(join.met(lo, hi))
+        pairs = join.met(lo, hi)
+        if not pairs.isEmpty():
+            join.test(pairs)
         lo, hi = hi, hi * WIDER
     common.remove(spark, join.postings, join.nodes, join.texts)
     # rows of one id are one node even where their texts differ
