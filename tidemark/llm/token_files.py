@@ -11,6 +11,7 @@ let no token cross it, so the ids of a text are those of its words, one after an
 
 from __future__ import annotations
 
+import itertools
 import os
 import zlib
 from functools import lru_cache
@@ -64,7 +65,7 @@ class WordEncoder:
             found = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in new[k:k + _CHUNK]],
                                                                       add_special_tokens=False)]
             lengths = np.fromiter(map(len, found), np.int64, len(found))
-            self.ids.extend(np.fromiter((i for x in found for i in x), np.int32, int(lengths.sum())))
+            self.ids.extend(np.fromiter(itertools.chain.from_iterable(found), np.int32, int(lengths.sum())))
             self.ends.extend(self.ends.values[-1] + np.cumsum(lengths))
             self.held += 4 * int(lengths.sum())
         self.held += sum(map(len, new)) + WORD_BYTES * len(new)
