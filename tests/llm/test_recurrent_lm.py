@@ -54,3 +54,27 @@ def test_every_frequent_word_has_a_softmax_entry_that_context_moves():
     share = lambda logp: logp[word] - np.log(np.exp(logp[block]).sum())
     assert abs(share(one) - share(two)) > 1e-3  # within its class, too
     assert v.rest_class(b"early") == 0 and v.rest_tokens[0] == 4 and v.rest_tokens.sum() == 5
+
+
+def test_scores_do_not_depend_on_how_the_input_is_split(spark):
+    r = np.random.default_rng(11)
+    rows = [(d, " ".join("w%d" % k for k in (r.zipf(1.6, r.integers(0, 60)) % 300))) for d in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    one, two = ({x.doc_id: x.score for x in recurrent_lm.score_texts(docs.repartition(n), first=20, shard=2_000).collect()} for n in (4, 32))
+    assert len(one) == 600 and max(abs(one[d] - two[d]) / (1 + abs(one[d])) for d in one) < 1e-4
+
+
+def test_a_row_repeated_many_times_goes_round_the_shards_and_none_is_lost(spark):
+    docs = spark.createDataFrame([(7, "the same row again")] * 400 + [(d, f"text number {d}") for d in range(100, 300)], "doc_id long, text string").repartition(5)
+    dealt = recurrent_lm.sharded(docs, 10_000, 600, 1_000)
+    sizes = {r.shard: r["count"] for r in dealt.groupBy("shard").count().collect()}
+    assert sum(sizes.values()) == 600 and len(sizes) == 10 and max(sizes.values()) < 150
+    assert dealt.where("text = 'the same row again'").count() == 400
+
+
+def test_pieces_are_the_same_however_rows_are_batched():
+    rows = [(s, "x" * (k % 7)) for s in (3, 8) for k in range(50)]
+    table = pa.table({"shard": pa.array([s for s, _ in rows], pa.int64()), "text": pa.array([t for _, t in rows])})
+    cuts = [list(recurrent_lm.pieces(table.to_batches(max_chunksize=n), 20)) for n in (3, 100)]
+    assert cuts[0] == cuts[1] and all(sum(map(len, t)) <= 20 for _, t in cuts[0])
+    assert [t for _, ts in cuts[0] for t in ts] == [t.encode() for _, t in rows]

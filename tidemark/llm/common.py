@@ -106,6 +106,11 @@ def fold(df: DataFrame, id_column: str, modulus: int):
     return F.crc32(F.coalesce(F.col(id_column).cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+def one_text(rows: DataFrame, *key: str) -> DataFrame:
+    """(*key, text): one text for each key, the same however the rows are dealt, so that a sample of keys bounds the rows."""
+    return rows.groupBy(*key).agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+
+
 class Words(dict):
     """Numbers distinct words as they come; `on_new(list of words)` is called once for each new batch of them."""
 

@@ -146,11 +146,14 @@ def _train(bits: int, options: dict):
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, held_out: tuple[int, int], bound: int) -> DataFrame:
-    """(doc_id, text, label) of at most `bound` labelled rows outside the held-out fold, the first by a hash of the id."""
+    """(doc_id, text, label) of at most `bound` labelled rows outside the held-out fold, the first by a hash of the id.
+
+    An id given several times has one row for each of its labels, with one of its texts.
+    """
     modulus, fold = held_out
     ids = (labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & (common.fold(labels, "doc_id", modulus) != fold))
-           .select("doc_id", F.col(label).cast("double").alias("label")).orderBy(F.md5(F.col("doc_id").cast("string")), "label").limit(bound))
-    return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")  # `bound` rows of two numbers
+           .select("doc_id", F.col(label).cast("double").alias("label")).distinct().orderBy(F.md5(F.col("doc_id").cast("string")), "label").limit(bound))
+    return common.one_text(docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id"), "doc_id", "label")  # `bound` rows of two numbers
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", held_out: tuple[int, int] = HELD_OUT, bits: int = BITS,
@@ -180,7 +183,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, cut: float = CUT, held_out
 
     The score is the probability of label 1. Null and empty texts get the constant's score; without any labelled row
     every score is 0.5. Rows with the same text get the same score. Labels of the held-out fold are never read for
-    learning; labels given several times count several times, null labels not at all.
+    learning; a label given several times for an id counts once, with one of the id's texts, null labels not at all.
     """
     spark = common.tune(docs.sparkSession)
     weights = spark.sparkContext.broadcast(train(docs, labels, "quality", held_out, bits, sample, epochs, **options))

@@ -7,10 +7,11 @@ their words given the state; within a rest class a word has its count's share, u
 count. So each text has a proper probability over all
 words, and the network adds what the words before say about the next.
 
-Training is truncated back-propagation through time in numpy: a first model from a bounded sample, then every split
-goes on from it with all its training documents, and the weights are averaged by the tokens they saw. Texts are read
-whole: the state is carried from window to window and starts anew at each document. Scoring packs documents
-of any length into lanes, so a batch is one matrix product a step.
+Training is truncated back-propagation through time in numpy: a first model from a bounded sample, then shards of about
+SHARD tokens each go on from it, together over all training documents, and the weights are averaged by the tokens they
+saw. A hash of the row says its shard and its turn there, so the weights do not depend on how the input is split, and a
+larger corpus has more shards, not shorter ones. Texts are read whole: the state is carried from window to window and
+starts anew at each document. Scoring packs documents of any length into lanes, so a batch is one matrix product a step.
 
 Counts of frequent words (at most FREQUENT, those that make up at least that share of all tokens) travel to the tasks;
 the others, none of which can be hot, are joined to the documents that use them.
@@ -32,11 +33,13 @@ FREQUENT = 200_000    # a word with at least 1 / FREQUENT of all tokens is frequ
 REST = 24             # rest classes
 STATE = 16            # units
 LANES = 512           # documents side by side when scoring
-SCORE_BYTES = 24 << 20   # of text packed into lanes together
+SCORE_BYTES = 6 << 20    # of text packed into lanes together
 TRAIN_LANES = 512     # documents side by side when training
 TRAIN_BYTES = 8 << 20    # of text packed into lanes together
 WINDOW = 24           # steps between truncations
-FIRST = 1_500         # documents of the first model's sample, at most; every split learns from all its own afterwards
+FIRST = 1_500         # documents of the first model's sample, at most; the shards learn from all documents afterwards
+SHARD = 4_000_000     # tokens a copy of the model learns from before the copies are averaged
+BLOCK = 1024          # tokens whose class shares are worked out together
 RATE = 4e-3
 CHUNK = 1 << 16       # weights sent together
 HELD_OUT = (5, 1)
@@ -135,16 +138,20 @@ class Net:
         cls = self.class_of[targets]
         order = np.argsort(cls, kind="stable")  # by class: each class's words are then one block
         states, word, cls = states[order], targets[order] % self.size, cls[order]
-        rows = np.arange(len(cls))
-        logits = states @ self.p["wc"]
-        logits += self.p["bc"]
-        logp, total = self._shares(logits, rows, cls)
-        grads, d = None, None
+        rows, logp, grads, d = np.arange(len(cls)), np.empty(len(cls), states.dtype), None, None
         if learn:
-            logits /= -total[:, None]
-            logits[rows, cls] += 1
-            d = logits @ self.p["wc"].T
-            grads = {"wc": states.T @ logits, "bc": logits.sum(0), "wo": np.zeros_like(self.p["wo"]), "bo": np.zeros_like(self.p["bo"])}
+            grads, d = {k: np.zeros_like(self.p[k]) for k in ("wc", "bc", "wo", "bo")}, np.empty_like(states)
+        for i in range(0, len(cls), BLOCK):
+            h, own = states[i:i + BLOCK], cls[i:i + BLOCK]
+            logits = h @ self.p["wc"]
+            logits += self.p["bc"]
+            logp[i:i + BLOCK], total = self._shares(logits, rows[:len(own)], own)
+            if learn:
+                logits /= -total[:, None]
+                logits[rows[:len(own)], own] += 1
+                d[i:i + BLOCK] = logits @ self.p["wc"].T
+                grads["wc"] += h.T @ logits
+                grads["bc"] += logits.sum(0)
         bounds = np.searchsorted(cls, np.arange(self.classes + 1)).tolist()
         for c, (i, j) in enumerate(zip(bounds[:-1], bounds[1:])):
             if i == j:
@@ -213,35 +220,45 @@ class Net:
                 states.append(h)
                 places.append(at)
             _, grads, d_out = self.outputs(np.concatenate(states), flat[np.concatenate(places)], learn=True)
-            bounds = np.cumsum([0] + [len(x) for x in states])
-            grads["u"], back, inputs, seen = np.zeros_like(self.p["u"]), np.zeros((n_lanes, s), np.float32), [], []
+            bounds = np.cumsum([0] + [len(x) for x in states]).tolist()
+            seen = np.concatenate([before for before, _ in kept])
+            old, z, r, n, hn = (np.concatenate(part) for part in zip(*(memory for _, memory in kept)))
+            goes_on = (seen != self.end)[:, None].astype(z.dtype)
+            by_n, by_z = (1 - z) * (1 - n * n), (old - n) * z * (1 - z)
+            by_r, back = hn * r * (1 - r), np.zeros((n_lanes, s), z.dtype)
+            dx = np.empty((len(seen), 3 * s), z.dtype)  # of the gates' inputs
+            dh = np.empty_like(dx)                      # of what the state gives to them
             for k in range(len(states) - 1, -1, -1):
-                before, (old, z, r, n, hn) = kept[k]
-                m = len(before)
+                at = slice(bounds[k], bounds[k + 1])
+                m = bounds[k + 1] - bounds[k]
                 if (k + 1) % window == 0:
                     back[:] = 0
-                d = d_out[bounds[k]:bounds[k + 1]] + back[:m]
-                dn = d * (1 - z) * (1 - n * n)
-                dz, dr = d * (old - n) * z * (1 - z), dn * hn * r * (1 - r)
-                dx = np.concatenate([dz, dr, dn], axis=1)
-                dh = np.concatenate([dz, dr, dn * r], axis=1)
-                grads["u"] += old.T @ dh
-                back[:m] = (d * z + dh @ self.p["u"].T) * (before != self.end)[:, None].astype(np.float32)
-                inputs.append(dx)
-                seen.append(before)
-            seen = np.concatenate(seen)
+                d, own, through = d_out[at], dx[at], dh[at]
+                d += back[:m]
+                np.multiply(d, by_z[at], out=own[:, :s])
+                dn = np.multiply(d, by_n[at], out=own[:, 2 * s:])
+                np.multiply(dn, by_r[at], out=own[:, s:2 * s])
+                through[:, :2 * s] = own[:, :2 * s]
+                np.multiply(dn, r[at], out=through[:, 2 * s:])
+                d *= z[at]
+                d += through @ self.p["u"].T
+                np.multiply(d, goes_on[at], out=back[:m])
+            grads["u"] = old.T @ dh
             turn = np.argsort(seen, kind="stable")
             first = np.flatnonzero(np.concatenate(([True], np.diff(seen[turn]) != 0)))
+            met = seen[turn][first]
             grads["x"] = np.zeros_like(self.p["x"])
-            grads["x"][seen[turn][first]] = np.add.reduceat(np.concatenate(inputs)[turn], first, axis=0)
-            self._update(grads, int(bounds[-1]), adam, rate)
+            grads["x"][met] = np.add.reduceat(dx[turn], first, axis=0)
+            self._update(grads, bounds[-1], adam, rate, met)
 
-    def _update(self, grads: dict, tokens: int, adam: dict, rate: float) -> None:
+    def _update(self, grads: dict, tokens: int, adam: dict, rate: float, met: np.ndarray) -> None:
+        """Adam; of the rows of `x` only those met, the others have no gradient."""
         adam["t"] = t = adam.get("t", 0) + 1
         for k, g in grads.items():
+            whole = adam.setdefault(k, (np.zeros_like(g), np.zeros_like(g)))
+            g, m, v = (g[met], whole[0][met], whole[1][met]) if k == "x" else (g, *whole)
             g /= tokens
             np.clip(g, -1, 1, out=g)
-            m, v = adam.setdefault(k, (np.zeros_like(g), np.zeros_like(g)))
             m *= 0.9
             m += 0.1 * g
             v *= 0.99
@@ -253,7 +270,11 @@ class Net:
             g += 1e-6
             np.divide(m, g, out=g)
             g *= rate / (1 - 0.9 ** t)
-            self.p[k] += g
+            if k == "x":
+                whole[0][met], whole[1][met] = m, v
+                self.p[k][met] += g
+            else:
+                self.p[k] += g
 
 
 def blocks(busy: list[int], window: int, least: int):
@@ -348,33 +369,76 @@ def _endings(shared):
 
 
 def _train(shared, start, key: str):
+    """Weights times tokens, summed over the shards of a task; a shard's rows come one after the other."""
     def run(batches):
         v = shared.value
-        net, symbols, adam, tokens = Net(v, None if start is None else {k: w.copy() for k, w in start.value.items()}), Symbols(v), {}, 0
-        for batch in gathered(batches, TRAIN_BYTES):
-            flat, lengths = symbols.read(common.texts(batch.column("text")))
+        symbols, sums, shard, net, adam, tokens = Symbols(v), {}, None, None, None, 0
+
+        def close():
+            for k, w in net.p.items() if net is not None and tokens else ():
+                sums[k] = sums.get(k, 0) + w.astype(np.float64) * tokens
+            sums[""] = sums.get("", 0) + tokens
+
+        for number, texts in pieces(batches, TRAIN_BYTES):
+            if net is None or number != shard:
+                close()
+                shard, adam, tokens = number, {}, 0
+                net = Net(v, None if start is None else {k: w.copy() for k, w in start.value.items()})
+            flat, lengths = symbols.read(texts)
             net.train(symbols.symbol.values[flat], lengths, adam)
             tokens += len(flat)
-        if tokens:
-            for k, w in net.p.items():
-                w = w.reshape(-1)
-                for i in range(0, len(w), CHUNK):
-                    part = (w[i:i + CHUNK].astype(np.float64) * tokens).tobytes()
-                    yield pa.RecordBatch.from_arrays([pa.array([f"{k} {i}"]), pa.array([part], pa.binary())], names=[key, "w"])
-            yield pa.RecordBatch.from_arrays([pa.array([""]), pa.array([np.array([float(tokens)]).tobytes()], pa.binary())], names=[key, "w"])
+        close()
+        total = sums.pop("")
+        for k, w in sums.items():
+            w = w.reshape(-1).astype(np.float32)
+            for i in range(0, len(w), CHUNK):
+                yield pa.RecordBatch.from_arrays([pa.array([f"{k} {i}"]), pa.array([w[i:i + CHUNK].tobytes()], pa.binary())], names=[key, "w"])
+        if total:
+            yield pa.RecordBatch.from_arrays([pa.array([""]), pa.array([np.array([float(total)]).tobytes()], pa.binary())], names=[key, "w"])
     return run
 
 
+def pieces(batches, size: int):
+    """(shard, texts) of up to `size` bytes and one shard each, the same for the same rows however they are batched."""
+    shard, held, waiting = None, 0, []
+    for batch in batches:
+        for number, text in zip(batch.column("shard").to_pylist(), common.texts(batch.column("text"))):
+            if waiting and (number != shard or held + len(text) > size):
+                yield shard, waiting
+                held, waiting = 0, []
+            shard, held = number, held + len(text)
+            waiting.append(text)
+    if waiting:
+        yield shard, waiting
+
+
 def _sum(batches):
     sums: dict[str, np.ndarray] = {}
     for batch in batches:
         for name, w in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            w = np.frombuffer(w)
+            w = np.frombuffer(w, np.float32 if name else np.float64).astype(np.float64)
             sums[name] = sums[name] + w if name in sums else w
     if sums:
         yield pa.RecordBatch.from_arrays([pa.array(list(sums)), pa.array([w.tobytes() for w in sums.values()], pa.binary())], names=["name", "w"])
 
 
+def sharded(training: DataFrame, tokens: int, rows: int, shard: int = SHARD) -> DataFrame:
+    """(text, shard) of all rows of `training`, dealt by a hash of the row and in the order of another.
+
+    A row repeated so often that it would fill a shard (no more rows than there are shards can) goes round them instead.
+    """
+    n = max(1, round(tokens / shard))
+    keyed = training.select("text", F.xxhash64("doc_id", "text").alias("key"))
+    if n > 1:
+        hot = keyed.groupBy("key").count().where(F.col("count") * n > rows).select("key", F.lit(True).alias("hot"))
+        keyed = keyed.join(F.broadcast(hot), "key", "left")  # fewer than `n` keys
+        number = F.pmod(F.when(F.col("hot"), F.monotonically_increasing_id()).otherwise(F.col("key")), F.lit(n))
+    else:
+        number = F.lit(0).cast("long")
+    return (keyed.select("text", "key", number.alias("shard")).repartition(n, "shard")
+            .sortWithinPartitions("shard", F.xxhash64(F.col("key"), F.lit(1)), "key").select("text", "shard"))
+
+
 def averaged(rows: DataFrame, like: dict[str, np.ndarray]) -> dict[str, np.ndarray] | None:
     """Weights averaged by tokens over all splits; only their sums reach the driver."""
     sums = {r.name: np.frombuffer(r.w) for r in rows.repartition("name").mapInArrow(_sum, "name string, w binary").collect()}
@@ -429,11 +493,13 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return common.staged(docs.select("text").mapInArrow(_count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "lm-counts")
 
 
-def score_texts(docs: DataFrame, held_out: tuple[int, int] = HELD_OUT, frequent: int = FREQUENT, first: int = FIRST) -> DataFrame:
+def score_texts(docs: DataFrame, held_out: tuple[int, int] = HELD_OUT, frequent: int = FREQUENT, first: int = FIRST,
+                shard: int = SHARD) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row of `docs` (doc_id, text).
 
-    A null or empty text is its end alone. Rows with the same text get the same scores; repeated ids stay apart. Where
-    nothing may be learnt from, every score is that of the counts, 0.
+    A null or empty text is its end alone. Rows with the same text get the same scores; repeated ids stay apart, and all
+    their rows are learnt from (the first model takes one text of an id). Scores do not depend on how `docs` is split.
+    Where nothing may be learnt from, every score is that of the counts, 0.
     """
     spark = common.tune(docs.sparkSession)
     context = spark.sparkContext
@@ -451,11 +517,13 @@ def score_texts(docs: DataFrame, held_out: tuple[int, int] = HELD_OUT, frequent:
         v.set_rest([(bytes(r.ending), r.tokens, r.words) for r in endings.collect()])  # at most 65,793
         shared = context.broadcast(v)
         turn = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-        ids = training.where("doc_id is not null").select("doc_id", turn.alias("turn")).orderBy("turn").limit(first)
-        sample = docs.join(F.broadcast(ids), "doc_id").repartition(1).sortWithinPartitions("turn")  # `first` ids
+        ids = training.where("doc_id is not null").select("doc_id", turn.alias("turn")).distinct().orderBy("turn").limit(first)
+        sample = common.one_text(docs.join(F.broadcast(ids), "doc_id"), "doc_id", "turn")  # `first` ids, a row each
+        sample = sample.select("text", "turn", F.lit(0).cast("long").alias("shard")).repartition(1).sortWithinPartitions("turn")
         like = Net(v).p
-        start = averaged(sample.select("text").mapInArrow(_train(shared, None, "name"), "name string, w binary"), like) or like
-        more = averaged(training.select("text").mapInArrow(_train(shared, context.broadcast(start), "name"), "name string, w binary"), like)
+        start = averaged(sample.select("text", "shard").mapInArrow(_train(shared, None, "name"), "name string, w binary"), like) or like
+        more = averaged(sharded(training, total, v.counts.get(END, 0) or total, shard).mapInArrow(
+            _train(shared, context.broadcast(start), "name"), "name string, w binary"), like)
         weights = context.broadcast(more or start)
     shared = context.broadcast(v)
     rows = common.staged(docs.mapInArrow(_read(shared, weights), "doc_id long, rid long, n_tokens long, known long, logs double, lm double, rare array<binary>"),

@@ -300,8 +300,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, cut: float = CUT, held_ou
         counts[r.combo] = r["count"]
     model = LabelModel(m).fit(counts, rates, sizes[1] / sizes.sum() if sizes.sum() else 0.05)
     ids = (docs.where(F.col("doc_id").isNotNull() & (common.fold(docs, "doc_id", held_out[0]) != held_out[1]))
-           .select("doc_id").orderBy(turn, "doc_id").limit(sample))
-    learnt = docs.join(F.broadcast(ids), "doc_id").select("text", turn.alias("turn")).repartition(1).sortWithinPartitions("turn")  # `sample` ids
+           .select("doc_id").distinct().orderBy(turn, "doc_id").limit(sample))
+    learnt = common.one_text(docs.join(F.broadcast(ids), "doc_id"), "doc_id").select("text", turn.alias("turn")).repartition(1).sortWithinPartitions("turn")  # `sample` ids
     rows = learnt.select("text").mapInArrow(_learn(lexicon, context.broadcast(model.posterior()), bits, LEARNING), "weights binary").collect()
     weights = np.frombuffer(rows[0].weights, np.float32) if rows else np.zeros((1 << bits) + 1, np.float32)
     scored = docs.mapInArrow(_score(context.broadcast(weights), bits), "doc_id long, score double")
