@@ -106,10 +106,15 @@ class Measurer:
         tokens = self.tokens.values[np.repeat(self.ends.values[flat] - begun, lengths) + np.arange(total)]
         first = np.cumsum(per_doc) - per_doc
         place = np.arange(total) - np.repeat(first, per_doc)
-        n_windows = np.where(per_doc >= WINDOW, per_doc // WINDOW, per_doc > 0)
-        use = place < np.repeat(np.where(per_doc >= WINDOW, n_windows * WINDOW, per_doc), per_doc)
-        window = np.repeat(np.cumsum(n_windows) - n_windows, per_doc) + np.minimum(place // WINDOW, np.repeat(np.maximum(n_windows - 1, 0), per_doc))
-        keys = np.sort((window[use] << 20) | tokens[use])
+        whole = per_doc // WINDOW
+        ragged = np.flatnonzero((per_doc > WINDOW) & (per_doc % WINDOW > 0))  # one more window, which ends with the text
+        n_windows = np.maximum(whole, per_doc > 0)
+        n_windows[ragged] += 1
+        number = np.cumsum(n_windows) - n_windows
+        use = place < np.repeat(np.where(whole > 0, whole * WINDOW, per_doc), per_doc)
+        window = np.repeat(number, per_doc) + place // WINDOW
+        last = np.repeat(first[ragged] + per_doc[ragged] - WINDOW, WINDOW) + np.tile(np.arange(WINDOW), len(ragged))
+        keys = np.sort(np.concatenate([(window[use] << 20) | tokens[use], (np.repeat(number[ragged] + whole[ragged], WINDOW) << 20) | tokens[last]]))
         starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
         counts = np.diff(np.append(starts, len(keys))).astype(float)
         owner = keys[starts] >> 20
@@ -170,7 +175,8 @@ def judged(found: DataFrame, lang_column: str = "lang", band: float = BAND) -> D
              .withColumn(short, F.col("n_tokens") < WINDOW))
 
     def lines(measure: str, low: bool):
-        mid, high = (F.percentile_approx(measure, p, 10_000) for p in (0.5, 0.9))
+        # exact over thousandths, so there are few distinct values to keep, however many documents there are
+        mid, high = (F.percentile(F.round(measure, 3), F.lit(p)) for p in (0.5, 0.9))
         reach = band * F.greatest(high - mid, LEAST_SPREAD * mid)
         return mid - reach if low else F.greatest(mid + reach, F.lit(FALLBACK_SHARE))
 
