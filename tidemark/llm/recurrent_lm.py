@@ -41,7 +41,7 @@ FIRST = 1_500         # documents of the first model's sample, at most; the shar
 SHARD = 4_000_000     # tokens a copy of the model learns from before the copies are averaged
 BLOCK = 1024          # tokens whose class shares are worked out together
 RATE = 4e-3
-CHUNK = 1 << 16       # weights sent together
+CHUNK = 1 << 13       # weights sent together
 HELD_OUT = (5, 1)
 END = b" "            # stands for the end of a text; no word has a space
 
