@@ -5,11 +5,11 @@ Two public vocabularies read every word of a text, each distinct word once a wor
 * chars_per_token: code points of words for each token of a byte-level BPE vocabulary;
 * byte_fallback_share: share of the tokens of a vocabulary with byte fallback that are single bytes;
 * token_entropy: entropy of that vocabulary's tokens, relative to the largest possible, averaged over consecutive
-  windows of 64 tokens; a text with fewer tokens is one window, a last partial window of a longer one is left out of
-  this one measure, whose value so does not depend on length.
+  windows of 64 tokens; a text with fewer tokens is one window, the last window of a longer one ends with the text, so
+  that all windows are of one size and every token counts.
 
 Bands are drawn for each language from all documents that pass the base rules: a measure may fall short of its median
-by at most BAND times the distance of the median from the 90th percentile. Texts of less than one window have bands of
+by at most BAND times the distance of the median from the 90th percentile, measures rounded to thousandths. Texts of less than one window have bands of
 their own, for their measures scatter more. Symbol noise, tables of shuffled words and shouting push tokens for each
 character up or their entropy down far beyond what good texts of the same language show, whatever the language is.
 """
