@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["model", "business", "history", "loads", "shapes", "quality", "validation", "audit", "protection", "refreshing"]
+MODULES = ["model", "business", "history", "loads", "shapes", "quality", "validation", "audit", "protection", "refreshing", "digests"]
 
 
 def load_all():
