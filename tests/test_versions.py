@@ -263,3 +263,13 @@ def test_reports_on_stored_silver_prune_months(spark):
     stored = star.stored_silver(spark, "/root/testdata/sf0.001")
     plan = analytics.daily_sales_silver(stored.silver("sales"), "2001-08-01")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(month_key" in plan and "Window" not in plan
+
+
+def test_partitioned_folders_are_read_together(spark, tmp_path):
+    t = VersionedTable(spark, str(tmp_path / "t"))
+    t.append(frame(spark, [(1, 1, "a"), (2, 2, "b")]), ["t"])
+    t.append(frame(spark, [(3, 1, "c")]), ["t"])
+    t.append(frame(spark, [(4, 3, "d")]))
+    assert content(t.read(), "k", "t", "v") == [(1, 1, "a"), (2, 2, "b"), (3, 1, "c"), (4, 3, "d")]
+    t.archive(lambda df: df.withColumn("_old", F.col("t") == 1))
+    assert content(t.read(), "k") == [(2,), (4,)] and content(t.archived(), "k", "t") == [(1, 1), (3, 1)]
