@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark import session
-from tidemark.operators import quality as q
+from tidemark.operators import quality as q, sketches
+from tidemark.operators.aggregates import exact_cuts
 from tidemark.operators.check_states import CheckStates, Partitioned
 from tidemark.plans import views
 from tidemark.plans.checks import BY_ID, CHECKS
-from tidemark.plans.star import gold, month_of, silver_table
+from tidemark.plans.star import gold, silver_table
 from tidemark.sources import entities
 from tidemark.sources.versions import VersionedTable
 
@@ -148,20 +149,20 @@ def run_layer_checks(spark, sf):
 
 @query("run_layer_checks_by_partition", "\nUNION ALL ".join(check_statement(c.check_id) for c in CHECKS if c.layer == "SILVER"))
 def run_layer_checks_by_partition(spark, sf):
-    """The silver layer after two loads of the performance table by month: the second run scans what the second load brought."""
-    table = VersionedTable(spark, session.scratch_path(spark, "silver-by-month"))
-    rows = silver_table(spark, sf, "performance").withColumn("month_key", month_of("performance_date"))
-    last = rows.agg(F.max("month_key")).scalar()
+    """The silver layer after two loads of the performance table by day: the second run scans what the second load brought."""
+    table = VersionedTable(spark, session.scratch_path(spark, "silver-by-day"))
+    rows = silver_table(spark, sf, "performance").withColumn("day_key", F.date_format("performance_date", "yyyyMMdd"))
+    last = rows.agg(F.max("day_key")).scalar()
 
     def now():
         t = tables(spark, sf)
-        return q.Tables({n: (lambda n=n: t[n]) for n in t} | {"silver_performance": lambda: table.read().drop("month_key")}, **t.parameters)
+        return q.Tables({n: (lambda n=n: t[n]) for n in t} | {"silver_performance": lambda: table.read().drop("day_key")}, **t.parameters)
 
-    counts, stored = CheckStates(spark, session.scratch_path(spark, "check-states")), {"silver_performance": Partitioned(table, "month_key")}
+    counts, stored = CheckStates(spark, session.scratch_path(spark, "check-states")), {"silver_performance": Partitioned(table, "day_key")}
     mine = [c for c in CHECKS if c.table == "silver_performance" and c.violates]
-    table.append(rows.where(F.col("month_key") < last), ["month_key"])
+    table.append(rows.where(F.col("day_key") < last), ["day_key"])
     counts.evaluate(now(), mine, stored)
-    table.append(rows.where(F.col("month_key") == last), ["month_key"])
+    table.append(rows.where(F.col("day_key") == last), ["day_key"])
     return q.run_layer_checks(spark, now(), CHECKS, "SILVER", "run-2", NOW, by=lambda t, checks: counts.evaluate(t, checks, stored)).select(*q.RESULT_COLUMNS)
 
 
@@ -265,3 +266,32 @@ def profiles(spark, sf):
 @query("profile_columns", PROFILE_SQL)
 def profile_columns(spark, sf):
     return profiles(spark, sf)
+
+
+# ---- sketches by day ---------------------------------------------------------------------------------
+_SKETCHED = {"revenue": True, "quantity": True, "customer_id": False, "campaign_id": False}
+_SINCE, _UNTIL = "1994-01-01", "1996-12-31"
+
+
+@query("profile_window", "\nUNION ALL ".join(f"""
+SELECT 'SALES' AS table_name, '{c}' AS column_name, count(DISTINCT order_date) AS days, count(*) AS row_count, count(*) - count({c}) AS null_count,
+  {f'min(CAST({c} AS DOUBLE))' if number else 'CAST(NULL AS DOUBLE)'} AS smallest, {f'max(CAST({c} AS DOUBLE))' if number else 'CAST(NULL AS DOUBLE)'} AS largest,
+  TRUE AS distinct_within, TRUE AS median_within
+FROM s_sales WHERE order_date BETWEEN DATE '{_SINCE}' AND DATE '{_UNTIL}'""" for c, number in _SKETCHED.items()))
+def profile_window(spark, sf):
+    """Three years of sales from one stored row a day and column: counts as they are, sketches within their error of the exact values."""
+    sales = silver_table(spark, sf, "sales").select("order_date", *_SKETCHED)
+    table = VersionedTable(spark, session.scratch_path(spark, "daily-sketches"))
+    table.merge(sketches.daily_states(sales, "SALES", "order_date", list(_SKETCHED)), sketches.KEYS)
+    merged = sketches.merged_profile(table.read(), _SINCE, _UNTIL)
+    window = sales.where(F.col("order_date").between(_SINCE, _UNTIL))
+    exact = window.agg(*[F.count_distinct(c).alias(c) for c in _SKETCHED]).select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(c).alias("_distinct")) for c in _SKETCHED])))
+    numbers = [c for c, number in _SKETCHED.items() if number]
+    around = exact_cuts(window, numbers, [(45, 100), (55, 100)])
+    estimate = F.col("distinct_estimate")
+    return merged.join(exact, "column_name").join(around, "column_name", "left").select(
+        "table_name", "column_name", "days", "row_count", "null_count",
+        *[F.when(F.col("column_name").isin(numbers), F.col(c).cast("double")).alias(n) for c, n in (("min_value", "smallest"), ("max_value", "largest"))],
+        (F.abs(estimate - F.col("_distinct")) <= F.col("_distinct") * 4 * sketches.DISTINCT_ERROR + 1).alias("distinct_within"),
+        F.coalesce(F.col("median_estimate").between(F.col("cuts")[0], F.col("cuts")[1]), F.lit(True)).alias("median_within"))

@@ -86,4 +86,4 @@ def test_merged_tables_are_refused(spark, made):
     table, frame, tables, states, stored = made
     table.merge(frame(ROWS), ["day"])
     with pytest.raises(ValueError):
-        stored["t"].paths()
+        stored["t"].folders()

@@ -267,6 +267,8 @@ def test_reports_on_stored_silver_prune_months(spark):
 
 def test_partitioned_folders_are_read_together(spark, tmp_path):
     t = VersionedTable(spark, str(tmp_path / "t"))
+    t.append(frame(spark, []), ["t"])                                   # no row, no file, but columns
+    assert content(t.read()) == [] and t.read().columns == ["k", "v", "t"]
     t.append(frame(spark, [(1, 1, "a"), (2, 2, "b")]), ["t"])
     t.append(frame(spark, [(3, 1, "c")]), ["t"])
     t.append(frame(spark, [(4, 3, "d")]))

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..sources.versions import VersionedTable
 from .quality import RESULT_COLUMNS, Check, Tables, evaluate
@@ -17,16 +18,20 @@ STATE_KEYS = ["table_name", "part", "check_id"]
 
 @dataclass(frozen=True)
 class Partitioned:
-    """A published table whose folders are partitioned by `column`; loads add or replace whole folders."""
+    """A published table whose folders are partitioned by `column`; loads add or replace whole folders.
+
+    A table merged by key is refused: there a row of a folder need not be a row of the table.
+    """
 
     table: VersionedTable
     column: str
 
-    def paths(self) -> list[str]:
+    def folders(self) -> list[tuple[str, T.StructType]]:
+        """Where the table's rows are, with the columns there."""
         parts = self.table.manifest().of("rows", "base", "delta")
-        if any(p.kind != "rows" for p in parts):
-            raise ValueError(f"{self.table.root} is merged by key: a row of a folder need not be a row of the table")
-        return [self.table.at(p.folder) for p in parts]
+        if any(p.kind != "rows" or self.column not in p.by for p in parts):
+            raise ValueError(f"{self.table.root} is not made of folders by {self.column}")
+        return [(self.table.at(p.folder), T.StructType.fromJson(json.loads(p.schema))) for p in parts]
 
     def part(self):
         """A row's or file's partition, as the path spells it."""
@@ -34,14 +39,16 @@ class Partitioned:
 
     def files(self, spark: SparkSession) -> DataFrame:
         """(part, signature): what files a partition has, from the listing alone; no file is opened."""
-        listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(self.paths())
+        listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(
+            [path for path, _ in self.folders()])
         one = F.xxhash64("_metadata.file_path", "_metadata.file_size", F.col("_metadata.file_modification_time").cast("long"))
         return listed.select(self.part().alias("part"), one.alias("file")).groupBy("part").agg(
             F.concat_ws("-", F.count(F.lit(1)), F.bit_xor("file")).alias("signature"))
 
     def rows(self, spark: SparkSession, parts: Sequence[str]) -> DataFrame:
         """Rows of some partitions; the condition is on the files' paths, so no other file is opened."""
-        found = [spark.read.parquet(path).withColumn("_part", self.part()).where(self.part().isin(list(parts))) for path in self.paths()]
+        found = [spark.read.schema(schema).parquet(path).withColumn("_part", self.part()).where(self.part().isin(list(parts)))
+                 for path, schema in self.folders()]
         return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), found)
 
 

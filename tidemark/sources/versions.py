@@ -9,7 +9,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field, replace
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.expressions import any_of
 from ..operators.changes import dedupe_latest
@@ -31,12 +31,13 @@ def spread(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
 class Part:
     """A folder of the table. `rows` are whole tables or appends, `base` and `delta` the two layers of a merged table,
     `reject` rows without a key, `archive` rows moved away. `buckets` names the buckets it still holds, with their rows;
-    `by` the columns its files are partitioned by."""
+    `by` the columns its files are partitioned by, and then `schema` its columns, which a folder without rows does not tell."""
 
     folder: str
     kind: str = "rows"
     buckets: dict[int, int] = field(default_factory=dict)
     by: tuple[str, ...] = ()
+    schema: str = ""
 
 
 @dataclass(frozen=True)
@@ -66,7 +67,7 @@ class Manifest:
     @classmethod
     def parse(cls, text: str) -> "Manifest":
         head, *lines = [json.loads(x) for x in text.splitlines()]
-        return cls(tuple(Part(x["folder"], x["kind"], {int(b): n for b, n in x["buckets"].items()}, tuple(x.get("by", ()))) for x in lines if "folder" in x),
+        return cls(tuple(Part(x["folder"], x["kind"], {int(b): n for b, n in x["buckets"].items()}, tuple(x.get("by", ())), x.get("schema", "")) for x in lines if "folder" in x),
                    tuple(head["keys"]), head["newest"], head["n_buckets"], {w: tuple(b) for w, b in head["batches"].items()},
                    tuple(Balance(**x["balance"]) for x in lines if "balance" in x))
 
@@ -187,11 +188,18 @@ class VersionedTable:
         out.write.partitionBy(*partition_by).parquet(f"{self.root}/{folder}")
         return folder
 
+    @staticmethod
+    def _rows_part(folder: str, df: DataFrame, by: Sequence[str]) -> Part:
+        if not by:
+            return Part(folder)
+        columns = [*[f for f in df.schema.fields if f.name not in by], *[df.schema[c] for c in by]]
+        return Part(folder, by=tuple(by), schema=T.StructType(columns).json())
+
     def _load(self, parts: Sequence[Part]) -> DataFrame:
         """Rows of folders. A folder partitioned by columns is a root of its own to Spark, the others are read as one."""
         plain = [self.at(p.folder) for p in parts if not p.by]
         out = [self.spark.read.option("mergeSchema", len(plain) > 1).parquet(*plain)] if plain else []
-        out += [self.spark.read.parquet(self.at(p.folder)) for p in parts if p.by]
+        out += [self.spark.read.schema(T.StructType.fromJson(json.loads(p.schema))).parquet(self.at(p.folder)) for p in parts if p.by]
         return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), out)
 
     # ---- reading -------------------------------------------------------------------------------------
@@ -252,7 +260,7 @@ class VersionedTable:
         """The whole table anew; rows its load rejected and its balance appear with it. Earlier rejects and archives stay."""
         v = self.version() + 1
         before = self.manifest(v - 1)
-        parts = [Part(self._write(df, v, partition_by, sort_by), by=tuple(partition_by)), *before.of("reject", "archive")]
+        parts = [self._rows_part(self._write(df, v, partition_by, sort_by), df, partition_by), *before.of("reject", "archive")]
         if rejected is not None:
             parts.append(Part(self._write(rejected, v, (), ()), "reject"))
         balances = before.balances if balance is None else (*before.balances, balance)
@@ -273,7 +281,7 @@ class VersionedTable:
             if last == number:
                 parts = tuple(p for p in parts if p.folder != added)
             batches = {**batches, writer: (number, folder)}
-        return self._publish(v, replace(m, parts=(*parts, Part(folder, by=tuple(partition_by))), batches=batches))
+        return self._publish(v, replace(m, parts=(*parts, self._rows_part(folder, df, partition_by)), batches=batches))
 
     def merge(self, source: DataFrame, keys: Sequence[str], newest: str | None = None, *, load: str = "", gone: DataFrame | None = None,
               read: int | None = None, unique: bool = False, buckets: int | None = None) -> Balance:
@@ -419,7 +427,7 @@ class VersionedTable:
                 if p.kind == "base":
                     counted = self.spark.read.schema(f"{BUCKET} int").parquet(f"{self.root}/{folder}").groupBy(BUCKET).count()
                     held = {r[BUCKET]: r["count"] for r in counted.collect()} or {0: 0}
-                parts.append(replace(p, folder=folder, buckets=held, by=()))
+                parts.append(replace(p, folder=folder, buckets=held, by=(), schema=""))
                 goes = f"{elsewhere.rstrip('/')}/{uuid.uuid4().hex[:12]}" if elsewhere else self._folder(v)
                 spread(marked[p.folder].where("_old").drop("_old", BUCKET, REASON, READER)).write.parquet(self.at(goes))
                 away.append(Part(goes, "archive"))
