@@ -7,7 +7,8 @@ prefix filtering with a rare-first order:
   rarer-first order makes posting lists short. Its size is a parameter, so its broadcast is bounded.
 * Documents with equal sets are one node from the start.
 * A node posts the shingles of its prefix (the rarest n - ceil(t n) + 1): two nodes that link share one of them.
-  Shingles posted once are dropped.
+  Shingles posted once are dropped: a bitmap of those posted more often, of a fixed size, keeps most of them from
+  being dealt out, and an exact join drops the rest.
 * Candidate pairs on a shared posting pass the length filter, the positional filter, and the suffix filter in two
   forms: the parities of hash parts differ in no more places than the sets have different shingles, which is told by
   a few XORs while the posting lists meet; and the sizes of parts differ by no more than that. Pairs that remain are
@@ -38,6 +39,7 @@ BLOCK = 1 << 12      # counters summed at a time
 PARTS = 16           # hash ranges of the suffix filter
 LANES = 4            # 64-bit words of part parities
 SENT_IDS = 200_000   # rows of ids that may be broadcast; more are joined by key
+SEEN = 20            # 2^20 words of 64 bits mark shingles that are posted more than once
 SLOTS, WIDER = 1, 8  # of a posting list that the first round compares with the rest; how many times more the next does
 _BITS = 64 - int(np.log2(PARTS))
 _LANES = [f"lane{k}" for k in range(LANES)]
@@ -89,7 +91,8 @@ def _count(text: str, n: int, counters: int):
         for k in range(0, counters, BLOCK):
             part = total[k:k + BLOCK]
             if part.any():
-                yield pa.RecordBatch.from_arrays([pa.array([k // BLOCK], pa.int32()), pa.array([part.tobytes()], pa.binary())],
+                narrow = part.astype(np.min_scalar_type(part.max()))  # the width tells the reader the type
+                yield pa.RecordBatch.from_arrays([pa.array([k // BLOCK], pa.int32()), pa.array([narrow.tobytes()], pa.binary())],
                                                  names=["block", "counts"])
     return run
 
@@ -98,7 +101,7 @@ def _add(batches):
     sums: dict[int, np.ndarray] = {}
     for batch in batches:
         for block, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            got = np.frombuffer(counts, np.int32)
+            got = np.frombuffer(counts, f"u{len(counts) // BLOCK}")
             sums[block] = sums[block] + got if block in sums else got.astype(np.int64)
     for block, counts in sums.items():
         yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([counts.tobytes()], pa.binary())],
@@ -142,6 +145,30 @@ def _sign(id_column: str, text: str, n: int, percent: int, shared):
     return run
 
 
+def _marks(tokens: DataFrame) -> np.ndarray:
+    """Bits of tokens, 2^SEEN words; no token lacks its bit, others may share one."""
+    words = tokens.select(F.shiftrightunsigned("token", 64 - SEEN).alias("word"), F.expr("shiftleft(1L, cast(token & 63 as int))").alias("bit"))
+    got = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    out = np.zeros(1 << SEEN, np.uint64)
+    out[got.column("word").to_numpy()] = got.column("bits").to_numpy().view(np.uint64)
+    return out
+
+
+def _marked(shared):
+    def run(batches):
+        marks = shared.value
+        for batch in batches:
+            lists = batch.column("prefix")
+            lengths = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            tokens = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+            keep = np.flatnonzero((marks[tokens >> np.uint64(64 - SEEN)] >> (tokens & np.uint64(63))) & np.uint64(1))
+            row = np.repeat(np.arange(len(lengths)), lengths)[keep]
+            starts = np.cumsum(lengths) - lengths
+            yield pa.RecordBatch.from_arrays([batch.column("node").take(pa.array(row)), pa.array((keep - starts[row]).astype(np.int32)),
+                                              pa.array(tokens[keep].view(np.int64))], names=["node", "pos", "token"])
+    return run
+
+
 def _verify(n: int, percent: int):
     def run(batches):
         shingler, last, last_set = Shingler(n), None, None
@@ -174,8 +201,9 @@ class _Join:
     def __init__(self, docs: DataFrame, signs: DataFrame, reps: DataFrame, n: int, percent: int):
         self.n, self.percent, self.spark = n, percent, docs.sparkSession
         nodes = signs.where("n_shingles > 0").join(reps.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
-        posted = nodes.select(F.col("doc_id").alias("node"), F.posexplode("prefix").alias("pos", "token"))
-        shared = posted.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        shared = common.staged(nodes.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "join-shared")
+        marks = self.spark.sparkContext.broadcast(_marks(shared))
+        posted = nodes.select(F.col("doc_id").alias("node"), "prefix").mapInArrow(_marked(marks), "node long, pos int, token long")
         slot = F.pmod(F.xxhash64("node", "token"), F.col("n")).alias("slot")
         # few postings are shared: the rest of a node joins them now
         kept = common.staged(posted.join(shared, "token").select("token", "node", "pos", slot), "join-kept")
@@ -183,7 +211,7 @@ class _Join:
         self.nodes = common.staged(signs.where("n_shingles > 0").join(mine, "doc_id", "left_semi")
                                    .select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("size"), "parts", *_LANES), "join-nodes")
         self.postings = common.staged(kept.join(self.nodes.drop("parts"), "node").withColumn("root", F.col("node")), "join-postings")
-        common.remove(self.spark, kept)
+        common.remove(self.spark, kept, shared)
         mine = self.nodes.select(F.col("node").alias("doc_id"))
         self.texts = common.staged(docs.join(mine, "doc_id", "left_semi").select(F.col("doc_id").alias("node"), "text"), "join-texts")
         self.tested: DataFrame | None = None
