@@ -7,11 +7,13 @@ prefix filtering with a rare-first order:
   rarer-first order makes posting lists short. Its size is a parameter, so its broadcast is bounded.
 * Documents with equal sets are one node from the start.
 * A node posts the shingles of its prefix (the rarest n - ceil(t n) + 1): two nodes that link share one of them.
-  Shingles posted once are dropped.
+  Shingles posted once are dropped: a bitmap of those posted more often keeps most of them from being dealt out, and
+  an exact join drops the rest.
 * Candidate pairs on a shared posting pass the length filter, the positional filter, and the suffix filter in two
   forms: the parities of hash parts differ in no more places than the sets have different shingles, which is told by
   a few XORs while the posting lists meet; and the sizes of parts differ by no more than that. Pairs that remain are
-  verified once, on whole texts.
+  verified once, on whole texts. No text is dealt out but those of such pairs: a broadcast of their ids finds them in the
+  table, or, where they are many, a bitmap of their ids and then an exact join.
 
 Groups of near copies must not become all their pairs. Only what links join matters: every member of a posting list has
 a slot in it, by its hash, and rounds compare the members of the first few slots, then of the next eight times as many,
@@ -26,6 +28,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -38,6 +41,7 @@ BLOCK = 1 << 12      # counters summed at a time
 PARTS = 16           # hash ranges of the suffix filter
 LANES = 4            # 64-bit words of part parities
 SENT_IDS = 200_000   # rows of ids that may be broadcast; more are joined by key
+MARKS = 22           # a bitmap has at most 2^22 words of 64 bits
 SLOTS, WIDER = 1, 8  # of a posting list that the first round compares with the rest; how many times more the next does
 _BITS = 64 - int(np.log2(PARTS))
 _LANES = [f"lane{k}" for k in range(LANES)]
@@ -89,7 +93,8 @@ def _count(text: str, n: int, counters: int):
         for k in range(0, counters, BLOCK):
             part = total[k:k + BLOCK]
             if part.any():
-                yield pa.RecordBatch.from_arrays([pa.array([k // BLOCK], pa.int32()), pa.array([part.tobytes()], pa.binary())],
+                narrow = part.astype(np.min_scalar_type(part.max()))  # the width tells the reader the type
+                yield pa.RecordBatch.from_arrays([pa.array([k // BLOCK], pa.int32()), pa.array([narrow.tobytes()], pa.binary())],
                                                  names=["block", "counts"])
     return run
 
@@ -98,7 +103,7 @@ def _add(batches):
     sums: dict[int, np.ndarray] = {}
     for batch in batches:
         for block, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            got = np.frombuffer(counts, np.int32)
+            got = np.frombuffer(counts, f"u{len(counts) // BLOCK}")
             sums[block] = sums[block] + got if block in sums else got.astype(np.int64)
     for block, counts in sums.items():
         yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([counts.tobytes()], pa.binary())],
@@ -142,6 +147,40 @@ def _sign(id_column: str, text: str, n: int, percent: int, shared):
     return run
 
 
+def marks(keys: DataFrame, most: int = MARKS) -> np.ndarray:
+    """A bitmap of the hashed column `key` of a staged table, eight bits a key up to 2^most words of 64.
+
+    No key lacks its bit; others may share one, so what it lets pass is to be joined exactly.
+    """
+    bits = max(1, min(most, keys.count().bit_length() - 3))  # 2^bits words
+    words = keys.select(F.shiftrightunsigned("key", 64 - bits).alias("word"), F.expr("shiftleft(1L, cast(key & 63 as int))").alias("bit"))
+    got = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    out = np.zeros(1 << bits, np.uint64)
+    out[got.column("word").to_numpy()] = got.column("bits").to_numpy().view(np.uint64)
+    return out
+
+
+def is_marked(marked: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    keys = keys.view(np.uint64)
+    word = keys >> np.uint64(64 - (len(marked).bit_length() - 1))
+    return (marked[word] >> (keys & np.uint64(63))) & np.uint64(1) == 1
+
+
+def _posted(shared):
+    """(node, pos, token) of the tokens of prefixes that are marked."""
+    def run(batches):
+        for batch in batches:
+            lists = batch.column("prefix")
+            lengths = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            tokens = lists.flatten().to_numpy(zero_copy_only=False)
+            keep = np.flatnonzero(is_marked(shared.value, tokens))
+            row = np.repeat(np.arange(len(lengths)), lengths)[keep]
+            starts = np.cumsum(lengths) - lengths
+            yield pa.RecordBatch.from_arrays([batch.column("node").take(pa.array(row)), pa.array((keep - starts[row]).astype(np.int32)),
+                                              pa.array(tokens[keep])], names=["node", "pos", "token"])
+    return run
+
+
 def _verify(n: int, percent: int):
     def run(batches):
         shingler, last, last_set = Shingler(n), None, None
@@ -168,14 +207,28 @@ def _sent(rows: DataFrame) -> DataFrame:
     return F.broadcast(rows) if rows.count() <= SENT_IDS else rows
 
 
+def _of_nodes(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, text) of the rows of `docs` whose id is among `nodes` (staged); other texts are not dealt out."""
+    rows = docs.select(F.col("doc_id").alias("node"), "text")
+    if nodes.count() <= SENT_IDS:
+        return rows.join(F.broadcast(nodes), "node", "left_semi")
+    marked = docs.sparkSession.sparkContext.broadcast(marks(nodes.select(F.xxhash64("node").alias("key"))))
+    passes = F.pandas_udf(lambda keys: pd.Series(is_marked(marked.value, keys.to_numpy())), "boolean")
+    return rows.where(F.col("node").isNotNull()).where(passes(F.xxhash64("node"))).join(nodes, "node", "left_semi")
+
+
 class _Join:
     """State of one join: postings, node tables, pairs tested and components so far."""
 
     def __init__(self, docs: DataFrame, signs: DataFrame, reps: DataFrame, n: int, percent: int):
         self.n, self.percent, self.spark = n, percent, docs.sparkSession
-        nodes = signs.where("n_shingles > 0").join(reps.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
-        posted = nodes.select(F.col("doc_id").alias("node"), F.posexplode("prefix").alias("pos", "token"))
-        shared = posted.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        self.docs = docs
+        mine = signs.where("n_shingles > 0").select(F.col("doc_id").alias("node"), "prefix").join(reps.select("node"), "node", "left_semi")
+        prefixes = common.staged(mine, "join-prefixes")
+        shared = common.staged(prefixes.select(F.explode("prefix").alias("token")).groupBy("token")
+                               .agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "join-shared")
+        marked = self.spark.sparkContext.broadcast(marks(shared.select(F.col("token").alias("key"))))
+        posted = prefixes.mapInArrow(_posted(marked), "node long, pos int, token long")
         slot = F.pmod(F.xxhash64("node", "token"), F.col("n")).alias("slot")
         # few postings are shared: the rest of a node joins them now
         kept = common.staged(posted.join(shared, "token").select("token", "node", "pos", slot), "join-kept")
@@ -183,9 +236,7 @@ class _Join:
         self.nodes = common.staged(signs.where("n_shingles > 0").join(mine, "doc_id", "left_semi")
                                    .select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("size"), "parts", *_LANES), "join-nodes")
         self.postings = common.staged(kept.join(self.nodes.drop("parts"), "node").withColumn("root", F.col("node")), "join-postings")
-        common.remove(self.spark, kept)
-        mine = self.nodes.select(F.col("node").alias("doc_id"))
-        self.texts = common.staged(docs.join(mine, "doc_id", "left_semi").select(F.col("doc_id").alias("node"), "text"), "join-texts")
+        common.remove(self.spark, kept, shared, prefixes)
         self.tested: DataFrame | None = None
         self.roots: DataFrame | None = None
 
@@ -237,7 +288,7 @@ class _Join:
         sizes = F.col("size_a") + F.col("size_b")
         close = common.staged(pairs.join(a, "a").join(b, "b").where(apart <= sizes - 2 * self.need(sizes)).select("a", "b").distinct(), "join-close")
         asked = common.staged(close.select(F.col("a").alias("node")).union(close.select("b")).distinct(), "join-asked")
-        few = common.staged(self.texts.join(_sent(asked), "node", "left_semi"), "join-few")  # only these texts are dealt out again
+        few = common.staged(_of_nodes(self.docs, asked), "join-few")  # only these texts are dealt out
         ta, tb = (few.select(F.col("node").alias(k), F.col("text").alias(f"text_{k}")) for k in "ab")
         found = common.staged(close.join(tb, "b").join(ta, "a").select("a", "b", "text_a", "text_b")
                               .mapInArrow(_verify(self.n, self.percent), "a long, b long, linked boolean"), "join-found")
@@ -281,7 +332,7 @@ def similar_groups(df: DataFrame, id_column: str = "doc_id", text_column: str =
         if not pairs.isEmpty():
             join.test(pairs)
         lo, hi = hi, hi * WIDER
-    common.remove(spark, join.postings, join.nodes, join.texts)
+    common.remove(spark, join.postings, join.nodes)
     # rows of one id are one node even where their texts differ
     same = sets.select("digest", "doc_id").join(reps, "digest").where("doc_id <> node").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
     twice = same.join(sets.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("doc_id").alias("a")), "a", "left_semi")
