@@ -10,8 +10,9 @@ How many parts a query visits is measured, not set: sampled vectors that the gra
 neighbours among the sample, and the least number of parts that finds the asked share of them is taken. Where nothing
 tells parts apart, that number nears all of them and the search stays right.
 
-Rows are dealt out by their hash within a part and blocks are bounded, so a part that holds a third of all rows (one
-vector copied, say) is many blocks. Copies of a vector within a block beyond those a query could return are left
+Rows are dealt out by their hash within a part into as many blocks as it fills, so a part that holds a third of all rows
+(one vector copied, say) is many blocks. What a query finds in the blocks of a part is brought down to its nearest before
+it is sent on, so the rows sent follow the queries and the parts they visit, not the blocks. Copies of a vector within a block beyond those a query could return are left
 out, as equal cosines go to smaller ids.
 """
 
@@ -33,6 +34,7 @@ HIDDEN = 96
 DEGREE = 10         # neighbours of a vector in the graph
 RECALL = 0.96       # asked of the unseen vectors
 BLOCK_ROWS = 4_096  # vectors of a block
+HELD = 1 << 19      # rows found that a task holds before it sends them
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -240,28 +242,60 @@ def _packed(rows: int, keep: int | None):
     return run
 
 
+def _nearest_first(queries: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of rows found, the k nearest of each query, equal ones by smaller id."""
+    order = np.lexsort((ids, -scores, queries))
+    queries, ids, scores = queries[order], ids[order], scores[order]
+    stay = np.arange(len(queries)) - np.searchsorted(queries, queries) < k
+    return queries[stay], ids[stay], scores[stay]
+
+
+def _found(queries: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int):
+    """(query ids, ids, cosines) of the k nearest of a block's rows to each query of a block."""
+    ux = unit(x)
+    for a in range(0, len(queries), 512):
+        near = unit(q[a:a + 512]) @ ux.T
+        near[queries[a:a + 512, None] == ids[None, :]] = -np.inf
+        kth = np.partition(near, max(0, near.shape[1] - k), axis=1)[:, max(0, near.shape[1] - k)]
+        # rounding differs with a vector's place in a block: what is as near as that is measured alike for all
+        i, j = np.nonzero((near >= kth[:, None] - 1e-9) & (near > -2))
+        score = np.concatenate([cosines(q[a + i[c:c + 65_536]], x[j[c:c + 65_536]]) for c in range(0, len(i), 65_536)] or [np.zeros(0)])
+        yield _nearest_first(queries[a + i], ids[j], score, k)
+
+
 def _search(k: int):
-    """The k nearest of each block's rows to each query of a block that meets it."""
+    """The k nearest to each query in the blocks of a part that come one after the other."""
     def run(batches):
+        part, held, size = None, [], 0
+
+        def nearest_held():
+            return _nearest_first(*(np.concatenate(column) for column in zip(*held)), k)
+
+        def sent(rows):
+            for c in range(0, len(rows[0]), 65_536):
+                yield pa.RecordBatch.from_arrays([pa.array(column[c:c + 65_536]) for column in rows], names=["query_id", "vec_id", "score"])
+
         for batch in batches:
             for row in batch.to_pylist():
                 ids, queries = (np.frombuffer(row[c], "<i8") for c in ("ids", "query_ids"))
                 x, q = np.frombuffer(row["vectors"], "<f8").reshape(len(ids), -1), np.frombuffer(row["query_vectors"], "<f8").reshape(len(queries), -1)
                 if x.shape[1] != q.shape[1]:
                     continue
-                ux = unit(x)
-                for a in range(0, len(queries), 512):
-                    near = unit(q[a:a + 512]) @ ux.T
-                    near[queries[a:a + 512, None] == ids[None, :]] = -np.inf
-                    kth = np.partition(near, max(0, near.shape[1] - k), axis=1)[:, max(0, near.shape[1] - k)]
-                    # rounding differs with a vector's place in a block: what is as near as that is measured alike for all
-                    i, j = np.nonzero((near >= kth[:, None] - 1e-9) & (near > -2))
-                    score = np.concatenate([cosines(q[a + i[c:c + 65_536]], x[j[c:c + 65_536]]) for c in range(0, len(i), 65_536)] or [np.zeros(0)])
-                    order = np.lexsort((ids[j], -score, i))
-                    i, j, score = i[order], j[order], score[order]
-                    rank = np.arange(len(i)) - np.searchsorted(i, i)
-                    i, j, score = i[rank < k], j[rank < k], score[rank < k]
-                    yield pa.RecordBatch.from_arrays([pa.array(queries[a + i]), pa.array(ids[j]), pa.array(score)], names=["query_id", "vec_id", "score"])
+                if held and row["part"] != part:
+                    yield from sent(nearest_held())
+                    held, size = [], 0
+                part = row["part"]
+                for rows in _found(queries, q, ids, x, k):
+                    held.append(rows)
+                    size += len(rows[0])
+                if size > HELD:
+                    held = [nearest_held()]
+                    size = len(held[0][0])
+                    if size > HELD // 2:  # too many queries to be held at once
+                        yield from sent(held[0])
+                        held, size = [], 0
+        if held:
+            yield from sent(nearest_held())
     return run
 
 
@@ -308,16 +342,20 @@ def nearest(df: DataFrame, queries, id_column: str = "vec_id", vector_column: st
     model = [np.frombuffer(w, "<f8").reshape(s) for w, s in zip(fitted["weights"], fitted["shapes"])], fitted["probes"]
     shared, routed, blocked = spark.sparkContext.broadcast(model), "part int, id long, vector array<double>", "part int, ids binary, vectors binary"
     n_parts = model[0][3].shape[0]
-    salts = F.pmod(F.xxhash64("id"), F.lit(16))
 
     def blocks(some: DataFrame, many: bool, keep: int | None, name: str) -> DataFrame:
-        filed = some.mapInArrow(_route(shared, many), routed)
-        dealt = filed.withColumn("salt", salts).repartition("part", "salt").drop("salt").sortWithinPartitions("part", "id")
-        return common.staged(dealt.mapInArrow(_packed(BLOCK_ROWS, keep), blocked), name)
+        filed = common.staged(some.mapInArrow(_route(shared, many), routed), "neighbours-filed")
+        sizes = {r.part: r.n for r in filed.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row for each part
+        full = F.array(*[F.lit(-(-sizes.get(p, 1) // BLOCK_ROWS)) for p in range(n_parts)])
+        salt = F.pmod(F.xxhash64("id"), F.get(full, F.col("part")))
+        dealt = filed.withColumn("salt", salt).repartition("part", "salt").drop("salt").sortWithinPartitions("part", "id")
+        out = common.staged(dealt.mapInArrow(_packed(BLOCK_ROWS, keep), blocked), name)
+        common.remove(spark, filed)
+        return out
     there = blocks(rows, False, k + 1, "neighbours-index")
     asked = blocks(rows.where(queries), True, None, "neighbours-queries")
     met = there.join(asked.select("part", F.col("ids").alias("query_ids"), F.col("vectors").alias("query_vectors")), "part")
-    found = met.drop("part").mapInArrow(_search(k), "query_id long, vec_id long, score double")
+    found = met.mapInArrow(_search(k), "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
