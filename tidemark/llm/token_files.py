@@ -6,13 +6,17 @@ or places touches no token; a reader of some documents finds their pages by the
 within and across files.
 
 Each distinct word is encoded once a worker, by the tokenizers library: the vocabulary's rules drop white space and
-let no token cross it, so the ids of a text are those of its words, one after another.
+let no token cross it, so the ids of a text are those of its words, one after another. They also cut words into runs of
+letters, single digits and runs of other signs, in lower case: words of ASCII (no apostrophe) and Latin-1 letters are cut
+here, and of those pieces each distinct one is encoded once, by a copy of the tokenizer that leaves out what is done.
 """
 
 from __future__ import annotations
 
 import itertools
+import json
 import os
+import re
 import zlib
 from functools import lru_cache
 
@@ -32,7 +36,7 @@ LAYOUT = {"parquet.block.size": str(32 << 20), "parquet.page.size": str(256 << 1
           "parquet.enable.dictionary": "true", "parquet.dictionary.page.size": str(1 << 20), "parquet.writer.version": "v2", "compression": "zstd"}
 _CHUNK = 10_000  # new words handed to the library at once
 MEMO_BYTES = 192 << 20  # of words and ids that a worker remembers before it starts afresh
-WORD_BYTES = 160        # of a remembered word besides its letters and ids
+WORD_BYTES = 160        # of a remembered word, or piece of words, besides its letters and ids
 
 
 @lru_cache(maxsize=2)
@@ -48,28 +52,69 @@ def tokenizer(path: str | None = None):
     return out
 
 
+_LETTER = r"a-z\u00DF-\u00F6\u00F8-\u00FF"
+_PLAIN = re.compile(rf"[!-&(-@\[-~{_LETTER}]+").fullmatch  # lower-case Latin-1 letters and ASCII signs but the apostrophe
+_PIECES = re.compile(rf"[{_LETTER}]+|[0-9]|[^{_LETTER}0-9]+").findall
+# What the cutting stands for; a vocabulary with other rules has its words encoded whole.
+_RULES = ([{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}],
+          {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"})
+
+
+@lru_cache(maxsize=2)
+def piece_tokenizer(path: str | None = None):
+    """A copy of the tokenizer for pieces of words that are normal and cut already, or None where its rules are others."""
+    from tokenizers import Tokenizer
+    rules = json.loads(tokenizer(path).to_str())
+    steps = (rules["pre_tokenizer"] or {}).get("pretokenizers", [])
+    if ((rules["normalizer"] or {}).get("normalizers") != _RULES[0] or [s["type"] for s in steps] != ["Split", "ByteLevel"]
+            or steps[0]["pattern"] != _RULES[1] or steps[0]["behavior"] != "Removed" or not steps[0]["invert"]
+            or steps[1]["add_prefix_space"] or steps[1]["use_regex"] or any("<|" not in t["content"] for t in rules["added_tokens"])):
+        return None
+    rules["normalizer"], rules["pre_tokenizer"]["pretokenizers"], rules["added_tokens"] = None, steps[1:], []
+    rules["post_processor"] = None
+    return Tokenizer.from_str(json.dumps(rules))
+
+
+def _encoded(tokenizer, texts: list[str]) -> list[bytes]:
+    found = [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    ends = [0, *itertools.accumulate(map(len, found))]
+    ids = np.fromiter(itertools.chain.from_iterable(found), np.int32, ends[-1]).tobytes()
+    return [ids[4 * a:4 * b] for a, b in itertools.pairwise(ends)]
+
+
 class WordEncoder:
     """Ids of texts, by way of their words."""
 
     def __init__(self, path: str | None = None):
-        self.tokenizer = tokenizer(path)
+        self.tokenizer, self.cutter = tokenizer(path), piece_tokenizer(path)
         self._reset()
 
     def _reset(self) -> None:
         self.words, self.held = common.Words(self._encode), 0
+        self.pieces: dict[str, bytes] = {}
         self.ids, self.ends = common.Growing(np.int32), common.Growing(np.int64)
         self.ends.extend([0])
 
     def _encode(self, new: list[bytes]) -> None:
         for k in range(0, len(new), _CHUNK):
-            found = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in new[k:k + _CHUNK]],
-                                                                      add_special_tokens=False)]
-            lengths = np.fromiter(map(len, found), np.int64, len(found))
-            self.ids.extend(np.fromiter(itertools.chain.from_iterable(found), np.int32, int(lengths.sum())))
+            found = self._ids([w.decode("utf-8", "replace") for w in new[k:k + _CHUNK]])
+            lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
+            self.ids.extend(np.frombuffer(b"".join(found), np.int32))
             self.ends.extend(self.ends.values[-1] + np.cumsum(lengths))
             self.held += 4 * int(lengths.sum())
         self.held += sum(map(len, new)) + WORD_BYTES * len(new)
 
+    def _ids(self, words: list[str]) -> list[bytes]:
+        """Ids of each word, as 32-bit integers."""
+        lower = [w.lower() for w in words]
+        cut = [_PIECES(low) if self.cutter and _PLAIN(low) and "<|" not in low and ord(max(w)) < 256 else None for w, low in zip(words, lower)]
+        pieces = list(dict.fromkeys(p for c in cut if c for p in c if p not in self.pieces))
+        if pieces:
+            self.pieces.update(zip(pieces, found := _encoded(self.cutter, pieces)))
+            self.held += sum(map(len, found)) + sum(map(len, pieces)) + WORD_BYTES * len(pieces)
+        whole = iter(_encoded(self.tokenizer, [w for w, c in zip(words, cut) if c is None]))
+        return [next(whole) if c is None else b"".join([self.pieces[p] for p in c]) for c in cut]
+
     def encode(self, texts: list[bytes], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, each with its end, and the places where texts end)"""
         if self.held > MEMO_BYTES:
