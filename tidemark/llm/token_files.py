@@ -35,7 +35,7 @@ END_ID = 2
 LAYOUT = {"parquet.block.size": str(32 << 20), "parquet.page.size": str(256 << 10), "parquet.page.row.count.limit": "4000",
           "parquet.enable.dictionary": "true", "parquet.dictionary.page.size": str(1 << 20), "parquet.writer.version": "v2", "compression": "zstd"}
 _CHUNK = 10_000  # new words handed to the library at once
-MEMO_BYTES = 192 << 20  # of words and ids that a worker remembers before it starts afresh
+MEMO_BYTES = 192 << 20  # of words and ids that a worker remembers before it starts afresh; pieces stay while they are half of it or less
 WORD_BYTES = 160        # of a remembered word, or piece of words, besides its letters and ids
 
 
@@ -87,11 +87,14 @@ class WordEncoder:
 
     def __init__(self, path: str | None = None):
         self.tokenizer, self.cutter = tokenizer(path), piece_tokenizer(path)
+        self.pieces: dict[str, bytes] = {}
+        self.held_pieces = 0
         self._reset()
 
     def _reset(self) -> None:
-        self.words, self.held = common.Words(self._encode), 0
-        self.pieces: dict[str, bytes] = {}
+        if self.held_pieces > MEMO_BYTES // 2:
+            self.pieces, self.held_pieces = {}, 0
+        self.words, self.held = common.Words(self._encode), self.held_pieces
         self.ids, self.ends = common.Growing(np.int32), common.Growing(np.int64)
         self.ends.extend([0])
 
@@ -111,7 +114,8 @@ class WordEncoder:
         pieces = list(dict.fromkeys(p for c in cut if c for p in c if p not in self.pieces))
         if pieces:
             self.pieces.update(zip(pieces, found := _encoded(self.cutter, pieces)))
-            self.held += sum(map(len, found)) + sum(map(len, pieces)) + WORD_BYTES * len(pieces)
+            more = sum(map(len, found)) + sum(map(len, pieces)) + WORD_BYTES * len(pieces)
+            self.held, self.held_pieces = self.held + more, self.held_pieces + more
         whole = iter(_encoded(self.tokenizer, [w for w, c in zip(words, cut) if c is None]))
         return [next(whole) if c is None else b"".join([self.pieces[p] for p in c]) for c in cut]
 
