@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from tidemark.llm import recurrent_lm
 
@@ -78,3 +79,44 @@ def test_pieces_are_the_same_however_rows_are_batched():
     cuts = [list(recurrent_lm.pieces(table.to_batches(max_chunksize=n), 20)) for n in (3, 100)]
     assert cuts[0] == cuts[1] and all(sum(map(len, t)) <= 20 for _, t in cuts[0])
     assert [t for _, ts in cuts[0] for t in ts] == [t.encode() for _, t in rows]
+
+
+def test_a_rare_word_of_a_piece_is_joined_once_with_its_rows_and_times():
+    shared = type("Shared", (), {"value": recurrent_lm.Vocabulary({recurrent_lm.END: 2, b"a": 9}, 11, 2)})
+    texts = ["Rare a rare\x0brare", None, "a other", " rare\n", "\x1cother a"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(5)), pa.array(texts)], names=["doc_id", "text"])
+    context = type("Context", (), {"partitionId": lambda self: 0})
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(recurrent_lm, "TaskContext", type("Task", (), {"get": staticmethod(context)}))
+        out, = recurrent_lm._read(shared, None)(iter([batch]))
+    assert out.column("n_tokens").to_pylist() == [5, 1, 3, 2, 3] and out.column("known").to_pylist() == [2, 1, 2, 1, 2]
+    found = [(r["word"], [(f["rid"], f["times"]) for f in r["found"]]) for rows in out.column("rare").to_pylist() for r in rows]
+    assert found == [(b"rare", [(0, 3), (3, 1)]), (b"other", [(2, 1)]), (b"\x1cother", [(4, 1)])]
+
+
+def test_words_are_read_as_their_symbols_counts_and_rest_classes():
+    v = recurrent_lm.Vocabulary({recurrent_lm.END: 4, b"a": 9, "été".encode(): 5, b"b,": 3}, 40, 9, explicit=3, rest=4)
+    v.set_rest([(b"ng", 6, 2), (b"b", 3, 1), (b"", 2, 2), (b"zz", 1, 1)])
+    texts = [b"A \xc3\xa9t\xc3\xa9  sing17\tB, 42", b"", b"\n \r", b"\x85 Song fuzz.\x0c"]
+    own = recurrent_lm.Symbols(v)
+    flat, lengths = own.read(texts)
+    words = [w for t in texts for w in [*t.lower().split(), recurrent_lm.END]]
+    assert [own.words[k].as_py() for k in flat.tolist()] == words and lengths.tolist() == [6, 1, 1, 4]
+    assert own.symbol[flat].tolist() == [v.symbol.get(w, v.n_explicit + v.rest_class(w)) for w in words]
+    assert own.count[flat].tolist() == [v.counts.get(w, -1) for w in words]
+    assert own.in_rest[flat].tolist() == [w not in v.symbol for w in words]
+
+
+def test_large_logits_give_the_shares_that_small_ones_give():
+    r = np.random.default_rng(3)
+    w, b, h = r.normal(size=(7, 4)), r.normal(size=7), r.normal(size=(9, 4))
+    column, runs = np.array([0, 2, 1, 0, 3, 6, 4, 5, 6]), [(0, 0, 4), (1, 4, 9)]
+    found = []
+    for most in (5.0, 1e9):  # the second guards against overflow
+        shares, logp, d, grads = recurrent_lm.Shares(w, b, [0, 3, 7], most, True), np.zeros(9), np.zeros((9, 4)), (np.zeros((7, 4)), np.zeros(7))
+        assert shares.plain == (most == 5.0) or np.abs(w).sum(1).max() * 5 > recurrent_lm.SAFE
+        shares.of(runs, h, column, logp, d, grads)
+        found.append((logp, d, grads[0] * shares.factor[:, None], grads[1] * shares.factor))
+    assert all(np.allclose(x, y) for x, y in zip(*found))
+    logits = h @ w.T + b
+    assert np.allclose(found[0][0], [logits[k, c] - np.log(np.exp(logits[k, :3] if k < 4 else logits[k, 3:]).sum()) for k, c in enumerate(column)])

@@ -134,6 +134,39 @@ class Words(dict):
         self.fresh = []
         return flat, offsets
 
+    def of_texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(word numbers of all texts, offsets of the texts); each distinct word of `texts` is looked up once"""
+        words, codes, lengths = split_words(texts)
+        own, _ = self.numbers([listed(words)])
+        return own[codes], np.concatenate(([0], np.cumsum(lengths)))
+
+
+def binary(texts: list[bytes] | pa.Array) -> pa.Array:
+    """Texts as a string column without nulls; bytes are taken as they are."""
+    if isinstance(texts, list):
+        return pa.array(texts, pa.binary()).view(pa.string())
+    return pc.fill_null(pc.cast(texts, pa.string()), "")
+
+
+def split_words(texts: pa.Array, lower: bool = False) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """(distinct words in the order they come, number of each word of all texts, words of each text); with `lower`, A-Z lower-cased."""
+    texts = pc.ascii_trim_whitespace(pc.ascii_lower(texts) if lower else texts)
+    lists = pc.ascii_split_whitespace(texts)
+    offsets = lists.offsets.to_numpy().astype(np.int64)
+    lengths, words = np.diff(offsets), lists.values.slice(offsets[0], offsets[-1] - offsets[0])
+    empty = np.diff(np.frombuffer(texts.buffers()[1], np.int32, len(texts) + 1, 4 * texts.offset)) == 0 if len(texts) else np.zeros(0, bool)
+    if empty.any():  # such a text is split into one empty word
+        words, lengths = words.filter(pa.array(np.repeat(~empty, lengths))), np.where(empty, 0, lengths)
+    found = words.dictionary_encode()
+    return found.dictionary.view(pa.binary()), found.indices.to_numpy(), lengths
+
+
+def listed(words: pa.Array) -> list[bytes]:
+    """Words without white space as a list."""
+    if not len(words):
+        return []
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words), b" ")[0].as_py().split(b" ")
+
 
 class Growing:
     """A numpy array that is appended to."""

@@ -24,6 +24,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -39,16 +40,27 @@ TRAIN_BYTES = 8 << 20    # of text packed into lanes together
 WINDOW = 24           # steps between truncations
 FIRST = 1_500         # documents of the first model's sample, at most; the shards learn from all documents afterwards
 SHARD = 4_000_000     # tokens a copy of the model learns from before the copies are averaged
-BLOCK = 1024          # tokens whose class shares are worked out together
+BLOCK = 512           # tokens whose shares are worked out together, so that they stay in a core's cache
+SCORED = 1 << 16      # tokens scored together
+PART = 1 << 14        # weights updated together
+SAFE = 30.0           # logits within this need no guard against overflow
 RATE = 4e-3
 CHUNK = 1 << 13       # weights sent together
 HELD_OUT = (5, 1)
 END = b" "            # stands for the end of a text; no word has a space
 
 
+SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~0123456789"
+
+
 def tail(word: bytes) -> bytes:
     """The last bytes of a word that are not ASCII punctuation."""
-    return word.rstrip(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~0123456789")[-2:]
+    return word.rstrip(SIGNS.encode())[-2:]
+
+
+def tails(words: pa.Array) -> pa.Array:
+    """`tail` of each of a binary column."""
+    return pc.binary_slice(pc.ascii_rtrim(words.view(pa.string()), SIGNS).view(pa.binary()), -2)
 
 
 class Vocabulary:
@@ -98,6 +110,59 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return np.reciprocal(x, out=x)
 
 
+class Shares:
+    """Softmaxes of states, one for each run of columns from `starts[k]` to `starts[k + 1]`, with weights `w` (column, state).
+
+    A bias is a factor of the exponentials, put into their sums, so no pass over the logits is made but the exponential; where
+    that might overflow it is added first. `most` is the largest component of a state.
+    """
+
+    def __init__(self, w: np.ndarray, b: np.ndarray, starts: list[int], most: float, learn: bool = False):
+        self.w, self.b, self.starts = w, b, starts
+        bound = most * float(np.abs(w).sum(1).max(initial=0))
+        self.plain = bound <= SAFE and float(np.abs(b).max(initial=0)) <= SAFE
+        self.factor = np.exp(b) if self.plain else np.ones_like(b)
+        self.back = w * self.factor[:, None] if learn else None
+        self.e = np.empty(BLOCK * max((b - a for a, b in zip(starts[:-1], starts[1:])), default=0), w.dtype)
+        self.sums, self.d = np.empty(BLOCK, w.dtype), np.empty((BLOCK, w.shape[1]), w.dtype)
+
+    def of(self, runs: list[tuple[int, int, int]], h: np.ndarray, column: np.ndarray, logp: np.ndarray, d=None, grads=None) -> None:
+        """Adds to `logp` the log share of each row's column, to `d` their gradients by state, and to `grads` those by weight and
+        bias, less their factors. `runs` are (softmax, first, end) of the rows, one after another."""
+        m, used, parts = len(h), 0, []
+        total, place = self.sums[:m], np.empty(m, np.intp)
+        for k, i, j in runs:
+            a, b = self.starts[k], self.starts[k + 1]
+            e = self.e[used:used + (j - i) * (b - a)].reshape(j - i, b - a)
+            place[i:j] = np.arange(used - a, used - a + e.size, b - a)
+            used += e.size
+            parts.append((e, a, b, i, j))
+            np.matmul(h[i:j], self.w[a:b].T, out=e)
+            if not self.plain:
+                e += self.b[a:b]
+                np.minimum(e, 60, out=e)
+        place += column
+        every = self.e[:used]
+        own = every.take(place)
+        if self.plain:
+            own += self.b.take(column)
+        np.exp(every, out=every)
+        for e, a, b, i, j in parts:
+            np.matmul(e, self.factor[a:b], out=total[i:j])
+        own -= np.log(total)
+        logp += own
+        if d is not None:  # by logit: what is chosen less its share; here times -total / factor
+            every[place] -= total / self.factor.take(column)
+            share = 1 / total
+            scaled, by_state = h * share[:, None], self.d[:m]
+            for e, a, b, i, j in parts:
+                np.matmul(e, self.back[a:b], out=by_state[i:j])
+                grads[0][a:b] -= e.T @ scaled[i:j]
+                grads[1][a:b] -= share[i:j] @ e
+            by_state *= share[:, None]
+            d -= by_state
+
+
 class Net:
     """Gated recurrent network with class-factored output; all weights in `p`."""
 
@@ -108,76 +173,79 @@ class Net:
         self.classes = -(-n // size)
         self.end = vocabulary.symbol.get(END, 0)
         self.class_of = np.concatenate([np.arange(n) // size, self.classes + np.arange(r)]).astype(np.int16)
+        self.starts = [*range(0, n, size), n]
         if p is None:
             rng = np.random.default_rng(7)
             scale = lambda *shape: rng.normal(0, 0.1, shape).astype(np.float32)
-            words = np.full(self.classes * size, 0.0)
-            words[:n] = vocabulary.explicit_counts + 0.5
-            words = words.reshape(self.classes, size)
-            mass = np.concatenate([words.sum(1), vocabulary.rest_tokens + 0.5])
-            bias = np.where(words > 0, np.log(np.maximum(words, 0.5) / np.maximum(1, words.max(initial=1))), -1e4)
-            p = {"x": scale(n + r, 3 * state), "u": scale(state, 3 * state), "wc": scale(state, self.classes + r), "bc": np.log(mass / mass.max()).astype(np.float32),
-                 "wo": scale(self.classes, state, size), "bo": bias.astype(np.float32)}
+            words, own = vocabulary.explicit_counts + 0.5, self.class_of[:n]
+            mass = np.concatenate([np.bincount(own, weights=words, minlength=self.classes), vocabulary.rest_tokens + 0.5])
+            most = np.maximum.reduceat(words, self.starts[:-1]) if n else words
+            p = {"x": scale(n + r, 3 * state), "u": scale(state, 3 * state), "wc": np.ascontiguousarray(scale(state, self.classes + r).T), "bc": np.log(mass / mass.max()).astype(np.float32),
+                 "wo": scale(self.classes, state, size).transpose(0, 2, 1).reshape(-1, state)[:n], "bo": np.log(words / np.maximum(1, most)[own]).astype(np.float32)}
         self.p = p
+        self.grads = {}  # arrays used again by each update
 
     def step(self, symbols: np.ndarray, h: np.ndarray, keep: bool = False):
         """State after `symbols`; h is reset where the symbol ends a text."""
         s = self.h
-        h = h * (symbols != self.end)[:, None].astype(np.float32)
-        x, hu = self.p["x"][symbols], h @ self.p["u"]
-        gates = x[:, :2 * s]
-        gates += hu[:, :2 * s]
-        sigmoid(gates)
-        z, r = gates[:, :s], gates[:, s:]
-        n = np.tanh(x[:, 2 * s:] + r * hu[:, 2 * s:])
-        out = n + z * (h - n)
-        return (out, (h, z, r, n, hu[:, 2 * s:])) if keep else out
-
-    def outputs(self, states: np.ndarray, targets: np.ndarray, learn: bool = False):
+        ended = np.flatnonzero(symbols == self.end)
+        if len(ended):
+            h = h.copy()
+            h[ended] = 0
+        x, hu = self.p["x"].take(symbols, axis=0), h @ self.p["u"]
+        z, r, hn = sigmoid(x[:, :s] + hu[:, :s]), sigmoid(x[:, s:2 * s] + hu[:, s:2 * s]), hu[:, 2 * s:]
+        n = r * hn
+        n += x[:, 2 * s:]
+        np.tanh(n, out=n)
+        out = h - n
+        out *= z
+        out += n
+        return (out, (h, z, r, n, hn)) if keep else out
+
+    def shares(self, most: float = 1.0, learn: bool = False) -> tuple[Shares, Shares]:
+        """Of the classes, and of the words within each; components of states that steps make are within 1."""
+        p = self.p
+        return Shares(p["wc"], p["bc"], [0, len(p["bc"])], most, learn), Shares(p["wo"], p["bo"], self.starts, most, learn)
+
+    def empty(self, name: str) -> np.ndarray:
+        """Zeros of the shape of weights `name`."""
+        if name not in self.grads or self.grads[name].dtype != self.p[name].dtype:
+            self.grads[name] = np.zeros_like(self.p[name])
+        else:
+            self.grads[name].fill(0)
+        return self.grads[name]
+
+    def outputs(self, states: np.ndarray, targets: np.ndarray, learn: bool = False, shares: tuple[Shares, Shares] | None = None):
         """Natural log probability of each target; with `learn` also the gradients of their sum."""
+        of_class, of_word = shares or self.shares(float(np.abs(states).max(initial=0)), learn)
         cls = self.class_of[targets]
         order = np.argsort(cls, kind="stable")  # by class: each class's words are then one block
-        states, word, cls = states[order], targets[order] % self.size, cls[order]
-        rows, logp, grads, d = np.arange(len(cls)), np.empty(len(cls), states.dtype), None, None
+        states, word, cls = states.take(order, axis=0), targets.take(order).astype(np.intp), cls.take(order).astype(np.intp)
+        logp, d, by_class, by_word = np.zeros(len(cls), states.dtype), None, None, None
+        grads = {k: self.empty(k) for k in ("wc", "bc", "wo", "bo")} if learn else None
         if learn:
-            grads, d = {k: np.zeros_like(self.p[k]) for k in ("wc", "bc", "wo", "bo")}, np.empty_like(states)
+            d, by_class, by_word = np.zeros_like(states), (grads["wc"], grads["bc"]), (grads["wo"], grads["bo"])
+        bounds, c = np.searchsorted(cls, np.arange(self.classes + 1)).tolist(), 0
         for i in range(0, len(cls), BLOCK):
-            h, own = states[i:i + BLOCK], cls[i:i + BLOCK]
-            logits = h @ self.p["wc"]
-            logits += self.p["bc"]
-            logp[i:i + BLOCK], total = self._shares(logits, rows[:len(own)], own)
-            if learn:
-                logits /= -total[:, None]
-                logits[rows[:len(own)], own] += 1
-                d[i:i + BLOCK] = logits @ self.p["wc"].T
-                grads["wc"] += h.T @ logits
-                grads["bc"] += logits.sum(0)
-        bounds = np.searchsorted(cls, np.arange(self.classes + 1)).tolist()
-        for c, (i, j) in enumerate(zip(bounds[:-1], bounds[1:])):
-            if i == j:
-                continue
-            h = states[i:j]
-            inner = h @ self.p["wo"][c]
-            inner += self.p["bo"][c]
-            own, total = self._shares(inner, rows[:j - i], word[i:j])
-            logp[i:j] += own
-            if learn:
-                inner /= -total[:, None]
-                inner[rows[:j - i], word[i:j]] += 1
-                grads["wo"][c], grads["bo"][c] = h.T @ inner, inner.sum(0)
-                d[i:j] += inner @ self.p["wo"][c].T
+            j = min(i + BLOCK, len(cls))
+            of_class.of([(0, 0, j - i)], states[i:j], cls[i:j], logp[i:j], d[i:j] if learn else None, by_class)
+            j, runs = min(j, bounds[-1]), []  # rest classes have no words
+            while c < self.classes and bounds[c] < j:
+                first, end = max(i, bounds[c]) - i, min(j, bounds[c + 1]) - i
+                if first < end:
+                    runs.append((c, first, end))
+                if bounds[c + 1] > j:
+                    break
+                c += 1
+            if runs:
+                of_word.of(runs, states[i:j], word[i:j], logp[i:j], d[i:j] if learn else None, by_word)
+        if learn:
+            for (w, b), x in ((by_class, of_class), (by_word, of_word)):
+                w *= x.factor[:, None]
+                b *= x.factor
         back = np.empty_like(order)
-        back[order] = rows
-        return (logp[back], grads, d[back]) if learn else logp[back]
-
-    @staticmethod
-    def _shares(logits: np.ndarray, rows: np.ndarray, chosen: np.ndarray):
-        """(log share of the chosen column of each row, sums); the logits become their exponentials."""
-        np.minimum(logits, 60, out=logits)
-        own = logits[rows, chosen]
-        np.exp(logits, out=logits)
-        total = logits @ np.ones(logits.shape[1], np.float32)
-        return own - np.log(total), total
+        back[order] = np.arange(len(order))
+        return (logp.take(back), grads, d.take(back, axis=0)) if learn else logp.take(back)
 
     def lanes(self, symbols: np.ndarray, lengths: np.ndarray, lanes: int):
         """(symbols in lane order, the ones before, lane starts, lanes at work at each step, token order)"""
@@ -192,16 +260,16 @@ class Net:
     def score(self, symbols: np.ndarray, lengths: np.ndarray, lanes: int = LANES, window: int = WINDOW) -> np.ndarray:
         """Natural log probability of each text of `symbols` (its end included)."""
         flat, before, starts, busy, order = self.lanes(symbols, lengths, lanes)
-        logp, h = np.zeros(len(flat), np.float32), np.zeros((len(starts), self.h), np.float32)
-        for t0 in range(0, len(busy), window):
+        logp, h, shares = np.zeros(len(flat), np.float32), np.zeros((len(starts), self.h), np.float32), self.shares()
+        for t0, t1 in blocks(busy, window, SCORED):
             states, places = [], []
-            for t, n in enumerate(busy[t0:t0 + window], t0):
+            for t, n in enumerate(busy[t0:t1], t0):
                 at = starts[:n] + t
                 h = self.step(before[at], h[:n])
                 states.append(h)
                 places.append(at)
             at = np.concatenate(places)
-            logp[at] = self.outputs(np.concatenate(states), flat[at])
+            logp[at] = self.outputs(np.concatenate(states), flat[at], shares=shares)
         own = np.empty(len(flat), np.float64)
         own[order] = logp
         return np.add.reduceat(own, np.cumsum(lengths) - lengths) if len(flat) else np.zeros(len(lengths))
@@ -223,58 +291,65 @@ class Net:
             bounds = np.cumsum([0] + [len(x) for x in states]).tolist()
             seen = np.concatenate([before for before, _ in kept])
             old, z, r, n, hn = (np.concatenate(part) for part in zip(*(memory for _, memory in kept)))
-            goes_on = (seen != self.end)[:, None].astype(z.dtype)
-            by_n, by_z = (1 - z) * (1 - n * n), (old - n) * z * (1 - z)
-            by_r, back = hn * r * (1 - r), np.zeros((n_lanes, s), z.dtype)
-            dx = np.empty((len(seen), 3 * s), z.dtype)  # of the gates' inputs
-            dh = np.empty_like(dx)                      # of what the state gives to them
+            by_n, by_z, by_r = 1 - n * n, 1 - z, 1 - r
+            by_n *= by_z
+            by_z *= z
+            by_z *= old - n
+            by_r *= r
+            by_r *= hn
+            back, (uz, ur, un) = np.zeros((n_lanes, s), z.dtype), self.p["u"].reshape(s, 3, s).transpose(1, 2, 0).copy()
+            dz, dr, dn, dh = (np.empty_like(z) for _ in range(4))  # of the gates' inputs, and of what the state gives to the last
             for k in range(len(states) - 1, -1, -1):
                 at = slice(bounds[k], bounds[k + 1])
                 m = bounds[k + 1] - bounds[k]
                 if (k + 1) % window == 0:
                     back[:] = 0
-                d, own, through = d_out[at], dx[at], dh[at]
-                d += back[:m]
-                np.multiply(d, by_z[at], out=own[:, :s])
-                dn = np.multiply(d, by_n[at], out=own[:, 2 * s:])
-                np.multiply(dn, by_r[at], out=own[:, s:2 * s])
-                through[:, :2 * s] = own[:, :2 * s]
-                np.multiply(dn, r[at], out=through[:, 2 * s:])
+                d = back[:m]
+                d += d_out[at]
+                np.multiply(d, by_n[at], out=dn[at])
+                np.multiply(d, by_z[at], out=dz[at])
+                np.multiply(dn[at], by_r[at], out=dr[at])
+                np.multiply(dn[at], r[at], out=dh[at])
                 d *= z[at]
-                d += through @ self.p["u"].T
-                np.multiply(d, goes_on[at], out=back[:m])
-            grads["u"] = old.T @ dh
-            turn = np.argsort(seen, kind="stable")
-            first = np.flatnonzero(np.concatenate(([True], np.diff(seen[turn]) != 0)))
-            met = seen[turn][first]
-            grads["x"] = np.zeros_like(self.p["x"])
-            grads["x"][met] = np.add.reduceat(dx[turn], first, axis=0)
+                d += dz[at] @ uz
+                d += dr[at] @ ur
+                d += dh[at] @ un
+                d[kept[k][0] == self.end] = 0
+            grads["u"] = np.concatenate([old.T @ x for x in (dz, dr, dh)], axis=1)
+            count = np.bincount(seen, minlength=len(self.p["x"]))
+            met = np.flatnonzero(count)
+            count[met] = np.arange(0, s * len(met), s)  # where each symbol's sums begin
+            cells = (count.take(seen)[:, None] + np.arange(s)).reshape(-1)
+            sums = [np.bincount(cells, weights=x.reshape(-1), minlength=s * len(met)).reshape(-1, s) for x in (dz, dr, dn)]
+            grads["x"] = self.empty("x")
+            grads["x"][met] = np.concatenate(sums, axis=1)
             self._update(grads, bounds[-1], adam, rate, met)
 
     def _update(self, grads: dict, tokens: int, adam: dict, rate: float, met: np.ndarray) -> None:
-        """Adam; of the rows of `x` only those met, the others have no gradient."""
+        """Adam; of the rows of `x` only those met, the others have no gradient. Its means are kept as sums."""
         adam["t"] = t = adam.get("t", 0) + 1
+        least = math.sqrt(1 - 0.99 ** t)
         for k, g in grads.items():
             whole = adam.setdefault(k, (np.zeros_like(g), np.zeros_like(g)))
-            g, m, v = (g[met], whole[0][met], whole[1][met]) if k == "x" else (g, *whole)
-            g /= tokens
-            np.clip(g, -1, 1, out=g)
-            m *= 0.9
-            m += 0.1 * g
-            v *= 0.99
-            g *= g
-            g *= 0.01
-            v += g
-            np.divide(v, 1 - 0.99 ** t, out=g)
-            np.sqrt(g, out=g)
-            g += 1e-6
-            np.divide(m, g, out=g)
-            g *= rate / (1 - 0.9 ** t)
+            g, m, v, p = (x.take(met, axis=0) if k == "x" else x for x in (g, *whole, self.p[k]))
+            flat = [x.reshape(-1) for x in (g, m, v, p)]
+            for i in range(0, g.size, PART):
+                g_, m_, v_, p_ = (x[i:i + PART] for x in flat)
+                g_ *= 1 / tokens
+                if k in "xu":  # the others are means of numbers within 1
+                    np.clip(g_, -1, 1, out=g_)
+                m_ *= 0.9
+                m_ += g_
+                v_ *= 0.99
+                g_ *= g_
+                v_ += g_
+                np.sqrt(v_, out=g_)
+                g_ += 1e-5 * least
+                np.divide(m_, g_, out=g_)
+                g_ *= rate * least / (1 - 0.9 ** t)
+                p_ += g_
             if k == "x":
-                whole[0][met], whole[1][met] = m, v
-                self.p[k][met] += g
-            else:
-                self.p[k] += g
+                whole[0][met], whole[1][met], self.p[k][met] = m, v, p
 
 
 def blocks(busy: list[int], window: int, least: int):
@@ -306,63 +381,62 @@ def packed(lengths: np.ndarray, lanes: int):
     return order, firsts, np.cumsum(sizes) - sizes, sizes
 
 
+def _found(words: pa.Array, known: pa.Array) -> np.ndarray:
+    """Places of words among `known`, -1 where there is none."""
+    return pc.fill_null(pc.index_in(words, value_set=known), -1).to_numpy(zero_copy_only=False)
+
+
 class Symbols:
-    """Texts as symbols and counts, each distinct word looked up once."""
+    """Texts as symbols and counts, each distinct word of the texts looked up once."""
 
     def __init__(self, vocabulary: Vocabulary):
-        self.v = vocabulary
-        self._reset()
-
-    def _reset(self) -> None:
-        self.words = common.Words(self._new)
-        self.list: list[bytes] = []
-        self.symbol, self.count, self.in_rest = common.Growing(np.int32), common.Growing(np.int64), common.Growing(bool)
-
-    def _new(self, new: list[bytes]) -> None:
-        v = self.v
-        self.list += new
-        explicit = [v.symbol.get(w, -1) for w in new]
-        self.symbol.extend([s if s >= 0 else v.n_explicit + v.rest_class(w) for s, w in zip(explicit, new)])
-        self.in_rest.extend([s < 0 for s in explicit])
-        self.count.extend([v.counts.get(w, -1) for w in new])  # -1: to be joined
-
-    def read(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """(word numbers with an end after each text, tokens of each text)"""
-        if len(self.words) > common.MEMO_WORDS:
-            self._reset()
-        flat, offsets = self.words.numbers([[*t.lower().split(), END] for t in texts])
-        return flat, np.diff(offsets)
+        self.v = v = vocabulary
+        self.known = pa.array(list(v.counts), pa.binary())
+        self.known_symbol = np.array([v.symbol.get(w, -1) for w in v.counts] + [-1], np.int32)  # at -1: of words without a count
+        self.known_count = np.array([*v.counts.values(), -1], np.int64)                        # -1: to be joined
+        self.tails = pa.array(list(v.tails), pa.binary())
+        self.of_tail = np.array([*v.tails.values(), v.rest - 1], np.int32)
+
+    def read(self, texts: list[bytes] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(word numbers with an end after each text, tokens of each text); the words are in `words`, what is known of them in
+        `symbol`, `count` and `in_rest`"""
+        words, codes, lengths = common.split_words(common.binary(texts), lower=True)
+        end, lengths = len(words), lengths + 1
+        self.words = pa.concat_arrays([words, pa.array([END], pa.binary())])
+        at = _found(self.words, self.known)
+        self.count, self.symbol = self.known_count[at], self.known_symbol[at]
+        self.in_rest = self.symbol < 0
+        rest = np.flatnonzero(self.in_rest)
+        self.symbol[rest] = self.v.n_explicit + self.of_tail[_found(tails(self.words.take(pa.array(rest))), self.tails)]
+        self.symbol[end] = self.v.symbol.get(END, self.symbol[end])
+        self.in_rest[end] = END not in self.v.symbol
+        flat, word = np.full(int(lengths.sum()), end, codes.dtype), np.ones(int(lengths.sum()), bool)
+        word[np.cumsum(lengths) - 1] = False
+        flat[word] = codes
+        return flat, lengths
 
 
 def _count(batches):
-    counts: dict[bytes, int] = {}
-
-    def rows():
-        out = pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
-        counts.clear()
-        return out
-
-    for batch in batches:
-        words = common.Words()
-        flat, _ = words.numbers([[*t.lower().split(), END] for t in common.texts(batch.column("text"))])
-        for w, n in zip(words, np.bincount(flat, minlength=len(words)).tolist()):
-            counts[w] = counts.get(w, 0) + n
-        if len(counts) > common.MEMO_WORDS:
-            yield rows()
-    if counts:
-        yield rows()
+    for batch in gathered(batches):
+        words, codes, lengths = common.split_words(common.binary(batch.column("text")), lower=True)
+        counts = np.append(np.bincount(codes, minlength=len(words)), len(lengths))
+        yield pa.RecordBatch.from_arrays([pa.concat_arrays([words, pa.array([END], pa.binary())]), pa.array(counts, pa.int64())], names=["word", "n"])
 
 
 def _endings(shared):
     def run(batches):
-        v = shared.value
+        symbols = pa.array(list(shared.value.symbol), pa.binary())
         sums: dict[bytes, list[int]] = {}  # by at most two bytes
         for batch in batches:
-            for w, n in zip(batch.column("word").to_pylist(), batch.column("n").to_pylist()):
-                if w not in v.symbol:
-                    own = sums.setdefault(tail(w), [0, 0])
-                    own[0] += n
-                    own[1] += 1
+            rest = pa.array(np.flatnonzero(_found(batch.column("word"), symbols) < 0))
+            ends = tails(batch.column("word").take(rest)).dictionary_encode()
+            code, n = ends.indices.to_numpy(), batch.column("n").take(rest).to_numpy()
+            tokens = np.zeros(len(ends.dictionary), np.int64)
+            np.add.at(tokens, code, n)
+            for t, n, words in zip(ends.dictionary.to_pylist(), tokens.tolist(), np.bincount(code, minlength=len(tokens)).tolist()):
+                own = sums.setdefault(t, [0, 0])
+                own[0] += n
+                own[1] += words
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.binary()), pa.array([x for x, _ in sums.values()], pa.int64()),
                                           pa.array([x for _, x in sums.values()], pa.int64())], names=["ending", "tokens", "words"])
     return run
@@ -385,7 +459,7 @@ def _train(shared, start, key: str):
                 shard, adam, tokens = number, {}, 0
                 net = Net(v, None if start is None else {k: w.copy() for k, w in start.value.items()})
             flat, lengths = symbols.read(texts)
-            net.train(symbols.symbol.values[flat], lengths, adam)
+            net.train(symbols.symbol[flat], lengths, adam)
             tokens += len(flat)
         close()
         total = sums.pop("")
@@ -459,30 +533,43 @@ def gathered(batches, size: int = SCORE_BYTES):
         yield pa.concat_batches(waiting)
 
 
+RARE = "array<struct<word: binary, found: array<struct<rid: bigint, times: bigint>>>>"
+
+
+def _joined(words: pa.Array, flat: np.ndarray, lengths: np.ndarray, joined: np.ndarray, number: int) -> pa.Array:
+    """The words that are `joined` with their rows (from `number` on) and times there, each in the list of the first of these (an end in that of the last)."""
+    n_docs = len(lengths)
+    at = np.flatnonzero(joined[flat])
+    pairs, times = np.unique(flat[at].astype(np.int64) * n_docs + np.repeat(np.arange(n_docs), lengths)[at], return_counts=True)
+    word, doc = np.divmod(pairs, n_docs)
+    first = np.flatnonzero(np.diff(word, prepend=-1))
+    owner = np.maximum.accumulate(doc[first])  # words are numbered as they come, the end is the last, so first rows are in order
+    found = pa.StructArray.from_arrays([pa.array(number + doc), pa.array(times.astype(np.int64))], names=["rid", "times"])
+    found = pa.ListArray.from_arrays(pa.array(np.append(first, len(pairs)), pa.int32()), found)
+    rows = pa.StructArray.from_arrays([words.take(pa.array(word[first])), found], names=["word", "found"])
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(owner, np.arange(n_docs + 1)), pa.int32()), rows)
+
+
 def _read(shared, weights):
     def run(batches):
         v, number = shared.value, TaskContext.get().partitionId() << 36
         symbols, net = Symbols(v), Net(v, weights.value) if weights is not None else None
         for batch in gathered(batches):
-            flat, lengths = symbols.read(common.texts(batch.column("text")))
-            n_docs, doc = batch.num_rows, np.repeat(np.arange(batch.num_rows), lengths)
-            counts, rest = symbols.count.values[flat], symbols.in_rest.values[flat]
-            known, joined = counts >= 0, np.flatnonzero(counts < 0)
-            logs = np.where(known, np.log10(np.maximum(counts, 0) + 0.5), 0.0)
-            sums = lambda x: np.bincount(doc, weights=x, minlength=n_docs)
+            flat, lengths = symbols.read(batch.column("text"))
+            n_docs, starts = batch.num_rows, np.cumsum(lengths) - lengths
+            count, rest = symbols.count, symbols.in_rest  # of each distinct word
+            logs = np.where(count >= 0, np.log10(np.maximum(count, 0) + 0.5), 0.0)
+            sums = lambda x: np.add.reduceat(x[flat], starts)
             score = np.zeros(n_docs)
             if net is not None:
-                s = symbols.symbol.values[flat]
-                score = net.score(s, lengths) / np.log(10)
+                score = net.score(symbols.symbol[flat], lengths) / np.log(10)
                 rest_size = np.log10(v.rest_tokens + 0.5 * (v.rest_words + 1))
                 # counts of joined words are added later; what they are divided by is known here
-                score += sums(np.where(rest, logs - rest_size[np.maximum(s - v.n_explicit, 0)], 0.0))
-            unique, turn = np.unique(flat[joined], return_inverse=True)
-            rare = pa.array([symbols.list[w] for w in unique.tolist()], pa.binary()).take(pa.array(turn))
-            bounds = np.searchsorted(joined, np.concatenate(([0], np.cumsum(lengths))))
+                score += sums(np.where(rest, logs - rest_size[np.maximum(symbols.symbol - v.n_explicit, 0)], 0.0))
+            joined = count < 0
             yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), pa.array(np.arange(number, number + n_docs)), pa.array(lengths), pa.array(sums(known & (counts > 0)).astype(np.int64)),
-                pa.array(sums(logs)), pa.array(score), pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), rare)],
+                batch.column("doc_id"), pa.array(np.arange(number, number + n_docs)), pa.array(lengths), pa.array(sums((count > 0).astype(np.int64))),
+                pa.array(sums(logs)), pa.array(score), _joined(symbols.words, flat, lengths, joined, number)],
                 names=["doc_id", "rid", "n_tokens", "known", "logs", "lm", "rare"])
             number += n_docs
     return run
@@ -526,11 +613,12 @@ def score_texts(docs: DataFrame, held_out: tuple[int, int] = HELD_OUT, frequent:
             _train(shared, context.broadcast(start), "name"), "name string, w binary"), like)
         weights = context.broadcast(more or start)
     shared = context.broadcast(v)
-    rows = common.staged(docs.mapInArrow(_read(shared, weights), "doc_id long, rid long, n_tokens long, known long, logs double, lm double, rare array<binary>"),
+    rows = common.staged(docs.mapInArrow(_read(shared, weights), "doc_id long, rid long, n_tokens long, known long, logs double, lm double, rare " + RARE),
                          "lm-rows")
-    rare = rows.select("rid", F.explode("rare").alias("word")).join(counts, "word", "left").withColumn("n", F.coalesce("n", F.lit(0)))
-    sums = rare.groupBy("rid").agg(F.sum(F.log10(F.col("n") + 0.5)).alias("more"), F.sum((F.col("n") > 0).cast("long")).alias("more_known")
-                                   ).withColumnRenamed("rid", "_rid")
+    rare = rows.select(F.explode("rare").alias("r")).select("r.word", "r.found").join(counts, "word", "left")
+    rare = rare.select(F.explode("found").alias("f"), F.coalesce("n", F.lit(0)).alias("n"))
+    sums = rare.groupBy(F.col("f.rid").alias("_rid")).agg(F.sum(F.col("f.times") * F.log10(F.col("n") + 0.5)).alias("more"),
+                                                          F.sum(F.when(F.col("n") > 0, F.col("f.times")).otherwise(0)).alias("more_known"))
     out = rows.drop("rare").join(sums, F.col("rid") == F.col("_rid"), "left").withColumn("more", F.coalesce("more", F.lit(0.0)))
     base = F.col("logs") + F.col("more") - F.col("n_tokens") * F.lit(float(np.log10(total + 0.5 * (distinct + 1))))
     score = F.col("lm") + F.col("more") if weights is not None else base
