@@ -119,11 +119,11 @@ class WordEncoder:
         whole = iter(_encoded(self.tokenizer, [w for w, c in zip(words, cut) if c is None]))
         return [next(whole) if c is None else b"".join([self.pieces[p] for p in c]) for c in cut]
 
-    def encode(self, texts: list[bytes], end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: list[bytes] | pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, each with its end, and the places where texts end)"""
         if self.held > MEMO_BYTES:
             self._reset()
-        flat, offsets = self.words.numbers([t.split() for t in texts])
+        flat, offsets = self.words.of_texts(common.binary(texts))
         starts, lengths = self.ends.values[flat], np.diff(self.ends.values)[flat] if len(flat) else np.zeros(0, np.int64)
         total = int(lengths.sum())
         done = np.concatenate(([0], np.cumsum(lengths)))
@@ -144,7 +144,7 @@ def _encode(path: str | None, end_id: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            ids, ends = own.encode(common.texts(batch.column("text")), end_id)
+            ids, ends = own.encode(batch.column("text"), end_id)
             bounds = np.concatenate(([0], ends))
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), pa.array(np.full(batch.num_rows, number, np.int64)), pa.array(at + bounds[:-1]),
