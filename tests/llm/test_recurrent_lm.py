@@ -120,3 +120,46 @@ def test_large_logits_give_the_shares_that_small_ones_give():
     assert all(np.allclose(x, y) for x, y in zip(*found))
     logits = h @ w.T + b
     assert np.allclose(found[0][0], [logits[k, c] - np.log(np.exp(logits[k, :3] if k < 4 else logits[k, 3:]).sum()) for k, c in enumerate(column)])
+
+
+def test_pieces_are_walked_together_so_that_a_long_text_does_not_stand_alone_in_each(monkeypatch):
+    v = recurrent_lm.Vocabulary({recurrent_lm.END: 90, b"a": 900, b"b": 500}, 1490, 3)
+    texts = [t for _ in range(6) for t in [" ".join(["a b"] * 100), *["b a a"] * 20]]  # 201 tokens at most, in each piece
+    batches = pa.table({"shard": pa.array([3] * len(texts), pa.int64()), "text": texts, "doc_id": range(len(texts))}).to_batches(max_chunksize=21)
+    shared, net, steps = type("Shared", (), {"value": v}), recurrent_lm.Net(v), []
+    step = recurrent_lm.Net.step
+    alone = [net.score(np.array([v.symbol[w.encode()] for w in t.split()] + [net.end]), np.array([len(t.split()) + 1]))[0] for t in texts]
+    monkeypatch.setattr(recurrent_lm.Net, "step", lambda self, symbols, *rest: steps.append(len(symbols)) or step(self, symbols, *rest))
+    monkeypatch.setattr(recurrent_lm, "TRAIN_BYTES", 500)
+    list(recurrent_lm._train(shared, None, "name")(iter(batches)))
+    assert len(steps) == 201 and sum(steps) == 6 * 281
+    steps.clear()
+    monkeypatch.setattr(recurrent_lm, "gathered", lambda batches: batches)
+    monkeypatch.setattr(recurrent_lm, "TaskContext", type("Task", (), {"get": staticmethod(lambda: type("Context", (), {"partitionId": lambda self: 0})())}))
+    out = list(recurrent_lm._read(shared, type("Weights", (), {"value": net.p}))(iter(batches)))
+    assert len(steps) == 201 and sum(steps) == 6 * 281
+    assert [d for x in out for d in x.column("doc_id").to_pylist()] == list(range(len(texts)))
+    assert np.allclose(np.concatenate([x.column("lm").to_numpy() for x in out]), np.array(alone) / np.log(10), rtol=1e-5)
+
+
+def test_classes_of_words_cost_a_token_few_columns():
+    counts = (1e6 / np.arange(1, 10_001)).astype(int)
+    v = recurrent_lm.Vocabulary({b"w%d" % k: int(n) for k, n in enumerate(counts)} | {recurrent_lm.END: 50_000}, int(counts.sum()) + 50_000, 10_001)
+    net = recurrent_lm.Net(v)
+    sizes, mass = np.bincount(net.class_of[:v.n_explicit]), np.bincount(net.class_of[:v.n_explicit], weights=v.explicit_counts)
+    assert (np.diff(net.class_of) >= 0).all() and sizes.sum() == v.n_explicit and len(sizes) == net.classes <= net.size
+    assert net.classes + sizes @ mass / v.total < 0.75 * (100 + 101)  # of a hundred classes with a hundred words each
+    assert recurrent_lm.class_starts(np.array([3.5]), 3.5) == [0, 1] and recurrent_lm.class_starts(np.zeros(0), 0) == [0]
+
+
+def test_blocks_of_shares_hold_all_rows_once_within_their_bounds(monkeypatch):
+    monkeypatch.setattr(recurrent_lm, "CELLS", 40)
+    monkeypatch.setattr(recurrent_lm, "BLOCK", 6)
+    shares = recurrent_lm.Shares(np.zeros((60, 2)), np.zeros(60), [0, 2, 5, 55, 60], 1.0)
+    softmax = np.repeat([0, 2, 3], [15, 2, 20])
+    seen = []
+    for i, j, runs in shares.blocks(softmax):
+        assert j - i <= 6 and (j - i == 1 or sum((b - a) * shares.sizes[k] for k, a, b in runs) <= 40)
+        assert [k for k, a, b in runs for _ in range(b - a)] == softmax[i:j].tolist() and runs[0][1] == 0 and runs[-1][2] == j - i
+        seen += range(i, j)
+    assert seen == list(range(37))

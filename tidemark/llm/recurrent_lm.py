@@ -2,16 +2,15 @@
 
 Counts of all words of the training documents come first, summed by Spark. All frequent words are symbols of the
 network; every other word is seen as its rest class, told by its last letters. The output is factored: a class, then a
-word of the class. Frequent words are dealt by count to about as many classes as each has words, with a softmax over
-their words given the state; within a rest class a word has its count's share, unseen words together that of half a
-count. So each text has a proper probability over all
-words, and the network adds what the words before say about the next.
+word of the class. Frequent words are dealt by count to classes, few to one where they are very frequent, with a softmax
+over their words given the state; within a rest class a word has its count's share, unseen words together that of half a
+count. So each text has a proper probability over all words, and the network adds what the words before say about the next.
 
 Training is truncated back-propagation through time in numpy: a first model from a bounded sample, then shards of about
 SHARD tokens each go on from it, together over all training documents, and the weights are averaged by the tokens they
 saw. A hash of the row says its shard and its turn there, so the weights do not depend on how the input is split, and a
 larger corpus has more shards, not shorter ones. Texts are read whole: the state is carried from window to window and
-starts anew at each document. Scoring packs documents of any length into lanes, so a batch is one matrix product a step.
+starts anew at each document. Documents of any length are packed into lanes, so a step of all lanes is one matrix product.
 
 Counts of frequent words (at most FREQUENT, those that make up at least that share of all tokens) travel to the tasks;
 the others, none of which can be hot, are joined to the documents that use them.
@@ -34,17 +33,19 @@ FREQUENT = 200_000    # a word with at least 1 / FREQUENT of all tokens is frequ
 REST = 24             # rest classes
 STATE = 16            # units
 LANES = 512           # documents side by side when scoring
-SCORE_BYTES = 6 << 20    # of text packed into lanes together
-TRAIN_LANES = 512     # documents side by side when training
-TRAIN_BYTES = 8 << 20    # of text packed into lanes together
+SCORE_BYTES = 6 << 20    # of text read together
+TRAIN_LANES = 1024    # documents side by side when training
+TRAIN_BYTES = 4 << 20    # of text read together
+TOGETHER = 5_000_000  # tokens packed into lanes together, more than a shard has, so that few steps are left to the longest text alone
 WINDOW = 24           # steps between truncations
 FIRST = 1_500         # documents of the first model's sample, at most; the shards learn from all documents afterwards
 SHARD = 4_000_000     # tokens a copy of the model learns from before the copies are averaged
-BLOCK = 512           # tokens whose shares are worked out together, so that they stay in a core's cache
-SCORED = 1 << 16      # tokens scored together
+CELLS = 1 << 16       # shares worked out together, so that they stay in a core's cache
+BLOCK = 1 << 12       # tokens of these, at most
+SCORED = 1 << 15      # tokens whose states are worked out before their shares
 PART = 1 << 14        # weights updated together
 SAFE = 30.0           # logits within this need no guard against overflow
-RATE = 4e-3
+RATE = 1.6e-2
 CHUNK = 1 << 13       # weights sent together
 HELD_OUT = (5, 1)
 END = b" "            # stands for the end of a text; no word has a space
@@ -103,11 +104,11 @@ class Vocabulary:
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
     """In place."""
-    np.negative(x, out=x)
-    np.minimum(x, 60, out=x)
-    np.exp(x, out=x)
-    x += 1
-    return np.reciprocal(x, out=x)
+    x *= 0.5
+    np.tanh(x, out=x)
+    x *= 0.5
+    x += 0.5
+    return x
 
 
 class Shares:
@@ -123,9 +124,26 @@ class Shares:
         self.plain = bound <= SAFE and float(np.abs(b).max(initial=0)) <= SAFE
         self.factor = np.exp(b) if self.plain else np.ones_like(b)
         self.back = w * self.factor[:, None] if learn else None
-        self.e = np.empty(BLOCK * max((b - a for a, b in zip(starts[:-1], starts[1:])), default=0), w.dtype)
+        self.sizes = np.diff(starts)
+        self.e = np.empty(max(CELLS, int(self.sizes.max(initial=0))), w.dtype)
         self.sums, self.d = np.empty(BLOCK, w.dtype), np.empty((BLOCK, w.shape[1]), w.dtype)
 
+    def blocks(self, softmax: np.ndarray):
+        """(first, end) of rows worked out together, and their runs (softmax, first, end from there); rows are sorted by softmax."""
+        cells, ends = np.cumsum(self.sizes.take(softmax)), np.searchsorted(softmax, np.arange(1, len(self.sizes) + 1)).tolist()
+        i = 0
+        while i < len(softmax):
+            done = int(cells[i - 1]) if i else 0
+            j = min(max(int(np.searchsorted(cells, done + CELLS, side="right")), i + 1), i + BLOCK, len(softmax))
+            runs, first = [], i
+            for k in range(int(softmax[i]), int(softmax[j - 1]) + 1):
+                end = min(ends[k], j)
+                if end > first:
+                    runs.append((k, first - i, end - i))
+                first = max(first, end)
+            yield i, j, runs
+            i = j
+
     def of(self, runs: list[tuple[int, int, int]], h: np.ndarray, column: np.ndarray, logp: np.ndarray, d=None, grads=None) -> None:
         """Adds to `logp` the log share of each row's column, to `d` their gradients by state, and to `grads` those by weight and
         bias, less their factors. `runs` are (softmax, first, end) of the rows, one after another."""
@@ -163,44 +181,71 @@ class Shares:
             d -= by_state
 
 
+def class_starts(words: np.ndarray, total: float) -> list[int]:
+    """Where classes of words begin, by counts in descending order, and their end.
+
+    A token costs a column for each class and for each word of its own class. That is least, over all tokens, where each class
+    has the same sum of roots of its words' shares, and there are as many classes as those come to (at most the root of the words).
+    """
+    roots = np.cumsum(np.sqrt(words / total))
+    if not len(roots):
+        return [0]
+    classes = min(math.isqrt(len(words) - 1) + 1, math.ceil(roots[-1]) + 1)
+    firsts = np.searchsorted(roots, np.arange(1, classes) * (roots[-1] / classes), side="right")
+    return [*np.unique(np.append(0, firsts[firsts < len(words)])).tolist(), len(words)]
+
+
 class Net:
     """Gated recurrent network with class-factored output; all weights in `p`."""
 
     def __init__(self, vocabulary: Vocabulary, p: dict[str, np.ndarray] | None = None, state: int = STATE, size: int | None = None):
         n, r = vocabulary.n_explicit, vocabulary.rest
-        size = size or max(1, math.isqrt(max(0, n - 1)) + 1)
-        self.h, self.size, self.n = state, size, n
-        self.classes = -(-n // size)
+        words = vocabulary.explicit_counts + 0.5
+        self.h, self.size, self.n = state, size or max(1, math.isqrt(max(0, n - 1)) + 1), n
+        self.starts = [*range(0, n, size), n] if size else class_starts(words, words.sum() + vocabulary.rest_tokens.sum())
+        self.classes = len(self.starts) - 1
         self.end = vocabulary.symbol.get(END, 0)
-        self.class_of = np.concatenate([np.arange(n) // size, self.classes + np.arange(r)]).astype(np.int16)
-        self.starts = [*range(0, n, size), n]
+        own = np.repeat(np.arange(self.classes), np.diff(self.starts))
+        self.class_of = np.concatenate([own, self.classes + np.arange(r)]).astype(np.int16)
         if p is None:
             rng = np.random.default_rng(7)
             scale = lambda *shape: rng.normal(0, 0.1, shape).astype(np.float32)
-            words, own = vocabulary.explicit_counts + 0.5, self.class_of[:n]
             mass = np.concatenate([np.bincount(own, weights=words, minlength=self.classes), vocabulary.rest_tokens + 0.5])
             most = np.maximum.reduceat(words, self.starts[:-1]) if n else words
-            p = {"x": scale(n + r, 3 * state), "u": scale(state, 3 * state), "wc": np.ascontiguousarray(scale(state, self.classes + r).T), "bc": np.log(mass / mass.max()).astype(np.float32),
-                 "wo": scale(self.classes, state, size).transpose(0, 2, 1).reshape(-1, state)[:n], "bo": np.log(words / np.maximum(1, most)[own]).astype(np.float32)}
+            p = {"x": scale(3, n + r, state), "u": scale(3, state, state), "wc": scale(self.classes + r, state), "bc": np.log(mass / mass.max()).astype(np.float32),
+                 "wo": scale(n, state), "bo": np.log(words / np.maximum(1, most)[own]).astype(np.float32)}
         self.p = p
-        self.grads = {}  # arrays used again by each update
-
-    def step(self, symbols: np.ndarray, h: np.ndarray, keep: bool = False):
-        """State after `symbols`; h is reset where the symbol ends a text."""
-        s = self.h
-        ended = np.flatnonzero(symbols == self.end)
-        if len(ended):
-            h = h.copy()
-            h[ended] = 0
-        x, hu = self.p["x"].take(symbols, axis=0), h @ self.p["u"]
-        z, r, hn = sigmoid(x[:, :s] + hu[:, :s]), sigmoid(x[:, s:2 * s] + hu[:, s:2 * s]), hu[:, 2 * s:]
-        n = r * hn
-        n += x[:, 2 * s:]
+        self.grads, self.met = {}, np.zeros(0, np.intp)  # arrays used again by each update, symbols of the last one
+
+    def room(self, tokens: int, lanes: int) -> tuple[np.ndarray, ...]:
+        """For steps of so many tokens: gates and new part, states before, their products, states after; products of a step."""
+        empty = lambda *shape: np.empty((*shape, self.h), self.p["u"].dtype)
+        return empty(3, tokens), empty(tokens), empty(tokens), empty(tokens), empty(2, lanes)
+
+    def step(self, symbols: np.ndarray, h: np.ndarray, keep: tuple[np.ndarray, ...]) -> np.ndarray:
+        """State after `symbols`; h is reset where the symbol ends a text. All goes to `keep`, a `room`, gate by gate."""
+        (z, r, n), old, hn, out, products = keep
+        for own, x in zip((z, r, n), self.p["x"]):
+            x.take(symbols, axis=0, out=own, mode="clip")
+        old[:] = h
+        old[symbols == self.end] = 0
+        zr, u = keep[0][:2], self.p["u"]
+        zr += np.matmul(old, u[:2], out=products)
+        sigmoid(zr)
+        np.matmul(old, u[2], out=hn)
+        n += np.multiply(r, hn, out=out)
         np.tanh(n, out=n)
-        out = h - n
+        np.subtract(old, n, out=out)
         out *= z
         out += n
-        return (out, (h, z, r, n, hn)) if keep else out
+        return out
+
+    def steps(self, symbols: np.ndarray, bounds: list[int], h: np.ndarray, room: tuple[np.ndarray, ...]) -> np.ndarray:
+        """The last state after `symbols`, a step from each of `bounds` to the next; all states go to `room`."""
+        pre, old, hn, out, products = room
+        for a, b in zip(bounds[:-1], bounds[1:]):
+            h = self.step(symbols[a:b], h[:b - a], (pre[:, a:b], old[a:b], hn[a:b], out[a:b], products[:, :b - a]))
+        return h
 
     def shares(self, most: float = 1.0, learn: bool = False) -> tuple[Shares, Shares]:
         """Of the classes, and of the words within each; components of states that steps make are within 1."""
@@ -225,20 +270,10 @@ class Net:
         grads = {k: self.empty(k) for k in ("wc", "bc", "wo", "bo")} if learn else None
         if learn:
             d, by_class, by_word = np.zeros_like(states), (grads["wc"], grads["bc"]), (grads["wo"], grads["bo"])
-        bounds, c = np.searchsorted(cls, np.arange(self.classes + 1)).tolist(), 0
-        for i in range(0, len(cls), BLOCK):
-            j = min(i + BLOCK, len(cls))
-            of_class.of([(0, 0, j - i)], states[i:j], cls[i:j], logp[i:j], d[i:j] if learn else None, by_class)
-            j, runs = min(j, bounds[-1]), []  # rest classes have no words
-            while c < self.classes and bounds[c] < j:
-                first, end = max(i, bounds[c]) - i, min(j, bounds[c + 1]) - i
-                if first < end:
-                    runs.append((c, first, end))
-                if bounds[c + 1] > j:
-                    break
-                c += 1
-            if runs:
-                of_word.of(runs, states[i:j], word[i:j], logp[i:j], d[i:j] if learn else None, by_word)
+        explicit = int(np.searchsorted(cls, self.classes))  # rest classes have no words
+        for x, softmax, column, own in ((of_class, np.zeros_like(cls), cls, by_class), (of_word, cls[:explicit], word, by_word)):
+            for i, j, runs in x.blocks(softmax):
+                x.of(runs, states[i:j], column[i:j], logp[i:j], d[i:j] if learn else None, own)
         if learn:
             for (w, b), x in ((by_class, of_class), (by_word, of_word)):
                 w *= x.factor[:, None]
@@ -248,90 +283,98 @@ class Net:
         return (logp.take(back), grads, d.take(back, axis=0)) if learn else logp.take(back)
 
     def lanes(self, symbols: np.ndarray, lengths: np.ndarray, lanes: int):
-        """(symbols in lane order, the ones before, lane starts, lanes at work at each step, token order)"""
+        """(symbols step after step, the ones before, where steps begin, token order of the lanes, places of these tokens)"""
         order, firsts, starts, sizes = packed(lengths, lanes)
-        flat = symbols[order]
-        before = np.empty_like(flat)
-        before[1:] = flat[:-1]
-        before[firsts] = self.end
         busy = len(sizes) - np.searchsorted(sizes[::-1], np.arange(int(sizes.max(initial=0))), side="right")
-        return flat, before, starts, busy.tolist(), order
+        begun = np.concatenate(([0], np.cumsum(busy))).astype(np.int32)
+        place = begun.take(np.arange(len(order), dtype=np.int32) - np.repeat(starts.astype(np.int32), sizes))
+        place += np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        flat = symbols.take(order)
+        after, before = np.empty_like(flat), np.empty_like(flat)
+        after[place] = flat
+        before[place[1:]] = flat[:-1]
+        before[place[firsts]] = self.end
+        return after, before, begun.tolist(), order, place
 
     def score(self, symbols: np.ndarray, lengths: np.ndarray, lanes: int = LANES, window: int = WINDOW) -> np.ndarray:
         """Natural log probability of each text of `symbols` (its end included)."""
-        flat, before, starts, busy, order = self.lanes(symbols, lengths, lanes)
-        logp, h, shares = np.zeros(len(flat), np.float32), np.zeros((len(starts), self.h), np.float32), self.shares()
-        for t0, t1 in blocks(busy, window, SCORED):
-            states, places = [], []
-            for t, n in enumerate(busy[t0:t1], t0):
-                at = starts[:n] + t
-                h = self.step(before[at], h[:n])
-                states.append(h)
-                places.append(at)
-            at = np.concatenate(places)
-            logp[at] = self.outputs(np.concatenate(states), flat[at], shares=shares)
+        if not len(symbols):
+            return np.zeros(len(lengths))
+        flat, before, begun, order, place = self.lanes(symbols, lengths, lanes)
+        parts, shares = list(blocks(begun, window, SCORED)), self.shares()
+        room = self.room(max(begun[t1] - begun[t0] for t0, t1 in parts), begun[1])
+        logp, h = np.zeros(len(flat), np.float32), np.zeros((begun[1], self.h), np.float32)
+        for t0, t1 in parts:
+            a, b = begun[t0], begun[t1]
+            h = self.steps(before[a:b], [t - a for t in begun[t0:t1 + 1]], h, room).copy()
+            logp[a:b] = self.outputs(room[3][:b - a], flat[a:b], shares=shares)
         own = np.empty(len(flat), np.float64)
-        own[order] = logp
-        return np.add.reduceat(own, np.cumsum(lengths) - lengths) if len(flat) else np.zeros(len(lengths))
+        own[order] = logp.take(place)
+        return np.add.reduceat(own, np.cumsum(lengths) - lengths)
 
     def train(self, symbols: np.ndarray, lengths: np.ndarray, adam: dict, lanes: int = TRAIN_LANES, window: int = WINDOW, rate: float = RATE) -> None:
         """One pass over whole texts, an update after each window of all lanes; where few lanes are left, after several."""
-        flat, all_before, starts, busy, _ = self.lanes(symbols, lengths, lanes)
-        h, s, n_lanes = np.zeros((len(starts), self.h), np.float32), self.h, len(starts)
-        for t0, t1 in blocks(busy, window, n_lanes * window // 2):
-            kept, states, places = [], [], []
-            for t, n in enumerate(busy[t0:t1], t0):
-                at = starts[:n] + t
-                before = all_before[at]
-                h, memory = self.step(before, h[:n], keep=True)
-                kept.append((before, memory))
-                states.append(h)
-                places.append(at)
-            _, grads, d_out = self.outputs(np.concatenate(states), flat[np.concatenate(places)], learn=True)
-            bounds = np.cumsum([0] + [len(x) for x in states]).tolist()
-            seen = np.concatenate([before for before, _ in kept])
-            old, z, r, n, hn = (np.concatenate(part) for part in zip(*(memory for _, memory in kept)))
+        if not len(symbols):
+            return
+        flat, before, begun = self.lanes(symbols, lengths, lanes)[:3]
+        s, n_lanes, dtype = self.h, begun[1], self.p["u"].dtype
+        parts = list(blocks(begun, window, n_lanes * window // 2))
+        most = max(begun[t1] - begun[t0] for t0, t1 in parts)
+        room, h = self.room(most, n_lanes), np.zeros((n_lanes, s), dtype)
+        d_pre, d_n, products, back = np.empty((3, most, s), dtype), np.empty((most, s), dtype), np.empty((3, n_lanes, s), dtype), np.empty((n_lanes, s), dtype)
+        for t0, t1 in parts:
+            a0, size = begun[t0], begun[t1] - begun[t0]
+            seen, bounds = before[a0:a0 + size], [t - a0 for t in begun[t0:t1 + 1]]
+            h = self.steps(seen, bounds, h, room).copy()
+            (z, r, n), old, hn, states = room[0][:, :size], *(x[:size] for x in room[1:4])
+            _, grads, d_out = self.outputs(states, flat[a0:a0 + size], learn=True)
             by_n, by_z, by_r = 1 - n * n, 1 - z, 1 - r
             by_n *= by_z
             by_z *= z
-            by_z *= old - n
+            by_z *= np.subtract(old, n, out=n)
             by_r *= r
             by_r *= hn
-            back, (uz, ur, un) = np.zeros((n_lanes, s), z.dtype), self.p["u"].reshape(s, 3, s).transpose(1, 2, 0).copy()
-            dz, dr, dn, dh = (np.empty_like(z) for _ in range(4))  # of the gates' inputs, and of what the state gives to the last
-            for k in range(len(states) - 1, -1, -1):
-                at = slice(bounds[k], bounds[k + 1])
-                m = bounds[k + 1] - bounds[k]
+            dz, dr, dh = d_pre[:, :size]  # of the gates' inputs, and of what the state gives to the new part
+            dn, ut = d_n[:size], np.ascontiguousarray(self.p["u"].transpose(0, 2, 1))
+            back[:] = 0
+            for k in range(len(bounds) - 2, -1, -1):
+                at, m = slice(bounds[k], bounds[k + 1]), bounds[k + 1] - bounds[k]
                 if (k + 1) % window == 0:
                     back[:] = 0
-                d = back[:m]
+                d, own = back[:m], dn[at]
                 d += d_out[at]
-                np.multiply(d, by_n[at], out=dn[at])
+                np.multiply(d, by_n[at], out=own)
                 np.multiply(d, by_z[at], out=dz[at])
-                np.multiply(dn[at], by_r[at], out=dr[at])
-                np.multiply(dn[at], r[at], out=dh[at])
+                np.multiply(own, by_r[at], out=dr[at])
+                np.multiply(own, r[at], out=dh[at])
                 d *= z[at]
-                d += dz[at] @ uz
-                d += dr[at] @ ur
-                d += dh[at] @ un
-                d[kept[k][0] == self.end] = 0
-            grads["u"] = np.concatenate([old.T @ x for x in (dz, dr, dh)], axis=1)
-            count = np.bincount(seen, minlength=len(self.p["x"]))
-            met = np.flatnonzero(count)
-            count[met] = np.arange(0, s * len(met), s)  # where each symbol's sums begin
-            cells = (count.take(seen)[:, None] + np.arange(s)).reshape(-1)
-            sums = [np.bincount(cells, weights=x.reshape(-1), minlength=s * len(met)).reshape(-1, s) for x in (dz, dr, dn)]
-            grads["x"] = self.empty("x")
-            grads["x"][met] = np.concatenate(sums, axis=1)
-            self._update(grads, bounds[-1], adam, rate, met)
+                for x in np.matmul(d_pre[:, at], ut, out=products[:, :m]):
+                    d += x
+                d[seen[at] == self.end] = 0
+            grads["u"] = np.matmul(old.T, d_pre[:, :size])
+            order = np.argsort(seen)
+            sorted_, grads["x"] = seen.take(order), self._empty_rows()
+            firsts = np.flatnonzero(np.diff(sorted_, prepend=-1))
+            self.met = sorted_[firsts]
+            for own, x in zip(grads["x"], (dz, dr, dn)):
+                own[self.met] = np.add.reduceat(x.take(order, axis=0), firsts, axis=0)
+            self._update(grads, size, adam, rate, self.met)
+
+    def _empty_rows(self) -> np.ndarray:
+        """`empty` of "x", of which only the rows met by the last update are filled."""
+        if "x" not in self.grads or self.grads["x"].dtype != self.p["x"].dtype:
+            return self.empty("x")
+        self.grads["x"][:, self.met] = 0
+        return self.grads["x"]
 
     def _update(self, grads: dict, tokens: int, adam: dict, rate: float, met: np.ndarray) -> None:
         """Adam; of the rows of `x` only those met, the others have no gradient. Its means are kept as sums."""
         adam["t"] = t = adam.get("t", 0) + 1
         least = math.sqrt(1 - 0.99 ** t)
         for k, g in grads.items():
-            whole = adam.setdefault(k, (np.zeros_like(g), np.zeros_like(g)))
-            g, m, v, p = (x.take(met, axis=0) if k == "x" else x for x in (g, *whole, self.p[k]))
+            if k not in adam:
+                adam[k] = np.zeros_like(g), np.zeros_like(g)
+            g, m, v, p = (x.take(met, axis=1) if k == "x" else x for x in (g, *adam[k], self.p[k]))
             flat = [x.reshape(-1) for x in (g, m, v, p)]
             for i in range(0, g.size, PART):
                 g_, m_, v_, p_ = (x[i:i + PART] for x in flat)
@@ -349,21 +392,23 @@ class Net:
                 g_ *= rate * least / (1 - 0.9 ** t)
                 p_ += g_
             if k == "x":
-                whole[0][met], whole[1][met], self.p[k][met] = m, v, p
+                for whole, x in zip((*adam[k], self.p[k]), (m, v, p)):
+                    whole[:, met] = x
 
 
-def blocks(busy: list[int], window: int, least: int):
-    """(first, end) of the steps between updates: whole windows, as many as it takes to see `least` tokens."""
-    first = tokens = 0
-    for t in range(0, len(busy), window):
-        tokens += sum(busy[t:t + window])
-        if tokens >= least or t + window >= len(busy):
-            yield first, min(t + window, len(busy))
-            first, tokens = t + window, 0
+def blocks(begun: list[int], window: int, least: int):
+    """(first, end) of the steps between updates: whole windows, as many as it takes to see `least` tokens; steps begin at `begun`."""
+    first, steps = 0, len(begun) - 1
+    for t in range(0, steps, window):
+        end = min(t + window, steps)
+        if begun[end] - begun[first] >= least or end == steps:
+            yield first, end
+            first = end
 
 
 def packed(lengths: np.ndarray, lanes: int):
-    """(token order, places where texts begin, lane starts, lane sizes) of lanes of whole texts, longest lane first."""
+    """(token order, places where texts begin, lane starts, lane sizes) of lanes of whole texts, longest lane first; a lane has its
+    texts as they come."""
     lanes = max(1, min(lanes, len(lengths)))
     heap, mine = [(0, k) for k in range(lanes)], [[] for _ in range(lanes)]
     for doc in np.argsort(-lengths, kind="stable").tolist():
@@ -373,10 +418,11 @@ def packed(lengths: np.ndarray, lanes: int):
     total = {k: size for size, k in heap}
     by_size = sorted(range(lanes), key=lambda k: -total[k])
     begun = np.cumsum(lengths) - lengths
-    docs = np.array([d for k in by_size for d in mine[k]], np.int64)
+    docs = np.array([d for k in by_size for d in sorted(mine[k])], np.int64)
     own = lengths[docs]
     firsts = np.cumsum(own) - own
-    order = np.repeat(begun[docs] - firsts, own) + np.arange(int(own.sum()))
+    order = np.repeat((begun[docs] - firsts).astype(np.int32), own)
+    order += np.arange(len(order), dtype=np.int32)
     sizes = np.array([total[k] for k in by_size], np.int64)
     return order, firsts, np.cumsum(sizes) - sizes, sizes
 
@@ -446,9 +492,15 @@ def _train(shared, start, key: str):
     """Weights times tokens, summed over the shards of a task; a shard's rows come one after the other."""
     def run(batches):
         v = shared.value
-        symbols, sums, shard, net, adam, tokens = Symbols(v), {}, None, None, None, 0
+        symbols, sums, shard, net, adam, tokens, waiting = Symbols(v), {}, None, None, None, 0, []
+
+        def learn():
+            if waiting:
+                net.train(*(np.concatenate(x) for x in zip(*waiting)), adam)
+                waiting.clear()
 
         def close():
+            learn()
             for k, w in net.p.items() if net is not None and tokens else ():
                 sums[k] = sums.get(k, 0) + w.astype(np.float64) * tokens
             sums[""] = sums.get("", 0) + tokens
@@ -459,7 +511,9 @@ def _train(shared, start, key: str):
                 shard, adam, tokens = number, {}, 0
                 net = Net(v, None if start is None else {k: w.copy() for k, w in start.value.items()})
             flat, lengths = symbols.read(texts)
-            net.train(symbols.symbol[flat], lengths, adam)
+            if sum(len(x) for x, _ in waiting) + len(flat) > TOGETHER:
+                learn()
+            waiting.append((symbols.symbol[flat], lengths))
             tokens += len(flat)
         close()
         total = sums.pop("")
@@ -554,24 +608,40 @@ def _read(shared, weights):
     def run(batches):
         v, number = shared.value, TaskContext.get().partitionId() << 36
         symbols, net = Symbols(v), Net(v, weights.value) if weights is not None else None
+        held, waiting = 0, []  # tokens; columns, the rest words' part of the scores, symbols
+
+        def scored():
+            lengths = [columns[2] for columns, _, _ in waiting]
+            lm = np.zeros(sum(map(len, lengths)))
+            if net is not None:
+                lm = net.score(np.concatenate([x for _, _, x in waiting]), np.concatenate(lengths)) / np.log(10)
+            for (ids, rids, n, known, logs, rare), more, _ in waiting:
+                own, lm = lm[:len(n)], lm[len(n):]
+                yield pa.RecordBatch.from_arrays([ids, *map(pa.array, (rids, n, known, logs, own + more)), rare],
+                                                 names=["doc_id", "rid", "n_tokens", "known", "logs", "lm", "rare"])
+            waiting.clear()
+
         for batch in gathered(batches):
             flat, lengths = symbols.read(batch.column("text"))
             n_docs, starts = batch.num_rows, np.cumsum(lengths) - lengths
             count, rest = symbols.count, symbols.in_rest  # of each distinct word
             logs = np.where(count >= 0, np.log10(np.maximum(count, 0) + 0.5), 0.0)
             sums = lambda x: np.add.reduceat(x[flat], starts)
-            score = np.zeros(n_docs)
+            more, own = np.zeros(n_docs), np.zeros(0, np.int32)
             if net is not None:
-                score = net.score(symbols.symbol[flat], lengths) / np.log(10)
+                own = symbols.symbol[flat]
                 rest_size = np.log10(v.rest_tokens + 0.5 * (v.rest_words + 1))
                 # counts of joined words are added later; what they are divided by is known here
-                score += sums(np.where(rest, logs - rest_size[np.maximum(symbols.symbol - v.n_explicit, 0)], 0.0))
-            joined = count < 0
-            yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), pa.array(np.arange(number, number + n_docs)), pa.array(lengths), pa.array(sums((count > 0).astype(np.int64))),
-                pa.array(sums(logs)), pa.array(score), _joined(symbols.words, flat, lengths, joined, number)],
-                names=["doc_id", "rid", "n_tokens", "known", "logs", "lm", "rare"])
+                more = sums(np.where(rest, logs - rest_size[np.maximum(symbols.symbol - v.n_explicit, 0)], 0.0))
+            if waiting and held + len(flat) > TOGETHER:
+                yield from scored()
+                held = 0
+            held += len(flat)
+            waiting.append(((batch.column("doc_id"), np.arange(number, number + n_docs), lengths, sums((count > 0).astype(np.int64)), sums(logs),
+                             _joined(symbols.words, flat, lengths, count < 0, number)), more, own))
             number += n_docs
+        if waiting:
+            yield from scored()
     return run
 
 
@@ -615,7 +685,7 @@ def score_texts(docs: DataFrame, held_out: tuple[int, int] = HELD_OUT, frequent:
     shared = context.broadcast(v)
     rows = common.staged(docs.mapInArrow(_read(shared, weights), "doc_id long, rid long, n_tokens long, known long, logs double, lm double, rare " + RARE),
                          "lm-rows")
-    rare = rows.select(F.explode("rare").alias("r")).select("r.word", "r.found").join(counts, "word", "left")
+    rare = rows.select(F.explode("rare").alias("r")).select("r.word", "r.found").join(counts.hint("shuffle_hash"), "word", "left")
     rare = rare.select(F.explode("found").alias("f"), F.coalesce("n", F.lit(0)).alias("n"))
     sums = rare.groupBy(F.col("f.rid").alias("_rid")).agg(F.sum(F.col("f.times") * F.log10(F.col("n") + 0.5)).alias("more"),
                                                           F.sum(F.when(F.col("n") > 0, F.col("f.times")).otherwise(0)).alias("more_known"))
