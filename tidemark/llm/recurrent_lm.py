@@ -205,6 +205,7 @@ class Net:
         self.starts = [*range(0, n, size), n] if size else class_starts(words, words.sum() + vocabulary.rest_tokens.sum())
         self.classes = len(self.starts) - 1
         self.end = vocabulary.symbol.get(END, 0)
+        self.kind = np.min_scalar_type(n + r)  # of a symbol
         own = np.repeat(np.arange(self.classes), np.diff(self.starts))
         self.class_of = np.concatenate([own, self.classes + np.arange(r)]).astype(np.int16)
         if p is None:
@@ -352,10 +353,10 @@ class Net:
                     d += x
                 d[seen[at] == self.end] = 0
             grads["u"] = np.matmul(old.T, d_pre[:, :size])
-            order = np.argsort(seen)
-            sorted_, grads["x"] = seen.take(order), self._empty_rows()
-            firsts = np.flatnonzero(np.diff(sorted_, prepend=-1))
-            self.met = sorted_[firsts]
+            order, grads["x"] = np.argsort(seen, kind="stable"), self._empty_rows()
+            own = seen.take(order)
+            firsts = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+            self.met = own[firsts].astype(np.intp)
             for own, x in zip(grads["x"], (dz, dr, dn)):
                 own[self.met] = np.add.reduceat(x.take(order, axis=0), firsts, axis=0)
             self._update(grads, size, adam, rate, self.met)
@@ -496,8 +497,9 @@ def _train(shared, start, key: str):
 
         def learn():
             if waiting:
-                net.train(*(np.concatenate(x) for x in zip(*waiting)), adam)
+                flat, lengths = (np.concatenate(x) for x in zip(*waiting))
                 waiting.clear()
+                net.train(flat, lengths, adam)
 
         def close():
             learn()
@@ -513,7 +515,7 @@ def _train(shared, start, key: str):
             flat, lengths = symbols.read(texts)
             if sum(len(x) for x, _ in waiting) + len(flat) > TOGETHER:
                 learn()
-            waiting.append((symbols.symbol[flat], lengths))
+            waiting.append((symbols.symbol.astype(net.kind)[flat], lengths))
             tokens += len(flat)
         close()
         total = sums.pop("")
@@ -608,14 +610,16 @@ def _read(shared, weights):
     def run(batches):
         v, number = shared.value, TaskContext.get().partitionId() << 36
         symbols, net = Symbols(v), Net(v, weights.value) if weights is not None else None
-        held, waiting = 0, []  # tokens; columns, the rest words' part of the scores, symbols
+        held, waiting, read = 0, [], []  # tokens; columns, the rest words' part of the scores; symbols
 
         def scored():
-            lengths = [columns[2] for columns, _, _ in waiting]
-            lm = np.zeros(sum(map(len, lengths)))
+            lengths = np.concatenate([columns[2] for columns, _ in waiting])
+            lm = np.zeros(len(lengths))
             if net is not None:
-                lm = net.score(np.concatenate([x for _, _, x in waiting]), np.concatenate(lengths)) / np.log(10)
-            for (ids, rids, n, known, logs, rare), more, _ in waiting:
+                flat = np.concatenate(read)
+                read.clear()
+                lm = net.score(flat, lengths) / np.log(10)
+            for (ids, rids, n, known, logs, rare), more in waiting:
                 own, lm = lm[:len(n)], lm[len(n):]
                 yield pa.RecordBatch.from_arrays([ids, *map(pa.array, (rids, n, known, logs, own + more)), rare],
                                                  names=["doc_id", "rid", "n_tokens", "known", "logs", "lm", "rare"])
@@ -627,9 +631,8 @@ def _read(shared, weights):
             count, rest = symbols.count, symbols.in_rest  # of each distinct word
             logs = np.where(count >= 0, np.log10(np.maximum(count, 0) + 0.5), 0.0)
             sums = lambda x: np.add.reduceat(x[flat], starts)
-            more, own = np.zeros(n_docs), np.zeros(0, np.int32)
+            more = np.zeros(n_docs)
             if net is not None:
-                own = symbols.symbol[flat]
                 rest_size = np.log10(v.rest_tokens + 0.5 * (v.rest_words + 1))
                 # counts of joined words are added later; what they are divided by is known here
                 more = sums(np.where(rest, logs - rest_size[np.maximum(symbols.symbol - v.n_explicit, 0)], 0.0))
@@ -638,7 +641,9 @@ def _read(shared, weights):
                 held = 0
             held += len(flat)
             waiting.append(((batch.column("doc_id"), np.arange(number, number + n_docs), lengths, sums((count > 0).astype(np.int64)), sums(logs),
-                             _joined(symbols.words, flat, lengths, count < 0, number)), more, own))
+                             _joined(symbols.words, flat, lengths, count < 0, number)), more))
+            if net is not None:
+                read.append(symbols.symbol.astype(net.kind)[flat])
             number += n_docs
         if waiting:
             yield from scored()
