@@ -284,24 +284,24 @@ class Net:
         return (logp.take(back), grads, d.take(back, axis=0)) if learn else logp.take(back)
 
     def lanes(self, symbols: np.ndarray, lengths: np.ndarray, lanes: int):
-        """(symbols step after step, the ones before, where steps begin, token order of the lanes, places of these tokens)"""
-        order, firsts, starts, sizes = packed(lengths, lanes)
+        """(symbols step after step, the ones before, where steps begin, texts of each lane)"""
+        mine, sizes = packed(lengths, lanes)
         busy = len(sizes) - np.searchsorted(sizes[::-1], np.arange(int(sizes.max(initial=0))), side="right")
-        begun = np.concatenate(([0], np.cumsum(busy))).astype(np.int32)
-        place = begun.take(np.arange(len(order), dtype=np.int32) - np.repeat(starts.astype(np.int32), sizes))
-        place += np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
-        flat = symbols.take(order)
-        after, before = np.empty_like(flat), np.empty_like(flat)
-        after[place] = flat
-        before[place[1:]] = flat[:-1]
-        before[place[firsts]] = self.end
-        return after, before, begun.tolist(), order, place
+        begun, firsts = np.concatenate(([0], np.cumsum(busy))), np.cumsum(lengths) - lengths
+        after, before = np.empty_like(symbols), np.empty_like(symbols)
+        for lane, texts in enumerate(mine):
+            own = np.concatenate([symbols[firsts[k]:firsts[k] + lengths[k]] for k in texts.tolist()])
+            place = begun[:len(own)] + lane
+            after[place] = own
+            before[place[1:]] = own[:-1]
+            before[place[np.cumsum(lengths[texts]) - lengths[texts]]] = self.end
+        return after, before, begun.tolist(), mine
 
     def score(self, symbols: np.ndarray, lengths: np.ndarray, lanes: int = LANES, window: int = WINDOW) -> np.ndarray:
         """Natural log probability of each text of `symbols` (its end included)."""
         if not len(symbols):
             return np.zeros(len(lengths))
-        flat, before, begun, order, place = self.lanes(symbols, lengths, lanes)
+        flat, before, begun, mine = self.lanes(symbols, lengths, lanes)
         parts, shares = list(blocks(begun, window, SCORED)), self.shares()
         room = self.room(max(begun[t1] - begun[t0] for t0, t1 in parts), begun[1])
         logp, h = np.zeros(len(flat), np.float32), np.zeros((begun[1], self.h), np.float32)
@@ -309,15 +309,17 @@ class Net:
             a, b = begun[t0], begun[t1]
             h = self.steps(before[a:b], [t - a for t in begun[t0:t1 + 1]], h, room).copy()
             logp[a:b] = self.outputs(room[3][:b - a], flat[a:b], shares=shares)
-        own = np.empty(len(flat), np.float64)
-        own[order] = logp.take(place)
-        return np.add.reduceat(own, np.cumsum(lengths) - lengths)
+        out, firsts = np.empty(len(lengths)), np.array(begun)
+        for lane, texts in enumerate(mine):
+            ends = np.cumsum(lengths[texts])
+            out[texts] = np.add.reduceat(logp.take(firsts[:ends[-1]] + lane), ends - lengths[texts], dtype=np.float64)
+        return out
 
     def train(self, symbols: np.ndarray, lengths: np.ndarray, adam: dict, lanes: int = TRAIN_LANES, window: int = WINDOW, rate: float = RATE) -> None:
         """One pass over whole texts, an update after each window of all lanes; where few lanes are left, after several."""
         if not len(symbols):
             return
-        flat, before, begun = self.lanes(symbols, lengths, lanes)[:3]
+        flat, before, begun, _ = self.lanes(symbols, lengths, lanes)
         s, n_lanes, dtype = self.h, begun[1], self.p["u"].dtype
         parts = list(blocks(begun, window, n_lanes * window // 2))
         most = max(begun[t1] - begun[t0] for t0, t1 in parts)
@@ -408,8 +410,7 @@ def blocks(begun: list[int], window: int, least: int):
 
 
 def packed(lengths: np.ndarray, lanes: int):
-    """(token order, places where texts begin, lane starts, lane sizes) of lanes of whole texts, longest lane first; a lane has its
-    texts as they come."""
+    """(texts of each lane as they come, tokens of each), longest lane first."""
     lanes = max(1, min(lanes, len(lengths)))
     heap, mine = [(0, k) for k in range(lanes)], [[] for _ in range(lanes)]
     for doc in np.argsort(-lengths, kind="stable").tolist():
@@ -418,14 +419,7 @@ def packed(lengths: np.ndarray, lanes: int):
         mine[k].append(doc)
     total = {k: size for size, k in heap}
     by_size = sorted(range(lanes), key=lambda k: -total[k])
-    begun = np.cumsum(lengths) - lengths
-    docs = np.array([d for k in by_size for d in sorted(mine[k])], np.int64)
-    own = lengths[docs]
-    firsts = np.cumsum(own) - own
-    order = np.repeat((begun[docs] - firsts).astype(np.int32), own)
-    order += np.arange(len(order), dtype=np.int32)
-    sizes = np.array([total[k] for k in by_size], np.int64)
-    return order, firsts, np.cumsum(sizes) - sizes, sizes
+    return [np.array(sorted(mine[k]), np.intp) for k in by_size], np.array([total[k] for k in by_size], np.int64)
 
 
 def _found(words: pa.Array, known: pa.Array) -> np.ndarray:
