@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import cached_property
+from threading import RLock
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -54,19 +56,28 @@ def calendar_bounds(spark: SparkSession, sf_dir: str) -> tuple[Column, Column]:
     return first, last
 
 
+_STORING = RLock()
+
+
 @dataclass
 class Star:
-    """Lazy plans of the star over one source folder; a table in `written` is read from its (path, schema)."""
+    """Lazy plans of the star over one source folder; a table in `written` is read from its (path, schema),
+    one in `kept` is written to its folder, after those it reads, when it is first asked for."""
 
     spark: SparkSession
     sf_dir: str
     run_ts: str = RUN_TS
     written: dict[str, tuple[str, T.StructType]] = field(default_factory=dict)
+    kept: dict[str, str] = field(default_factory=dict)
 
     def silver(self, name: str) -> DataFrame:
         return self._get(f"silver_{name}", lambda: silver_table(self.spark, self.sf_dir, name, self.run_ts))
 
     def _get(self, name: str, plan) -> DataFrame:
+        if name in self.kept:
+            with _STORING, session.shuffles_freed(self.spark):
+                if name not in self.written:
+                    self.written[name] = _store(plan(), name, self.kept[name])
         if name in self.written:
             path, schema = self.written[name]
             return self.spark.read.schema(schema).parquet(path)
@@ -143,6 +154,7 @@ DIMENSIONS: list[tuple[str, str | None, list[str]]] = [
     ("dim_date", None, []), ("dim_campaign", None, []), ("dim_customer", None, []), ("dim_product", None, []), ("dim_channel", None, [])]
 FACTS: list[tuple[str, str | None, list[str]]] = [
     ("fact_sales", "order_date", ["date_key"]), ("fact_performance", "performance_date", ["date_key"]), ("fact_campaign_daily", None, [])]
+_SHAPES = {name: (dated, sort_by) for name, dated, sort_by in (*SILVER, *DIMENSIONS, *FACTS)}
 
 
 def materialise(spark: SparkSession, sf_dir: str, root: str, run_ts: str = RUN_TS, concurrency: int = 4) -> Star:
@@ -152,46 +164,61 @@ def materialise(spark: SparkSession, sf_dir: str, root: str, run_ts: str = RUN_T
     threads. Sales, performance and facts are partitioned by month and sorted
     by day: date filters prune folders, then row groups.
     """
-    return _written(Star(spark, sf_dir, run_ts), root, (SILVER, DIMENSIONS, FACTS), concurrency)
+    return _written(Star(spark, sf_dir, run_ts), {name: f"{root}/{name}" for name in _SHAPES}, concurrency)
+
+
+def _store(df: DataFrame, name: str, path: str) -> tuple[str, T.StructType]:
+    """Write one table of the star; where it is and its columns."""
+    dated, sort_by = _SHAPES[name]
+    if dated:
+        df = df.withColumn("month_key", month_of(dated))
+        sinks.write_new(df, path, ["month_key"], sort_by)
+        df = df.select(*[c for c in df.columns if c != "month_key"], "month_key")
+    else:
+        sinks.write_new(df, path)
+    return path, df.schema
 
 
-def _written(star: Star, root: str, stages, concurrency: int = 4) -> Star:
-    """The star with the tables of some stages written and read from there."""
+def _written(star: Star, paths: Mapping[str, str], concurrency: int = 4) -> Star:
+    """The star with all its tables written and read from there."""
     spark = star.spark
 
-    def write(entry) -> tuple[str, tuple[str, T.StructType]]:
-        name, dated, sort_by = entry
-        path = f"{root}/{name}"
+    def write(name: str) -> tuple[str, tuple[str, T.StructType]]:
         df = star.silver(name.removeprefix("silver_")) if name.startswith("silver_") else getattr(star, name)
-        if dated:
-            df = df.withColumn("month_key", month_of(dated))
-            sinks.write_new(df, path, ["month_key"], sort_by)
-            df = df.select(*[c for c in df.columns if c != "month_key"], "month_key")
-        else:
-            sinks.write_new(df, path)
-        return name, (path, df.schema)
-
-    for stage in stages:
-        with ThreadPoolExecutor(max_workers=concurrency) as pool:
-            done = dict(pool.map(write, stage))
-        star = Star(spark, star.sf_dir, star.run_ts, {**star.written, **done})
+        return name, _store(df, name, paths[name])
+
+    with session.shuffles_freed(spark):
+        for stage in (SILVER, DIMENSIONS, FACTS):
+            with ThreadPoolExecutor(max_workers=concurrency) as pool:
+                done = dict(pool.map(write, [name for name, *_ in stage if name not in star.written]))
+            star = Star(spark, star.sf_dir, star.run_ts, {**star.written, **done})
     return star
 
 
-_STORED: dict[tuple[str, str, bool], dict] = {}
+_STORED: dict[tuple[str, str], tuple[dict, dict]] = {}
 
 
-def stored_silver(spark: SparkSession, sf_dir: str) -> Star:
-    """A source folder with its silver tables written, on first use by this application, in the shared folder."""
-    key = (spark.sparkContext.applicationId, sf_dir, False)
+def _kept(spark: SparkSession, sf_dir: str) -> tuple[dict, dict]:
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _STORED:
-        _STORED[key] = _written(Star(spark, sf_dir, RUN_TS), session.scratch_path(spark, "silver"), (SILVER,)).written
-    return Star(spark, sf_dir, RUN_TS, _STORED[key])
+        folders = {kind: session.scratch_path(spark, kind) for kind in ("silver", "gold")}
+        _STORED[key] = {}, {name: f"{folders['silver' if name.startswith('silver_') else 'gold']}/{name}" for name in _SHAPES}
+    return _STORED[key]
+
+
+def stored_silver(spark: SparkSession, sf_dir: str) -> Star:
+    """A source folder whose silver tables are written in the shared folder, each on first use by this application."""
+    written, kept = _kept(spark, sf_dir)
+    return Star(spark, sf_dir, RUN_TS, written, {name: path for name, path in kept.items() if name.startswith("silver_")})
 
 
 def gold(spark: SparkSession, sf_dir: str) -> Star:
-    """The written star of a source folder, silver included, built on first use by this application in the shared folder."""
-    key = (spark.sparkContext.applicationId, sf_dir, True)
-    if key not in _STORED:
-        _STORED[key] = _written(stored_silver(spark, sf_dir), session.scratch_path(spark, "gold"), (DIMENSIONS, FACTS)).written
-    return Star(spark, sf_dir, RUN_TS, _STORED[key])
+    """The star of a source folder, silver included, whose tables are written in the shared folder, each on first use by
+    this application: a query stores what it reads, and no table that it does not."""
+    return Star(spark, sf_dir, RUN_TS, *_kept(spark, sf_dir))
+
+
+def store_all(star: Star) -> Star:
+    """A kept star with all its tables written at once, several at a time."""
+    star.written.update(_written(Star(star.spark, star.sf_dir, star.run_ts, star.written), star.kept).written)
+    return star

@@ -5,7 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -22,6 +23,8 @@ RUNTIME_CONF = {
 }
 
 PARTITION_BYTES = 128 * 1024 * 1024
+STORED = {"compression": "zstd"}   # of tables kept for later reads
+SHUFFLES_FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def build(app: str = "tidemark", master: str | None = None, shuffle_partitions: int | None = None,
@@ -83,6 +86,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
                         f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of each statement run inside go as it ends, not when the driver happens to collect its garbage."""
+    before = spark.conf.get(SHUFFLES_FREED, None)
+    spark.conf.set(SHUFFLES_FREED, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(SHUFFLES_FREED) if before is None else spark.conf.set(SHUFFLES_FREED, before)
+
+
 _WRITTEN: dict[tuple[str, str], tuple[str, StructType]] = {}
 
 
@@ -90,8 +104,9 @@ def written_once(spark: SparkSession, name: str, plan: Callable[[], DataFrame])
     """A table several queries of this application read: written on first use in the shared folder."""
     key = (spark.sparkContext.applicationId, name)
     if key not in _WRITTEN:
-        df, path = plan(), scratch_path(spark, name.split("|")[0])
-        df.write.parquet(path)
+        with shuffles_freed(spark):
+            df, path = plan(), scratch_path(spark, name.split("|")[0])
+            df.write.options(**STORED).parquet(path)
         _WRITTEN[key] = (path, df.schema)
     path, schema = _WRITTEN[key]
     return spark.read.schema(schema).parquet(path)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.upsert import upsert
 from ..operators.watermark import high_water_mark, watermark_filter
+from ..session import STORED
 from .versions import READER, REASON, Balance, VersionedTable, spread
 
 
@@ -33,7 +34,7 @@ def write_new(df: DataFrame, path: str, partition_by: Sequence[str] = (), sort_b
     out = spread(df, partition_by)
     if sort_by:
         out = out.sortWithinPartitions(*partition_by, *sort_by)
-    out.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
+    out.write.mode("errorifexists").options(**STORED).partitionBy(*partition_by).parquet(path)
 
 
 def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
