@@ -20,7 +20,7 @@ def unread(tmp_path):
 
 
 @pytest.mark.parametrize("key, stored", [
-    ("dq_G13", set()), ("dq_S20", set())])
+    ("dq_G13", set()), ("dq_S20", set()), ("dq_G10", {"silver_products", "dim_product"})])
 def test_a_check_stores_what_it_reads(spark, unread, key, stored):
     problem, n = check.compare(spark, check.duck(SF), unread, key, contract.queries()[key], contract.oracle_sql()[key])
     assert problem is None and n == 1
