@@ -90,8 +90,7 @@ def fact_performance(spark, sf):
        "unit_price discount_amount tax_amount line_total revenue discount_percent",
        "order_timestamp order_date load_timestamp")
 def fact_sales(spark, sf):
-    star = gold(spark, sf)
-    return facts.fact_sales(star.silver("sales"), star.dim_customer, star.dim_product, star.dim_campaign, star.dim_date, star.run_ts)
+    return gold(spark, sf).fact_sales.drop("month_key")
 
 
 @query("fact_campaign_daily", "SELECT * FROM f_campaign_daily",

@@ -8,6 +8,7 @@ import __spark_entry__ as contract
 from tests import check
 from tidemark import session
 from tidemark.plans import star as plans
+from tidemark.sources import sinks
 
 SF = "/root/testdata/sf0.001"
 
@@ -40,3 +41,33 @@ def test_shuffle_files_go_with_the_statement(spark):
         assert spark.conf.get(key) == "true"
         raise ValueError
     assert spark.conf.get(key) == before
+
+
+def test_sales_and_their_facts_are_written_in_parts(spark, unread, monkeypatch):
+    monkeypatch.setattr(session, "SLICE_BYTES", 50_000)
+    star = plans.gold(spark, unread)
+    whole = plans.silver_table(spark, unread, "sales")
+    parts = star.parts("silver_sales", whole)
+    assert 1 < len(parts) <= session.MOST_SLICES
+    keys = [{r[0] for r in p.select("order_line_id").collect()} for p in parts]
+    assert sum(map(len, keys)) == len(set().union(*keys)) == whole.count()
+    assert len(star.parts("fact_sales", star.silver("sales"))) > 1
+    problem, n = check.compare(spark, check.duck(SF), unread, "fact_sales", contract.queries()["fact_sales"], contract.oracle_sql()["fact_sales"])
+    assert problem is None and n > 0
+    assert set(star.written) == {"silver_sales", "silver_customers", "silver_products", "silver_campaigns", "dim_customer", "dim_product",
+                                 "dim_campaign", "dim_date", "fact_sales"}
+    assert star.silver("sales").drop("month_key").exceptAll(whole).count() == 0
+
+
+def test_file_parts_have_each_file_once(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.range(1000).selectExpr("id", "cast(id % 7 AS int) AS m")
+    df.repartition(3).write.partitionBy("m").parquet(path)
+    for n in (1, 4, 50):
+        parts = sinks.file_slices(spark, path, df.schema, n)
+        files = [f for p in parts for f in p.inputFiles()]
+        assert len(files) == len(set(files)) == 21 and (len(parts) > 1) == (n > 1)
+        assert sorted(tuple(r) for p in parts for r in p.collect()) == sorted(tuple(r) for r in df.collect())
+    empty = str(tmp_path / "none")
+    df.limit(0).write.parquet(empty)
+    assert [p.count() for p in sinks.file_slices(spark, empty, df.schema, 4)] == [0]

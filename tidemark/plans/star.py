@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import cached_property
@@ -33,15 +33,18 @@ _SALES_TIES = ["order_id", "customer_id", "product_id", "campaign_id", "order_da
                "unit_price", "discount_amount", "tax_amount", "line_total", "revenue"]
 
 
-def silver_table(spark: SparkSession, sf_dir: str, name: str, run_ts: str = RUN_TS) -> DataFrame:
+def silver_table(spark: SparkSession, sf_dir: str, name: str, run_ts: str = RUN_TS, part: tuple[int, int] = (0, 1)) -> DataFrame:
     """One cleansed entity, one row per natural key.
 
     Duplicates go before the cleansing: only survivors get derived columns,
-    and those columns do not travel through the exchange.
+    and those columns do not travel through the exchange. `part` (k, n) takes
+    of the sales the k-th of n parts of the keys, with all rows of each.
     """
     bronze = entities.BRONZE[name](spark, sf_dir)
     if name == "sales":
         keyed = bronze.withColumn("order_line_id", clean_id("order_line_id"))
+        if part[1] > 1:
+            keyed = keyed.where(F.pmod(F.xxhash64("order_line_id"), F.lit(part[1])) == part[0])
         bronze = dedupe_latest(keyed, ["order_line_id"], [F.col(c).desc_nulls_last() for c in _SALES_TIES])
     return silver.SILVER[name](bronze, run_ts)
 
@@ -77,12 +80,24 @@ class Star:
         if name in self.kept:
             with _STORING, session.shuffles_freed(self.spark):
                 if name not in self.written:
-                    self.written[name] = _store(plan(), name, self.kept[name])
+                    self.written[name] = _store(self.parts(name, plan()), name, self.kept[name])
         if name in self.written:
             path, schema = self.written[name]
             return self.spark.read.schema(schema).parquet(path)
         return plan()
 
+    def parts(self, name: str, whole: DataFrame) -> list[DataFrame]:
+        """The rows of a table in parts to be written one after the other; `whole` has all of them."""
+        if name == "silver_sales":
+            n = session.slices_for(session.source_bytes(whole))
+            return [silver_table(self.spark, self.sf_dir, "sales", self.run_ts, (k, n)) for k in range(n)]
+        if name == "fact_sales" and "silver_sales" in self.written:
+            return [self._sales_facts(sales) for sales in sinks.file_slices(self.spark, *self.written["silver_sales"])]
+        return [whole]
+
+    def _sales_facts(self, sales: DataFrame) -> DataFrame:
+        return facts.fact_sales(sales, self.dim_customer, self.dim_product, self.dim_campaign, self.dim_date, self.run_ts)
+
     @cached_property
     def dim_date(self) -> DataFrame:
         return self._get("dim_date", lambda: cal.dim_date(self.spark, *calendar_bounds(self.spark, self.sf_dir)))
@@ -114,8 +129,7 @@ class Star:
 
     @cached_property
     def fact_sales(self) -> DataFrame:
-        return self._get("fact_sales", lambda: facts.fact_sales(
-            self.silver("sales"), self.dim_customer, self.dim_product, self.dim_campaign, self.dim_date, self.run_ts))
+        return self._get("fact_sales", lambda: self._sales_facts(self.silver("sales")))
 
     @cached_property
     def fact_campaign_daily(self) -> DataFrame:
@@ -167,16 +181,13 @@ def materialise(spark: SparkSession, sf_dir: str, root: str, run_ts: str = RUN_T
     return _written(Star(spark, sf_dir, run_ts), {name: f"{root}/{name}" for name in _SHAPES}, concurrency)
 
 
-def _store(df: DataFrame, name: str, path: str) -> tuple[str, T.StructType]:
-    """Write one table of the star; where it is and its columns."""
+def _store(parts: Sequence[DataFrame], name: str, path: str) -> tuple[str, T.StructType]:
+    """Write one table of the star, part by part; where it is and its columns."""
     dated, sort_by = _SHAPES[name]
-    if dated:
-        df = df.withColumn("month_key", month_of(dated))
-        sinks.write_new(df, path, ["month_key"], sort_by)
-        df = df.select(*[c for c in df.columns if c != "month_key"], "month_key")
-    else:
-        sinks.write_new(df, path)
-    return path, df.schema
+    for k, df in enumerate(parts):
+        sinks.write_new(df.withColumn("month_key", month_of(dated)) if dated else df, path, ["month_key"] if dated else [], sort_by, more=k > 0)
+    schema = parts[0].schema
+    return path, T.StructType([*schema.fields, T.StructField("month_key", T.IntegerType())]) if dated else schema
 
 
 def _written(star: Star, paths: Mapping[str, str], concurrency: int = 4) -> Star:
@@ -185,7 +196,7 @@ def _written(star: Star, paths: Mapping[str, str], concurrency: int = 4) -> Star
 
     def write(name: str) -> tuple[str, tuple[str, T.StructType]]:
         df = star.silver(name.removeprefix("silver_")) if name.startswith("silver_") else getattr(star, name)
-        return name, _store(df, name, paths[name])
+        return name, _store(star.parts(name, df), name, paths[name])
 
     with session.shuffles_freed(spark):
         for stage in (SILVER, DIMENSIONS, FACTS):

@@ -51,6 +51,24 @@ def shuffle_partitions_for(input_bytes: int, floor: int = 8) -> int:
     return max(floor, -(-input_bytes // PARTITION_BYTES))
 
 
+SLICE_BYTES = 32 * 1024 * 1024
+MOST_SLICES = 8
+
+
+def slices_for(input_bytes: int) -> int:
+    """Parts a large write is run in, one after the other, so that shuffle files of one part only are on disk at a time.
+
+    Their number is bounded: what the parts are joined with is dealt out once for each.
+    """
+    return max(1, min(MOST_SLICES, -(-input_bytes // SLICE_BYTES)))
+
+
+def source_bytes(df: DataFrame) -> int:
+    """Bytes of the files below a plan."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session somebody else built."""
     for key, value in RUNTIME_CONF.items():

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from .. import session
 from ..operators.upsert import upsert
 from ..operators.watermark import high_water_mark, watermark_filter
-from ..session import STORED
 from .versions import READER, REASON, Balance, VersionedTable, spread
 
 
@@ -29,12 +29,30 @@ def write_append(df: DataFrame, path: str, mapping: Mapping[str, str] | None = N
     spread(out, partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
-def write_new(df: DataFrame, path: str, partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()) -> None:
-    """Write to a path that must not exist yet."""
+def write_new(df: DataFrame, path: str, partition_by: Sequence[str] = (), sort_by: Sequence[str] = (), more: bool = False) -> None:
+    """Write to a path that must not exist yet, or `more` of the same table to it."""
     out = spread(df, partition_by)
     if sort_by:
         out = out.sortWithinPartitions(*partition_by, *sort_by)
-    out.write.mode("errorifexists").options(**STORED).partitionBy(*partition_by).parquet(path)
+    out.write.mode("append" if more else "errorifexists").options(**session.STORED).partitionBy(*partition_by).parquet(path)
+
+
+def file_slices(spark: SparkSession, path: str, schema: T.StructType, n: int | None = None) -> list[DataFrame]:
+    """A written table in parts of about equal bytes: each of its files, in order of their paths, is in one of them."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found, files = folder.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(folder, True), []
+    while found.hasNext():
+        f = found.next()
+        if not f.getPath().getName().startswith(("_", ".")):
+            files.append((f.getPath().toString(), f.getLen()))
+    total, before, parts = sum(size for _, size in files), 0, {}
+    n = n or session.slices_for(total)
+    for name, size in sorted(files):
+        parts.setdefault(before * n // max(1, total), []).append(name)
+        before += size
+    if len(parts) < 2:
+        return [spark.read.schema(schema).parquet(path)]
+    return [spark.read.schema(schema).option("basePath", path).parquet(*names) for names in parts.values()]
 
 
 def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
