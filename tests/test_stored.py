@@ -9,6 +9,7 @@ from tests import check
 from tidemark import session
 from tidemark.plans import star as plans
 from tidemark.sources import sinks
+from tidemark.sources.versions import VersionedTable
 
 SF = "/root/testdata/sf0.001"
 
@@ -71,3 +72,25 @@ def test_file_parts_have_each_file_once(spark, tmp_path):
     empty = str(tmp_path / "none")
     df.limit(0).write.parquet(empty)
     assert [p.count() for p in sinks.file_slices(spark, empty, df.schema, 4)] == [0]
+
+
+def test_a_refresh_goes_by_parts(spark, unread, monkeypatch):
+    parts, merge = [], VersionedTable.merge
+    monkeypatch.setattr(session, "SLICE_BYTES", 100_000)
+    monkeypatch.setattr(VersionedTable, "merge", lambda self, source, *a, **b: parts.append(len(source) if isinstance(source, list) else 1) or merge(self, source, *a, **b))
+    problem, n = check.compare(spark, check.duck(SF), unread, "incremental_refresh", contract.queries()["incremental_refresh"], contract.oracle_sql()["incremental_refresh"])
+    assert problem is None and n > 0 and max(parts) > 1
+
+
+def test_a_merge_in_parts_is_that_of_the_whole(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "slices_for", lambda _: 3)
+    rows = lambda *r: spark.createDataFrame(list(r), "k long, v string")
+    tables = [VersionedTable(spark, str(tmp_path / n)) for n in ("whole", "parts")]
+    loads = [([rows((1, "a"), (2, "b")), rows((3, "c"), (None, "x"))], None), ([rows((1, "d"), (4, "e")), rows((5, "f"))], rows((2, ""), (5, ""), (9, "")))]
+    for parts, gone in loads:
+        balances = [t.merge(source, ["k"], load="l", gone=gone, buckets=4) for t, source in zip(tables, (parts[0].unionByName(parts[1]), parts))]
+        assert balances[0] == balances[1]
+        found = [sorted(tuple(r) for r in t.read().select("k", "v").collect()) for t in tables]
+        assert found[0] == found[1] and [t.rejected().count() for t in tables] == [1, 1]
+    assert found[0] == [(1, "d"), (3, "c"), (4, "e"), (5, "f")]
+    assert [t.version() for t in tables] == [tables[0].version()] * 2
